@@ -95,7 +95,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return run(_P), run(_INV)
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _byte_values(lower: bool) -> np.ndarray:
     values = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     if lower:
@@ -110,13 +110,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(buf: np.ndarray, at: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Blanks and ASCII punctuation.
+PUNCTUATED = _BLANK.copy()
+PUNCTUATED[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def words_of(buf: np.ndarray, at: np.ndarray, lower: bool = True, apart: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of concatenated texts: 64-bit hashes, starts, ends, and the first word's index of each text (and the end)."""
     n = len(buf)
     if not n:
         z = np.zeros(0, np.int64)
         return z.astype(np.uint64), z, z, np.zeros(len(at), np.int64)
-    word = ~_BLANK[buf]
+    word = ~apart[buf]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
     first = word.copy()
