@@ -10,6 +10,7 @@ from .packing import op3_best_two_fit
 from .quality import op4_empirical_bayes
 from .rules import op1_distribution_divergence
 from .store import op7_token_store
+from .suffixes import op8_suffix_array
 from .warc import op5_warc_derivatives
 
 QUERIES = {
@@ -22,6 +23,7 @@ QUERIES = {
         op5_warc_derivatives,
         op6_language_fusion,
         op7_token_store,
+        op8_suffix_array,
         op9_string_tiling,
         op10_near_duplicates,
     )
