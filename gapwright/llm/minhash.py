@@ -7,8 +7,9 @@
    `BATCH` hashes; a pair is dropped as soon as the posterior probability that its similarity reaches the
    threshold (uniform prior) is below `MISS`. Survivors are confirmed on their full sets.
 3. Buckets whose members are still in several components get all their cross-component pairs compared
-   in the same way, except those within the bucket's largest component, in blocks of bounded size.
-   So no link is lost to a bad choice of the first partner, and no bucket emits the pairs of its copies.
+   in the same way, except those within the bucket's largest component, in blocks of bounded size. Two rounds
+   confirm each member's most similar partner only, which joins nearly all that belongs together; the last
+   confirms every pair that is left. So no link is lost to a bad choice of partner, and copies don't emit all pairs.
 
 The chance that a link at the threshold shares no band is (1 - s**ROWS)**BANDS, 2e-6 at 0.8.
 
@@ -62,15 +63,15 @@ def least_matches(percent: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def passing(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Indices of the signature pairs that no batch prunes."""
+def passing(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the signature pairs that no batch prunes, and their matches."""
     left, matches = np.arange(len(a)), np.zeros(len(a), np.int32)
     for k, least in enumerate(least_matches(percent)):
         at = slice(k * BATCH, (k + 1) * BATCH)
         matches = matches + (a[left, at] == b[left, at]).sum(axis=1)
         keep = matches >= least
         left, matches = left[keep], matches[keep]
-    return left
+    return left, matches
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
@@ -121,7 +122,7 @@ def _pruned(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         for x in batches:
             if x.num_rows:
                 sa, sb = (np.frombuffer(b"".join(x.column(c).to_pylist()), "<u4").reshape(-1, HASHES) for c in ("sa", "sb"))
-                yield x.take(pa.array(passing(sa, sb, percent))).select(["a", "b"])
+                yield x.take(pa.array(passing(sa, sb, percent)[0])).select(["a", "b"])
 
     return arrow_map(both.select("a", "b", "sa", "sb"), run, "a long, b long")
 
@@ -136,8 +137,10 @@ def _confirmed(pairs: DataFrame, source: DataFrame, words: int, percent: int) ->
     return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def _cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) from buckets with several components: compared in pairs of blocks, all but those within the largest."""
+def _cross_pairs(buckets: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(a, b) from buckets with several components: compared in pairs of blocks, all but those within the largest.
+
+    With `best`, only each member's most similar partner of a block."""
     mixed = buckets.groupBy("band", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band", "key")
     rows = staged(buckets.join(mixed, ["band", "key"]))
     per = rows.groupBy("band", "key", "root").agg(F.count("*").alias("m"))
@@ -159,7 +162,8 @@ def _cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
             if band and len(y):  # compared in the first band that they share
                 y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
             if len(y):
-                y = y[passing(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], percent)]
+                near, matches = passing(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], percent)
+                y = y[near[[matches.argmax()]]] if best and len(near) else y[near]
                 out.append((np.full(len(y), rep[x]), rep[y]))
         return out
 
@@ -213,11 +217,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sigs = staged(reps.join(small(touched), "rep", "left_semi"))
     links = staged(_confirmed(staged(_pruned(stars, sigs, percent)), source, words, percent))
     roots = components(links)
-    # 2. what is still apart within a bucket
-    rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "key", "rep", F.coalesce("root", "rep").alias("root"))
-    more = staged(_cross_pairs(rooted.join(sigs, "rep"), percent))
-    if not more.isEmpty():
-        links = links.union(_confirmed(more.join(stars, ["a", "b"], "left_anti"), source, words, percent))
+    # 2. what is still apart within a bucket: twice by the most similar partners, which joins most, then all that is left
+    for best in (True, True, False):
+        rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "key", "rep", F.coalesce("root", "rep").alias("root"))
+        more = staged(_cross_pairs(rooted.join(sigs, "rep"), percent, best))
+        if more.isEmpty():
+            break
+        links = staged(links.union(_confirmed(more.join(stars, ["a", "b"], "left_anti"), source, words, percent)))
         roots = components(links)
     # rows that share an id are one document
     own = signed.join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", "rep")
