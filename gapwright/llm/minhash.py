@@ -7,9 +7,12 @@
    `BATCH` hashes; a pair is dropped as soon as the posterior probability that its similarity reaches the
    threshold (uniform prior) is below `MISS`. Survivors are confirmed on their full sets.
 3. Buckets whose members are still in several components get all their cross-component pairs compared
-   in the same way, except those within the bucket's largest component, in blocks of bounded size. Two rounds
-   confirm each member's most similar partner only, which joins nearly all that belongs together; the last
-   confirms every pair that is left. So no link is lost to a bad choice of partner, and copies don't emit all pairs.
+   in the same way, except those within the bucket's largest component, in blocks of bounded size. In buckets of
+   more than `MANY` members the block's task also counts the shingles that survivors share (by 32 bits of their
+   hashes, which can only add to the count), so that groups of texts just below the threshold make no pairs. The
+   first round confirms each member's most similar partner only, which joins nearly all that belongs together; the
+   last confirms every pair that is left. So no link is lost to a bad choice of partner, and copies don't emit all pairs.
+   Sets of more than `MOST_ITEMS` shingles aren't counted in the block; their survivors are confirmed as all others are.
 
 The chance that a link at the threshold shares no band is (1 - s**ROWS)**BANDS, 2e-6 at 0.8.
 
@@ -33,6 +36,8 @@ BANDS, ROWS, BATCH, MISS = 25, 4, 20, 1e-6
 HASHES = BANDS * ROWS
 #: Members of a bucket's block; two blocks are compared at a time.
 BLOCK = 400
+#: Buckets of more members carry their sets of up to MOST_ITEMS shingles into the blocks.
+MANY, MOST_ITEMS = 32, 8192
 
 
 @lru_cache(maxsize=1)
@@ -114,6 +119,43 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return arrow_map(docs, run, "doc_id long, items array<long>")
 
 
+def _short_sets(docs: DataFrame, words: int) -> DataFrame:
+    """rep, items: 32 bits of each shingle's hash, for sets of MOST_ITEMS at most."""
+
+    def run(batches):
+        for part in slices(batches):
+            buf, at = buffer_of(part.column("text"))
+            h, _, _, first = words_of(buf, at)
+            sets = [np.unique(shingles_of(h[a:b], words)) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+            items = [(x >> np.uint64(32)).astype("<u4").tobytes() if len(x) <= MOST_ITEMS else None for x in sets]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(items, pa.binary())], names=["rep", "items"])
+
+    return arrow_map(docs, run, "rep long, items binary")
+
+
+class Shared:
+    """Upper bounds of the shingles that members of one block share."""
+
+    def __init__(self, items: list[bytes | None]):
+        sets = [np.frombuffer(x or b"", "<u4") for x in items]
+        self.known = np.array([x is not None for x in items], bool)
+        self.ends = np.cumsum([0, *map(len, sets)])
+        names, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(names), bool)
+
+    def reaching(self, x: int, y: np.ndarray, percent: int) -> np.ndarray:
+        """Which of the ascending members y may reach the threshold with x; unknown sets may."""
+        if not self.known[x]:
+            return np.ones(len(y), bool)
+        own = self.ids[self.ends[x] : self.ends[x + 1]]
+        self.mark[own] = True
+        begin, end = self.ends[y[0]], self.ends[y[-1] + 1]
+        total = np.concatenate([[0], np.cumsum(self.mark[self.ids[begin:end]])])
+        self.mark[own] = False
+        both = total[self.ends[y + 1] - begin] - total[self.ends[y] - begin]
+        return (100 * both >= percent * (len(own) + self.ends[y + 1] - self.ends[y] - both)) | ~self.known[y]
+
+
 def _pruned(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Of (a, b) those whose signatures may reach the threshold."""
     both = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
@@ -137,33 +179,43 @@ def _confirmed(pairs: DataFrame, source: DataFrame, words: int, percent: int) ->
     return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def _cross_pairs(buckets: DataFrame, percent: int, best: bool) -> DataFrame:
+def _mixed(buckets: DataFrame) -> DataFrame:
+    """The rows of buckets that have members in several components, with the members' count."""
+    mixed = buckets.groupBy("band", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size")).where("r0 <> r1")
+    return buckets.join(mixed.select("band", "key", "size"), ["band", "key"])
+
+
+def _cross_pairs(rows: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, best: bool) -> DataFrame:
     """(a, b) from buckets with several components: compared in pairs of blocks, all but those within the largest.
 
     With `best`, only each member's most similar partner of a block."""
-    mixed = buckets.groupBy("band", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band", "key")
-    rows = staged(buckets.join(mixed, ["band", "key"]))
     per = rows.groupBy("band", "key", "root").agg(F.count("*").alias("m"))
     main = per.groupBy("band", "key").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("m"))
     main = main.select("band", "key", F.col("top.root").alias("main"), F.ceil(F.col("top.m") / BLOCK).cast("int").alias("n_main"), F.ceil((F.col("m") - F.col("top.m")) / BLOCK).cast("int").alias("n_rest"))
     rows = rows.join(main, ["band", "key"]).withColumn("is_main", F.col("root") == F.col("main"))
     block = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
     rows = rows.withColumn("block", block)
+    rows = rows.join(sigs, "rep").join(sets, "rep", "left").withColumn("items", F.when(F.col("size") > MANY, F.col("items")))
     # pairs of blocks: (rest i, rest j), i <= j, and (rest i, main j)
     mates = F.when(F.col("is_main"), F.expr("transform(sequence(0, n_rest - 1), i -> struct(i as i, -1 - block as j))")).otherwise(
         F.concat(F.expr("transform(sequence(0, n_rest - 1), i -> struct(least(i, block) as i, greatest(i, block) as j))"), F.expr("transform(sequence(0, n_main - 1), j -> struct(block as i, -1 - j as j))"))
     )
-    dealt = rows.select("band", "key", "rep", "root", "sig", "bands", F.explode(mates).alias("g")).select("band", "key", "g.i", "g.j", "rep", "root", "sig", "bands")
+    dealt = rows.select("band", "key", "rep", "root", "sig", "bands", "items", F.explode(mates).alias("g")).select("band", "key", "g.i", "g.j", "rep", "root", "sig", "bands", "items")
 
-    def compare(band: int, rep, root, sig, bands) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
+    def compare(band: int, rep, root, sig, bands, items) -> list[tuple[np.ndarray, np.ndarray]]:
+        out, shared = [], Shared(items) if any(x is not None for x in items) else None
         for x in range(len(rep) - 1):
             y = np.flatnonzero(root[x + 1 :] != root[x]) + x + 1
             if band and len(y):  # compared in the first band that they share
                 y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
             if len(y):
                 near, matches = passing(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], percent)
-                y = y[near[[matches.argmax()]]] if best and len(near) else y[near]
+                y = y[near]
+                if shared and len(y):
+                    may = shared.reaching(x, y, percent)
+                    y, matches = y[may], matches[may]
+                if best and len(y):
+                    y = y[[matches.argmax()]]
                 out.append((np.full(len(y), rep[x]), rep[y]))
         return out
 
@@ -184,11 +236,12 @@ def _cross_pairs(buckets: DataFrame, percent: int, best: bool) -> DataFrame:
             rep, root = (table.column(c).to_numpy()[:end] for c in ("rep", "root"))
             head = table.slice(0, end)
             sig = np.frombuffer(b"".join(head.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
+            items = head.column("items").to_pylist()
             bands = head.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
             out = []
             for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), table.num_rows], strict=True):
                 if e <= end:
-                    out += compare(int(keys[0, s]), rep[s:e], root[s:e], sig[s:e], bands[s:e])
+                    out += compare(int(keys[0, s]), rep[s:e], root[s:e], sig[s:e], bands[s:e], items[s:e])
             a, b = (np.concatenate([z[k] for z in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
@@ -217,10 +270,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sigs = staged(reps.join(small(touched), "rep", "left_semi"))
     links = staged(_confirmed(staged(_pruned(stars, sigs, percent)), source, words, percent))
     roots = components(links)
-    # 2. what is still apart within a bucket: twice by the most similar partners, which joins most, then all that is left
-    for best in (True, True, False):
+    # 2. what is still apart within a bucket: by the most similar partners, which joins most, then all that is left
+    sets = None
+    for best in (True, False):
         rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "key", "rep", F.coalesce("root", "rep").alias("root"))
-        more = staged(_cross_pairs(rooted.join(sigs, "rep"), percent, best))
+        rows = staged(_mixed(rooted))
+        if sets is None:  # later rounds have no other mixed buckets
+            many = staged(rows.where(F.col("size") > MANY).select(F.col("rep").alias("doc_id")).distinct())
+            sets = staged(_short_sets(source.join(small(many), "doc_id", "left_semi"), words).groupBy("rep").agg(F.when(F.count("*") == 1, F.max("items")).alias("items")))
+        more = staged(_cross_pairs(rows, sigs, sets, percent, best))
         if more.isEmpty():
             break
         links = staged(links.union(_confirmed(more.join(stars, ["a", "b"], "left_anti"), source, words, percent)))
