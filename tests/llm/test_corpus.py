@@ -304,3 +304,17 @@ def test_quality_held_out(spark, none):
     assert np.mean([got[i] == (i < 1000) for i in held]) > 0.95
     assert quality.classify(none, marks).count() == 0
     assert quality.classify(df, marks.limit(0)).count() == df.count()
+
+
+def test_encoder_equals_library():
+    """Ids of cut and cached pieces against whole texts, over joints of every kind of white space."""
+    from tokenizers import Tokenizer
+
+    from gapwright.llm.tokens import Encoder, default_path
+
+    lib, own, rng = Tokenizer.from_file(default_path()), Encoder(default_path()), random.Random(3)
+    parts = ["a", "b", "the", "ing", "'s", "'", "'ll", " ", " ", "  ", "\n", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "é", "ß", "漢", "1", "23", "²", "!", "?!", "\0", "　", "😀", "ÿ", "þ"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(13))) for _ in range(3000)]
+    ids, at = own.encode(texts)
+    got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
