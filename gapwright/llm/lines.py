@@ -4,8 +4,11 @@ A line (without the blanks around it, at least `least_bytes` long) that stands o
 boilerplate and is taken out of every document. Lines are counted by two hashes (96 bits); those that occur
 often enough, on more than one site, get a HyperLogLog sketch of their sites, merged by aggregation; where the
 estimate is within three standard errors of the threshold, the distinct sites are counted exactly. A
-document of which boilerplate is more than `most_share` of the bytes in lines is left as it is: it is a copy of
-a document, not a page around its own text, and a matter for document deduplication.
+document of which such lines are more than `most_share` of the bytes in lines may be a copy of a document rather
+than a page around its own text. It loses the proven lines, however many: those that reach `least_sites` on the
+documents below that share alone. Text that stands on many sites only because documents were copied is never
+proven, and is left to document deduplication. Without `proven`, as the query's SQL has it, such a document is left
+as it is.
 
 Nulls: a null text stays null and has no lines; a null site is a site of its own. Repeated rows count as often as
 they occur and get the same answer. An empty table gives no rows. Other columns pass through in struct `row`,
@@ -46,7 +49,7 @@ def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: in
     return staged(sure.select("k1", "k2").unionByName(exact.where(F.col("n_sites") >= least_sites).select("k1", "k2")))
 
 
-def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES, most_share: float = MOST_SHARE, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id") -> DataFrame:
+def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES, most_share: float = MOST_SHARE, proven: bool = True, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Each row of docs as struct `row`, with text (boilerplate taken out), n_lines and n_removed."""
     text = F.col(text_col).cast("string")
     known = [F.col(id_col).cast("string"), text]
@@ -54,19 +57,26 @@ def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int =
     keys = boilerplate(source.select("text", "site"), least_sites, least_bytes)
     lines = _lines(source.select("g1", "g2", "text"), least_bytes, "g1", "g2")
     # the boilerplate of each document that has any (rows of equal id and text are one here)
-    marked = staged(lines.join(small(keys), ["k1", "k2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("k1").alias("marks")))
-    df = source.join(small(marked), ["g1", "g2"], "left").withColumn("cut", F.split("text", "\n", -1))
+    marks_in = lambda found, keys: found.join(small(keys), ["k1", "k2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("k1").alias("marks"))
     is_mark = lambda x: (F.octet_length(_bare(x)) >= least_bytes) & F.array_contains("marks", F.xxhash64(_bare(x)))
+    size = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))
+    marked = staged(marks_in(lines, keys))
+    weighed = source.select("g1", "g2", "text", "site").join(small(marked), ["g1", "g2"]).withColumn("cut", F.split("text", "\n", -1))
+    weighed = staged(weighed.withColumn("over", size(F.filter("cut", is_mark)) > most_share * size("cut")).drop("cut"))
+    marked = weighed.where("not over").select("g1", "g2", "marks").dropDuplicates(["g1", "g2"])
+    if proven:
+        sure = boilerplate(weighed.where("not over").select("text", "site"), least_sites, least_bytes)
+        marked = marked.unionByName(marks_in(_lines(weighed.where("over"), least_bytes, "g1", "g2"), sure))
+    df = source.join(small(staged(marked)), ["g1", "g2"], "left").withColumn("cut", F.split("text", "\n", -1))
     df = df.withColumn("rest", F.when(F.col("marks").isNotNull(), F.filter("cut", lambda x: ~is_mark(x))))
-    size = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + F.octet_length(x))
-    changed = F.col("rest").isNotNull() & (size("cut") - size("rest") <= most_share * size("cut"))
+    changed = F.col("rest").isNotNull()
     n = F.coalesce(F.size("cut"), F.lit(0))
     return df.select("row", F.when(changed, F.array_join("rest", "\n")).otherwise(F.col("text")).alias("text"), F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(changed, F.size("cut") - F.size("rest")).otherwise(0).cast("long").alias("n_removed"))
 
 
 def op2_site_spread(spark, sf_dir: str) -> DataFrame:
-    """Query: what is left of every document."""
-    out = stripped(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Query: what is left of every document, by the rule of its SQL."""
+    out = stripped(spark.read.parquet(f"{sf_dir}/documents.parquet"), proven=False)
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 

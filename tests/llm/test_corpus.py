@@ -99,6 +99,15 @@ def test_lines(docs, clash, none):
     assert lines.stripped(none).count() == 0
 
 
+def test_lines_of_short_pages(spark):
+    """Pages of mostly boilerplate lose it; copies of a document keep their text."""
+    menu, copied = "home | about | contact | licence", "\n".join(f"sentence {k} of a copied document" for k in range(6))
+    rows = [(k, f"{text(30)}\n{menu}", "en", f"s{k}") for k in range(5)] + [(10, f"short\n{menu}", "en", "s0"), (11, menu, "en", "s9"), (11, menu, "en", "s9")]
+    rows += [(20 + k, f"{copied}\n{menu}\nvariant {k}", "en", f"s{k}") for k in range(7)]
+    got = {r.doc_id: r.text for r in lines.stripped(spark.createDataFrame(rows, SCHEMA)).select("row.doc_id", "text").collect()}
+    assert got == {i: t.replace("\n" + menu, "").replace(menu, "") for i, t, _, _ in rows}
+
+
 def _encoded(end):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(tokens.default_path())
