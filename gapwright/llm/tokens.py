@@ -4,7 +4,8 @@ The pre-tokenizer never lets a token cross a single space between two characters
 space (the space begins the next token), nor one or two line feeds there, so a text can be cut there.
 New pieces are cut on by the pre-tokenizer's published pattern and go, many at a time, through the
 tokenizers library's BPE model, set apart by two bytes that UTF-8 lacks and no merge has. Texts with
-other white space next to a space are cut only where the rule holds."""
+other white space next to a space are cut only where the rule holds. A text that holds an added token's
+content goes whole through the library's own encode, which alone knows where the token begins and ends."""
 
 from __future__ import annotations
 
@@ -63,6 +64,7 @@ class Encoder:
         lib = Tokenizer.from_file(path)
         self.size = lib.get_vocab_size()
         self.model = Tokenizer(lib.model)  # without the pre-tokenizer
+        self.lib, self.added = lib, [x.content for x in lib.get_added_tokens_decoder().values()]
         self.cut, self.letters = regex.compile(PATTERN).findall, _byte_letters()
         apart, end = (chr(self.letters[b]) for b in (0xFF, 0xFE))
         if any((apart in x or end in x) and len(x) > 1 for x in lib.get_vocab(with_added_tokens=False)):
@@ -93,6 +95,21 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's begin (and the end)."""
+        whole = [k for k, t in enumerate(texts) if any(x in t for x in self.added)]
+        if not whole:
+            return self._cached(texts)
+        parts, sizes, last = [], [], 0
+        for k in [*whole, len(texts)]:
+            ids, at = self._cached(texts[last:k])
+            parts.append(ids)
+            sizes += np.diff(at).tolist()
+            if k < len(texts):
+                parts.append(np.array(self.lib.encode(texts[k], add_special_tokens=False).ids, ids.dtype))
+                sizes.append(len(parts[-1]))
+            last = k + 1
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+    def _cached(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.code) > CACHE_PIECES:
             self._clear()
         pieces: list[str] = []

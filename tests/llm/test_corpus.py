@@ -327,3 +327,18 @@ def test_encoder_equals_library():
     ids, at = own.encode(texts)
     got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
     assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_encoder_keeps_added_tokens(spark):
+    """Texts that hold the vocabulary's added token, by the library's default settings."""
+    from tokenizers import Tokenizer
+
+    lib, own, rng = Tokenizer.from_file(tokens.default_path()), tokens.Encoder(tokens.default_path()), random.Random(5)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "a", " ", "  ", "\n", "the", "é", "\0"]
+    texts = ["a<|endoftext|>b", "", *("".join(rng.choices(parts, k=rng.randrange(9))) for _ in range(500))]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, at = own.encode(texts)
+    assert want[0] == [64, 50256, 65]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    df = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    assert np.frombuffer(bytes(packing.pack(df).first().ids), "<u4").tolist() == want[0] + [2]
