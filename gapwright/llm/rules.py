@@ -3,10 +3,10 @@
 Base rules: too few words, or too many words inside five-word windows that the text repeats. The method: each
 document's histogram of character classes, and of its language's common words and the rest, is compared with
 the language's reference by Jensen-Shannon distance (square root of the base-2 divergence). The references are
-grouped sums over all documents: the `COMMON` most frequent words of at most `LONGEST` bytes (ties by name) and
-the class totals. Documents too short for a histogram (`least_chars`, `least_words`) are not judged by it.
+grouped sums over all documents: the `COMMON` most frequent words (ties by name) and the class totals, a row for
+every language, joined by language. Documents too short for a histogram (`least_chars`, `least_words`) are not judged by it.
 
-Nulls: a null text is empty. Documents of null language, and of any but the `LANGUAGES` most frequent, are held
+Nulls: a null text is empty. Documents of null or empty language, and of a language without a word, are held
 against the pooled reference. Windows are told apart by 64-bit hashes within their document. Repeated rows each get
 the same answer; an empty table gives no rows. Other columns pass through in struct `row`, whatever their names."""
 
@@ -15,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BLANK_RE, BLANKS
+from .shared import BLANK_RE, BLANKS, small, staged
 
-COMMON, LONGEST, LANGUAGES, WINDOW = 10, 8, 60, 5
+COMMON, WINDOW = 10, 5
 #: Largest distances of a document that is kept, and the lengths below which there is no verdict (fixed on the labelled rows at sf0.1).
 MOST_CHARS, MOST_WORDS, LEAST_CHARS, LEAST_WORDS = 0.2, 0.45, 60, 40
 #: Character classes, taken off the text one after another; what is left is the last class.
@@ -44,33 +44,31 @@ def with_classes(df: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """docs (text, lang) -> lang ('' is pooled), common words, their share and that of the rest, class shares. LANGUAGES + 1 rows at most."""
-    words = docs.select("lang", F.explode(words_in(F.lower("text"))).alias("word"))
-    short = F.when(F.octet_length("word") <= LONGEST, F.col("word"))
-    counts = words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n"))
-    total = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect() if r["lang"] is not None}
-    known = F.when(F.col("lang").isin(list(total)), F.col("lang")).otherwise("") if total else F.lit("")
-
-    def tops(df: DataFrame) -> DataFrame:
-        order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-        return df.where("word is not null").withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
-
+    """docs (text, lang) -> ref_lang ('' is pooled), common words, their share and that of the rest, class shares (a staged table)."""
+    named = docs.select("text", F.when(F.col("lang") != "", F.col("lang")).alias("lang"))
+    words = named.select("lang", F.explode(words_in(F.lower("text"))).alias("word"))
+    counts = staged(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("").alias("lang"), "word", "n")
-    best = tops(counts.where(F.col("lang").isin(list(total))) if total else counts.where("false")).unionByName(tops(pooled)).collect()
-    by: dict[str, list] = {}
-    for r in sorted(best, key=lambda r: (r["lang"], r["place"])):
-        by.setdefault(r["lang"], []).append((r["word"], r["n"]))
-    sums = with_classes(docs).groupBy(known.alias("lang")).agg(*(F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(CLASSES) + 1))).collect()
-    classes = {r["lang"]: list(r)[1:] for r in sums}
-    every = [sum(x) for x in zip(*classes.values(), strict=True)] or [0] * (len(CLASSES) + 1)
-    grand = counts.agg(F.sum("n")).first()[0] or 0
-    rows = []
-    for lang in [*total, ""]:
-        mine, n = by.get(lang, []), total.get(lang, 0) if lang else grand
-        own = classes.get(lang, every) if lang else every
-        shares = [c / max(1, n) for _, c in mine]
-        rows.append((lang, [w for w, _ in mine], [*shares, float(1 - sum(shares))], [x / max(1, sum(own)) for x in own]))
-    return docs.sparkSession.createDataFrame(rows, "ref_lang string, common array<string>, word_ref array<double>, char_ref array<double>")
+    each = counts.where("lang is not null").unionByName(pooled)
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    best = each.withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
+    best = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("best"))
+    total = each.groupBy("lang").agg(F.sum("n").alias("total"))
+    n = len(CLASSES) + 1
+    sums = staged(with_classes(named).groupBy("lang").agg(*(F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(n))))
+    every = sums.agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(n))).select(F.lit("").alias("lang"), *(f"c{k}" for k in range(n)))
+    known = sums.where("lang is not null").unionByName(every).join(total, "lang", "left").join(best, "lang", "left")
+    own = F.greatest(F.lit(1), sum(F.col(f"c{k}") for k in range(n)))
+    found = staged(known.select(F.col("lang").alias("ref_lang"), "total", "best", F.array(*(F.col(f"c{k}") / own for k in range(n))).alias("char_ref")))
+    grand = found.where("ref_lang = ''").first()
+    # a language without a word takes the pooled row
+    row = docs.sparkSession.createDataFrame([grand], found.schema).select(F.col("total").alias("t"), F.col("best").alias("b"), F.col("char_ref").alias("r"))
+    found = found.where("total is not null").unionByName(found.where("total is null").select("ref_lang").crossJoin(F.broadcast(row)).select("ref_lang", F.col("t").alias("total"), F.col("b").alias("best"), F.col("r").alias("char_ref")))
+    best = F.coalesce("best", F.array().cast("array<struct<place:int,word:string,n:bigint>>"))
+    shares = F.transform("best", lambda x: x["n"] / F.col("total"))
+    found = found.withColumn("best", best)
+    rest = 1 - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    return staged(found.select("ref_lang", F.transform("best", lambda x: x["word"]).alias("common"), F.concat(shares, F.array(rest)).alias("word_ref"), "char_ref"))
 
 
 def distance(counts: Column, reference: Column) -> Column:
@@ -85,8 +83,7 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     """Each row of docs as struct `row`, with the base measures, both distances, base_failed and kept."""
     source = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     refs = references(source.select("text", "lang"))
-    names = [r[0] for r in refs.select("ref_lang").collect()]
-    df = source.withColumn("ref_lang", F.when(F.col("lang").isin(names), F.col("lang")).otherwise("")).join(F.broadcast(refs), "ref_lang")
+    df = source.withColumn("ref_lang", F.coalesce("lang", F.lit(""))).join(small(refs), "ref_lang")
     df = with_classes(df).withColumn("words", words_in(F.col("text"))).withColumn("n_words", F.size("words").cast("long"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     df = df.withColumn("lines", lines).withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")

@@ -73,6 +73,17 @@ def test_rules(docs, clash, none):
     assert rules.kept_documents(clash).columns == clash.columns
 
 
+def test_rules_have_every_language(spark):
+    """The last of 70 languages, in another script and of long words, is held against its own reference."""
+    rows = [(k, " ".join(f"{w}{k}" for w in ["the", "sun", "of", "stone"] * 15), f"l{k:02}", "a") for k in range(69)]
+    rows.append((69, " ".join(["προσεκτικά", "ανθρώπινος", "δικαιοσύνη", "θαλασσινός"] * 12), "l69", "a"))
+    rows += [(70, None, "zz", "a"), (71, "the sun", "", "a")]
+    got = {r.doc_id: r for r in rules.judged(spark.createDataFrame(rows, SCHEMA)).select("row.doc_id", "char_distance", "word_distance").collect()}
+    assert len(got) == len(rows) and got[69].char_distance == pytest.approx(0, abs=1e-6) and got[69].word_distance == pytest.approx(0, abs=1e-6)
+    refs = {r.ref_lang: r for r in rules.references(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(refs) == 72 and refs["l69"].common[0] == "ανθρώπινος" and refs["zz"].common == refs[""].common
+
+
 def test_distance(spark):
     df = spark.createDataFrame([([3, 1], [0.75, 0.25]), ([4, 0], [0.0, 1.0]), ([0, 0], [0.5, 0.5])], "c array<long>, q array<double>")
     got = [r.d for r in df.select(rules.distance(df["c"], df["q"]).alias("d")).collect()]
