@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -11,22 +12,25 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Word separators of every contract: space and 0x09-0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RE = "[\\x20\\x09-\\x0D]+"
-#: Rows of a key table that may be broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes of a key table that may be broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 #: Text bytes that one vectorised step holds.
 SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, or below a temporary one where that is unset (local tests)."""
+    """A new folder below spark.checkpoint.dir; below a temporary one where that is unset and all tasks run in this process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="gapwright-")
     return f"{base.rstrip('/')}/gapwright-{uuid.uuid4().hex}"
 
@@ -35,12 +39,34 @@ def staged(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-def small(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """keys (a staged table) with a broadcast hint if its counted rows are few; else as it is, for a shuffle join."""
-    return F.broadcast(keys) if keys.count() <= most else keys
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _width(field: T.StructField) -> Column:
+    """About the bytes that a column's value takes in memory."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType | T.StructType | T.MapType):
+        return 2 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+    return F.lit(8)
+
+
+def small(keys: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """keys (a staged table) with a broadcast hint if its measured bytes are few; else as it is, for a shuffle join."""
+    width = sum((_width(f) for f in keys.schema.fields), F.lit(32))
+    size = keys.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(keys) if size <= most else keys
 
 
 def visible(spark: SparkSession) -> None:
@@ -151,20 +177,20 @@ def shingles_of(words: np.ndarray, n: int) -> np.ndarray:
 # --- components --------------------------------------------------------------
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(a, b) links of longs -> (node, root): root is the smallest node that can be reached.
+def components(edges: DataFrame) -> DataFrame:
+    """(a, b) links of longs -> (node, root): root is the smallest node that can be reached (a staged table).
 
     Each round takes the least root among the neighbours and then follows the roots once (pointer
-    jumping), so chains shorten geometrically; the labels are staged between rounds."""
+    jumping), so chains shorten geometrically; the labels are staged between rounds, until none changes."""
     both = staged(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-    for _ in range(rounds):
+    step = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("new"), F.col("node").alias("root")))
+    while not step.where("new <> root").isEmpty():
+        labels = step.select("node", F.col("new").alias("root"))
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
-        step = labels.join(near, "node").select("node", "root", F.least("root", "m").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("far"))
-        step = step.join(jump, "next", "left").select("node", F.least("next", "far").alias("new"), "root")
-        step = staged(step)
-        labels = step.select("node", F.col("new").alias("root"))
-        if step.where("new <> root").isEmpty():
-            return labels
-    raise RuntimeError(f"links don't settle in {rounds} rounds")
+        after = labels.join(near, "node").select("node", "root", F.least("root", "m").alias("next"))
+        after = staged(after.join(jump, "next", "left").select("node", F.least("next", "far").alias("new"), "root"))
+        dropped(step)
+        step = after
+    dropped(both)
+    return step.select("node", F.col("new").alias("root"))

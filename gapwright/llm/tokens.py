@@ -26,6 +26,8 @@ _WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _WHITE_ASCII = [c for c in _WHITE if c.isascii()]
 #: The byte-level pre-tokenizer's published pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: ASCII characters that are neither letters, digits nor white space; the first letter past the Latin blocks.
+_MARKS, _LATIN = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
 #: Bytes 0xFF and 0xFE as the surrogates that encode to them: between pre-tokens, after a piece.
 _APART, _END = "\udcff", "\udcfe"
 
@@ -81,8 +83,9 @@ class Encoder:
         for k in range(0, len(keys), GROUP):
             spelt = []
             for key in keys[k : k + GROUP]:
-                if key.isascii() and key.isalpha():
-                    spelt.append(" " + key)
+                core = key.rstrip(_MARKS)
+                if core.isalpha() and max(core) < _LATIN:  # letters, then marks that start nothing of their own
+                    spelt.append(" " + core if len(core) == len(key) else f" {core}{_APART}{key[len(core):]}")
                 else:
                     spelt.append(_APART.join(self.cut(key.replace("\0", "", 1) if key[:1] == "\0" or key[:2] == "\n\0" else " " + key)))
             raw = np.frombuffer((_END.join(spelt) + _END).encode("utf-8", "surrogateescape"), np.uint8)

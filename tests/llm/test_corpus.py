@@ -165,7 +165,9 @@ def test_store(spark, docs, none):
         assert r.start == at and r.root == r.read_root
         at += r.n_tokens
     packs = spark.read.parquet(f"{root}/packs").collect()
-    stored = [n for p in packs for n, own in zip(p.hashes, p.own, strict=True) if own]
+    stored = [n for p in packs for n, at in zip(p.hashes, p.at, strict=True) if at is not None]
+    keys = {r.row: (r.doc_id is not None, r.doc_id or 0) for r in got}
+    assert [keys[p.row] for p in sorted(packs, key=lambda p: (p.part, p.row))] == sorted(keys.values())
     assert len(stored) == len(set(map(bytes, stored)))
     other = shared_dir(spark)
     store.write_store(none, other)
