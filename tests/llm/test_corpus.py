@@ -7,9 +7,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gapwright.llm import decontaminate, langid, lines, minhash, packing, quality, rules, store, suffixes, tokens, warc
-from gapwright.llm.shared import components, shared_dir
+from gapwright.llm.shared import components, shared_dir, staged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -269,25 +270,43 @@ def test_suffix_ranks(spark):
         assert got == want
 
 
-def test_suffix_dedup(docs, none):
+def _removed(rows):
     seen, want = {}, []
-    known = sorted((r for r in ROWS if r[0] is not None), key=lambda r: r[0])
-    for i, t, _, _ in known:
+    for i, t, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         b = (t or "").encode()
         for k in range(len(b) - 49):
             seen.setdefault(b[k : k + 50], i)
-    for i, t, _, _ in ROWS:
+    for i, t, *_ in rows:
         b = (t or "").encode()
         gone = np.zeros(len(b), bool)
         for k in range(len(b) - 49):
             if i is not None and seen[b[k : k + 50]] < i:
                 gone[k : k + 50] = True
         want.append((i, len(b), int(gone.sum()), hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
-    got = [(r.doc_id, r.n_bytes, r.n_removed, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffixes.deduplicated(docs).collect()]
-    same(got, want)
+    return want
+
+
+def _suffix_rows(df, **options):
+    return [(r.doc_id, r.n_bytes, r.n_removed, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffixes.deduplicated(df, **options).collect()]
+
+
+def test_suffix_dedup(clash, none):
+    same(_suffix_rows(clash), _removed(ROWS))
     assert suffixes.deduplicated(none).count() == 0
 
 
+def test_suffix_order_decides(spark):
+    """All levels of the recursion run; texts of one id keep their own bytes; any other order than the suffixes' loses repeats."""
+    shared = [text(14) for _ in range(4)]
+    rows = [(k // 2, f"{text(6)} {shared[k % 4][: 60 + 3 * k]} {text(5)} {shared[(k + 1) % 4]}") for k in range(14)] + [(3, shared[2]), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = _removed(rows)
+    assert sum(n for _, _, n, _ in want) > 500
+    same(_suffix_rows(df, base=200), want)
+    by_place = lambda line, base: staged(line.select("pos", F.col("pos").alias("rank")))
+    assert sum(n for _, _, n, _ in _suffix_rows(df, ranked=by_place)) < sum(n for _, _, n, _ in want)
+
+
 def test_warc(spark, tmp_path):
     page = '<!DOCTYPE html><html><head><title>A &amp; B</title><style>p{}</style><script>var t="</p>";</script></head><body><!-- no --><p>One<br>two &lt;b&gt; <a href="/x?a=1&amp;b=2">link</a></p></body></html>'
     pages = spark.createDataFrame([(1, "http://h/x", page), (2, None, None), (None, "u", "plain")], "page_id long, url string, html string")
