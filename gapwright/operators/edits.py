@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,15 +15,31 @@ EDIT = ["seq_id", "del_start", "del_end", "src_kind", "src_id", "src_start", "sr
 
 
 def resolve(edits: DataFrame) -> DataFrame:
-    """Edits of a sequence that don't overlap: of those that do, the lowest priority value stays, then the rightmost.
+    """Edits of a sequence that don't overlap, taken greedily: the lowest priority value first, then the rightmost, each
+    unless one taken before overlaps it. (Edits that only touch don't overlap.)
 
-    Kept is each edit that no better edit overlaps (better: in that order); chains of overlaps thus keep their best only."""
+    An edit that overlaps no other stays at once; only chains of three or more need the greedy walk, a chain's coordinates in one task."""
     e = edits.where("del_end >= del_start").withColumn("id", F.xxhash64(*EDIT)).dropDuplicates(EDIT)
     w = Window.partitionBy("seq_id").orderBy("del_start", "del_end", "id")
     before = F.max("del_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     e = e.withColumn("_o", F.when(before.isNull() | (F.col("del_start") >= before), 1).otherwise(0)).withColumn("chain", F.sum("_o").over(w))
-    best = F.row_number().over(Window.partitionBy("seq_id", "chain").orderBy("priority", F.desc("del_start"), F.desc("del_end"), "id"))
-    return e.withColumn("_r", best).where("_r = 1").select(*EDIT)
+    better = Window.partitionBy("seq_id", "chain").orderBy("priority", F.desc("del_start"), F.desc("del_end"), "id")
+    e = e.withColumn("_r", F.row_number().over(better)).withColumn("_n", F.count("*").over(Window.partitionBy("seq_id", "chain")))
+    kept = edits.select(*EDIT).schema
+
+    def greedy(part: pd.DataFrame) -> pd.DataFrame:
+        starts, ends, taken = [], [], []
+        for at, (a, b) in enumerate(zip(part["del_start"], part["del_end"], strict=True)):
+            k = bisect_left(starts, a)
+            clear = (k == len(starts) or b <= starts[k]) and (k == 0 or ends[k - 1] <= a)
+            if clear:
+                starts.insert(k, a)
+                ends.insert(k, b)
+                taken.append(at)
+        return part.iloc[taken][EDIT]
+
+    long = e.where("_n > 2").groupBy("seq_id", "chain").applyInPandas(lambda p: greedy(p.sort_values("_r")), kept)
+    return e.where("_n <= 2 and _r = 1").select(*EDIT).unionByName(long)
 
 
 def apply_edits(edits: DataFrame, seqs: DataFrame) -> DataFrame:

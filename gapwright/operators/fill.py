@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.seq import clean_chrom_name
+
 
 def gap_flanks(gaps: DataFrame, seqs: DataFrame, flank: int = 5_000, least: int = 100) -> DataFrame:
     """Left and right flank intervals of gaps of `least`; both dropped if either holds part of at least `least` Ns of another gap."""
@@ -72,15 +74,38 @@ def final_labels(seqs: DataFrame, filled: DataFrame, gapped: DataFrame) -> DataF
     return seqs.join(f, "seq_id", "left").join(g, "seq_id", "left").select("seq_id", F.concat(prefix, "seq_id").alias("label"))
 
 
+def _substrings(name, sizes: list[int]):
+    """All distinct substrings of a short name that have one of the sizes."""
+    none = F.array().cast("array<string>")
+
+    def cuts(n: int):
+        return F.when(F.length(name) >= n, F.transform(F.sequence(F.lit(1), F.length(name) - n + 1), lambda i: F.substring(name, i, F.lit(n)))).otherwise(none)
+
+    return F.array_distinct(F.concat(*map(cuts, sizes))) if sizes else none
+
+
+def _sizes(names: DataFrame, column: str) -> list[int]:
+    """The distinct lengths of names (few: names are short)."""
+    return sorted(r["n"] for r in names.select(F.length(column).alias("n")).distinct().collect() if r["n"])
+
+
 def select_sequences(seqs: DataFrame, names: DataFrame) -> DataFrame:
-    """name -> seq_id: the exact id, else the first (by seq_ord) that contains it in any case. names is a short list."""
+    """name -> seq_id: the exact id, else the first (by seq_ord) that contains it in any case.
+
+    Containment is an equi-join with the ids' substrings of the names' lengths."""
     exact = names.join(seqs.select(F.col("seq_id").alias("name"), "seq_id", "seq_ord"), "name", "left").withColumn("rank", F.lit(1))
-    open_ = exact.where("seq_id is null").select("name")
-    loose = F.broadcast(open_).join(seqs, F.contains(F.lower("seq_id"), F.lower("name"))).select("name", "seq_id", "seq_ord", F.lit(2).alias("rank"))
+    open_ = exact.where("seq_id is null").select("name", F.lower("name").alias("part"))
+    parts = seqs.select("seq_id", "seq_ord", F.explode(_substrings(F.lower("seq_id"), _sizes(open_, "part"))).alias("part"))
+    loose = open_.join(parts, "part").select("name", "seq_id", "seq_ord", F.lit(2).alias("rank"))
     w = Window.partitionBy("name").orderBy("rank", "seq_ord")
     return exact.where("seq_id is not null").unionByName(loose).withColumn("_r", F.row_number().over(w)).where("_r = 1").select("name", "seq_id", "rank")
 
 
+def rename_sequences(seqs: DataFrame) -> DataFrame:
+    """seq_id, name, description: the cleaned first token as the name, the description emptied."""
+    return seqs.select("seq_id", clean_chrom_name(F.col("seq_id")).alias("name"), F.lit("").alias("description"))
+
+
 def select_patched(seqs: DataFrame, names: DataFrame) -> DataFrame:
     """name -> seq_id: the exact id, then name_..., then name among the id's tokens; renamed to the name."""
     tokens = seqs.select("seq_id", "seq_ord", F.explode(F.array_distinct(F.concat(F.array("seq_id"), F.split("seq_id", "_")))).alias("name"))
@@ -96,11 +121,18 @@ def syntenic_contigs(alignments: DataFrame, least: int = 10_000, identity: float
 
 
 def match_names(names: DataFrame, targets: DataFrame) -> DataFrame:
-    """Fuzzy chromosome names: equal without chr, then one within the other, then the first number. Both lists are short name lists."""
+    """Fuzzy chromosome names: equal without chr, then one within the other, then the first number; the first by seq_ord.
+
+    Each rule is an equi-join: on the bare names, on substrings of the other side's lengths, on the numbers."""
     bare = lambda c: F.regexp_replace(F.lower(c), "^chr", "")
-    a, b = bare(F.col("name")), bare(F.col("target"))
-    number = lambda c: F.regexp_extract(c, r"(\d+)", 1)
-    rank = F.when(a == b, 1).when(F.contains(a, b) | F.contains(b, a), 2).when((number(a) == number(b)) & (number(a) != ""), 3)
+    n = names.select("name", "seq_ord", bare("name").alias("a"))
+    t = targets.select("target", bare("target").alias("b"))
+    inner = t.join(n.select("name", "seq_ord", "a", F.explode(_substrings(F.col("a"), _sizes(t, "b"))).alias("b")), "b")
+    outer = n.join(t.select("target", F.explode(_substrings(F.col("b"), _sizes(n, "a"))).alias("a")), "a")
+    within = inner.select("target", "name", "seq_ord").unionByName(outer.select("target", "name", "seq_ord")).withColumn("rank", F.lit(2))
+    equal = n.join(t, n["a"] == t["b"]).select("target", "name", "seq_ord", F.lit(1).alias("rank"))
+    number = lambda c: F.nullif(F.regexp_extract(c, r"(\d+)", 1), F.lit(""))
+    numbered = n.withColumn("number", number("a")).join(t.withColumn("number", number("b")), "number").select("target", "name", "seq_ord", F.lit(3).alias("rank"))
     w = Window.partitionBy("target").orderBy("rank", "seq_ord")
-    both = targets.join(F.broadcast(names), rank.isNotNull()).withColumn("rank", rank)
-    return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("target", "name", "rank")
+    every = equal.unionByName(within).unionByName(numbered)
+    return every.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("target", "name", "rank")

@@ -13,11 +13,22 @@ GRID = 4_000
 
 
 def chunk_sequences(seqs: DataFrame, grid: int = GRID) -> DataFrame:
-    """seq_id, chunk_ix, start, bases: pieces of `grid` bases; none for an empty sequence."""
-    n = F.ceil(F.length("bases") / grid).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1))
-    cut = seqs.select("seq_id", "bases", F.explode(starts).alias("chunk_ix"))
-    return cut.select("seq_id", "chunk_ix", (F.col("chunk_ix") * grid).cast("bigint").alias("start"), F.expr(f"substring(bases, chunk_ix * {grid} + 1, {grid})").alias("bases"))
+    """seq_id, chunk_ix, start, bases: pieces of `grid` bases, cut in one pass; none for an empty sequence."""
+    cut = seqs.select("seq_id", F.posexplode(F.regexp_extract_all("bases", F.lit("(?s).{1,%d}" % grid), 0)).alias("chunk_ix", "bases"))
+    return cut.select("seq_id", "chunk_ix", (F.col("chunk_ix").cast("bigint") * grid).alias("start"), "bases")
+
+
+def with_next(chunks: DataFrame, more: int) -> DataFrame:
+    """Adds `own`, the chunk's length, and appends the next chunk's first `more` bases; only those bases are moved."""
+    head = chunks.select("seq_id", (F.col("chunk_ix") - 1).alias("chunk_ix"), F.substring("bases", 1, more).alias("_more"))
+    both = chunks.withColumn("own", F.length("bases")).join(head, ["seq_id", "chunk_ix"], "left")
+    return both.withColumn("bases", F.concat("bases", F.coalesce("_more", F.lit("")))).drop("_more")
+
+
+def partition_by_gap(seqs: DataFrame, gaps: DataFrame) -> DataFrame:
+    """seqs with has_gap."""
+    found = gaps.select("seq_id").distinct().withColumn("_gap", F.lit(True))
+    return seqs.join(found, "seq_id", "left").withColumn("has_gap", F.col("_gap").isNotNull()).drop("_gap")
 
 
 def islands(df: DataFrame, by: list[str], reach: int = 0) -> DataFrame:

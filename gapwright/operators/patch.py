@@ -76,6 +76,16 @@ def first_patch(patches: DataFrame, gaps: DataFrame) -> DataFrame:
     return gaps.join(p, gaps["gap_pos"] == p["at"]).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "at")
 
 
+def valid_patch(bases, seq_id, least: int = 10, least_file: int = 100):
+    """Whether a patch has enough bases, and its file (header and bases) enough bytes."""
+    return (F.length(bases) >= least) & (F.length(bases) + F.length(seq_id) + 2 >= least_file)
+
+
+def reheader(header, gap_pos):
+    """A patch label with another gap position."""
+    return F.regexp_replace(header, F.lit(r"gap\d+"), F.concat(F.lit("gap"), gap_pos.cast("string")))
+
+
 def patch_flanks(size, flank: int = 10_000):
     """Flank length of a patch: the wish, else a quarter of the patch, else up to 100 or half of it; null under 20 bases."""
     n = F.when(2 * flank <= size, F.lit(flank)).when(F.floor(size / 4) >= 20, F.floor(size / 4)).otherwise(F.least(F.lit(100), F.floor(size / 2)))

@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .gaps import islands
 from .patch import nearest_anchors, with_bounds
 
+BLOCK = ["ref_contig", "block", "start", "end", "direction", "n"]
+#: Bases of a bin in which positions and blocks meet.
+BIN = 1_000_000
+
 
 def synteny_blocks(alignments: DataFrame, back: int = 10_000, ahead: int = 100_000) -> DataFrame:
     """ref_contig, block, start, end, direction, n: by r_min, a block goes on while the direction stays and the next begins
-    more than -back and less than ahead past the block's end so far. The end resets with each block, so this is a fold
-    over a contig's ordered alignments (coordinates only)."""
-    rows = with_bounds(alignments).groupBy("ref_contig").agg(F.sort_array(F.collect_list(F.struct("r_min", "aln_id", "r_max", "direction"))).alias("a"))
-    fold = f"""aggregate(a, cast(array() as array<struct<s: bigint, e: bigint, d: int, n: int>>), (acc, x) ->
-      case when size(acc) > 0 and element_at(acc, -1).d = x.direction and x.r_min - element_at(acc, -1).e > -{back} and x.r_min - element_at(acc, -1).e < {ahead}
-           then concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).s as s, greatest(element_at(acc, -1).e, x.r_max) as e, x.direction as d, element_at(acc, -1).n + 1 as n)))
-           else concat(acc, array(struct(cast(x.r_min as bigint) as s, cast(x.r_max as bigint) as e, x.direction as d, 1 as n))) end)"""
-    return rows.select("ref_contig", F.posexplode(F.expr(fold)).alias("block", "b")).select("ref_contig", "block", F.col("b.s").alias("start"), F.col("b.e").alias("end"), F.col("b.d").alias("direction"), F.col("b.n").alias("n"))
+    more than -back and less than ahead past the block's end so far. The end resets with each block, so a contig's sorted
+    alignments stream through a task that holds only the open block."""
+    rows = with_bounds(alignments).select("ref_contig", "r_min", "aln_id", "r_max", "direction")
+    dealt = rows.repartition("ref_contig").sortWithinPartitions("ref_contig", "r_min", "aln_id")
+
+    def walk(batches):
+        contig, number, block = None, 0, None
+        for part in batches:
+            done = []
+            for name, lo, hi, way in zip(part["ref_contig"], part["r_min"], part["r_max"], part["direction"], strict=True):
+                if name == contig and way == block[2] and -back < lo - block[1] < ahead:
+                    block[1], block[3] = max(block[1], hi), block[3] + 1
+                    continue
+                if block:
+                    done.append((contig, number, *block))
+                number = number + 1 if name == contig else 0
+                contig, block = name, [lo, hi, way, 1]
+            yield pd.DataFrame(done, columns=BLOCK)
+        if block:
+            yield pd.DataFrame([(contig, number, *block)], columns=BLOCK)
+
+    return dealt.mapInPandas(walk, "ref_contig string, block int, start bigint, end bigint, direction int, n int")
 
 
 def block_summary(blocks: DataFrame) -> DataFrame:
@@ -140,24 +159,24 @@ def project_gap(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
 
 
 def synteny_assessment(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
-    """gap_key, ref_contig, assessment for every gap and every reference contig that has blocks.
-
-    The contigs are a short list (one row each), so gaps are repeated for them."""
-    blocks = synteny_blocks(alignments)
-    contigs = blocks.select("ref_contig").distinct()
-    asked = gaps.join(F.broadcast(contigs))
-    seen = with_bounds(alignments).select("query_contig", "ref_contig").distinct().withColumn("seen", F.lit(True))
-    base = asked.join(seen, ["query_contig", "ref_contig"], "left").join(project_gap(alignments, gaps), ["gap_key", "ref_contig"], "left")
-    cover = base.where("ref_pos is not null").select("gap_key", "ref_contig", "ref_pos").join(blocks, "ref_contig").where(F.col("ref_pos").between(F.col("start"), F.col("end"))).select("gap_key", "ref_contig").distinct().withColumn("covered", F.lit(True))
+    """gap_key, ref_contig, assessment, anchor_distance for every gap and each reference contig that its query contig is aligned with.
+
+    Pairs without a row are no_alignment_for_query. Positions meet blocks in bins, and an anchor pair the one block of each anchor's start."""
+    blocks = synteny_blocks(alignments).withColumn("bin", F.explode(F.expr(f"sequence(start div {BIN}, end div {BIN})")))
+    seen = alignments.select("query_contig", "ref_contig").distinct()
+    base = gaps.join(seen, "query_contig").join(project_gap(alignments, gaps), ["gap_key", "ref_contig"], "left")
+    spot = base.where("ref_pos is not null").select("gap_key", "ref_contig", "ref_pos", F.floor(F.col("ref_pos") / BIN).alias("bin"))
+    cover = spot.join(blocks, ["ref_contig", "bin"]).where(F.col("ref_pos").between(F.col("start"), F.col("end"))).select("gap_key", "ref_contig").distinct().withColumn("covered", F.lit(True))
     sides = nearest_anchors(alignments, gaps, least=1, strict_left=True)
-    rows = with_bounds(alignments).select("ref_contig", "aln_id", "r_min")
-    inb = lambda s: F.col(f"{s}.r_min")
-    same = sides.where("left is not null and right is not null").join(blocks, "ref_contig").where((inb("left") >= F.col("start")) & (inb("left") <= F.col("end")) & (inb("right") >= F.col("start")) & (inb("right") <= F.col("end")) & (F.col("left.direction") == F.col("direction")) & (F.col("right.direction") == F.col("direction"))).select("gap_key", "ref_contig").distinct().withColumn("same", F.lit(True))
+    l0, r0 = F.col("left.r_min"), F.col("right.r_min")
+    pair = sides.where("left is not null and right is not null").withColumn("bin", F.expr(f"left.r_min div {BIN}")).join(blocks, ["ref_contig", "bin"])
+    inside = l0.between(F.col("start"), F.col("end")) & r0.between(F.col("start"), F.col("end")) & (F.col("left.direction") == F.col("direction")) & (F.col("right.direction") == F.col("direction"))
+    same = pair.where(inside).select("gap_key", "ref_contig").distinct().withColumn("same", F.lit(True))
     out = base.join(cover, ["gap_key", "ref_contig"], "left").join(sides, ["gap_key", "ref_contig"], "left").join(same, ["gap_key", "ref_contig"], "left")
-    far = F.least(F.col("gap_pos") - F.col("left.q_max"), F.col("right.q_min") - F.col("gap_pos")) > 500_000
+    gap = F.least(F.col("gap_pos") - F.col("left.q_max"), F.col("right.q_min") - F.col("gap_pos"))
     both = F.col("left").isNotNull() & F.col("right").isNotNull()
-    said = F.when(F.col("seen").isNull(), "no_alignment_for_query").when(F.col("covered"), "gap_in_synteny_block").when(F.col("ref_pos").isNotNull(), "gap_outside_synteny_blocks").when(~both, "insufficient_anchors").when(F.col("same") & far, "large_distance_with_synteny").when(F.col("same"), "synteny_present").otherwise("no_synteny_between_anchors")
-    return out.select("gap_key", "ref_contig", said.alias("assessment"))
+    said = F.when(F.col("covered"), "gap_in_synteny_block").when(F.col("ref_pos").isNotNull(), "gap_outside_synteny_blocks").when(~both, "insufficient_anchors").when(F.col("same") & (gap > 500_000), "large_distance_with_synteny").when(F.col("same"), "synteny_present").otherwise("no_synteny_between_anchors")
+    return out.select("gap_key", "ref_contig", said.alias("assessment"), F.when(both, gap).alias("anchor_distance"))
 
 
 def chrom_strategy(results: DataFrame) -> DataFrame:

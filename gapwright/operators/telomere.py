@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .gaps import islands
+from .gaps import islands, with_next
 
 #: Telomere repeat units (fixed values).
 UNITS = ["TTTAGGG", "CCCTAAA", "TTAGGG", "CCCTAA"]
 END_UNITS = ["TTTAGGG", "CCCTAAA"]
+#: Bases of a bin in which regions and arrays meet.
+BIN = 1_000_000
 
 
 def end_repeat_counts(seqs: DataFrame, window: int = 2_000) -> DataFrame:
@@ -33,8 +35,7 @@ def telomere_arrays(chunks: DataFrame, least: int = 20, least_bp: int = 500, uni
     length are what a tandem match finds."""
     units = units or UNITS
     more = max(map(len, units)) - 1
-    w = Window.partitionBy("seq_id").orderBy("chunk_ix")
-    long = chunks.select("seq_id", "start", F.length("bases").alias("own"), F.concat("bases", F.coalesce(F.substring(F.lead("bases").over(w), 1, more), F.lit(""))).alias("bases"))
+    long = with_next(chunks, more)
     found = None
     for u in units:
         # where units begin: the lengths of what lies between them, added up
@@ -107,7 +108,9 @@ def truncated(regions: DataFrame, most: int = 5_000_000, most_alignment: int = 1
 
 def in_region(arrays: DataFrame, regions: DataFrame) -> DataFrame:
     """Regions (region_id, seq_id, start, end) with the arrays wholly inside: count, first start and last end."""
-    hit = regions.join(arrays.select("seq_id", F.col("start").alias("a0"), F.col("end").alias("a1")), "seq_id").where((F.col("a0") >= F.col("start")) & (F.col("a1") <= F.col("end")))
+    # both sides meet in bins of the array's start
+    a = arrays.select("seq_id", F.col("start").alias("a0"), F.col("end").alias("a1"), F.expr(f"start div {BIN}").alias("bin"))
+    hit = regions.withColumn("bin", F.explode(F.expr(f"sequence(start div {BIN}, end div {BIN})"))).join(a, ["seq_id", "bin"]).where((F.col("a0") >= F.col("start")) & (F.col("a1") <= F.col("end")))
     return hit.groupBy("region_id").agg(F.count("*").alias("n_arrays"), F.min("a0").alias("tel_start"), F.max("a1").alias("tel_end"))
 
 

@@ -27,10 +27,10 @@ FROM (SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 +
                + cast(floor(l_extendedprice) AS bigint) % 200000 AS r0,
              10000 + cast(floor(l_quantity) AS bigint) * 400 AS len,
              CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS rev
-      FROM lineitem WHERE l_orderkey % 10 = 0 AND l_linenumber <= 2) t""",
+      FROM lineitem) t""",
     "gap_positions": """SELECT o_orderkey AS gap_key, 'chr' || cast(o_orderkey % 20 AS string) AS query_contig,
        (o_orderkey * 15485863) % 5000000 AS gap_pos
-FROM orders WHERE o_orderkey % 37 = 0""",
+FROM orders""",
     "flank_paf": """SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100
          + cast(floor(l_quantity) AS bigint) AS hit_id,
        'chr' || cast(l_orderkey % 20 AS string) || '.' || cast(floor(l_orderkey / 20) AS bigint) || '.' ||
@@ -44,7 +44,7 @@ FROM orders WHERE o_orderkey % 37 = 0""",
        cast(floor((800 + floor(l_quantity) * 80) * (100 - round(l_discount * 700)) / 100) AS bigint) AS matches,
        800 + cast(floor(l_quantity) AS bigint) * 80 AS alnlen,
        l_suppkey * 7 % 61 AS mapq
-FROM lineitem WHERE l_orderkey % 5 = 0""",
+FROM lineitem""",
 }
 _FROM = {"seqs": ("documents",), "telo_seqs": ("seqs",), "alignments": ("lineitem",), "gap_positions": ("orders",), "flank_paf": ("lineitem",)}
 

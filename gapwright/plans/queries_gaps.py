@@ -9,6 +9,7 @@ from ..operators import edits as E
 from ..operators import fill as L
 from ..operators import gaps as D
 from ..operators import kmer as K
+from ..operators import patch as P
 from ..sources import formats, sinks
 from .fixtures import fixture
 from .registry import query
@@ -25,6 +26,11 @@ def gaps_sql(body: str, n: int = 3) -> str:
     return GAPS.replace("{n}", str(n)) + body
 
 
+def chunked(text: str, what: str = "substr(t, i * 4000 + 1, 4000) AS bases") -> str:
+    """SQL of the 4,000-base chunks of a sequence expression."""
+    return f"SELECT seq_id, cast(i AS int) AS chunk_ix, {what} FROM (SELECT seq_id, t, unnest(range(0, (length(t) + 3999) // 4000)) AS i FROM (SELECT seq_id, {text} AS t FROM seqs) q) p"
+
+
 def _seqs(s, d):
     return fixture(s, d, "seqs")
 
@@ -128,9 +134,10 @@ def c2(s, d):
     return E.slice_bases(regions, D.chunk_sequences(q))
 
 
-@query("C3_clean_chrom_name", "SELECT seq_id, seq_id AS name FROM seqs", "seqs")
+@query("C3_clean_chrom_name", "SELECT CASE seq_ord % 3 WHEN 0 THEN seq_id || '.fasta len=9' WHEN 1 THEN ' ' || seq_id || '.fa' ELSE seq_id || '.x' END AS raw, CASE WHEN seq_ord % 3 < 2 THEN seq_id ELSE seq_id || '.x' END AS name FROM seqs", "seqs")
 def c3(s, d):
-    return _seqs(s, d).select("seq_id", S.clean_chrom_name(F.concat("seq_id", F.lit(".fasta len=9"))).alias("name"))
+    raw = F.when(F.col("seq_ord") % 3 == 0, F.concat("seq_id", F.lit(".fasta len=9"))).when(F.col("seq_ord") % 3 == 1, F.concat(F.lit(" "), "seq_id", F.lit(".fa"))).otherwise(F.concat("seq_id", F.lit(".x")))
+    return _seqs(s, d).select(raw.alias("raw"), S.clean_chrom_name(raw).alias("name"))
 
 
 @query("C4_match_chrom_name", """SELECT target, name, rank FROM (SELECT t.target, n.name, n.rank, row_number() OVER (PARTITION BY t.target ORDER BY n.rank, n.ord) AS r FROM
@@ -247,8 +254,7 @@ def d11(s, d):
 
 @query("D12_partition_by_gap", gaps_sql("SELECT l.seq_id, l.seq_length, count(g.start) > 0 AS has_gap FROM lens l LEFT JOIN gaps g USING (seq_id) GROUP BY l.seq_id, l.seq_length", 10), "seqs")
 def d12(s, d):
-    g, n = _gaps(s, d, 10), _lens(s, d)
-    return n.join(g, "seq_id", "left_semi").withColumn("has_gap", F.lit(True)).unionByName(n.join(g, "seq_id", "left_anti").withColumn("has_gap", F.lit(False))).select("seq_id", "seq_length", "has_gap")
+    return D.partition_by_gap(_lens(s, d), _gaps(s, d, 10)).select("seq_id", "seq_length", "has_gap")
 
 
 @query("D13_genome_stats", gaps_sql("""SELECT count(*) AS n, cast(sum(seq_length) AS bigint) AS total, max(seq_length) AS longest, min(seq_length) AS shortest, round(avg(seq_length), 6) AS mean,
@@ -287,13 +293,13 @@ def d18(s, d):
     return D.split_at_gaps(_gaps(s, d), _lens(s, d), 10)
 
 
-@query("D19_normalize_gaps", "SELECT seq_id, regexp_replace(bases, 'N+', repeat('N', 100), 'g') AS bases FROM seqs WHERE length(bases) BETWEEN 1 AND 3000", "seqs")
+@query("D19_normalize_gaps", chunked("regexp_replace(bases, 'N+', repeat('N', 100), 'g')"), "seqs")
 def d19(s, d):
-    q = _seqs(s, d).where(F.length("bases").between(1, 3000))
+    q = _seqs(s, d)
     chunks = D.chunk_sequences(q)
     segs = E.apply_edits(D.normalize_edits(D.find_gaps(chunks, 1)), D.lengths(q))
     out = E.materialize(segs, chunks.withColumn("kind", F.lit("seq")))
-    return out.groupBy("seq_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_ix", "bases"))), lambda x: x["bases"]), "").alias("bases"))
+    return out.select("seq_id", "chunk_ix", "bases")
 
 
 @query("D20_total_length", "SELECT count(*) AS n, cast(sum(length(bases)) AS bigint) AS total FROM seqs", "seqs")
@@ -303,7 +309,7 @@ def d20(s, d):
 
 @query("D21_valid_patch", "SELECT seq_id, length(bases) >= 10 AND length(bases) + length(seq_id) + 2 >= 100 AS valid FROM seqs", "seqs")
 def d21(s, d):
-    return _seqs(s, d).select("seq_id", ((F.length("bases") >= 10) & (F.length("bases") + F.length("seq_id") + 2 >= 100)).alias("valid"))
+    return _seqs(s, d).select("seq_id", P.valid_patch(F.col("bases"), F.col("seq_id")).alias("valid"))
 
 
 # --- E: flanks, edits, rebuilding --------------------------------------------
@@ -334,12 +340,11 @@ def e10(s, d):
     return E.apply_edits(E.resolve(_toy_edits(s, d)), _lens(s, d)).select("seq_id", "n", "kind", "src_start", "src_end", "out_start")
 
 
-@query("E11_materialize", "SELECT seq_id, md5(regexp_replace(bases, 'N{10,}', repeat('N', 7), 'g')) AS digest, length(regexp_replace(bases, 'N{10,}', repeat('N', 7), 'g')) AS n FROM seqs WHERE length(bases) > 0", "seqs")
+@query("E11_materialize", chunked("regexp_replace(bases, 'N{10,}', repeat('N', 7), 'g')", "md5(substr(t, i * 4000 + 1, 4000)) AS digest"), "seqs")
 def e11(s, d):
     q = _seqs(s, d)
     out = E.materialize(E.apply_edits(_toy_edits(s, d), D.lengths(q)), D.chunk_sequences(q).withColumn("kind", F.lit("seq")))
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_ix", "bases"))), lambda x: x["bases"]), "")
-    return out.groupBy("seq_id").agg(text.alias("t")).select("seq_id", F.md5("t").alias("digest"), F.length("t").cast("bigint").alias("n"))
+    return out.select("seq_id", "chunk_ix", F.md5("bases").alias("digest"))
 
 
 @query("E12_agp_rows", gaps_sql(SEGS + """SELECT seq_id AS object, out_start + 1 AS beg, out_start + s1 - s0 AS "end", cast(n AS int) AS part, CASE WHEN kind = 'N' THEN 'N' ELSE 'W' END AS type, CASE WHEN kind = 'N' THEN cast(s1 - s0 AS varchar) ELSE seq_id END AS component FROM placed""", 10), "seqs")
@@ -347,11 +352,11 @@ def e12(s, d):
     return E.agp_rows(E.apply_edits(_toy_edits(s, d), _lens(s, d))).select("object", "beg", "end", "part", "type", "component")
 
 
-@query("E13_lift_positions", gaps_sql("""SELECT cast(row_number() OVER (ORDER BY seq_id, start) AS bigint) AS key, seq_id, "end" AS pos, "end" + cast(sum(7 - length) OVER (PARTITION BY seq_id ORDER BY start) AS bigint) AS lifted FROM gaps""", 10), "seqs")
+@query("E13_lift_positions", gaps_sql("""SELECT cast(row_number() OVER (PARTITION BY seq_id ORDER BY start) AS bigint) AS key, seq_id, "end" AS pos, "end" + cast(sum(7 - length) OVER (PARTITION BY seq_id ORDER BY start) AS bigint) AS lifted FROM gaps""", 10), "seqs")
 def e13(s, d):
     g = _gaps(s, d, 10)
     from pyspark.sql import Window
-    at = g.select(F.row_number().over(Window.orderBy("seq_id", "start")).alias("key"), "seq_id", F.col("end").alias("pos"))
+    at = g.select(F.row_number().over(Window.partitionBy("seq_id").orderBy("start")).alias("key"), "seq_id", F.col("end").alias("pos"))
     return E.lift_by_edits(at, _toy_edits(s, d))
 
 
@@ -380,10 +385,10 @@ def e17(s, d):
     return L.final_labels(n, n.where("seq_ord % 2 = 0"), _gaps(s, d, 10))
 
 
-@query("E18_select_sequences", "SELECT seq_id AS name, seq_id, 1 AS rank FROM seqs WHERE seq_ord < 20 UNION ALL SELECT 'CHR99', (SELECT seq_id FROM seqs WHERE seq_id LIKE 'chr99%' ORDER BY seq_ord LIMIT 1), 2", "seqs")
+@query("E18_select_sequences", "SELECT seq_id AS name, seq_id, 1 AS rank FROM seqs UNION ALL SELECT 'HR' || a.seq_ord, arg_min(b.seq_id, b.seq_ord), 2 FROM seqs a JOIN seqs b ON contains(b.seq_id, 'hr' || a.seq_ord) GROUP BY a.seq_ord", "seqs")
 def e18(s, d):
     q = _seqs(s, d).select("seq_id", "seq_ord")
-    names = q.where("seq_ord < 20").select(F.col("seq_id").alias("name")).unionByName(s.createDataFrame([("CHR99",)], "name string"))
+    names = q.select(F.col("seq_id").alias("name")).unionByName(q.select(F.concat(F.lit("HR"), F.col("seq_ord").cast("string")).alias("name")))
     return L.select_sequences(q, names)
 
 
@@ -393,9 +398,9 @@ def e18b(s, d):
     return L.select_patched(q, _seqs(s, d).select(F.col("seq_id").alias("name")))
 
 
-@query("E18c_rename_sequences", "SELECT seq_id, seq_id AS name, '' AS description FROM seqs", "seqs")
+@query("E18c_rename_sequences", "SELECT seq_id || '.fa chromosome ' || seq_ord AS seq_id, seq_id AS name, '' AS description FROM seqs", "seqs")
 def e18c(s, d):
-    return _seqs(s, d).select("seq_id", S.clean_chrom_name(F.concat("seq_id", F.lit(" x"))).alias("name"), F.lit("").alias("description"))
+    return L.rename_sequences(_seqs(s, d).select(F.concat("seq_id", F.lit(".fa chromosome "), F.col("seq_ord").cast("string")).alias("seq_id")))
 
 
 # --- H: k-mers ----------------------------------------------------------------

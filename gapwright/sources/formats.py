@@ -47,7 +47,7 @@ def parse_paf(lines: DataFrame) -> DataFrame:
     """lines (value) of a PAF file -> hits with identity and CIGAR."""
     x = lines.withColumn("f", F.split("value", "\t")).where(F.size("f") >= 12)
     n = lambda i: F.expr(f"try_cast(f[{i}] as bigint)")
-    tag = F.try_element_at(F.filter(F.slice("f", 13, 1000), lambda t: t.startswith("cg:Z:")), F.lit(1))
+    tag = F.try_element_at(F.filter(F.slice("f", F.lit(13), F.size("f")), lambda t: t.startswith("cg:Z:")), F.lit(1))
     out = x.select(F.col("f")[0].alias("qryid"), n(1).alias("qrylen"), n(2).alias("qrystart"), n(3).alias("qryend"), F.col("f")[4].alias("strand"), F.col("f")[5].alias("refid"), n(6).alias("reflen"), n(7).alias("refstart"), n(8).alias("refend"), n(9).alias("matches"), n(10).alias("alnlen"), n(11).alias("mapq"), F.substring(tag, 6, 1 << 30).alias("cigar"))
     return out.dropna(subset=["qrylen", "matches", "alnlen"]).withColumn("identity", F.col("matches") / F.greatest("alnlen", F.lit(1)))
 
