@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without cross-site boilerplate lines; n_chars follows the text."""
-    found = stripped(docs)
+    """Documents without cross-site boilerplate lines; n_chars follows the text. Copied documents keep theirs for the next stage."""
+    found = stripped(docs, most_share=0.5)
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return found.select(*(changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns))
 

@@ -7,8 +7,13 @@ share seeds are tiled: matches of running Karp-Rabin hashes, longest first, are
 with search lengths halved down to `least` words. An item is contaminated by a document whose tiles, in
 any order, cover at least `percent` of the item's words.
 
-Nulls and texts of fewer than `least` words (either side) match nothing. Repeated rows each get the same
-answer; of equally covered items the smallest id is named. An empty table on either side contaminates nothing.
+An item of fewer than `least` words is found where a document has it whole, in one piece; one of fewer than
+`shortest` can't be told from ordinary language and is not looked for.
+
+Each distinct pair of id and text is an item of its own, also where the id is null or has several texts; n_items counts
+these. Null texts match nothing. Repeated rows each get the same answer; of equally covered items the smallest id is
+named, null last. An empty table on either side contaminates nothing. A very long text is one task's row: its
+windows are looked up at once, and it is tiled only with items that share enough seeds.
 Further columns of the documents pass through whatever their names."""
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from pyspark.sql import types as T
 
 from .shared import PUNCTUATED, arrow_map, buffer_of, shingles_of, slices, words_of
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -39,6 +44,8 @@ def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
         hits = np.flatnonzero(whole[1] & np.isin(grams[1], np.array(list(at), np.uint64))) if at else []
         for p in list(hits):
             for q in at[int(grams[1][p])]:
+                if (item[q : q + size] != doc[p : p + size]).any():
+                    continue  # equal hashes of different words
                 if p and q and free[0][q - 1] and free[1][p - 1] and item[q - 1] == doc[p - 1]:
                     continue  # part of the match that begins earlier
                 k = size
@@ -58,44 +65,53 @@ def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
     return found
 
 
-def _block(rows: list, least: int) -> dict:
-    """Items of a block with their seeds, sorted."""
+def _block(rows: list, least: int, shortest: int) -> dict:
+    """Items of a block with their ids, and their seeds by length of window, sorted. Items shorter than `least` words are one seed."""
     buf, at = buffer_of(pa.array([r["text"] for r in rows], pa.string()))
     h, _, _, first = words_of(buf, at, apart=PUNCTUATED)
-    items = {r["item_id"]: h[a:b] for r, a, b in zip(rows, first[:-1].tolist(), first[1:].tolist(), strict=True) if b - a >= least and r["item_id"] is not None}
-    seeds = [(shingles_of(w, least), i) for i, w in items.items()]
-    flat = np.concatenate([np.zeros(0, np.uint64), *(s for s, _ in seeds)])
-    owner = np.repeat(np.array([i for _, i in seeds], np.int64), [len(s) for s, _ in seeds])
-    order = np.argsort(flat, kind="stable")
-    return {"items": items, "seeds": flat[order], "owner": owner[order]}
+    found = [(r["item_id"], h[a:b]) for r, a, b in zip(rows, first[:-1].tolist(), first[1:].tolist(), strict=True) if b - a >= min(least, shortest)]
+    ids, items = [i for i, _ in found], [w for _, w in found]
+    seeds = {}
+    for size in sorted({min(least, len(w)) for w in items}):
+        own = [(shingles_of(w, size), k) for k, w in enumerate(items) if min(least, len(w)) == size]
+        flat = np.concatenate([s for s, _ in own])
+        order = np.argsort(flat, kind="stable")
+        seeds[size] = (flat[order], np.repeat(np.array([k for _, k in own]), [len(s) for s, _ in own])[order])
+    return {"ids": ids, "items": items, "seeds": seeds}
+
+
+def _rank(share: float, item: int | None) -> tuple:
+    """The order in which the item to name is chosen: the most covered, then the smallest id, null last."""
+    return share, item is not None, -(item or 0)
 
 
 def _worst(words: np.ndarray, block: dict, least: int, percent: float) -> tuple[int, int | None, float]:
-    """Contaminated items of the block, the one covered most, and its covered share."""
+    """Contaminated items of the block, the id of the one covered most, and its covered share."""
     n, best, most = 0, None, 0.0
-    if len(words) < least or not len(block["seeds"]):
-        return n, best, most
-    grams = shingles_of(words, least)
-    lo = np.searchsorted(block["seeds"], grams)
-    hit = grams[block["seeds"][np.minimum(lo, len(block["seeds"]) - 1)] == grams]
-    if not len(hit):
-        return n, best, most
-    shared = np.isin(block["seeds"], hit)
-    for item in np.unique(block["owner"][shared]).tolist():
-        own = block["items"][item]
-        # seeds cover at most `least` words each: no need to tile where even that falls short
-        if 100 * least * int((shared & (block["owner"] == item)).sum()) < percent * len(own):
+    for size, (seeds, owner) in block["seeds"].items():
+        if len(words) < size:
+            continue
+        grams = shingles_of(words, size)
+        lo = np.searchsorted(seeds, grams)
+        hit = grams[seeds[np.minimum(lo, len(seeds) - 1)] == grams]
+        if not len(hit):
             continue
-        share = sum(k for _, _, k in tiles(own, words, least)) / len(own)
-        n += 100 * share >= percent
-        if share > most:
-            best, most = item, share
+        shared = np.isin(seeds, hit)
+        for k, count in zip(*np.unique(owner[shared], return_counts=True), strict=True):
+            own = block["items"][k]
+            # seeds cover at most `size` words each: no need to tile where even that falls short
+            if 100 * size * int(count) < percent * len(own):
+                continue
+            share = sum(x for _, _, x in tiles(own, words, size)) / len(own)
+            n += 100 * share >= percent
+            if share and _rank(share, block["ids"][k]) > _rank(most, best):
+                best, most = block["ids"][k], share
     return n, best, most
 
 
-def overlaps(docs: DataFrame, bench: DataFrame, least: int = 5, percent: float = 50, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def overlaps(docs: DataFrame, bench: DataFrame, least: int = 5, percent: float = 50, shortest: int = 3, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Each row of docs as struct `row`, with n_items (contaminated items), item_id and coverage (of the item covered most)."""
-    source = bench.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
+    source = bench.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null").distinct()
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     out = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("int").alias("n_items"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("coverage"))
@@ -110,7 +126,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, least: int = 5, percent: float =
                 rows = []
                 for a, b, n, i, c in zip(first[:-1].tolist(), first[1:].tolist(), *(part.column(x).to_pylist() for x in ("n_items", "item_id", "coverage")), strict=True):
                     more, item, share = _worst(h[a:b], data, least, percent)
-                    if item is not None and (share > c or share == c and (i is None or item < i)):
+                    if share and _rank(share, item) > _rank(c, i):
                         i, c = item, share
                     rows.append((n + more, i, c))
                 n, i, c = zip(*rows, strict=True)
@@ -121,7 +137,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, least: int = 5, percent: float =
     for k in range(blocks):
         # a block's size is bounded by BLOCK_BYTES (about: items are dealt by hash), so it may go through the driver
         rows = source.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        out = arrow_map(out, step(docs.sparkSession.sparkContext.broadcast(_block(rows, least))), schema)
+        out = arrow_map(out, step(docs.sparkSession.sparkContext.broadcast(_block(rows, least, shortest))), schema)
     return out.drop("text")
 
 

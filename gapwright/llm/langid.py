@@ -2,14 +2,16 @@
 
 Text: byte-trigram profiles of each language, counted over all labelled documents; a page's visible text gives a
 log-likelihood per trigram for each language, tempered because neighbouring trigrams aren't independent. Then, by
-grouped aggregation over all pages: how the declared markup language and the address suffix go with the text's
-language (smoothed confusion counts), and how often each language occurs on a host, its hosts' suffix and overall
-(each level shrunk toward the next by `STRENGTH` pages). The posterior multiplies all of them.
+grouped aggregation over all pages: how the declared markup language goes with the text's language (smoothed
+confusion counts), and how often each language occurs on a host, under its address suffix and overall (each level shrunk
+toward the next by `STRENGTH` pages). The suffix speaks as the level above the host, once. A page's own text is left out
+of the sums that make its prior. The posterior multiplies likelihood, declaration and prior.
 
 Nulls: a null page or URL is empty; it has no declared language, its host is "" and its text says nothing, so the
-priors decide; a null id is kept. Documents of null language or text teach nothing. At most `LANGUAGES` languages,
-the most frequent, are told apart; without any, the language is null. Ties go to the first by name. Repeated rows
-each get the same answer; an empty table gives no rows. Other columns are not read."""
+priors decide; a null id is kept. Documents of null language or text teach nothing. All languages of the documents are
+told apart (a row of 128 kB each in the model, so a thousand are 131 MB); without any, the language is null. Ties go
+to the first by name. Repeated rows each get the same answer; an empty table gives no rows. A very long text or page is
+cut into trigrams alone. Other columns are not read, so their names cannot clash."""
 
 from __future__ import annotations
 
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 from .shared import arrow_map, buffer_of, slices, small, staged
 from .warc import plain_text
 
-BITS, LANGUAGES, STRENGTH, TEMPER = 15, 60, 20.0, 0.2
+BITS, STRENGTH, TEMPER = 15, 20.0, 0.2
+#: Languages whose counts the driver fetches at a time.
+BLOCK = 32
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
 _LOWER[[9, 10, 11, 12, 13]] = 32
@@ -63,7 +67,7 @@ def _likelihoods(pages: DataFrame, names: list[str], logp: np.ndarray) -> DataFr
             out = []
             for page in part.column("html").to_pylist():
                 t = trigrams(np.frombuffer(plain_text(page or "").encode(), np.uint8))
-                out.append((TEMPER * table[:, t].sum(axis=1)).tolist())
+                out.append((TEMPER * table[:, t].sum(axis=1, dtype=np.float64)).tolist())
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "host", "suffix", "declared")), pa.array(out, pa.list_(pa.float64()))], names=["page_id", "host", "suffix", "declared", "ll"])
 
     return arrow_map(pages, run, "page_id long, host string, suffix string, declared string, ll array<double>")
@@ -72,14 +76,18 @@ def _likelihoods(pages: DataFrame, names: list[str], logp: np.ndarray) -> DataFr
 def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """page_id, host, declared, text_lang (by text alone), lang, confidence (posterior of lang)."""
     learned = staged(profiles(docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))))
-    sizes = learned.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    names = sorted(r["lang"] for r in sizes)
-    counts = np.zeros((len(names), 1 << BITS))
-    for r in learned.where(F.col("lang").isin(names)).collect() if names else []:  # LANGUAGES * 2**BITS rows at most
-        counts[names.index(r["lang"]), r["bucket"]] = r["n"]
-    pooled = counts.sum(axis=0) + 0.5
-    smooth = counts + 1000 * pooled / pooled.sum()
-    logp = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if names else counts
+    names = sorted(r["lang"] for r in learned.select("lang").distinct().collect())
+    pooled = np.full(1 << BITS, 0.5)
+    for r in learned.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # 2**BITS rows
+        pooled[r["bucket"]] += r["n"]
+    logp = np.zeros((len(names), 1 << BITS), np.float32)
+    for k in range(0, len(names), BLOCK):  # BLOCK * 2**BITS rows at a time
+        part = learned.where(F.col("lang").isin(names[k : k + BLOCK])).toArrow()
+        counts = np.zeros((len(names[k : k + BLOCK]), 1 << BITS))
+        row = np.searchsorted(names[k : k + BLOCK], np.array(part.column("lang").to_pylist(), str)) if part.num_rows else []
+        counts[row, part.column("bucket").to_numpy()] = part.column("n").to_numpy()
+        smooth = counts + 1000 * pooled / pooled.sum()
+        logp[k : k + BLOCK] = np.log(smooth / smooth.sum(axis=1, keepdims=True))
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     page = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
@@ -89,7 +97,9 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
     if not names:
         return scored.select("page_id", "host", "declared", F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"))
     soft = F.expr("transform(ll, x -> exp(x - array_max(ll)))")
-    soft = scored.withColumn("soft", soft).withColumn("soft", F.expr("transform(soft, x -> x / aggregate(soft, 0D, (a, b) -> a + b))"))
+    share = "transform(soft, x -> x / aggregate(soft, 0D, (a, b) -> a + b))"
+    scored = scored.withColumn("soft", soft).withColumn("soft", F.expr(share))
+    soft = scored
     mean = lambda by: soft.groupBy(*by).agg(*(F.sum(F.col("soft")[i]).alias(f"s{i}") for i in range(len(names))))
     row = F.array(*(F.col(f"s{i}") for i in range(len(names))))
     cells = staged(mean(["host", "suffix", "declared"]))  # sums by host; the rest are sums of these
@@ -102,14 +112,16 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
         one = F.array(*(F.log((F.col(f"s{i}") + 0.5) / F.lit(float(total[i] + 0.5))) for i in range(len(names))))
         return staged(add([by]).select(by, one.alias(f"{by}_l")))
 
-    shrunk = lambda up: F.expr(f"transform(arrays_zip(s, {up}), x -> (x.s + {STRENGTH}D * x.{up}) / (aggregate(s, 0D, (a, b) -> a + b) + {STRENGTH}D))")
-    suffixes = staged(add(["suffix"]).select("suffix", row.alias("s"), F.array(*map(F.lit, base.tolist())).alias("up")).select("suffix", shrunk("up").alias("up")))
-    hosts = add(["host", "suffix"]).select("host", "suffix", row.alias("s")).join(small(suffixes), "suffix")
-    hosts = staged(hosts.select("host", shrunk("up").alias("prior")))
-    fused = scored.join(small(hosts), "host").join(small(conditional("declared")), "declared").join(small(conditional("suffix")), "suffix")
+    suffixes = staged(add(["suffix"]).select("suffix", row.alias("of_suffix")))
+    hosts = staged(add(["host"]).select("host", row.alias("of_host")))
+    fused = scored.join(small(hosts), "host").join(small(suffixes), "suffix").join(small(conditional("declared")), "declared")
+    # without the page itself: the suffix shrunk toward all pages, the host toward its suffix
+    overall = F.array(*map(F.lit, base.tolist()))
+    shrunk = lambda c, up: f"transform(arrays_zip({c}, soft, {up}), x -> (greatest(x.{c} - x.soft, 0D) + {STRENGTH}D * x.{up}) / (greatest(aggregate({c}, 0D, (a, b) -> a + b) - 1, 0D) + {STRENGTH}D))"
+    fused = fused.withColumn("overall", overall).withColumn("up", F.expr(shrunk("of_suffix", "overall"))).withColumn("prior", F.expr(shrunk("of_host", "up")))
     # an absent declaration says nothing
     says = "if(declared = '', 0D, x.declared_l)"
-    post = F.expr(f"transform(arrays_zip(ll, prior, declared_l, suffix_l), x -> x.ll + ln(x.prior) + {says} + x.suffix_l)")
+    post = F.expr(f"transform(arrays_zip(ll, prior, declared_l), x -> x.ll + ln(x.prior) + {says})")
     fused = fused.withColumn("post", post).withColumn("top", F.array_max("post"))
     label = F.array(*map(F.lit, names))
     best = lambda c: F.element_at(label, F.array_position(c, F.array_max(c)).cast("int"))

@@ -3,16 +3,15 @@
 A line (without the blanks around it, at least `least_bytes` long) that stands on `least_sites` sites or more is
 boilerplate and is taken out of every document. Lines are counted by two hashes (96 bits); those that occur
 often enough, on more than one site, get a HyperLogLog sketch of their sites, merged by aggregation; where the
-estimate is within three standard errors of the threshold, the distinct sites are counted exactly. A
-document of which such lines are more than `most_share` of the bytes in lines may be a copy of a document rather
-than a page around its own text. It loses the proven lines, however many: those that reach `least_sites` on the
-documents below that share alone. Text that stands on many sites only because documents were copied is never
-proven, and is left to document deduplication. Without `proven`, as the query's SQL has it, such a document is left
-as it is.
+estimate is within three standard errors of the threshold, the distinct sites are counted exactly. By default every
+document loses all such lines, whatever their share of it. With `most_share`, a document of which they are more
+than that share of the bytes in lines may be a copy of a document rather than a page around its own text: it loses only
+the proven lines, those that reach `least_sites` on the documents below that share alone. Text that stands on
+many sites only because documents were copied is never proven, and is left to document deduplication.
 
 Nulls: a null text stays null and has no lines; a null site is a site of its own. Repeated rows count as often as
 they occur and get the same answer. An empty table gives no rows. Other columns pass through in struct `row`,
-whatever their names."""
+whatever their names. A line is split off and hashed within its row, so a very long text is one task's row and no more."""
 
 from __future__ import annotations
 
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .shared import BLANKS, small, staged
 
-LEAST_SITES, LEAST_BYTES, MOST_SHARE, LG_K = 5, 15, 0.5, 12
+LEAST_SITES, LEAST_BYTES, LG_K = 5, 15, 12
 
 
 def _bare(line: Column) -> Column:
@@ -49,7 +48,7 @@ def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: in
     return staged(sure.select("k1", "k2").unionByName(exact.where(F.col("n_sites") >= least_sites).select("k1", "k2")))
 
 
-def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES, most_share: float = MOST_SHARE, proven: bool = True, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id") -> DataFrame:
+def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES, most_share: float | None = None, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Each row of docs as struct `row`, with text (boilerplate taken out), n_lines and n_removed."""
     text = F.col(text_col).cast("string")
     known = [F.col(id_col).cast("string"), text]
@@ -61,13 +60,14 @@ def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int =
     is_mark = lambda x: (F.octet_length(_bare(x)) >= least_bytes) & F.array_contains("marks", F.xxhash64(_bare(x)))
     size = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))
     marked = staged(marks_in(lines, keys))
-    weighed = source.select("g1", "g2", "text", "site").join(small(marked), ["g1", "g2"]).withColumn("cut", F.split("text", "\n", -1))
-    weighed = staged(weighed.withColumn("over", size(F.filter("cut", is_mark)) > most_share * size("cut")).drop("cut"))
-    marked = weighed.where("not over").select("g1", "g2", "marks").dropDuplicates(["g1", "g2"])
-    if proven:
+    if most_share is not None:
+        weighed = source.select("g1", "g2", "text", "site").join(small(marked), ["g1", "g2"]).withColumn("cut", F.split("text", "\n", -1))
+        weighed = staged(weighed.withColumn("over", size(F.filter("cut", is_mark)) > most_share * size("cut")).drop("cut"))
+        marked = weighed.where("not over").select("g1", "g2", "marks").dropDuplicates(["g1", "g2"])
         sure = boilerplate(weighed.where("not over").select("text", "site"), least_sites, least_bytes)
         marked = marked.unionByName(marks_in(_lines(weighed.where("over"), least_bytes, "g1", "g2"), sure))
-    df = source.join(small(staged(marked)), ["g1", "g2"], "left").withColumn("cut", F.split("text", "\n", -1))
+        marked = staged(marked)
+    df = source.join(small(marked), ["g1", "g2"], "left").withColumn("cut", F.split("text", "\n", -1))
     df = df.withColumn("rest", F.when(F.col("marks").isNotNull(), F.filter("cut", lambda x: ~is_mark(x))))
     changed = F.col("rest").isNotNull()
     n = F.coalesce(F.size("cut"), F.lit(0))
@@ -75,8 +75,8 @@ def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int =
 
 
 def op2_site_spread(spark, sf_dir: str) -> DataFrame:
-    """Query: what is left of every document, by the rule of its SQL."""
-    out = stripped(spark.read.parquet(f"{sf_dir}/documents.parquet"), proven=False)
+    """Query: what is left of every document."""
+    out = stripped(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -86,9 +86,8 @@ WITH lines AS (SELECT doc_id, source, trim(line, ' ' || chr(9) || chr(10) || chr
 marks AS (SELECT line FROM lines WHERE strlen(line) >= 15 GROUP BY line HAVING count(DISTINCT coalesce(source, chr(1))) >= 5),
 pieces AS (SELECT doc_id, text, i, l, trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) IN (SELECT line FROM marks) AS gone
            FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) t),
-sums AS (SELECT doc_id, any_value(text) AS text, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_gone, sum(strlen(l)) AS size,
-                coalesce(sum(strlen(l)) FILTER (WHERE gone), 0) AS gone_size, string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS rest
+sums AS (SELECT doc_id, any_value(text) AS text, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_gone,
+                string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS rest
          FROM pieces GROUP BY doc_id)
-SELECT doc_id, n_lines, CASE WHEN n_gone > 0 AND gone_size <= 0.5 * size THEN n_gone ELSE 0 END AS n_removed,
-       sha256(CASE WHEN n_gone > 0 AND gone_size <= 0.5 * size THEN coalesce(rest, '') ELSE text END) AS text_sha256
+SELECT doc_id, n_lines, n_gone AS n_removed, sha256(CASE WHEN n_gone > 0 THEN coalesce(rest, '') ELSE text END) AS text_sha256
 FROM sums"""

@@ -2,14 +2,17 @@
 
 A document's evidence is the log-likelihood ratio of a logistic regression over its distinct words and a few
 binned style measures. Features are chosen by grouped counts over labelled rows (at most about `MOST_LABELS`,
-taken by hash of the id): style bins, and words that speak against a text: log odds below none by `Z` standard errors, at most
-`MOST_FEATURES` of the most telling. (Words in favour say little but that a text is long.) The weights are fitted on about `FIT_ROWS` of these rows. Each document's probability then
-enters the sums of its path and its host over the whole table; a path's rate is shrunk toward its host's, a
-host's toward the global rate, each by a strength estimated from the spread of the groups (method of moments).
-The posterior adds the evidence to the log odds of the path's shrunken rate.
+taken by hash of the id): style bins, and words whose log odds differ from none by `Z` standard errors, for a text or
+against it, at most `MOST_FEATURES` of the most telling. The weights are fitted on about `FIT_ROWS` of these rows. Each
+document's probability then enters the sums of its path and its host over the whole table; a path's rate is shrunk toward
+its host's, a host's toward the global rate, each by a strength estimated from the spread of the groups (method of
+moments). A document's own probability is left out of the rates that it is judged by, so its evidence counts once. The
+posterior adds the evidence to the log odds of the path's shrunken rate. With `url_col`, host and path (its first
+part) come from the address; else from two columns. `documents` has no address: there the source stands for the host and
+the language section for the path, which is all that this table can show.
 
 Nulls: a null text has no words (its style bins count); a null host or path is a group of its own; a null id is
-kept as null; labels of null are ignored. Of several labels of one id all count. Empty tables give no rows;
+kept as null; labels of null are ignored. A very long text is cut into features alone. Of several labels of one id all count. Empty tables give no rows;
 without labels of both kinds every weight is 0 and the prior decides. Other columns are not read."""
 
 from __future__ import annotations
@@ -72,7 +75,7 @@ def fit(labelled: DataFrame) -> dict[int, float]:
     w = odds(F.col("n1"), t1) - odds(F.col("n0"), t0)
     error = F.sqrt(1 / (F.col("n1") + 2 * rate) + 1 / (F.col("n0") + 2 * rate))
     # the odds of rare features are judged by counts: a floor keeps one-sided ones of few documents out
-    telling = counts.where("n1 + n0 >= 10").select("feature", F.when(F.col("feature") < 0, F.lit(1e9)).otherwise(-w / error).alias("z")).where(F.col("z") >= Z)
+    telling = counts.where("n1 + n0 >= 10").select("feature", F.when(F.col("feature") < 0, F.lit(1e9)).otherwise(F.abs(w) / error).alias("z")).where(F.col("z") >= Z)
     keys = np.sort(np.array([r["feature"] for r in telling.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).collect()], np.int64))
     return dict(zip(keys.tolist(), _regression(labelled, keys, (t1 + t0)).tolist(), strict=True))
 
@@ -137,13 +140,17 @@ def _strength(groups: DataFrame, parent: str) -> float:
     return float(np.clip(base / n / between, 1.0, 10_000.0))
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", good: str = "quality = 1 and toxic = 0", least: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", url_col: str | None = None, good: str = "quality = 1 and toxic = 0", least: float = 0.5) -> DataFrame:
     """doc_id, evidence, host_rate, path_rate, score (posterior probability of good), kept (score >= least)."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"))
+    host, path = F.col(host_col or url_col).cast("string"), F.col(path_col or url_col).cast("string")
+    if url_col:
+        bare = F.regexp_replace(F.col(url_col).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?", "")
+        host, path = F.lower(F.regexp_extract(bare, r"^([^/?#:]*)", 1)), F.regexp_extract(bare, r"^[^/?#]*/([^/?#]*)", 1)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), host.alias("host"), path.alias("path"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.expr(good).alias("good")).where("doc_id is not null and good is not null")
     some = min(1.0, MOST_LABELS / max(1, known.count()))
     chosen = staged(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * some)))
-    weights = fit(source.join(F.broadcast(chosen), "doc_id").select("text", "good"))
+    weights = fit(staged(source.join(F.broadcast(chosen), "doc_id").select("text", "good")))
     prior = chosen.agg(F.avg(F.col("good").cast("double"))).first()[0]
     prior = float(np.clip(0.5 if prior is None else prior, 1e-3, 1 - 1e-3))
     scored = staged(evidence(source, weights))
@@ -154,15 +161,18 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     total = paths.agg(F.sum("n"), F.sum("s")).first()
     mean = float(np.clip(total[1] / total[0], 1e-3, 1 - 1e-3)) if total[0] else prior
-    hosts = hosts.withColumn("mean", F.lit(mean))
+    hosts = staged(hosts.withColumn("mean", F.lit(mean)))
     mh = _strength(hosts, "mean")
-    hosts = hosts.select("host", ((F.col("s") + mh * F.col("mean")) / (F.col("n") + mh)).alias("host_rate"))
-    paths = staged(paths.alias("p").join(hosts.alias("h"), F.expr("p.host <=> h.host")).select("p.host", "path", "n", "s", "host_rate"))
-    mp = _strength(paths, "host_rate")
-    rates = staged(paths.select("host", "path", "host_rate", ((F.col("s") + mp * F.col("host_rate")) / (F.col("n") + mp)).alias("path_rate")))
-    rate = F.least(F.greatest("path_rate", F.lit(1e-6)), F.lit(1 - 1e-6))
-    score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(rate / (1 - rate)))))
-    joined = scored.alias("d").join(small(rates).alias("r"), F.expr("d.host <=> r.host and d.path <=> r.path"), "left")
+    rate = lambda s, n, m, up: (F.greatest(s, F.lit(0.0)) + m * up) / (n + m)
+    hosts = hosts.select("host", F.col("n").alias("nh"), F.col("s").alias("sh"), rate(F.col("s"), F.col("n"), mh, F.col("mean")).alias("up"))
+    paths = staged(paths.alias("p").join(hosts.alias("h"), F.expr("p.host <=> h.host")).select("p.host", "path", "n", "s", "nh", "sh", "up"))
+    mp = _strength(paths, "up")
+    joined = scored.withColumn("p", p).alias("d").join(small(paths.drop("up")).alias("r"), F.expr("d.host <=> r.host and d.path <=> r.path"), "left")
+    # the rates of the others: without the document itself
+    joined = joined.select("doc_id", "evidence", "p", "n", "s", "nh", "sh").withColumn("host_rate", rate(F.col("sh") - F.col("p"), F.col("nh") - 1, mh, F.lit(mean)))
+    joined = joined.withColumn("path_rate", rate(F.col("s") - F.col("p"), F.col("n") - 1, mp, F.col("host_rate")))
+    odds = F.least(F.greatest("path_rate", F.lit(1e-6)), F.lit(1 - 1e-6))
+    score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(odds / (1 - odds)))))
     return joined.select("doc_id", "evidence", "host_rate", "path_rate", score.alias("score")).withColumn("kept", F.col("score") >= least)
 
 

@@ -6,9 +6,14 @@ records from a table of pages; `read_warc` reads .warc and .warc.gz files; `deri
 response; `serialised` gives a record's bytes. A derived id is a name-based UUID of the response's id and the kind,
 so a repeated run gives the same ids; the source's date, URI, payload digest and headers are kept.
 
+Headers are kept as ordered pairs of name and value, repeated ones too, and are looked up whatever their case. The
+metadata record describes, and the conversion record converts, the body after its transfer (chunked) and content
+(gzip, deflate) encodings are undone; digests and lengths are those of the payload as it was sent.
+
 Nulls: a null id, URL or block counts as empty text; a block without an HTTP head is all payload; a page
 without text gives a conversion record of an empty block. Repeated rows give repeated records. Records of other types
-pass by. An empty table gives no rows. Other columns of the pages are not read."""
+pass by. An empty table gives no rows. A very long page is a row of its own slice. Other columns of the pages are
+not read, so their names cannot clash; `carried` ones must not bear a record column's name."""
 
 from __future__ import annotations
 
@@ -19,6 +24,7 @@ import html
 import json
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -62,19 +68,63 @@ def described(page: str) -> dict:
     }
 
 
-def _http(block: bytes) -> tuple[str, dict, bytes]:
-    """Status line, headers and payload of a response block."""
-    if not block.startswith(b"HTTP/"):
-        return "", {}, block
-    head, _, payload = block.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "replace").split("\r\n")
-    return lines[0], dict(x.split(": ", 1) if ": " in x else (x, "") for x in lines[1:]), payload
+def _pairs(head: str) -> list[tuple[str, str]]:
+    """Names and values of header lines, in order; a line that begins with a blank goes on with the one before."""
+    out: list[tuple[str, str]] = []
+    for line in head.split("\n"):
+        line = line.rstrip("\r")
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}")
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            out.append((name.strip(), value.strip()))
+    return out
 
 
+def _value(pairs: list[tuple[str, str]], name: str) -> str | None:
+    """The first value of a header, whatever the case of its name."""
+    return next((v for k, v in pairs if k.lower() == name), None)
 
 
-def _charset(headers: dict) -> str:
-    found = re.search(r"charset=\"?([\w-]+)", headers.get("Content-Type", ""))
+def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """Status line, headers and payload of a response block."""
+    if not block.startswith(b"HTTP/"):
+        return "", [], block
+    end = re.search(rb"\r?\n\r?\n", block)
+    head, payload = (block[: end.start()], block[end.end() :]) if end else (block, b"")
+    status, _, rest = head.decode("utf-8", "replace").partition("\n")
+    return status.rstrip("\r"), _pairs(rest), payload
+
+
+def _unchunked(data: bytes) -> bytes:
+    """The body of a chunked transfer, as far as it goes."""
+    out, at = [], 0
+    while found := re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r?\n").match(data, at):
+        n = int(found.group(1), 16)
+        out.append(data[found.end() : found.end() + n])
+        at = found.end() + n
+        at += 2 if data[at : at + 2] == b"\r\n" else 1
+        if not n:
+            break
+    return b"".join(out) if out else data
+
+
+def _body(headers: list[tuple[str, str]], payload: bytes) -> bytes:
+    """The payload without its transfer and content encodings; as it is where they don't fit it."""
+    if "chunked" in (_value(headers, "transfer-encoding") or "").lower():
+        payload = _unchunked(payload)
+    for kind in reversed((_value(headers, "content-encoding") or "").lower().replace(" ", "").split(",")):
+        for bits in {"gzip": (47,), "x-gzip": (47,), "deflate": (15, -15)}.get(kind, ()):
+            try:
+                payload = zlib.decompressobj(bits).decompress(payload)
+                break
+            except zlib.error:
+                continue
+    return payload
+
+
+def _charset(headers: list[tuple[str, str]]) -> str:
+    found = re.search(r"charset=[\"']?([\w-]+)", _value(headers, "content-type") or "", re.I)
     try:
         return codecs.lookup(found.group(1)).name if found else "utf-8"
     except LookupError:
@@ -122,8 +172,8 @@ def derive(records: DataFrame, *carried: str) -> DataFrame:
             for k, r in enumerate(part.select(["record_id", "target_uri", "warc_date", "headers", "block", "payload_digest"]).to_pylist()):
                 rid, uri, date = r["record_id"] or "", r["target_uri"] or "", r["warc_date"] or ""
                 status, headers, payload = _http(r["block"] or b"")
-                page, source = payload.decode(_charset(headers), "replace"), r["payload_digest"] or digest(payload)
-                warc = dict(x.split(": ", 1) for x in (r["headers"] or "").split("\r\n") if ": " in x)
+                page, source = _body(headers, payload).decode(_charset(headers), "replace"), r["payload_digest"] or digest(payload)
+                warc = _pairs((r["headers"] or "").partition("\n")[2])
                 about = {"Envelope": {"WARC-Header-Metadata": warc, "Payload-Metadata": {"HTTP-Response-Metadata": {"Response-Message": status, "Headers": headers, "HTML-Metadata": described(page), "Entity-Digest": source, "Entity-Length": len(payload)}}}}
                 rows.append(_record(_urn("metadata", rid), "metadata", rid, uri, date, "application/json", json.dumps(about, ensure_ascii=False, sort_keys=True).encode(), source))
                 rows.append(_record(_urn("conversion", rid), "conversion", rid, uri, date, "text/plain", plain_text(page).encode(), source))
@@ -140,34 +190,37 @@ def serialised(records: DataFrame) -> DataFrame:
     return records.withColumn("warc", F.concat(F.encode("headers", "utf-8"), F.lit(b"\r\n"), F.col("block"), crlf))
 
 
-def split_records(data: bytes):
-    """Records of a WARC file's bytes."""
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        head_end = data.find(b"\r\n\r\n", at)
-        if head_end < 0:
-            return
-        head = data[at : head_end + 2].decode("utf-8", "replace")
-        named = {k.lower(): v for k, v in (x.split(": ", 1) for x in head.split("\r\n") if ": " in x)}
-        n = int(named.get("content-length", 0))
-        block = data[head_end + 4 : head_end + 4 + n]
-        yield named.get("warc-record-id", ""), named.get("warc-type", ""), named.get("warc-refers-to"), named.get("warc-target-uri", ""), named.get("warc-date", ""), named.get("content-type", ""), head, block, named.get("warc-block-digest") or digest(block), named.get("warc-payload-digest"), n
-        at = head_end + 4 + n
+def write_warc(records: DataFrame, path: str) -> None:
+    """Gzipped WARC files of the records below path, by Spark's own writer (bytes pass a string column unchanged)."""
+    made = serialised(records).select(F.expr("substring(warc, 1, octet_length(warc) - 2)").cast("string").alias("value"))
+    made.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+
+
+def _parsed(data: bytes) -> tuple:
+    """A record's row from its bytes after the version line."""
+    head, _, rest = data.partition(b"\r\n\r\n")
+    pairs = _pairs(head.decode("utf-8", "replace"))
+    get = lambda k: _value(pairs, k)
+    n = int(get("content-length") or 0)
+    if len(rest) < n or rest[n:].strip(b"\r\n"):
+        raise ValueError(f"record {get('warc-record-id')}: its length isn't that of its header")
+    block = rest[:n]
+    return get("warc-record-id") or "", get("warc-type") or "", get("warc-refers-to"), get("warc-target-uri") or "", get("warc-date") or "", get("content-type") or "", f"WARC/1.0\r\n{head.decode('utf-8', 'replace')}\r\n", block, get("warc-block-digest") or digest(block), get("warc-payload-digest"), n
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of .warc and .warc.gz files (each file is one task's)."""
+    """Records of WARC/1.0 files, plain or gzipped, streamed record by record by Spark's reader, which also splits plain files.
 
-    def run(batches):
-        import gzip
+    Records are what "WARC/1.0" begins on a line after a blank one; where a block itself has that, its length doesn't fit and an error is raised."""
 
-        for batch in batches:
-            for data in batch.column("content").to_pylist():
-                rows = list(split_records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data))
-                for i in range(0, len(rows), 500):
-                    yield _batch(rows[i : i + 500])
+    def run(batches):
+        for part in slices(batches, "value", 4 << 20):
+            rows = [_parsed(x.removeprefix(b"WARC/1.0\r\n")) for x in part.column("value").to_pylist() if x.strip()]
+            if rows:
+                yield _batch(rows)
 
-    return arrow_map(spark.read.format("binaryFile").load(path).select("content"), run, RECORD)
+    lines = spark.read.option("lineSep", "\r\n\r\nWARC/1.0\r\n").text(path)
+    return arrow_map(lines.select(F.col("value").cast("binary").alias("value")), run, RECORD)
 
 
 def op5_warc_derivatives(spark, sf_dir: str) -> DataFrame:

@@ -103,9 +103,7 @@ def test_lines(docs, clash, none):
     for i, t, _, _ in ROWS:
         cut = t.split("\n") if t is not None else []
         rest = [x for x in cut if bare(x) not in mark]
-        gone = sum(len(x.encode()) for x in cut) - sum(len(x.encode()) for x in rest)
-        ok = gone and gone <= 0.5 * sum(len(x.encode()) for x in cut)
-        want.append((i, "\n".join(rest) if ok else t, len(cut), len(cut) - len(rest) if ok else 0))
+        want.append((i, "\n".join(rest) if t is not None else None, len(cut), len(cut) - len(rest)))
     for df in (docs, clash):
         same([tuple(r) for r in lines.stripped(df).select("row.doc_id", "text", "n_lines", "n_removed").collect()], want)
     assert lines.stripped(none).count() == 0
@@ -116,7 +114,7 @@ def test_lines_of_short_pages(spark):
     menu, copied = "home | about | contact | licence", "\n".join(f"sentence {k} of a copied document" for k in range(6))
     rows = [(k, f"{text(30)}\n{menu}", "en", f"s{k}") for k in range(5)] + [(10, f"short\n{menu}", "en", "s0"), (11, menu, "en", "s9"), (11, menu, "en", "s9")]
     rows += [(20 + k, f"{copied}\n{menu}\nvariant {k}", "en", f"s{k}") for k in range(7)]
-    got = {r.doc_id: r.text for r in lines.stripped(spark.createDataFrame(rows, SCHEMA)).select("row.doc_id", "text").collect()}
+    got = {r.doc_id: r.text for r in lines.stripped(spark.createDataFrame(rows, SCHEMA), most_share=0.5).select("row.doc_id", "text").collect()}
     assert got == {i: t.replace("\n" + menu, "").replace(menu, "") for i, t, _, _ in rows}
 
 
@@ -238,9 +236,11 @@ def test_decontamination(spark, docs, clash, none):
     w = item.split(" ")
     more = [(50, f"{text(20)} {item} {text(20)}"), (51, " ".join(w[20:] + [text(9)] + w[:20])), (52, " ".join(w[:10]) + text(50)), (53, item.upper())]
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
-    bench = spark.createDataFrame([(7, item), (8, None), (None, "x y z u v w"), (9, "too short")], "item_id long, text string")
-    got = {r.doc_id for r in decontaminate.overlaps(df, bench).where("n_items > 0").select("row.doc_id").collect()}
-    assert got == {50, 51, 53}
+    bench = spark.createDataFrame([(7, item), (7, "a different text of the same id"), (8, None), (None, "x y z u v w"), (9, "too short"), (10, "only four words here")], "item_id long, text string")
+    more = [(60, f"{text(9)} a different text of the same id {text(9)}"), (61, f"{text(9)} u v w {text(3)} x y z u v w"), (62, f"{text(5)} Only, four words here {text(5)}"), (63, f"four words {text(9)} only here")]
+    df = df.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = {r.doc_id: r.item_id for r in decontaminate.overlaps(df, bench).where("n_items > 0").select("row.doc_id", "item_id").collect()}
+    assert got == {50: 7, 51: 7, 53: 7, 60: 7, 61: None, 62: 10}
     assert decontaminate.decontaminated(clash, bench).columns == clash.columns
     assert decontaminate.overlaps(none, bench).count() == 0
     assert decontaminate.overlaps(docs, bench.limit(0)).where("n_items > 0").count() == 0
@@ -319,11 +319,31 @@ def test_warc(spark, tmp_path):
     assert b'"/x?a=1&b=2"' in got[1, "metadata"].block and got[2, "conversion"].block == b""
     whole = b"".join(bytes(r.warc) for r in warc.serialised(made).collect())
     (tmp_path / "x.warc").write_bytes(whole)
+    warc.write_warc(made.repartition(2), str(tmp_path / "out"))
+    again = warc.read_warc(spark, str(tmp_path / "out")).collect()
     back = warc.read_warc(spark, str(tmp_path / "x.warc")).collect()
+    assert sorted((r.record_id, bytes(r.block)) for r in again) == sorted((r.record_id, bytes(r.block)) for r in back)
     assert sorted((r.record_id, bytes(r.block), r.block_digest) for r in back) == sorted((r.record_id, bytes(r.block), r.block_digest) for r in src.values())
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
 
 
+def test_warc_headers_and_encodings(spark):
+    """Repeated headers in order, names of any case, charset, chunked and gzipped bodies."""
+    import gzip
+    import json
+
+    page = "<p>\u00e9t\u00e9</p>".encode("latin-1")
+    packed = gzip.compress(page)
+    chunked = b"%x\r\n%s\r\n%x;x=1\r\n%s\r\n0\r\n\r\n" % (5, packed[:5], len(packed) - 5, packed[5:])
+    head = b"HTTP/1.1 200 OK\r\nset-cookie: a\r\nSet-Cookie:b\r\ncontent-type: text/html; Charset='iso-8859-1'\r\nTRANSFER-ENCODING: chunked\r\nContent-encoding: gzip\r\n\r\n"
+    rows = [("<r1>", "response", head + chunked), ("<r2>", "response", head.replace(b"TRANSFER-ENCODING: chunked\r\n", b"") + b"not gzip"), ("<r3>", "request", b"GET /"), ("<r4>", "response", None)]
+    df = spark.createDataFrame([(i, t, None, None, None, None, None, b, None, None, None) for i, t, b in rows], warc.RECORD)
+    got = {(r.refers_to, r.warc_type): bytes(r.block) for r in warc.derive(df).collect()}
+    assert len(got) == 6 and got["<r1>", "conversion"].decode() == "\u00e9t\u00e9" and got["<r2>", "conversion"] == b"not gzip" and got["<r4>", "conversion"] == b""
+    headers = json.loads(got["<r1>", "metadata"])["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"]
+    assert headers[:2] == [["set-cookie", "a"], ["Set-Cookie", "b"]]
+
+
 def test_language(spark, docs, none):
     words = {"en": "the house and the river of stone", "fr": "la maison et le fleuve de pierre"}
     learn = spark.createDataFrame([(" ".join([t] * 40), k) for k, t in words.items()] + [(None, "en"), ("x", None)], "text string, lang string")
