@@ -2,8 +2,8 @@
 
 A document's evidence is the log-likelihood ratio of a logistic regression over its distinct words and a few
 binned style measures. Features are chosen by grouped counts over labelled rows (at most about `MOST_LABELS`,
-taken by hash of the id): style bins, and words whose log odds differ from none by `Z` standard errors, for a text or
-against it, at most `MOST_FEATURES` of the most telling. The weights are fitted on about `FIT_ROWS` of these rows. Each
+taken by hash of the id): style bins, and words whose shares of good and of other rows differ by `Z` standard errors, in
+`LEAST_ROWS` rows or more, at most `MOST_FEATURES` of the most telling. The weights are fitted on about `FIT_ROWS` of these rows. Each
 document's probability then enters the sums of its path and its host over the whole table; a path's rate is shrunk toward
 its host's, a host's toward the global rate, each by a strength estimated from the spread of the groups (method of
 moments). A document's own probability is left out of the rates that it is judged by, so its evidence counts once. The
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .shared import PUNCTUATED, arrow_map, buffer_of, slices, small, staged, words_of
 
-MOST_LABELS, FIT_ROWS, MOST_FEATURES, Z = 200_000, 20_000, 20_000, 4.0
+MOST_LABELS, FIT_ROWS, MOST_FEATURES, Z, LEAST_ROWS = 200_000, 20_000, 20_000, 4.0, 5
 #: A feature that every text has.
 CONSTANT = -1_000_000
 
@@ -69,13 +69,11 @@ def fit(labelled: DataFrame) -> dict[int, float]:
     if not t1 or not t0:
         return {}
     counts = arrow_map(labelled, run, "feature long, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    # a prior of two documents at the pooled rate
+    # two proportions against the pooled one: also tells for words that one kind never has
     rate = (F.col("n1") + F.col("n0")) / F.lit(float(t1 + t0))
-    odds = lambda n, t: F.log((n + 2 * rate) / (F.lit(float(t)) - n + 2 * (1 - rate)))
-    w = odds(F.col("n1"), t1) - odds(F.col("n0"), t0)
-    error = F.sqrt(1 / (F.col("n1") + 2 * rate) + 1 / (F.col("n0") + 2 * rate))
-    # the odds of rare features are judged by counts: a floor keeps one-sided ones of few documents out
-    telling = counts.where("n1 + n0 >= 10").select("feature", F.when(F.col("feature") < 0, F.lit(1e9)).otherwise(F.abs(w) / error).alias("z")).where(F.col("z") >= Z)
+    error = F.sqrt(rate * (1 - rate) * (1 / t1 + 1 / t0))
+    z = F.abs(F.col("n1") / t1 - F.col("n0") / t0) / F.greatest(error, F.lit(1e-12))
+    telling = counts.where(F.col("n1") + F.col("n0") >= LEAST_ROWS).select("feature", F.when(F.col("feature") < 0, F.lit(1e9)).otherwise(z).alias("z")).where(F.col("z") >= Z)
     keys = np.sort(np.array([r["feature"] for r in telling.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).collect()], np.int64))
     return dict(zip(keys.tolist(), _regression(labelled, keys, (t1 + t0)).tolist(), strict=True))
 
