@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from .shared import BLANKS, small, staged
 
 LEAST_SITES, LEAST_BYTES, LG_K = 5, 15, 12
+#: Boilerplate lines up to which their hashes stand in the expression that marks them; more are joined.
+MOST_LISTED = 20_000
 
 
 def _bare(line: Column) -> Column:
@@ -48,30 +50,45 @@ def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: in
     return staged(sure.select("k1", "k2").unionByName(exact.where(F.col("n_sites") >= least_sites).select("k1", "k2")))
 
 
+def _member(keys: DataFrame):
+    """A column function, whether a line's hash is among the keys (k1), where these are few enough to stand in the expression; else None."""
+    some = keys.select("k1").distinct().limit(MOST_LISTED + 1).collect()
+    if len(some) > MOST_LISTED:
+        return None
+    listed = [r["k1"] for r in some]
+    return lambda line: F.xxhash64(_bare(line)).isin(listed) if listed else F.lit(False)
+
+
 def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES, most_share: float | None = None, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Each row of docs as struct `row`, with text (boilerplate taken out), n_lines and n_removed."""
     text = F.col(text_col).cast("string")
     known = [F.col(id_col).cast("string"), text]
     source = docs.select(F.struct("*").alias("row"), text.alias("text"), F.col(site_col).cast("string").alias("site"), F.xxhash64(*known).alias("g1"), F.hash(*known).alias("g2"))
-    keys = boilerplate(source.select("text", "site"), least_sites, least_bytes)
-    lines = _lines(source.select("g1", "g2", "text"), least_bytes, "g1", "g2")
-    # the boilerplate of each document that has any (rows of equal id and text are one here)
-    marks_in = lambda found, keys: found.join(small(keys), ["k1", "k2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("k1").alias("marks"))
-    is_mark = lambda x: (F.octet_length(_bare(x)) >= least_bytes) & F.array_contains("marks", F.xxhash64(_bare(x)))
     size = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))
-    marked = staged(marks_in(lines, keys))
+
+    def marked(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+        """df with the column `name`: which lines of `cut` are among the keys. The keys stand in the expression where they are few; else
+        each document's own come by a join (rows of equal id and text are one there)."""
+        member = _member(keys)
+        if member:
+            return df.withColumn(name, F.transform("cut", lambda x: (F.octet_length(_bare(x)) >= least_bytes) & member(x)))
+        lines = _lines(source.select("g1", "g2", "text"), least_bytes, "g1", "g2")
+        own = staged(lines.join(small(keys), ["k1", "k2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("k1").alias("_own")))
+        is_own = lambda x: (F.octet_length(_bare(x)) >= least_bytes) & F.array_contains(F.coalesce("_own", F.array().cast("array<bigint>")), F.xxhash64(_bare(x)))
+        return df.join(small(own), ["g1", "g2"], "left").withColumn(name, F.transform("cut", is_own)).drop("_own")
+
+    left = lambda name: F.filter("cut", lambda x, i: ~F.get(F.col(name), i))
+    keys = boilerplate(source.select("text", "site"), least_sites, least_bytes)
+    df = marked(source.withColumn("cut", F.split("text", "\n", -1)), keys, "marks")
     if most_share is not None:
-        weighed = source.select("g1", "g2", "text", "site").join(small(marked), ["g1", "g2"]).withColumn("cut", F.split("text", "\n", -1))
-        weighed = staged(weighed.withColumn("over", size(F.filter("cut", is_mark)) > most_share * size("cut")).drop("cut"))
-        marked = weighed.where("not over").select("g1", "g2", "marks").dropDuplicates(["g1", "g2"])
-        sure = boilerplate(weighed.where("not over").select("text", "site"), least_sites, least_bytes)
-        marked = marked.unionByName(marks_in(_lines(weighed.where("over"), least_bytes, "g1", "g2"), sure))
-        marked = staged(marked)
-    df = source.join(small(marked), ["g1", "g2"], "left").withColumn("cut", F.split("text", "\n", -1))
-    df = df.withColumn("rest", F.when(F.col("marks").isNotNull(), F.filter("cut", lambda x: ~is_mark(x))))
-    changed = F.col("rest").isNotNull()
-    n = F.coalesce(F.size("cut"), F.lit(0))
-    return df.select("row", F.when(changed, F.array_join("rest", "\n")).otherwise(F.col("text")).alias("text"), F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(changed, F.size("cut") - F.size("rest")).otherwise(0).cast("long").alias("n_removed"))
+        over = size(F.col("cut")) - size(left("marks")) > most_share * size(F.col("cut"))
+        # the lines that keep their sites without such documents; a document without boilerplate has nothing to prove
+        rest = df.where(F.exists("marks", lambda x: x) & ~over).select("text", "site")
+        df = marked(df, boilerplate(rest, least_sites, least_bytes), "sure").withColumn("marks", F.when(over, F.col("sure")).otherwise(F.col("marks")))
+    df = df.withColumn("rest", left("marks"))
+    gone = F.coalesce(F.size("cut") - F.size("rest"), F.lit(0))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("cut"))
+    return df.select("row", F.when(gone > 0, F.array_join("rest", "\n")).otherwise(F.col("text")).alias("text"), n.cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(gone).cast("long").alias("n_removed"))
 
 
 def op2_site_spread(spark, sf_dir: str) -> DataFrame:
