@@ -10,6 +10,13 @@ def reverse_complement(bases: Column) -> Column:
     return F.reverse(F.translate(bases, "ACGTacgt", "TGCAtgca"))
 
 
+def reverse_complement_as(bases: Column, letters: str = "ACGTacgt") -> Column:
+    """The reverse complement in one of three flavours: of "ACGT" alone, with "N" as itself, or of either case; other letters stay as they are."""
+    other = {"A": "T", "C": "G", "G": "C", "T": "A", "N": "N"}
+    pairs = {x: other[x.upper()] if x.isupper() else other[x.upper()].lower() for x in letters}
+    return F.reverse(F.translate(bases, letters, "".join(pairs.values())))
+
+
 def gc_count(bases: Column) -> Column:
     """G and C bases of a chunk (either case counts once upper-cased by the reader)."""
     return F.length(bases) - F.length(F.translate(bases, "GC", ""))
@@ -60,3 +67,8 @@ def patch_label(gap: Column, n: Column, contig: Column, start: Column, end: Colu
 def repair_label(contig: Column, target: Column, start: Column, end: Column) -> Column:
     """Id of an extracted repair sequence; the chromosome is the target's first token."""
     return F.concat_ws("_", contig, F.split_part(target, F.lit("_"), F.lit(1)), start.cast("string"), end.cast("string"))
+
+
+def repair_description(length: Column, kind: Column, target: Column, end: Column) -> Column:
+    """The name:value fields that follow a repair sequence's id."""
+    return F.concat_ws(" ", F.concat(F.lit("length:"), length.cast("string")), F.concat(F.lit("region_type:"), kind), F.concat(F.lit("aligned_to:"), target, F.lit("_"), end))

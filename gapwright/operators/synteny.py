@@ -132,10 +132,10 @@ def repair_decision(analyses: DataFrame) -> DataFrame:
 
 def merge_regions(regions_: DataFrame) -> DataFrame:
     """Regions (seq_id, start, end inclusive, error_type, confidence, anchor_length) merged where one begins at most one past
-    the end so far: types joined by + in order, lowest confidence, summed anchors."""
+    the end so far: types joined by + in order (repeats too), lowest confidence, summed anchors."""
     level = F.when(F.col("confidence") == "low", 0).when(F.col("confidence") == "medium", 1).otherwise(2)
-    m = islands(regions_, ["seq_id"], reach=1).groupBy("seq_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sort_array(F.collect_set("error_type")).alias("types"), F.min(level).alias("level"), F.sum("anchor_length").alias("anchor_length"), F.count("*").alias("n"))
-    return m.select("seq_id", "start", "end", F.array_join("types", "+").alias("error_type"), F.when(F.col("level") == 0, "low").when(F.col("level") == 1, "medium").otherwise("high").alias("confidence"), "anchor_length", "n")
+    m = islands(regions_, ["seq_id"], reach=1).groupBy("seq_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sort_array(F.collect_list(F.struct("start", "end", "error_type"))).alias("types"), F.min(level).alias("level"), F.sum("anchor_length").alias("anchor_length"), F.count("*").alias("n"))
+    return m.select("seq_id", "start", "end", F.array_join(F.transform("types", lambda x: x["error_type"]), "+").alias("error_type"), F.when(F.col("level") == 0, "low").when(F.col("level") == 1, "medium").otherwise("high").alias("confidence"), "anchor_length", "n")
 
 
 def mask_edits(merged: DataFrame, size: int = 100) -> DataFrame:
@@ -148,6 +148,21 @@ def repair_stats(decided: DataFrame) -> DataFrame:
     return decided.groupBy("error_type").agg(F.count("*").alias("n"), n(F.col("in_error_region"), "n_inside"), n(F.col("conservative"), "n_conservative"), n(F.col("aggressive") & ~F.col("conservative"), "n_extra"), n(~F.col("aggressive"), "n_skipped"))
 
 
+def assessment_stats(assessments: DataFrame) -> DataFrame:
+    """How many gap and contig pairs have each synteny assessment."""
+    return assessments.groupBy("assessment").agg(F.count("*").alias("n"))
+
+
+def fallback_support(alignments: DataFrame, gaps: DataFrame, near: DataFrame) -> DataFrame:
+    """Support, as gap_support gives it, for gaps that no window of alignments_near_gap serves: the nearest alignment strictly on
+    each side, at any distance, on the reference contigs whose synteny assessment allows it."""
+    left_out = gaps.join(near.select("gap_key").distinct(), "gap_key", "left_anti")
+    fit = synteny_assessment(alignments, left_out).where(F.col("assessment").isin("synteny_present", "gap_in_synteny_block", "large_distance_with_synteny")).select("gap_key", "ref_contig")
+    sides = nearest_anchors(alignments, left_out, least=1, strict_left=True).where("left is not null and right is not null")
+    row = lambda s: F.struct(*(F.col(f"{s}.{c}").alias(c) for c in ("aln_id", "r_min", "r_max", "q_min", "q_max", "direction"))).alias(s)
+    return sides.join(fit, ["gap_key", "ref_contig"]).join(left_out.select("gap_key", "gap_pos"), "gap_key").select("gap_key", "gap_pos", "ref_contig", row("left"), row("right"), F.lit(False).alias("crossing"))
+
+
 def project_gap(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
     """gap_key, ref_contig, ref_pos: mean of the truncated linear projections of the alignments that cover the gap."""
     a = with_bounds(alignments)

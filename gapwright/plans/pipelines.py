@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import seq as S
 from ..operators import edits as E
 from ..operators import fill as L
 from ..operators import gaps as D
@@ -31,50 +32,203 @@ def analyze_genome(seqs: DataFrame, least_gap: int = 1, least_fragment: int | No
     return {"gaps": gaps, "fragments": frags, "telomeres": status, "internal": internal, "sequences": rows}
 
 
-def toy_fill_inputs(seqs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sequences, themselves as contigs, and flank hits that place each gap's flanks 50 bases apart on its own sequence."""
-    gaps = D.find_gaps(D.chunk_sequences(seqs), 10)
-    g = gaps.where("start >= 200").select(F.concat_ws(".", "seq_id", F.col("start").cast("string")).alias("gap_id"), "seq_id", "start")
-    side = lambda s, a, b: g.select(F.concat("gap_id", F.lit(f".{s}")).alias("qryid"), F.col("seq_id").alias("refid"), F.lit("+").alias("strand"), a.alias("refstart"), b.alias("refend"), F.lit(950).cast("bigint").alias("matches"), F.lit(1000).cast("bigint").alias("alnlen"), F.xxhash64("gap_id", F.lit(s)).alias("hit_id"))
-    hits = side("L", F.col("start") - 200, F.col("start") - 150).unionByName(side("R", F.col("start") - 100, F.col("start") - 50))
-    return seqs, seqs, hits
+def numbered_gaps(gaps: DataFrame) -> DataFrame:
+    """gaps with gap_no, counted along each sequence, and gap_id as flank names have it."""
+    g = gaps.withColumn("gap_no", F.row_number().over(Window.partitionBy("seq_id").orderBy("start")))
+    return g.withColumn("gap_id", F.concat_ws(".", "seq_id", F.col("gap_no").cast("string")))
 
 
-def fill_gaps(seqs: DataFrame, contigs: DataFrame, hits: DataFrame, least_gap: int = 100) -> dict[str, DataFrame]:
-    """Draft sequences with their gaps filled from contigs by flank hits (PAF rows named seq.start.L or .R)."""
-    lens = D.lengths(seqs)
-    gaps = D.find_gaps(D.chunk_sequences(seqs), least_gap).withColumn("gap_id", F.concat_ws(".", "seq_id", F.col("start").cast("string")))
+def fill_gaps(lens: DataFrame, gaps: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
+    """Gaps of draft sequences filled from contigs by flank hits (PAF rows named seq.gap_no.L or .R).
+
+    lens: seq_id, seq_ord, seq_length; gaps: seq_id, start, end, length. edits and segments are coordinates (edits.materialize makes bases)."""
+    named = numbered_gaps(gaps)
     best = L.best_fill(L.anchor_pairs(L.flank_hits(hits)))
-    made = E.resolve(L.fill_edits(best, gaps))
+    made = E.resolve(L.fill_edits(best, named))
     segments = E.apply_edits(made, lens)
-    chunks = D.chunk_sequences(seqs).withColumn("kind", F.lit("seq")).unionByName(D.chunk_sequences(contigs).withColumn("kind", F.lit("contig")))
-    return {"segments": segments, "agp": E.agp_rows(segments), "chunks": E.materialize(segments, chunks), "detail": L.fill_detail(gaps.select("gap_id"), best)}
-
-
-def patch_gaps(alignments: DataFrame, gaps: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Numbered patch regions for every gap, with those that have none."""
-    p = P.numbered_patches(P.patch_regions(P.valid_pairs(P.nearest_anchors(alignments, gaps)), lengths))
-    return gaps.select("gap_key", "query_contig", "gap_pos").join(p, "gap_key", "left")
-
-
-def correct_gaps(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Every gap near alignments with its error type, region and decision."""
+    left = named.join(best.select("gap_id"), "gap_id", "left_anti").select("seq_id", "start", "end", "length")
+    return {"edits": made, "segments": segments, "agp": E.agp_rows(segments), "detail": L.fill_detail(named.select("gap_id"), best), "open": left, "stats": D.fill_stat_table(lens, left, 1), "closure": D.gap_closure(gaps, left, 1)}
+
+
+def moved_gaps(gaps: DataFrame, edits: DataFrame) -> DataFrame:
+    """Gaps (outside the edits) at their places after the edits."""
+    at = gaps.withColumn("key", F.xxhash64("seq_id", "start")).select("key", "seq_id", "start", "end", "length")
+    lift = lambda p: E.lift_by_edits(at.select("key", "seq_id", F.col(p).alias("pos")), edits).select("key", F.col("lifted").alias(f"_{p}"))
+    return at.join(lift("start"), "key").join(lift("end"), "key").select("seq_id", F.col("_start").alias("start"), F.col("_end").alias("end"), "length")
+
+
+def new_lengths(lens: DataFrame, edits: DataFrame) -> DataFrame:
+    """Sequence lengths after the edits."""
+    more = edits.groupBy("seq_id").agg(F.sum(F.expr("src_end - src_start - (del_end - del_start)")).alias("_more"))
+    return lens.join(more, "seq_id", "left").withColumn("seq_length", F.col("seq_length") + F.coalesce("_more", F.lit(0))).drop("_more")
+
+
+def two_round_fill(lens: DataFrame, gaps: DataFrame, hits: DataFrame, hits2: DataFrame, least: int = 100_000, joint: int = 100) -> DataFrame:
+    """Fill, drop fragments below `least` (what is kept is joined by `joint` Ns), fill again: a row a round with its gap counts.
+
+    hits2 name the gaps of the second round, the joints, by their number in each sequence."""
+    one = fill_gaps(lens, gaps, hits)
+    lens1 = new_lengths(lens, one["edits"])
+    frags = D.fragment_status(D.fragments(moved_gaps(one["open"], one["edits"]), lens1), least)
+    kept = D.filtered_segments(frags, joint)
+    w = Window.partitionBy("seq_id").orderBy("n")
+    joints = kept.withColumn("next", F.lead("out_start").over(w)).where("next is not null").select("seq_id", (F.col("next") - joint).alias("start"), F.col("next").alias("end"), F.lit(joint).cast("bigint").alias("length"))
+    lens2 = kept.groupBy("seq_id").agg(F.max(F.expr("out_start + end - start")).cast("bigint").alias("seq_length"))
+    two = fill_gaps(lens2.join(lens.select("seq_id", "seq_ord"), "seq_id"), joints, hits2)
+    count = lambda n, g, o: g.agg(F.lit(n).alias("round"), F.count("*").alias("gaps_before")).crossJoin(o.agg(F.count("*").alias("gaps_after")))
+    return count(1, gaps, one["open"]).unionByName(count(2, joints, two["open"]))
+
+
+def patch_gaps(alignments: DataFrame, gaps: DataFrame, ref_lengths: DataFrame, matches: DataFrame, lens: DataFrame, flank: int = 10_000, least_net: int = 100) -> dict[str, DataFrame]:
+    """Every gap's patches off the reference contigs, their flanks' matches on the sequence, cut points, accepted edits, and the rebuilt genome.
+
+    gaps: gap_key, query_contig, gap_pos, gap_id; matches: PAF rows of the patch flanks on the sequence, named gap_id.L and .R;
+    lens: seq_id, seq_length of the whole genome. The first patch of a gap is tried."""
+    numbered = P.numbered_patches(P.patch_regions(P.valid_pairs(P.nearest_anchors(alignments, gaps)), ref_lengths, flank))
+    first = numbered.where("patch_no = 1").withColumn("patch_length", F.col("patch_end") - F.col("patch_start") + 1)
+    first = first.withColumn("left_flank", P.patch_flanks(F.col("patch_length"), flank)).where("left_flank is not null").withColumn("right_flank", F.col("left_flank"))
+    first = first.join(gaps.select("gap_key", "query_contig", "gap_pos", "gap_id"), "gap_key").join(lens.select(F.col("seq_id").alias("query_contig"), "seq_length"), "query_contig")
+    found = P.match_gate(P.best_matches(matches)).join(first.withColumn("gap_start", F.col("gap_pos")), "gap_id").withColumn("has_cigar", F.lit(False))
+    cuts = P.accepted(P.cut_points(found), least_net)
+    # the patch lies in patch_start..patch_end of its contig, read backwards where its direction, or both flanks' strand, says so
+    turned = (F.col("direction") < 0) != ((F.col("l_strand") == "-") & (F.col("r_strand") == "-"))
+    base = F.col("patch_start") - 1
+    src = F.when(turned, F.col("patch_end") - F.col("ins_end")).otherwise(base + F.col("ins_start")).alias("src_start"), F.when(turned, F.col("patch_end") - F.col("ins_start")).otherwise(base + F.col("ins_end")).alias("src_end")
+    offered = cuts.select("gap_key", F.col("query_contig").alias("seq_id"), F.col("left_cut").alias("del_start"), F.greatest("left_cut", "right_cut").alias("del_end"), F.lit("contig").alias("src_kind"), F.col("ref_contig").alias("src_id"), *src, F.when(turned, "-").otherwise("+").alias("strand"), F.lit(0).alias("priority"))
+    edits = E.resolve(offered.drop("gap_key"))
+    changed = new_lengths(lens.join(edits.select("seq_id").distinct(), "seq_id", "left_semi"), edits)
+    return {"patches": gaps.select("gap_key", "query_contig", "gap_pos").join(numbered, "gap_key", "left"), "offered": offered, "edits": edits, "segments": E.apply_edits(edits, lens), "genome": L.overlay(changed, lens), "summary": P.patch_summary(cuts)}
+
+
+def correct_gaps(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, mode: str = "conservative", mask: int = 100, gap_size: int = 100) -> dict[str, DataFrame]:
+    """Every gap with its error type, region and decision; the regions to mask, the masked genome and how far it is better.
+
+    Gaps without support near them fall back on synteny. gaps: gap_key, query_contig, gap_pos; lens: seq_id, seq_length."""
     near = Y.alignments_near_gap(alignments, gaps)
-    typed = Y.with_pair_type(Y.gap_support(near))
-    return Y.repair_decision(Y.regions(typed, Y.error_types(typed, near.where("crossing")), near))
-
-
-def patch_then_correct(alignments: DataFrame, gaps: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Per query contig: gaps, patches, strategy, and how many gaps of the contigs to correct are repaired."""
-    p = patch_gaps(alignments, gaps, lengths)
-    r = p.groupBy(F.col("query_contig").alias("seq_id")).agg(F.count_distinct("gap_key").alias("n_gaps"), F.count_distinct(F.when(F.col("patch_no").isNotNull(), F.col("gap_key"))).alias("n_extracted"), F.count_distinct(F.when(F.col("patch_no") >= 3, F.col("gap_key"))).alias("n_applied"))
-    strategy = Y.chrom_strategy(r)
-    decided = correct_gaps(alignments, gaps).join(gaps.select("gap_key", F.col("query_contig").alias("seq_id")), "gap_key").groupBy("seq_id").agg(F.count(F.when(F.col("conservative"), 1)).alias("n_corrected"))
-    return strategy.join(decided, "seq_id", "left").fillna(0, ["n_corrected"])
-
-
-def recover_telomeres(matches: DataFrame, strategy: str = "minimal_extension", both_ends: bool = False) -> DataFrame:
-    """Chosen repair of each chromosome (of each end with both_ends) as edits with their scores."""
-    plans = T.merge_plan(matches).where("reason is null")
-    plans = plans.withColumn("target", F.concat_ws("|", "target", "repair_end")) if both_ends else plans
-    return T.select_repair(plans, strategy).select("target", "qryid", "repair_end", "del_start", "del_end", "src_start", "src_end", "strand", "extension", F.round("selection", 9).alias("selection"))
+    more = Y.fallback_support(alignments, gaps, near)
+    typed = Y.with_pair_type(Y.gap_support(near).unionByName(more))
+    seen = near.select("gap_key", "gap_pos", "q_min", "q_max", "crossing").unionByName(more.select("gap_key", "gap_pos", "left.q_min", "right.q_max", "crossing"))
+    decided = Y.repair_decision(Y.regions(typed, Y.error_types(typed, near.where("crossing")), seen))
+    decided = decided.join(gaps.select("gap_key", F.col("query_contig").alias("seq_id")), "gap_key")
+    cut = decided.where(mode).join(lens.select("seq_id", "seq_length"), "seq_id").select("seq_id", F.greatest(F.lit(1), "replace_start").cast("bigint").alias("start"), F.least("replace_end", "seq_length").alias("end"), "error_type", "confidence", "anchor_length").where("end >= start")
+    merged = Y.merge_regions(cut)
+    edits = Y.mask_edits(merged, mask)
+    runs = gaps.select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").alias("start"), (F.col("gap_pos") + gap_size).alias("end"), F.lit(gap_size).cast("bigint").alias("length"))
+    gone = decided.where(mode).join(gaps.select("gap_key", "query_contig"), "gap_key").select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").alias("start")).distinct()
+    after = runs.join(gone, ["seq_id", "start"], "left_anti").select("length").unionByName(merged.select(F.lit(mask).cast("bigint").alias("length")))
+    return {"decided": decided, "merged": merged, "edits": edits, "segments": E.apply_edits(edits, lens), "improvement": D.fix_improvement(runs, after, lens, new_lengths(lens, edits)), "stats": Y.repair_stats(decided)}
+
+
+def patch_then_correct(alignments: DataFrame, gaps: DataFrame, ref_lengths: DataFrame, matches: DataFrame, lens: DataFrame) -> dict[str, DataFrame]:
+    """Patches first; sequences whose strategy asks for it are corrected, and their patches offered again at the moved places.
+
+    Applied patches are the accepted edits of patch_gaps."""
+    p = patch_gaps(alignments, gaps, ref_lengths, matches, lens)
+    counts = p["patches"].groupBy(F.col("query_contig").alias("seq_id")).agg(F.count_distinct("gap_key").alias("n_gaps"), F.count_distinct(F.when(F.col("patch_no").isNotNull(), F.col("gap_key"))).alias("n_extracted"))
+    applied = p["edits"].groupBy("seq_id").agg(F.count("*").alias("n_applied"))
+    strategy = Y.chrom_strategy(counts.join(applied, "seq_id", "left").fillna(0, ["n_applied"]))
+    chosen = strategy.where(F.col("strategy").isin("no_patch_fixer", "full_fixer_reuse_patches")).select("seq_id")
+    c = correct_gaps(alignments, gaps.join(chosen, gaps["query_contig"] == chosen["seq_id"], "left_semi"), lens)
+    # patches of the corrected sequences, lifted over the masks; those that a mask has cut into are gone
+    again = p["offered"].join(chosen, "seq_id", "left_semi")
+    lift = lambda x: E.lift_by_edits(again.select(F.col("gap_key").alias("key"), "seq_id", F.col(x).alias("pos")), c["edits"]).select(F.col("key").alias("gap_key"), F.col("lifted").alias(x))
+    moved = again.drop("del_start", "del_end").join(lift("del_start"), "gap_key").join(lift("del_end"), "gap_key")
+    fixed = c["decided"].groupBy("seq_id").agg(F.count(F.when(F.col("conservative"), 1)).alias("n_corrected"))
+    return {"strategy": strategy.join(fixed, "seq_id", "left").fillna(0, ["n_corrected"]), "patch": p, "correct": c, "again": moved.withColumn("header", P.reheader(F.concat(F.lit("gap0_patch1_contig"), "src_id"), F.col("del_start")))}
+
+
+def correct_then_refill(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
+    """Correct the sequences that have gaps, keep the rest, then fill the masks from contigs."""
+    c = correct_gaps(alignments, gaps, lens)
+    after = new_lengths(lens, c["edits"])
+    w = Window.partitionBy("seq_id").orderBy("del_start")
+    at = F.col("del_start") + F.coalesce(F.sum(F.expr("src_end - src_start - (del_end - del_start)")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    masks = c["edits"].withColumn("start", at).select("seq_id", "start", (F.col("start") + F.col("src_end")).alias("end"), F.col("src_end").alias("length"))
+    return {"correct": c, "fill": fill_gaps(after, masks, hits)}
+
+
+def extract_repairs(alignments: DataFrame, contigs: DataFrame, arrays: DataFrame, most: int = 5_000_000, least_telomeres: int = 1) -> DataFrame:
+    """Repair sequences off contigs: from the contig's start to the first good alignment's end (5'), or from the last one's start to its end (3').
+
+    contigs: seq_id, seq_length; arrays: telomere arrays of the contigs. Regions without an array are left out; long ones are cut
+    down to telomere and alignment. Returns label, description, contig, target, repair_end, start, end (1-based), turned, n_arrays."""
+    d = T.directed(alignments)
+    good = T.good_alignment(d, "5prime").unionByName(T.good_alignment(d, "3prime")).join(contigs.select(F.col("seq_id").alias("ref_contig"), "seq_length"), "ref_contig")
+    five = F.col("repair_end") == "5prime"
+    r = good.withColumns({"start": F.when(five, F.lit(1)).otherwise(F.col("s1")).cast("bigint"), "end": F.when(five, F.least("e1", "seq_length")).otherwise(F.col("seq_length")), "region_id": F.concat_ws("|", "ref_contig", "query_contig", "repair_end")}).where("end >= start")
+    inside = T.in_region(arrays, r.select("region_id", F.col("ref_contig").alias("seq_id"), (F.col("start") - 1).alias("start"), "end"))
+    r = T.truncated(r.join(inside, "region_id").where(F.col("n_arrays") >= least_telomeres), most)
+    turned = F.col("is_reverse") & ~F.col("mostly_forward")
+    kind = F.when(five, "first_alignment_with_preceding").otherwise("last_alignment_with_subsequent")
+    label = S.repair_label(F.col("ref_contig"), F.col("query_contig"), F.col("cut_start"), F.col("cut_end"))
+    return r.select(label.alias("label"), S.repair_description(F.col("cut_end") - F.col("cut_start") + 1, kind, F.col("query_contig"), F.col("repair_end")).alias("description"), F.col("ref_contig").alias("contig"), F.col("query_contig").alias("target"), "repair_end", F.col("cut_start").alias("start"), F.col("cut_end").alias("end"), turned.alias("turned"), "n_arrays")
+
+
+def recover_telomeres(repairs: DataFrame, hits: DataFrame, status: DataFrame, strategy: str = "minimal_extension", both_ends: bool = False) -> dict[str, DataFrame]:
+    """The chosen repair of each chromosome that lacks telomere repeats (of each end with both_ends), as edits, with the rebuilt segments.
+
+    repairs: as extract_repairs gives them; hits: PAF rows of the repairs on the chromosomes, named by label and repair_end (column
+    repair_end); status: telomere_status of all chromosomes."""
+    ranked = T.repair_groups(repairs.select(F.concat_ws("|", "label", "repair_end").alias("repair_id"), "target", (F.col("end") - F.col("start") + 1).alias("length")))
+    own = repairs.withColumn("repair_id", F.concat_ws("|", "label", "repair_end")).join(ranked.select("repair_id", "place"), "repair_id")
+    named = hits.withColumn("qryid", F.concat_ws("|", "qryid", "repair_end")).join(own.select(F.col("repair_id").alias("qryid"), "target"), "qryid", "left_semi")
+    lacking = status.where("needs_repair").select(F.col("seq_id").alias("refid"), "has_5prime", "has_3prime")
+    named = named.join(lacking, "refid").where("(repair_end = '5prime' and not has_5prime) or (repair_end = '3prime' and not has_3prime)")
+    tried = T.merge_plan(T.validated(T.best_telomere_match(named)).withColumn("target", F.concat_ws("|", "refid", "repair_end") if both_ends else F.col("refid")))
+    chosen = T.select_repair(tried.where("reason is null"), strategy)
+    src = own.select(F.col("repair_id").alias("qryid"), "contig", "start", F.col("end").alias("stop"), "turned")
+    # offsets within the repair sequence, turned back into the contig's
+    minus = (F.col("strand") == "-") != F.col("turned")
+    c = chosen.join(src, "qryid")
+    lo = F.when(minus, F.col("stop") - F.col("src_end")).otherwise(F.col("start") - 1 + F.col("src_start"))
+    hi = F.when(minus, F.col("stop") - F.col("src_start")).otherwise(F.col("start") - 1 + F.col("src_end"))
+    edits = c.select(F.col("refid").alias("seq_id"), "del_start", "del_end", F.lit("contig").alias("src_kind"), F.col("contig").alias("src_id"), lo.alias("src_start"), hi.alias("src_end"), F.when(minus, "-").otherwise("+").alias("strand"), F.lit(0).alias("priority"))
+    lens = status.select("seq_id", "seq_length")
+    return {"tried": tried, "chosen": chosen, "edits": E.resolve(edits), "segments": E.apply_edits(E.resolve(edits), lens), "outcomes": T.outcomes(tried, chosen, status.select(F.concat_ws("|", "seq_id", F.explode(F.array(F.lit("5prime"), F.lit("3prime")))).alias("seq_id")) if both_ends else status), "stats": T.run_stats(chosen, tried)}
+
+
+def chosen_contigs(sources: DataFrame) -> DataFrame:
+    """sources (stage, priority, source, seq_id): for each stage the contigs of its first source that has any."""
+    first = sources.groupBy("stage").agg(F.min("priority").alias("priority"))
+    return sources.join(first, ["stage", "priority"])
+
+
+def repair_genome(lens: DataFrame, gaps: DataFrame, alignments: DataFrame, ref_lengths: DataFrame, matches: DataFrame, fill_hits: DataFrame, repairs: DataFrame, end_hits: DataFrame, status: DataFrame, stages: tuple = ("patch", "correct", "fill", "telomere")) -> DataFrame:
+    """The four stages one after another, each on what the one before left; a stage that is left out passes its input on.
+
+    A row a stage: edits, sequences changed, bases after it, and gaps left. gaps: gap_key, query_contig, gap_pos, gap_id."""
+    rows, size = None, 100
+    runs = gaps.select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").alias("start"), (F.col("gap_pos") + size).alias("end"), F.lit(size).cast("bigint").alias("length"))
+    for place, stage in enumerate(("patch", "correct", "fill", "telomere")):
+        edits = None
+        at = runs.select(F.xxhash64("seq_id", "start").alias("gap_key"), F.col("seq_id").alias("query_contig"), F.col("start").alias("gap_pos"))
+        if stage in stages and stage == "patch":
+            edits = patch_gaps(alignments, gaps, ref_lengths, matches, lens)["edits"]
+        elif stage in stages and stage == "correct":
+            edits = correct_gaps(alignments, at, lens)["edits"]
+        elif stage in stages and stage == "fill":
+            edits = fill_gaps(lens, runs, fill_hits)["edits"]
+        elif stage in stages:
+            edits = recover_telomeres(repairs, end_hits, status)["edits"]
+        if edits is None:
+            done = lens.agg(F.lit(0).cast("bigint").alias("n_edits"), F.lit(0).cast("bigint").alias("n_changed"))
+        else:
+            done = edits.agg(F.count("*").alias("n_edits"), F.count_distinct("seq_id").alias("n_changed"))
+            # gaps that an edit has replaced are gone, masks are new ones, the rest moves
+            lens = new_lengths(lens, edits)
+            marked = E.lift_by_edits(runs.select(F.xxhash64("seq_id", "start").alias("key"), "seq_id", (F.col("start") + 1).alias("pos")), edits)
+            inside = marked.join(edits.select("seq_id", F.explode(F.expr("sequence(del_start div 1000000, del_end div 1000000)")).alias("bin"), "del_start", "del_end").withColumnRenamed("seq_id", "sid"), (F.col("seq_id") == F.col("sid")) & (F.expr("pos div 1000000") == F.col("bin"))).where("pos > del_start and pos <= del_end").select("key").distinct()
+            rest = runs.withColumn("key", F.xxhash64("seq_id", "start")).join(inside, "key", "left_anti").drop("key")
+            w = Window.partitionBy("seq_id").orderBy("del_start")
+            shift = F.coalesce(F.sum(F.expr("src_end - src_start - (del_end - del_start)")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            masks = edits.withColumn("start", F.col("del_start") + shift).where("src_kind = 'N'").select("seq_id", "start", (F.col("start") + F.col("src_end") - F.col("src_start")).alias("end"), (F.col("src_end") - F.col("src_start")).alias("length"))
+            runs = moved_gaps(rest, edits).unionByName(masks)
+        row = done.crossJoin(lens.agg(F.sum("seq_length").cast("bigint").alias("bases"))).crossJoin(runs.agg(F.count("*").alias("n_gaps"))).select(F.lit(place + 1).alias("place"), F.lit(stage).alias("stage"), F.lit(edits is not None).alias("ran"), "n_edits", "n_changed", "bases", "n_gaps")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+def batch_counts(rows: DataFrame, samples: DataFrame) -> DataFrame:
+    """Batch runs carry a sample column through every operator; here, the samples that gave rows and those that gave none."""
+    ok = rows.select("sample").distinct().withColumn("ok", F.lit(True))
+    return samples.select("sample").distinct().join(ok, "sample", "left").agg(F.count("ok").alias("n_ok"), F.count(F.when(F.col("ok").isNull(), 1)).alias("n_failed"))

@@ -147,14 +147,19 @@ def e9f(s, d):
     return _paf(s, d).select("hit_id", P.in_window(F.col("refstart"), F.lit(450_000), 200_000).alias("inside"))
 
 
-CUTS = BEST + """, c0 AS (SELECT *, least(lre, rrs) + 50 AS gs, CASE WHEN lre > rrs THEN least(lre, least(lre, rrs) + 50) ELSE lre END AS lc0, CASE WHEN lre > rrs THEN greatest(rrs, least(lre, rrs) + 150) ELSE rrs END AS rc0 FROM gate),
-c1 AS (SELECT *, greatest(0, least(lc0, gs + 500000)) AS left_cut, greatest(gs - 500000, least(rc0, 2000000)) AS right_cut, CASE WHEN ls = '-' AND rs = '-' THEN 12000 - (7000 + rqe) ELSE lqs END AS a0, CASE WHEN ls = '-' AND rs = '-' THEN 12000 - (7000 + rqs) ELSE lqe END AS a1,
-  CASE WHEN ls = '-' AND rs = '-' THEN 12000 - lqe ELSE 7000 + rqs END AS b0, CASE WHEN ls = '-' AND rs = '-' THEN 12000 - lqs ELSE 7000 + rqe END AS b1 FROM c0),
-c2 AS (SELECT *, greatest(0, least(12000, CASE WHEN a1 > b0 THEN least(a0, b0) ELSE a1 END)) AS x, greatest(0, least(12000, CASE WHEN a1 > b0 THEN greatest(a1, b1) ELSE b0 END)) AS y FROM c1),
-cuts AS (SELECT gap_id, l_score, r_score, left_cut, right_cut, CASE WHEN x >= y THEN 5000 ELSE x END AS ins_start, CASE WHEN x >= y THEN 7000 ELSE y END AS ins_end, greatest(0, right_cut - left_cut) AS removed FROM c2)
+def cuts_sql(source: str) -> str:
+    """Cut points of gate rows that have gs (gap start), sl (sequence length), pl (patch length), lf and rf (flanks)."""
+    return BEST + f""", c0 AS (SELECT *, CASE WHEN lre > rrs THEN least(lre, gs) ELSE lre END AS lc0, CASE WHEN lre > rrs THEN greatest(rrs, gs + 100) ELSE rrs END AS rc0 FROM ({source}) g),
+c1 AS (SELECT *, greatest(0, least(lc0, gs + 500000)) AS left_cut, greatest(gs - 500000, least(rc0, sl)) AS right_cut, CASE WHEN ls = '-' AND rs = '-' THEN pl - (pl - rf + rqe) ELSE lqs END AS a0, CASE WHEN ls = '-' AND rs = '-' THEN pl - (pl - rf + rqs) ELSE lqe END AS a1,
+  CASE WHEN ls = '-' AND rs = '-' THEN pl - lqe ELSE pl - rf + rqs END AS b0, CASE WHEN ls = '-' AND rs = '-' THEN pl - lqs ELSE pl - rf + rqe END AS b1 FROM c0),
+c2 AS (SELECT *, greatest(0, least(pl, CASE WHEN a1 > b0 THEN least(a0, b0) ELSE a1 END)) AS x, greatest(0, least(pl, CASE WHEN a1 > b0 THEN greatest(a1, b1) ELSE b0 END)) AS y FROM c1),
+cuts AS (SELECT *, CASE WHEN x >= y THEN lf ELSE x END AS ins_start, CASE WHEN x >= y THEN greatest(lf, pl - rf) ELSE y END AS ins_end, greatest(0, right_cut - left_cut) AS removed FROM c2)
 """
 
 
+CUTS = cuts_sql("SELECT *, least(lre, rrs) + 50 AS gs, 2000000 AS sl, 12000 AS pl, 5000 AS lf, 5000 AS rf FROM gate")
+
+
 def _cuts(s, d):
     m = P.match_gate(P.best_matches(_paf(s, d)))
     m = m.withColumns({"gap_start": F.least("l_refend", "r_refstart") + 50, "seq_length": F.lit(2_000_000).cast("bigint"), "patch_length": F.lit(12_000).cast("bigint"), "left_flank": F.lit(5_000).cast("bigint"), "right_flank": F.lit(5_000).cast("bigint"), "has_cigar": F.lit(False)})
@@ -279,7 +284,24 @@ def f5(s, d):
     return Y.project_gap(_al(s, d), _gp(s, d)).withColumn("ref_pos", F.round("ref_pos", 6))
 
 
-@query("F6_synteny_assessment")
+ASSESS = BLOCKS + PROJ.replace(AL, "", 1).lstrip(", ").join([", ", ""]) + """,
+ask1 AS (SELECT g.gap_key, g.gap_pos, g.query_contig, t.ref_contig FROM gap_positions g JOIN (SELECT DISTINCT query_contig, ref_contig FROM al) t USING (query_contig)),
+lf1 AS (SELECT k.gap_key, k.ref_contig, arg_max(a.aln_id, (a.q_max, -a.aln_id)) AS id FROM ask1 k JOIN al a ON a.query_contig = k.query_contig AND a.ref_contig = k.ref_contig AND a.q_max < k.gap_pos GROUP BY ALL),
+rg1 AS (SELECT k.gap_key, k.ref_contig, arg_min(a.aln_id, (a.q_min, a.aln_id)) AS id FROM ask1 k JOIN al a ON a.query_contig = k.query_contig AND a.ref_contig = k.ref_contig AND a.q_min > k.gap_pos GROUP BY ALL),
+sd AS (SELECT k.*, l.aln_id AS lid, r.aln_id AS rid, l.r_min AS l0, r.r_min AS r0, l.direction AS ld, r.direction AS rd, least(k.gap_pos - l.q_max, r.q_min - k.gap_pos) AS gap FROM ask1 k LEFT JOIN lf1 USING (gap_key, ref_contig) LEFT JOIN rg1 USING (gap_key, ref_contig) LEFT JOIN al l ON l.aln_id = lf1.id LEFT JOIN al r ON r.aln_id = rg1.id),
+cov AS (SELECT DISTINCT p.gap_key, p.ref_contig, true AS covered FROM proj p JOIN blocks b ON b.ref_contig = p.ref_contig AND p.ref_pos BETWEEN b.start AND b."end"),
+sam AS (SELECT DISTINCT gap_key, s.ref_contig, true AS same FROM sd s JOIN blocks b ON b.ref_contig = s.ref_contig AND l0 BETWEEN b.start AND b."end" AND r0 BETWEEN b.start AND b."end" AND ld = b.direction AND rd = b.direction),
+assess AS (SELECT gap_key, ref_contig, CASE WHEN covered THEN 'gap_in_synteny_block' WHEN p.ref_pos IS NOT NULL THEN 'gap_outside_synteny_blocks' WHEN lid IS NULL OR rid IS NULL THEN 'insufficient_anchors' WHEN same AND gap > 500000 THEN 'large_distance_with_synteny' WHEN same THEN 'synteny_present' ELSE 'no_synteny_between_anchors' END AS assessment, gap AS anchor_distance
+  FROM sd LEFT JOIN proj p USING (gap_key, ref_contig) LEFT JOIN cov USING (gap_key, ref_contig) LEFT JOIN sam USING (gap_key, ref_contig))
+"""
+
+
+@query("F17b_assessment_stats", ASSESS + "SELECT assessment, count(*) AS n FROM assess GROUP BY assessment", "alignments", "gap_positions")
+def f17b(s, d):
+    return Y.assessment_stats(Y.synteny_assessment(_al(s, d), _gp(s, d)))
+
+
+@query("F6_synteny_assessment", ASSESS + "SELECT gap_key, ref_contig, assessment, anchor_distance FROM assess", "alignments", "gap_positions")
 def f6(s, d):
     return Y.synteny_assessment(_al(s, d), _gp(s, d))
 
@@ -330,7 +352,7 @@ def f14(s, d):
 
 MERGED = WIN + """, rg AS (SELECT g.query_contig AS seq_id, greatest(1, replace_start) AS s, replace_end AS e, error_type, confidence, anchor_length FROM dec JOIN gap_positions g USING (gap_key) WHERE conservative),
 isl AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY seq_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, max(e) OVER (PARTITION BY seq_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM rg) t),
-mg AS (SELECT seq_id, min(s) AS start, max(e) AS "end", string_agg(DISTINCT error_type, '+' ORDER BY error_type) AS error_type, min(CASE confidence WHEN 'low' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END) AS lv, cast(sum(anchor_length) AS bigint) AS anchor_length, count(*) AS n FROM isl GROUP BY seq_id, k)
+mg AS (SELECT seq_id, min(s) AS start, max(e) AS "end", string_agg(error_type, '+' ORDER BY s, e, error_type) AS error_type, min(CASE confidence WHEN 'low' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END) AS lv, cast(sum(anchor_length) AS bigint) AS anchor_length, count(*) AS n FROM isl GROUP BY seq_id, k)
 """
 
 

@@ -227,39 +227,3 @@ def g23(s, d):
 
 # --- N: composites --------------------------------------------------------------
 
-@query("N1_analyze_genome")
-def n1(s, d):
-    return N.analyze_genome(_telo(s, d), least_gap=10, internal_flank=2_000)["sequences"]
-
-
-@query("N2_fill_gaps")
-def n2(s, d):
-    q = fixture(s, d, "seqs")
-    return N.fill_gaps(*N.toy_fill_inputs(q), least_gap=10)["segments"].groupBy("seq_id").agg(F.count("*").alias("n_segments"), F.sum(F.when(F.col("kind") == "contig", 1).otherwise(0)).alias("n_filled"), F.max(F.expr("out_start + src_end - src_start")).alias("new_length"))
-
-
-@query("N3_patch_gaps")
-def n3(s, d):
-    return N.patch_gaps(fixture(s, d, "alignments"), fixture(s, d, "gap_positions"), fixture(s, d, "alignments").select("ref_contig").distinct().withColumn("ref_length", F.lit(300_000).cast("bigint")))
-
-
-@query("N4_correct_gaps")
-def n4(s, d):
-    return N.correct_gaps(fixture(s, d, "alignments"), fixture(s, d, "gap_positions"))
-
-
-@query("N5_patch_then_correct")
-def n5(s, d):
-    a, g = fixture(s, d, "alignments"), fixture(s, d, "gap_positions")
-    return N.patch_then_correct(a, g, a.select("ref_contig").distinct().withColumn("ref_length", F.lit(300_000).cast("bigint")))
-
-
-@query("N6_recover_telomeres")
-def n6(s, d):
-    return N.recover_telomeres(_matches(s, d))
-
-
-@query("N8_choose_contigs", "SELECT seq_id, CASE WHEN seq_ord % 4 = 0 THEN 'external' ELSE 'generated' END AS source FROM seqs", "seqs")
-def n8(s, d):
-    q = fixture(s, d, "seqs").select("seq_id", "seq_ord")
-    return L.overlay(q.where("seq_ord % 4 = 0"), q).select("seq_id", F.when(F.col("origin") == "repaired", "external").otherwise("generated").alias("source"))

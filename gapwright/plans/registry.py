@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None, *tables: str):
     return add
 
 
-from . import queries_align, queries_gaps, queries_telomere  # noqa: E402, F401
+from . import queries_align, queries_files, queries_gaps, queries_repair, queries_telomere  # noqa: E402, F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,48 @@ def read_fasta(spark: SparkSession, path: str, glob: str | None = None, recursiv
     return rows.where("trim(value) <> ''").select("sample", F.col("at").alias("seq_ord"), F.split_part(head, F.lit(" "), F.lit(1)).alias("seq_id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), bases.alias("bases"))
 
 
+def read_fasta_chunks(spark: SparkSession, path: str, grid: int = 4_000, glob: str | None = None) -> DataFrame:
+    """sample, record, seq_id, description, chunk_ix, start, bases of FASTA files, cut on a grid by lines: no record is ever in one row.
+
+    A file's blocks are read apart; what a line belongs to follows from the headers and bases counted in the blocks before it."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("sample"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")]
+    lines = reader.text(path).select(F.regexp_replace("value", r"\s+$", "").alias("line"), *at).where("line <> ''")
+    head = F.col("line").startswith(">")
+    w = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.when(head, 0).otherwise(F.length("line"))
+    # bases since the block began, and what they were at the last header
+    own = lines.withColumn("n_heads", F.count(F.when(head, 1)).over(w)).withColumn("upto", F.sum(size).over(w)).withColumn("mark", F.last(F.when(head, F.col("upto")), ignorenulls=True).over(w))
+    per = own.groupBy("file", "block").agg(F.max("n_heads").alias("heads"), F.max("upto").alias("bases"), F.max("mark").alias("mark"))
+    over = Window.partitionBy("file").orderBy("block")  # a row for each block
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    # bases since the last header of all blocks before: all so far, less all up to that header
+    per = per.withColumn("all_upto", F.sum("bases").over(over)).withColumn("last_mark", F.when(F.col("mark").isNotNull(), F.col("all_upto") - F.col("bases") + F.col("mark")))
+    per = per.select("file", "block", F.coalesce(F.sum("heads").over(before), F.lit(0)).alias("heads0"), F.coalesce(F.last("all_upto").over(before), F.lit(0)).alias("all0"), F.coalesce(F.last("last_mark", ignorenulls=True).over(before), F.lit(0)).alias("mark0"))
+    j = own.join(per, ["file", "block"]).withColumn("record", F.col("heads0") + F.col("n_heads"))
+    begin = F.when(F.col("mark").isNotNull(), F.col("upto") - F.col("mark")).otherwise(F.col("all0") + F.col("upto") - F.col("mark0")) - F.length("line")
+    title = F.trim(F.substring("line", 2, 1 << 20))
+    names = j.where(head).select("file", "sample", "record", F.split_part(title, F.lit(" "), F.lit(1)).alias("seq_id"), F.trim(F.regexp_replace(title, r"^\S+", "")).alias("description"))
+    pieces = j.where(~head).select("file", "record", begin.alias("begin"), F.upper(F.regexp_replace("line", r"\s", "")).alias("piece"))
+    cut = pieces.select("*", F.explode(F.expr(f"sequence(begin div {grid}, (begin + length(piece) - 1) div {grid})")).alias("chunk_ix"))
+    lo, hi = F.greatest("begin", F.col("chunk_ix") * grid), F.least(F.col("begin") + F.length("piece"), (F.col("chunk_ix") + 1) * grid)
+    cut = cut.withColumn("lo", lo).withColumn("hi", hi).select("file", "record", "chunk_ix", "lo", F.expr("substring(piece, cast(lo - begin + 1 as int), cast(hi - lo as int))").alias("part"))
+    whole = cut.groupBy("file", "record", "chunk_ix").agg(F.sort_array(F.collect_list(F.struct("lo", "part"))).alias("p"))
+    bases = F.array_join(F.transform("p", lambda x: x["part"]), "")
+    return whole.join(names, ["file", "record"]).select("sample", "record", "seq_id", "description", F.col("chunk_ix").cast("int").alias("chunk_ix"), (F.col("chunk_ix") * grid).alias("start"), bases.alias("bases"))
+
+
+def fasta_dir_summary(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """sample, n_sequences, n_bases, ok for each FASTA file of a folder; a file without a sequence, or with one that has no bases, isn't ok."""
+    r = read_fasta(spark, path, glob, recursive)
+    return r.groupBy("sample").agg(F.count("*").alias("n_sequences"), F.sum(F.length("bases").cast("bigint")).alias("n_bases"), F.bool_and((F.col("seq_id") != "") & (F.col("bases") != "")).alias("ok"))
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """path, length of files; contents aren't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where("path not rlike '/[._][^/]*$'")
+
+
 def parse_coords(lines: DataFrame) -> DataFrame:
     """lines (value) of a coords file -> alignment rows; headers, short and bad lines are dropped.
 

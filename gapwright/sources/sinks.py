@@ -31,3 +31,9 @@ def write_tsv(rows: DataFrame, path: str, header: bool = False) -> None:
 
 def write_report(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
+
+
+def gap_report(gaps: DataFrame) -> DataFrame:
+    """A nested row a sequence: seq_id, summary, and its gaps in order (coordinates only)."""
+    at = F.sort_array(F.collect_list(F.struct("start", "end", "length")))
+    return gaps.groupBy("seq_id").agg(F.struct(F.count("*").alias("n_gaps"), F.sum("length").alias("total")).alias("summary"), at.alias("gaps"))
