@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from .shared import BLANKS, small, staged
 
 LEAST_SITES, LEAST_BYTES, LG_K = 5, 15, 12
-#: Boilerplate lines up to which their hashes stand in the expression that marks them; more are joined.
-MOST_LISTED = 20_000
 
 
 def _bare(line: Column) -> Column:
@@ -30,14 +28,13 @@ def _bare(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, least_bytes: int, *columns: str) -> DataFrame:
-    cut = docs.select(*columns, F.explode(F.split("text", "\n", -1)).alias("line")).select(*columns, _bare(F.col("line")).alias("line"))
-    return cut.where(F.octet_length("line") >= least_bytes).select(*columns, F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"))
+    """Two hashes of each line that is long enough, and its bytes as it stands."""
+    cut = docs.select(*columns, F.explode(F.split("text", "\n", -1)).alias("line")).select(*columns, _bare(F.col("line")).alias("line"), F.octet_length("line").alias("size"))
+    return cut.where(F.octet_length("line") >= least_bytes).select(*columns, F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), "size")
 
 
-def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """docs (text, site) -> k1, k2 of the boilerplate lines (a staged table)."""
-    sited = docs.select("text", F.xxhash64(F.coalesce("site", F.lit("\0"))).alias("site"))
-    lines = _lines(sited, least_bytes, "site")
+def _spread(lines: DataFrame, least_sites: int) -> DataFrame:
+    """lines (k1, k2, site) -> k1, k2 of those on at least least_sites sites (a staged table)."""
     # a line on enough sites occurs at least as often
     often = lines.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("site").alias("lo"), F.max("site").alias("hi"))
     often = staged(often.where((F.col("n") >= least_sites) & ((F.col("lo") != F.col("hi")) | F.lit(least_sites <= 1))).select("k1", "k2"))
@@ -50,45 +47,40 @@ def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: in
     return staged(sure.select("k1", "k2").unionByName(exact.where(F.col("n_sites") >= least_sites).select("k1", "k2")))
 
 
-def _member(keys: DataFrame):
-    """A column function, whether a line's hash is among the keys (k1), where these are few enough to stand in the expression; else None."""
-    some = keys.select("k1").distinct().limit(MOST_LISTED + 1).collect()
-    if len(some) > MOST_LISTED:
-        return None
-    listed = [r["k1"] for r in some]
-    return lambda line: F.xxhash64(_bare(line)).isin(listed) if listed else F.lit(False)
+def _sited(site: Column) -> Column:
+    return F.xxhash64(F.coalesce(site, F.lit("\0"))).alias("site")
+
+
+def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """docs (text, site) -> k1, k2 of the boilerplate lines (a staged table)."""
+    return _spread(_lines(docs.select("text", _sited(F.col("site"))), least_bytes, "site"), least_sites)
 
 
 def stripped(docs: DataFrame, least_sites: int = LEAST_SITES, least_bytes: int = LEAST_BYTES, most_share: float | None = None, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Each row of docs as struct `row`, with text (boilerplate taken out), n_lines and n_removed."""
     text = F.col(text_col).cast("string")
     known = [F.col(id_col).cast("string"), text]
-    source = docs.select(F.struct("*").alias("row"), text.alias("text"), F.col(site_col).cast("string").alias("site"), F.xxhash64(*known).alias("g1"), F.hash(*known).alias("g2"))
-    size = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))
-
-    def marked(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
-        """df with the column `name`: which lines of `cut` are among the keys. The keys stand in the expression where they are few; else
-        each document's own come by a join (rows of equal id and text are one there)."""
-        member = _member(keys)
-        if member:
-            return df.withColumn(name, F.transform("cut", lambda x: (F.octet_length(_bare(x)) >= least_bytes) & member(x)))
-        lines = _lines(source.select("g1", "g2", "text"), least_bytes, "g1", "g2")
-        own = staged(lines.join(small(keys), ["k1", "k2"], "left_semi").groupBy("g1", "g2").agg(F.collect_set("k1").alias("_own")))
-        is_own = lambda x: (F.octet_length(_bare(x)) >= least_bytes) & F.array_contains(F.coalesce("_own", F.array().cast("array<bigint>")), F.xxhash64(_bare(x)))
-        return df.join(small(own), ["g1", "g2"], "left").withColumn(name, F.transform("cut", is_own)).drop("_own")
-
-    left = lambda name: F.filter("cut", lambda x, i: ~F.get(F.col(name), i))
-    keys = boilerplate(source.select("text", "site"), least_sites, least_bytes)
-    df = marked(source.withColumn("cut", F.split("text", "\n", -1)), keys, "marks")
+    key = [F.xxhash64(*known).alias("g1"), F.hash(*known).alias("g2")]
+    total = F.octet_length(text) - (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))))
+    source = docs.select(*key, text.alias("text"), _sited(F.col(site_col).cast("string")), total.alias("total"), F.monotonically_increasing_id().alias("copy"))
+    keys = _spread(_lines(source, least_bytes, "site"), least_sites)
+    # the boilerplate of each document that has any (rows of equal id and text are one here)
+    found = _lines(source, least_bytes, "g1", "g2", "copy", "site", "total").join(small(keys), ["k1", "k2"], "left_semi")
     if most_share is not None:
-        over = size(F.col("cut")) - size(left("marks")) > most_share * size(F.col("cut"))
-        # the lines that keep their sites without such documents; a document without boilerplate has nothing to prove
-        rest = df.where(F.exists("marks", lambda x: x) & ~over).select("text", "site")
-        df = marked(df, boilerplate(rest, least_sites, least_bytes), "sure").withColumn("marks", F.when(over, F.col("sure")).otherwise(F.col("marks")))
-    df = df.withColumn("rest", left("marks"))
-    gone = F.coalesce(F.size("cut") - F.size("rest"), F.lit(0))
+        found = staged(found.groupBy("g1", "g2", "copy", "total", "site", "k1", "k2").agg(F.sum("size").alias("size")))
+        over = found.groupBy("g1", "g2", "copy").agg(F.sum("size").alias("gone"), F.max("total").alias("total")).where(F.col("gone") > most_share * F.col("total")).select("g1", "g2").distinct()
+        over = staged(over.withColumn("over", F.lit(True)))
+        found = staged(found.join(small(over), ["g1", "g2"], "left"))
+        own = found.where("over is null")
+        found = own.unionByName(found.where("over").join(small(_spread(own, least_sites)), ["k1", "k2"], "left_semi"))
+    marks = staged(found.groupBy("g1", "g2").agg(F.collect_set("k1").alias("marks")))
+    is_mark = lambda x: (F.octet_length(_bare(x)) >= least_bytes) & F.array_contains("marks", F.xxhash64(_bare(x)))
+    # by shuffle at every size: what is joined grows with the documents
+    df = docs.select(F.struct("*").alias("row"), *key).hint("merge").join(marks, ["g1", "g2"], "left").withColumn("text", F.col("row")[text_col].cast("string"))
+    df = df.withColumn("cut", F.split("text", "\n", -1)).withColumn("rest", F.when(F.col("marks").isNotNull(), F.filter("cut", lambda x: ~is_mark(x))))
+    changed = F.col("rest").isNotNull()
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size("cut"))
-    return df.select("row", F.when(gone > 0, F.array_join("rest", "\n")).otherwise(F.col("text")).alias("text"), n.cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(gone).cast("long").alias("n_removed"))
+    return df.select("row", F.when(changed, F.array_join("rest", "\n")).otherwise(F.col("text")).alias("text"), n.cast("long").alias("n_lines"), F.when(changed, F.size("cut") - F.size("rest")).otherwise(0).cast("long").alias("n_removed"))
 
 
 def op2_site_spread(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from itertools import count, islice
 import numpy as np
 
 #: Pieces that a worker remembers; it starts anew beyond that.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 500_000
 #: New pieces that one call of the model gets.
 GROUP = 2_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
