@@ -12,14 +12,15 @@ from ..operators import gaps as D
 from ..operators import patch as P
 from ..operators import synteny as Y
 from ..operators import telomere as T
+from ..sources.scratch import kept
 
 
 def analyze_genome(seqs: DataFrame, least_gap: int = 1, least_fragment: int | None = None, least_repeats: int = 5, window: int = 2_000, internal_flank: int = 5_000, bins: int = 50) -> dict[str, DataFrame]:
     """Gaps, fragments, telomere status, internal telomeres, tracks, and one row a sequence."""
-    chunks, lens = D.chunk_sequences(seqs), D.lengths(seqs)
-    gaps = D.find_gaps(chunks, least_gap, any_case=True)
+    chunks, lens = kept(D.chunk_sequences(seqs)), kept(D.lengths(seqs))
+    gaps = kept(D.find_gaps(chunks, least_gap, any_case=True))
     frags = D.fragment_status(D.fragments(gaps, lens), least_fragment)
-    status = T.telomere_status(T.end_repeat_counts(seqs, window), least_repeats)
+    status = kept(T.telomere_status(T.end_repeat_counts(seqs, window), least_repeats))
     internal = T.internal_telomeres(T.telomere_arrays(chunks, 10, 100), lens, internal_flank)
     feats = gaps.select("seq_id", F.lit("gap").alias("kind"), "start", "end").unionByName(internal.select("seq_id", F.lit("internal").alias("kind"), "start", "end"))
     ends = status.where("has_5prime").select("seq_id", F.lit("telomere").alias("kind"), F.lit(0).cast("bigint").alias("start"), F.least(F.lit(window), "seq_length").cast("bigint").alias("end"))
@@ -42,9 +43,9 @@ def fill_gaps(lens: DataFrame, gaps: DataFrame, hits: DataFrame) -> dict[str, Da
     """Gaps of draft sequences filled from contigs by flank hits (PAF rows named seq.gap_no.L or .R).
 
     lens: seq_id, seq_ord, seq_length; gaps: seq_id, start, end, length. edits and segments are coordinates (edits.materialize makes bases)."""
-    named = numbered_gaps(gaps)
-    best = L.best_fill(L.anchor_pairs(L.flank_hits(hits)))
-    made = E.resolve(L.fill_edits(best, named))
+    named = kept(numbered_gaps(gaps))
+    best = kept(L.best_fill(L.anchor_pairs(L.flank_hits(hits))))
+    made = kept(E.resolve(L.fill_edits(best, named)))
     segments = E.apply_edits(made, lens)
     left = named.join(best.select("gap_id"), "gap_id", "left_anti").select("seq_id", "start", "end", "length")
     return {"edits": made, "segments": segments, "agp": E.agp_rows(segments), "detail": L.fill_detail(named.select("gap_id"), best), "open": left, "stats": D.fill_stat_table(lens, left, 1), "closure": D.gap_closure(gaps, left, 1)}
@@ -68,12 +69,12 @@ def two_round_fill(lens: DataFrame, gaps: DataFrame, hits: DataFrame, hits2: Dat
 
     hits2 name the gaps of the second round, the joints, by their number in each sequence."""
     one = fill_gaps(lens, gaps, hits)
-    lens1 = new_lengths(lens, one["edits"])
+    lens1 = kept(new_lengths(lens, one["edits"]))
     frags = D.fragment_status(D.fragments(moved_gaps(one["open"], one["edits"]), lens1), least)
-    kept = D.filtered_segments(frags, joint)
+    pieces = kept(D.filtered_segments(frags, joint))
     w = Window.partitionBy("seq_id").orderBy("n")
-    joints = kept.withColumn("next", F.lead("out_start").over(w)).where("next is not null").select("seq_id", (F.col("next") - joint).alias("start"), F.col("next").alias("end"), F.lit(joint).cast("bigint").alias("length"))
-    lens2 = kept.groupBy("seq_id").agg(F.max(F.expr("out_start + end - start")).cast("bigint").alias("seq_length"))
+    joints = pieces.withColumn("next", F.lead("out_start").over(w)).where("next is not null").select("seq_id", (F.col("next") - joint).alias("start"), F.col("next").alias("end"), F.lit(joint).cast("bigint").alias("length"))
+    lens2 = pieces.groupBy("seq_id").agg(F.max(F.expr("out_start + end - start")).cast("bigint").alias("seq_length"))
     two = fill_gaps(lens2.join(lens.select("seq_id", "seq_ord"), "seq_id"), joints, hits2)
     count = lambda n, g, o: g.agg(F.lit(n).alias("round"), F.count("*").alias("gaps_before")).crossJoin(o.agg(F.count("*").alias("gaps_after")))
     return count(1, gaps, one["open"]).unionByName(count(2, joints, two["open"]))
@@ -84,18 +85,18 @@ def patch_gaps(alignments: DataFrame, gaps: DataFrame, ref_lengths: DataFrame, m
 
     gaps: gap_key, query_contig, gap_pos, gap_id; matches: PAF rows of the patch flanks on the sequence, named gap_id.L and .R;
     lens: seq_id, seq_length of the whole genome. The first patch of a gap is tried."""
-    numbered = P.numbered_patches(P.patch_regions(P.valid_pairs(P.nearest_anchors(alignments, gaps)), ref_lengths, flank))
+    numbered = kept(P.numbered_patches(P.patch_regions(P.valid_pairs(P.nearest_anchors(alignments, gaps)), ref_lengths, flank)))
     first = numbered.where("patch_no = 1").withColumn("patch_length", F.col("patch_end") - F.col("patch_start") + 1)
     first = first.withColumn("left_flank", P.patch_flanks(F.col("patch_length"), flank)).where("left_flank is not null").withColumn("right_flank", F.col("left_flank"))
     first = first.join(gaps.select("gap_key", "query_contig", "gap_pos", "gap_id"), "gap_key").join(lens.select(F.col("seq_id").alias("query_contig"), "seq_length"), "query_contig")
     found = P.match_gate(P.best_matches(matches)).join(first.withColumn("gap_start", F.col("gap_pos")), "gap_id").withColumn("has_cigar", F.lit(False))
-    cuts = P.accepted(P.cut_points(found), least_net)
+    cuts = kept(P.accepted(P.cut_points(found), least_net))
     # the patch lies in patch_start..patch_end of its contig, read backwards where its direction, or both flanks' strand, says so
     turned = (F.col("direction") < 0) != ((F.col("l_strand") == "-") & (F.col("r_strand") == "-"))
     base = F.col("patch_start") - 1
     src = F.when(turned, F.col("patch_end") - F.col("ins_end")).otherwise(base + F.col("ins_start")).alias("src_start"), F.when(turned, F.col("patch_end") - F.col("ins_start")).otherwise(base + F.col("ins_end")).alias("src_end")
     offered = cuts.select("gap_key", F.col("query_contig").alias("seq_id"), F.col("left_cut").alias("del_start"), F.greatest("left_cut", "right_cut").alias("del_end"), F.lit("contig").alias("src_kind"), F.col("ref_contig").alias("src_id"), *src, F.when(turned, "-").otherwise("+").alias("strand"), F.lit(0).alias("priority"))
-    edits = E.resolve(offered.drop("gap_key"))
+    edits = kept(E.resolve(offered.drop("gap_key")))
     changed = new_lengths(lens.join(edits.select("seq_id").distinct(), "seq_id", "left_semi"), edits)
     return {"patches": gaps.select("gap_key", "query_contig", "gap_pos").join(numbered, "gap_key", "left"), "offered": offered, "edits": edits, "segments": E.apply_edits(edits, lens), "genome": L.overlay(changed, lens), "summary": P.patch_summary(cuts)}
 
@@ -104,14 +105,14 @@ def correct_gaps(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, mode:
     """Every gap with its error type, region and decision; the regions to mask, the masked genome and how far it is better.
 
     Gaps without support near them fall back on synteny. gaps: gap_key, query_contig, gap_pos; lens: seq_id, seq_length."""
-    near = Y.alignments_near_gap(alignments, gaps)
-    more = Y.fallback_support(alignments, gaps, near)
-    typed = Y.with_pair_type(Y.gap_support(near).unionByName(more))
+    near = kept(Y.alignments_near_gap(alignments, gaps))
+    more = kept(Y.fallback_support(alignments, gaps, near))
+    typed = kept(Y.with_pair_type(Y.gap_support(near).unionByName(more)))
     seen = near.select("gap_key", "gap_pos", "q_min", "q_max", "crossing").unionByName(more.select("gap_key", "gap_pos", "left.q_min", "right.q_max", "crossing"))
     decided = Y.repair_decision(Y.regions(typed, Y.error_types(typed, near.where("crossing")), seen))
-    decided = decided.join(gaps.select("gap_key", F.col("query_contig").alias("seq_id")), "gap_key")
+    decided = kept(decided.join(gaps.select("gap_key", F.col("query_contig").alias("seq_id")), "gap_key"))
     cut = decided.where(mode).join(lens.select("seq_id", "seq_length"), "seq_id").select("seq_id", F.greatest(F.lit(1), "replace_start").cast("bigint").alias("start"), F.least("replace_end", "seq_length").alias("end"), "error_type", "confidence", "anchor_length").where("end >= start")
-    merged = Y.merge_regions(cut)
+    merged = kept(Y.merge_regions(cut))
     edits = Y.mask_edits(merged, mask)
     runs = gaps.select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").alias("start"), (F.col("gap_pos") + gap_size).alias("end"), F.lit(gap_size).cast("bigint").alias("length"))
     gone = decided.where(mode).join(gaps.select("gap_key", "query_contig"), "gap_key").select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").alias("start")).distinct()
@@ -174,15 +175,15 @@ def recover_telomeres(repairs: DataFrame, hits: DataFrame, status: DataFrame, st
     named = hits.withColumn("qryid", F.concat_ws("|", "qryid", "repair_end")).join(own.select(F.col("repair_id").alias("qryid"), "target"), "qryid", "left_semi")
     lacking = status.where("needs_repair").select(F.col("seq_id").alias("refid"), "has_5prime", "has_3prime")
     named = named.join(lacking, "refid").where("(repair_end = '5prime' and not has_5prime) or (repair_end = '3prime' and not has_3prime)")
-    tried = T.merge_plan(T.validated(T.best_telomere_match(named)).withColumn("target", F.concat_ws("|", "refid", "repair_end") if both_ends else F.col("refid")))
-    chosen = T.select_repair(tried.where("reason is null"), strategy)
+    tried = kept(T.merge_plan(T.validated(T.best_telomere_match(named)).withColumn("target", F.concat_ws("|", "refid", "repair_end") if both_ends else F.col("refid"))))
+    chosen = kept(T.select_repair(tried.where("reason is null"), strategy))
     src = own.select(F.col("repair_id").alias("qryid"), "contig", "start", F.col("end").alias("stop"), "turned")
     # offsets within the repair sequence, turned back into the contig's
     minus = (F.col("strand") == "-") != F.col("turned")
     c = chosen.join(src, "qryid")
     lo = F.when(minus, F.col("stop") - F.col("src_end")).otherwise(F.col("start") - 1 + F.col("src_start"))
     hi = F.when(minus, F.col("stop") - F.col("src_start")).otherwise(F.col("start") - 1 + F.col("src_end"))
-    edits = c.select(F.col("refid").alias("seq_id"), "del_start", "del_end", F.lit("contig").alias("src_kind"), F.col("contig").alias("src_id"), lo.alias("src_start"), hi.alias("src_end"), F.when(minus, "-").otherwise("+").alias("strand"), F.lit(0).alias("priority"))
+    edits = kept(c.select(F.col("refid").alias("seq_id"), "del_start", "del_end", F.lit("contig").alias("src_kind"), F.col("contig").alias("src_id"), lo.alias("src_start"), hi.alias("src_end"), F.when(minus, "-").otherwise("+").alias("strand"), F.lit(0).alias("priority")))
     lens = status.select("seq_id", "seq_length")
     return {"tried": tried, "chosen": chosen, "edits": E.resolve(edits), "segments": E.apply_edits(E.resolve(edits), lens), "outcomes": T.outcomes(tried, chosen, status.select(F.concat_ws("|", "seq_id", F.explode(F.array(F.lit("5prime"), F.lit("3prime")))).alias("seq_id")) if both_ends else status), "stats": T.run_stats(chosen, tried)}
 
@@ -215,14 +216,15 @@ def repair_genome(lens: DataFrame, gaps: DataFrame, alignments: DataFrame, ref_l
         else:
             done = edits.agg(F.count("*").alias("n_edits"), F.count_distinct("seq_id").alias("n_changed"))
             # gaps that an edit has replaced are gone, masks are new ones, the rest moves
-            lens = new_lengths(lens, edits)
+            edits = kept(edits)
+            lens = kept(new_lengths(lens, edits))
             marked = E.lift_by_edits(runs.select(F.xxhash64("seq_id", "start").alias("key"), "seq_id", (F.col("start") + 1).alias("pos")), edits)
             inside = marked.join(edits.select("seq_id", F.explode(F.expr("sequence(del_start div 1000000, del_end div 1000000)")).alias("bin"), "del_start", "del_end").withColumnRenamed("seq_id", "sid"), (F.col("seq_id") == F.col("sid")) & (F.expr("pos div 1000000") == F.col("bin"))).where("pos > del_start and pos <= del_end").select("key").distinct()
             rest = runs.withColumn("key", F.xxhash64("seq_id", "start")).join(inside, "key", "left_anti").drop("key")
             w = Window.partitionBy("seq_id").orderBy("del_start")
             shift = F.coalesce(F.sum(F.expr("src_end - src_start - (del_end - del_start)")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
             masks = edits.withColumn("start", F.col("del_start") + shift).where("src_kind = 'N'").select("seq_id", "start", (F.col("start") + F.col("src_end") - F.col("src_start")).alias("end"), (F.col("src_end") - F.col("src_start")).alias("length"))
-            runs = moved_gaps(rest, edits).unionByName(masks)
+            runs = kept(moved_gaps(rest, edits).unionByName(masks))
         row = done.crossJoin(lens.agg(F.sum("seq_length").cast("bigint").alias("bases"))).crossJoin(runs.agg(F.count("*").alias("n_gaps"))).select(F.lit(place + 1).alias("place"), F.lit(stage).alias("stage"), F.lit(edits is not None).alias("ran"), "n_edits", "n_changed", "bases", "n_gaps")
         rows = row if rows is None else rows.unionByName(row)
     return rows

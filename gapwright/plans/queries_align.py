@@ -291,7 +291,7 @@ rg1 AS (SELECT k.gap_key, k.ref_contig, arg_min(a.aln_id, (a.q_min, a.aln_id)) A
 sd AS (SELECT k.*, l.aln_id AS lid, r.aln_id AS rid, l.r_min AS l0, r.r_min AS r0, l.direction AS ld, r.direction AS rd, least(k.gap_pos - l.q_max, r.q_min - k.gap_pos) AS gap FROM ask1 k LEFT JOIN lf1 USING (gap_key, ref_contig) LEFT JOIN rg1 USING (gap_key, ref_contig) LEFT JOIN al l ON l.aln_id = lf1.id LEFT JOIN al r ON r.aln_id = rg1.id),
 cov AS (SELECT DISTINCT p.gap_key, p.ref_contig, true AS covered FROM proj p JOIN blocks b ON b.ref_contig = p.ref_contig AND p.ref_pos BETWEEN b.start AND b."end"),
 sam AS (SELECT DISTINCT gap_key, s.ref_contig, true AS same FROM sd s JOIN blocks b ON b.ref_contig = s.ref_contig AND l0 BETWEEN b.start AND b."end" AND r0 BETWEEN b.start AND b."end" AND ld = b.direction AND rd = b.direction),
-assess AS (SELECT gap_key, ref_contig, CASE WHEN covered THEN 'gap_in_synteny_block' WHEN p.ref_pos IS NOT NULL THEN 'gap_outside_synteny_blocks' WHEN lid IS NULL OR rid IS NULL THEN 'insufficient_anchors' WHEN same AND gap > 500000 THEN 'large_distance_with_synteny' WHEN same THEN 'synteny_present' ELSE 'no_synteny_between_anchors' END AS assessment, gap AS anchor_distance
+assess AS (SELECT gap_key, ref_contig, CASE WHEN covered THEN 'gap_in_synteny_block' WHEN p.ref_pos IS NOT NULL THEN 'gap_outside_synteny_blocks' WHEN lid IS NULL OR rid IS NULL THEN 'insufficient_anchors' WHEN same AND gap > 500000 THEN 'large_distance_with_synteny' WHEN same THEN 'synteny_present' ELSE 'no_synteny_between_anchors' END AS assessment, CASE WHEN lid IS NOT NULL AND rid IS NOT NULL THEN gap END AS anchor_distance
   FROM sd LEFT JOIN proj p USING (gap_key, ref_contig) LEFT JOIN cov USING (gap_key, ref_contig) LEFT JOIN sam USING (gap_key, ref_contig))
 """
 

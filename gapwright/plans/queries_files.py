@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import edits as E
 from ..operators import gaps as D
 from ..operators import kmer as K
 from ..sources import formats, sinks
+from ..sources.scratch import scratch
 from .fixtures import fixture
 from .queries_gaps import SEGS, _gaps, _lens, _toy_edits, gaps_sql
 from .registry import query
 
 
-def scratch(spark) -> str:
-    """A new folder below spark.checkpoint.dir; below a temporary one only where all tasks run in this process."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\\[.*\\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="gapwright-")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 def _fasta(s, d) -> str:
     q, path = fixture(s, d, "seqs"), scratch(s)
     sinks.write_fasta(D.chunk_sequences(q).join(q.select("seq_id", "seq_ord"), "seq_id"), path)

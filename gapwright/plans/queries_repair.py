@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import seq as S
 from ..operators import gaps as D
 from ..operators import telomere as T
+from ..sources.scratch import kept
 from . import pipelines as N
 from .fixtures import fixture
 from .queries_align import HITS, NEAR, WIN, cuts_sql
 from .queries_gaps import gaps_sql
-from .queries_telomere import STATUS, DIR, MATCH
+from .queries_telomere import STATUS
 from .registry import query
 
 CHROMOSOMES, BASES, CONTIG = 20, 6_000_000, 300_000
@@ -50,7 +51,7 @@ def _status(s, d):
     return T.telomere_status(T.end_repeat_counts(fixture(s, d, "telo_seqs"))).join(_lens(s, d).select("seq_id", F.lit(BASES).cast("bigint").alias("n")), "seq_id").withColumn("seq_length", F.col("n")).drop("n")
 
 
-@query("N1_analyze_genome", STATUS + gaps_sql("", 10).replace("WITH runs", ", runs", 1).replace("FROM seqs", "FROM (SELECT seq_id, seq_ord, upper(bases) AS bases FROM telo_seqs) u") + """SELECT st.seq_id, st.seq_length, st.status, coalesce(g.n, 0) AS n_gaps, coalesce(g.t, 0) AS gap_bases FROM st LEFT JOIN (SELECT seq_id, count(*) AS n, cast(sum(length) AS bigint) AS t FROM gaps GROUP BY seq_id) g USING (seq_id)""", "telo_seqs")
+@query("N1_analyze_genome", STATUS + gaps_sql("", 10).replace("WITH runs", ", runs", 1).replace("FROM seqs", "FROM (SELECT seq_id, seq_ord, upper(bases) AS bases FROM telo_seqs) u") + """SELECT st.seq_id, st.seq_length, CASE WHEN has_5prime AND has_3prime THEN 'complete' WHEN has_5prime THEN 'missing_3prime' WHEN has_3prime THEN 'missing_5prime' ELSE 'missing_both' END AS status, coalesce(g.n, 0) AS n_gaps, coalesce(g.t, 0) AS gap_bases FROM st LEFT JOIN (SELECT seq_id, count(*) AS n, cast(sum(length) AS bigint) AS t FROM gaps GROUP BY seq_id) g USING (seq_id)""", "telo_seqs")
 def n1(s, d):
     return N.analyze_genome(fixture(s, d, "telo_seqs"), least_gap=10, internal_flank=2_000)["sequences"].select("seq_id", "seq_length", "status", "n_gaps", "gap_bases")
 
@@ -134,6 +135,11 @@ def n5c(s, d):
 
 
 def _repairs(s, d):
+    """Written once: labels, regions and hits all start from it."""
+    return kept(_extracted(s, d))
+
+
+def _extracted(s, d):
     contigs = _refs(s, d).select(F.col("ref_contig").alias("seq_id"), F.col("ref_length").alias("seq_length"))
     q = fixture(s, d, "telo_seqs").withColumn("seq_id", F.concat(F.lit("ctg"), (F.col("seq_ord") % 8).cast("string")))
     # the contigs' arrays: those of all derived sequences dealt to them
