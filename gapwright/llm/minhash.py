@@ -17,8 +17,8 @@
 The chance that a link at the threshold shares no band is (1 - s**ROWS)**BANDS, 2e-6 at 0.8.
 
 Nulls: a null or wordless text has the empty set and is linked with nothing. A row of null id is returned
-with a null component and kept. Rows that share an id are one document, linked with each other. An empty
-table gives no rows. Other columns are not read, so their names cannot clash."""
+with a null component and kept. Rows that share an id are one document, linked with each other, each text compared. An empty
+table gives no rows. A very long text is hashed alone, in slices of its set. Other columns are not read, so their names cannot clash."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import arrow_map, buffer_of, components, mix, shingles_of, slices, small, staged, words_of
@@ -259,6 +259,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = staged(_signed(source, words))
     filled = signed.where("doc_id is not null and n_shingles > 0")
+    set_of = F.struct("k1", "k2")
+    if not filled.groupBy("doc_id").agg(F.min(set_of).alias("lo"), F.max(set_of).alias("hi")).where("lo <> hi").isEmpty():
+        return _by_text(source, words, percent)
     classes = staged(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
     reps = filled.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"]).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "sig", "bands")
     keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
@@ -283,19 +286,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             break
         links = staged(links.union(_confirmed(more.join(stars, ["a", "b"], "left_anti"), source, words, percent)))
         roots = components(links)
-    # rows that share an id are one document
     own = signed.join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", "rep")
-    same = own.where("rep is not null and rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    repeated = own.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("b"))
-    bridges = staged(same.join(repeated, "b", "left_semi").select("a", "b"))
-    if not bridges.isEmpty():
-        roots = components(links.union(bridges))
     found = own.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     component = F.coalesce("root", "rep", "doc_id")
     component = F.when(F.col("doc_id").isNotNull(), component)
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _by_text(source: DataFrame, words: int, percent: int) -> DataFrame:
+    """near_duplicates where an id has several different texts: each text is compared under a key of its own, then those of one id are linked."""
+    texts = source.withColumn("t", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = staged(texts.where("doc_id is not null").select("doc_id", "t").distinct().withColumn("key", F.monotonically_increasing_id()))
+    rows = texts.join(keyed, ["doc_id", "t"], "left")
+    found = staged(near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), words, percent).distinct()).withColumnRenamed("doc_id", "key")
+    filled = found.where("key is not null and n_shingles > 0").join(keyed, "key")
+    own = filled.withColumn("a", F.min("key").over(Window.partitionBy("doc_id"))).select("a", F.col("key").alias("b"))
+    roots = components(filled.select(F.col("component_id").alias("a"), F.col("key").alias("b")).union(own))
+    roots = filled.select("key", "doc_id").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    least = roots.groupBy("root").agg(F.min("doc_id").alias("least"))
+    named = roots.join(least, "root").select("key", "least")
+    sizes = found.select("key", "n_shingles")
+    out = rows.select("doc_id", "key").join(named, "key", "left")
+    both = out.where("key is not null").join(sizes.where("key is not null"), "key").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    none = _signed(source.where("doc_id is null"), words).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return both.unionByName(none).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """Query: three-word shingles, similarity of 0.85 or more, all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)

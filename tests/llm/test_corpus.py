@@ -212,6 +212,14 @@ def test_minhash(docs, none, words, percent):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_each_text_of_an_id_is_compared(spark):
+    """Near copies of either text of an id are linked with it, and so with each other."""
+    a, b = text(80), text(80)
+    rows = [(5, a), (5, b), (7, a + " more"), (9, b + " more"), (9, None), (11, text(80)), (None, a)]
+    got = sorted(((r.doc_id or 0), r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect())
+    assert got == [(0, None, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False), (9, 9, True), (11, 11, True)]
+
+
 def test_near_group_whose_head_is_far(spark):
     """Members linked with each other but not with their bucket's smallest id must still be joined."""
     base = [f"w{k}" for k in range(200)]
