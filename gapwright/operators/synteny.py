@@ -71,6 +71,33 @@ def gap_support(near: DataFrame) -> DataFrame:
     return near.groupBy("gap_key", "gap_pos", "ref_contig").agg(left.alias("left"), right.alias("right"), F.max("crossing").alias("crossing")).where("left is not null and right is not null")
 
 
+def gap_evidence(alignments: DataFrame, gaps: DataFrame, most: int = 500_000, step: int = 100_000) -> dict[str, DataFrame]:
+    """What gap_support(alignments_near_gap(...)) gives, without listing all alignments of the windows: only those that cross a gap, and
+    the nearest on each side of each reference contig, by window functions.
+
+    support: as gap_support; crossing: gap_key, q_min, q_max of crossing alignments; seen: gap_key, gap_pos of gaps that a window serves."""
+    a = with_bounds(alignments)
+    bins = a.select("*", F.explode(F.expr(f"sequence(q_min div {step}, q_max div {step})")).alias("bin"))
+    p = F.col("gap_pos")
+    row = F.struct("aln_id", "r_min", "r_max", "q_min", "q_max", "direction")
+    cross = gaps.select("gap_key", "query_contig", "gap_pos", F.expr(f"gap_pos div {step}").alias("bin")).join(bins, ["query_contig", "bin"]).where(p.between(F.col("q_min"), F.col("q_max")))
+    cross = cross.select("gap_key", "gap_pos", "ref_contig", "q_min", "q_max", row.alias("row"))
+    best = cross.groupBy("gap_key", "ref_contig").agg(F.max_by("row", F.struct("row.q_max", -F.col("row.aln_id"))).alias("cl"), F.min_by("row", F.struct("row.q_min", "row.aln_id")).alias("cr"))
+    near = nearest_anchors(alignments, gaps, least=1, strict_left=True).join(gaps.select("gap_key", "gap_pos"), "gap_key")
+    near = near.join(best, ["gap_key", "ref_contig"], "left").withColumn("to_left", p - F.col("left.q_max")).withColumn("to_right", F.col("right.q_min") - p)
+    w = Window.partitionBy("gap_key")
+    crossed = F.max(F.col("cl").isNotNull()).over(w)
+    reach = -(-most // step) * step
+    far = F.when(F.min("to_left").over(w).isNotNull() & F.min("to_right").over(w).isNotNull(), F.greatest(F.min("to_left").over(w), F.min("to_right").over(w)))
+    near = near.withColumn("window", F.when(crossed, F.lit(step)).when(far <= reach, F.ceil(far / step) * step)).where("window is not null")
+    trim = lambda s: F.when(F.col(s).isNotNull(), F.struct(*(F.col(f"{s}.{c}").alias(c) for c in ("aln_id", "r_min", "r_max", "q_min", "q_max", "direction"))))
+    left = F.coalesce("cl", F.when(F.col("to_left") <= F.col("window"), trim("left")))
+    right = F.coalesce("cr", F.when(F.col("to_right") <= F.col("window"), trim("right")))
+    # a crossing alignment ends after the gap and begins before it: on the left it is beyond all others, on the right before them
+    support = near.select("gap_key", "gap_pos", "ref_contig", left.alias("left"), right.alias("right"), F.col("cl").isNotNull().alias("crossing")).where("left is not null and right is not null")
+    return {"support": support, "crossing": cross.select("gap_key", "gap_pos", "q_min", "q_max", F.lit(True).alias("crossing")), "seen": near.select("gap_key", "gap_pos").distinct()}
+
+
 def _overlaps(share: float = 0.1):
     size = F.least("left.r_max", "right.r_max") - F.greatest("left.r_min", "right.r_min") + 1
     shorter = F.least(F.col("left.q_max") - F.col("left.q_min"), F.col("right.q_max") - F.col("right.q_min")) + 1
@@ -95,9 +122,9 @@ def error_types(typed: DataFrame, crossed: DataFrame) -> DataFrame:
     return every.select("gap_key", kind.alias("error_type"), sure.alias("confidence"), F.coalesce("n_refs", F.lit(0)).alias("n_refs"), F.coalesce("cross", F.lit(False)).alias("crossing"))
 
 
-def regions(typed: DataFrame, types: DataFrame, near: DataFrame) -> DataFrame:
-    """gap_key, replace_start, replace_end, in_error_region, large_distance, anchor_length for each classified gap."""
-    cross = near.where("crossing").groupBy("gap_key").agg(F.min("q_min").alias("x0"), F.max("q_max").alias("x1"))
+def regions(typed: DataFrame, types: DataFrame, crossing: DataFrame, seen: DataFrame) -> DataFrame:
+    """crossing and seen as gap_evidence gives them. gap_key, replace_start, replace_end, in_error_region, large_distance, anchor_length for each classified gap."""
+    cross = crossing.groupBy("gap_key").agg(F.min("q_min").alias("x0"), F.max("q_max").alias("x1"))
     p = F.col("gap_pos")
     turned, lapped = F.col("pair_type") == "type2", F.col("lapped")
     is2, is4 = F.col("error_type") == "type2", F.col("error_type") == "type4"
@@ -114,7 +141,7 @@ def regions(typed: DataFrame, types: DataFrame, near: DataFrame) -> DataFrame:
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("ref_contig"))).alias("hit"),
         F.max(F.col("far") > 500_000).alias("large_distance"), F.sum("both").alias("anchor_length"),
     )
-    all_ = types.join(agg, "gap_key", "left").join(cross, "gap_key", "left").join(near.select("gap_key", F.col("gap_pos").alias("gp")).distinct(), "gap_key")
+    all_ = types.join(agg, "gap_key", "left").join(cross, "gap_key", "left").join(seen.select("gap_key", F.col("gap_pos").alias("gp")).distinct(), "gap_key")
     g = F.col("gp")
     start = F.when(F.col("x0").isNotNull(), F.col("x0")).when((F.col("error_type") == "type1") & F.col("l0").isNotNull() & F.col("r1").isNotNull(), F.col("l0") + 1).otherwise(F.coalesce("lo", g))
     end = F.when(F.col("x1").isNotNull(), F.col("x1")).when((F.col("error_type") == "type1") & F.col("l0").isNotNull() & F.col("r1").isNotNull(), F.col("r1") - 1).otherwise(F.coalesce("hi", g))

@@ -105,11 +105,11 @@ def correct_gaps(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, mode:
     """Every gap with its error type, region and decision; the regions to mask, the masked genome and how far it is better.
 
     Gaps without support near them fall back on synteny. gaps: gap_key, query_contig, gap_pos; lens: seq_id, seq_length."""
-    near = kept(Y.alignments_near_gap(alignments, gaps))
-    more = kept(Y.fallback_support(alignments, gaps, near))
-    typed = kept(Y.with_pair_type(Y.gap_support(near).unionByName(more)))
-    seen = near.select("gap_key", "gap_pos", "q_min", "q_max", "crossing").unionByName(more.select("gap_key", "gap_pos", "left.q_min", "right.q_max", "crossing"))
-    decided = Y.repair_decision(Y.regions(typed, Y.error_types(typed, near.where("crossing")), seen))
+    near = {k: kept(v) for k, v in Y.gap_evidence(alignments, gaps).items()}
+    more = kept(Y.fallback_support(alignments, gaps, near["seen"]))
+    typed = kept(Y.with_pair_type(near["support"].unionByName(more)))
+    seen = near["seen"].unionByName(more.select("gap_key", "gap_pos")).distinct()
+    decided = Y.repair_decision(Y.regions(typed, Y.error_types(typed, near["crossing"]), near["crossing"], seen))
     decided = kept(decided.join(gaps.select("gap_key", F.col("query_contig").alias("seq_id")), "gap_key"))
     cut = decided.where(mode).join(lens.select("seq_id", "seq_length"), "seq_id").select("seq_id", F.greatest(F.lit(1), "replace_start").cast("bigint").alias("start"), F.least("replace_end", "seq_length").alias("end"), "error_type", "confidence", "anchor_length").where("end >= start")
     merged = kept(Y.merge_regions(cut))

@@ -255,14 +255,19 @@ def _near(s, d):
     return Y.alignments_near_gap(_al(s, d), _gp(s, d))
 
 
-def _typed(near):
-    return Y.with_pair_type(Y.gap_support(near))
+def _evidence(s, d):
+    return Y.gap_evidence(_al(s, d), _gp(s, d))
+
+
+def _types(s, d):
+    e = _evidence(s, d)
+    return Y.error_types(Y.with_pair_type(e["support"]), e["crossing"])
 
 
 def _analyses(s, d):
-    near = _near(s, d)
-    typed = _typed(near)
-    return Y.regions(typed, Y.error_types(typed, near.where("crossing")), near)
+    e = _evidence(s, d)
+    typed = Y.with_pair_type(e["support"])
+    return Y.regions(typed, Y.error_types(typed, e["crossing"]), e["crossing"], e["seen"])
 
 
 @query("F3_alignments_near_gap", WIN + "SELECT gap_key, aln_id, win AS window, crossing FROM near", "alignments", "gap_positions")
@@ -272,7 +277,7 @@ def f3(s, d):
 
 @query("F4_gap_support", WIN + "SELECT gap_key, ref_contig, l_id, r_id, crossing FROM supp", "alignments", "gap_positions")
 def f4(s, d):
-    return Y.gap_support(_near(s, d)).select("gap_key", "ref_contig", F.col("left.aln_id").alias("l_id"), F.col("right.aln_id").alias("r_id"), "crossing")
+    return _evidence(s, d)["support"].select("gap_key", "ref_contig", F.col("left.aln_id").alias("l_id"), F.col("right.aln_id").alias("r_id"), "crossing")
 
 
 PROJ = AL + """, proj AS (SELECT gap_key, ref_contig, avg(floor(CASE WHEN direction = 1 THEN r_min + off ELSE r_max - off END)) AS ref_pos, count(*) AS n FROM (SELECT g.gap_key, a.*, (g.gap_pos - q_min) * (r_max - r_min) / (q_max - q_min) AS off FROM gap_positions g JOIN al a ON g.query_contig = a.query_contig AND g.gap_pos BETWEEN q_min AND q_max AND q_max > q_min) t GROUP BY ALL)
@@ -315,19 +320,17 @@ def f7(s, d):
 
 @query("F8_error_type", WIN + "SELECT gap_key, error_type, confidence, n_refs, crossing FROM etype", "alignments", "gap_positions")
 def f8(s, d):
-    near = _near(s, d)
-    return Y.error_types(_typed(near), near.where("crossing"))
+    return _types(s, d)
 
 
 @query("F9_confidence", WIN + "SELECT confidence, error_type, count(*) AS n FROM etype GROUP BY ALL", "alignments", "gap_positions")
 def f9(s, d):
-    near = _near(s, d)
-    return Y.error_types(_typed(near), near.where("crossing")).groupBy("confidence", "error_type").agg(F.count("*").alias("n"))
+    return _types(s, d).groupBy("confidence", "error_type").agg(F.count("*").alias("n"))
 
 
 @query("F10_ref_overlap", WIN + "SELECT gap_key, ref_contig, lapped, pair_type FROM typ", "alignments", "gap_positions")
 def f10(s, d):
-    return _typed(_near(s, d)).select("gap_key", "ref_contig", "lapped", "pair_type")
+    return Y.with_pair_type(_evidence(s, d)["support"]).select("gap_key", "ref_contig", "lapped", "pair_type")
 
 
 @query("F11_in_error_region", WIN + "SELECT gap_key, in_error_region FROM ana", "alignments", "gap_positions")
