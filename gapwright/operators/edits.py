@@ -110,8 +110,8 @@ def lift_by_edits(positions: DataFrame, edits: DataFrame) -> DataFrame:
     e = edits.select("seq_id", F.col("del_end").alias("at"), F.lit(0).alias("o"), delta.alias("d"), F.lit(None).cast("bigint").alias("key"), "del_start", "del_end")
     p = positions.select("seq_id", F.col("pos").alias("at"), F.lit(1).alias("o"), F.lit(0).cast("bigint").alias("d"), F.col("key").cast("bigint").alias("key"), F.lit(None).cast("bigint").alias("del_start"), F.lit(None).cast("bigint").alias("del_end"))
     up = Window.partitionBy("seq_id").orderBy("at", "o").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("seq_id").orderBy("at", "o").rowsBetween(1, Window.unboundedFollowing)
-    both = e.unionByName(p).withColumn("shift", F.sum("d").over(up)).withColumn("next", F.first("del_start", ignorenulls=True).over(down))
+    down = Window.partitionBy("seq_id").orderBy(F.desc("at"), F.desc("o")).rowsBetween(Window.unboundedPreceding, -1)  # read backwards: one pass
+    both = e.unionByName(p).withColumn("shift", F.sum("d").over(up)).withColumn("next", F.last("del_start", ignorenulls=True).over(down))
     inside = F.col("next").isNotNull() & (F.col("next") < F.col("at"))
     return both.where("o = 1").select("key", "seq_id", F.col("at").alias("pos"), (F.when(inside, F.col("next")).otherwise(F.col("at")) + F.col("shift")).alias("lifted"))
 
@@ -127,7 +127,7 @@ def lift_by_rank(old: DataFrame, new: DataFrame, least: int = 10) -> DataFrame:
     # nearest: both on one line, the last new start at or before and the first after
     line = a.select("seq_id", F.col("old_start").alias("at"), F.lit(1).alias("o"), F.lit(None).cast("bigint").alias("n")).unionByName(b.select("seq_id", F.col("new_start").alias("at"), F.lit(0).alias("o"), F.col("new_start").alias("n")))
     w = Window.partitionBy("seq_id").orderBy("at", "o")
-    line = line.withColumn("lo", F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("hi", F.first("n", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+    line = line.withColumn("lo", F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("hi", F.last("n", ignorenulls=True).over(Window.partitionBy("seq_id").orderBy(F.desc("at"), F.desc("o")).rowsBetween(Window.unboundedPreceding, -1)))
     near = F.when(F.col("lo").isNull(), F.col("hi")).when(F.col("hi").isNull(), F.col("lo")).when(F.col("at") - F.col("lo") <= F.col("hi") - F.col("at"), F.col("lo")).otherwise(F.col("hi"))
     nearest = line.where("o = 1").select("seq_id", F.col("at").alias("old_start"), near.alias("near")).distinct()
     out = same.join(nearest, ["seq_id", "old_start"], "left")

@@ -32,8 +32,9 @@ def nearest_anchors(alignments: DataFrame, gaps: DataFrame, least: int = 2, stri
     def side(place: str, at_gap: int, name: str, descending: bool) -> DataFrame:
         rows = kept.select(*by, F.col(place).alias("at"), F.lit(1).alias("o"), (-F.col("aln_id") if not descending else F.col("aln_id")).alias("tie"), F.lit(None).cast("bigint").alias("gap_key"), "row")
         asks = wanted.select(*by, F.col("gap_pos").alias("at"), F.lit(at_gap).alias("o"), F.lit(0).cast("bigint").alias("tie"), F.col("gap_key").cast("bigint").alias("gap_key"), none.alias("row"))
-        w = Window.partitionBy(*by).orderBy("at", "o", "tie")
-        pick = F.first("row", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)) if descending else F.last("row", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        # a frame that only grows takes one pass; one that shrinks would begin anew at each row, so what follows is read backwards
+        order = [F.desc(c) for c in ("at", "o", "tie")] if descending else ["at", "o", "tie"]
+        pick = F.last("row", ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
         return rows.unionByName(asks).withColumn(name, pick).where("gap_key is not null").select("gap_key", "ref_contig", name)
 
     left = side("q_max", 0 if strict_left else 2, "left", False)
