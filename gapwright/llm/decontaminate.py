@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import PUNCTUATED, arrow_map, buffer_of, shingles_of, slices, words_of
+from .shared import PUNCTUATED, arrow_map, buffer_of, running, shingles_of, slices, words_of
 
 BLOCK_BYTES = 16 << 20
 
@@ -32,12 +32,14 @@ BLOCK_BYTES = 16 << 20
 def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(item position, document position, length) of the greedy tiles of two word-hash arrays."""
     free = [np.ones(len(item), bool), np.ones(len(doc), bool)]
+    windows = [running(x) for x in (item, doc)]
     found: list[tuple[int, int, int]] = []
     size = max(least, min(len(item), len(doc)))
     while len(item) >= least and len(doc) >= least:
         spans = []
-        grams = [shingles_of(x, size) for x in (item, doc)]
-        whole = [np.convolve(f, np.ones(size, int), "valid") == size for f in free]
+        grams = [f(size) for f in windows]
+        taken = [np.concatenate([[0], np.cumsum(~f)]) for f in free]
+        whole = [t[size:] == t[:-size] for t in taken]
         at: dict[int, list[int]] = {}
         for q in np.flatnonzero(whole[0]).tolist():
             at.setdefault(int(grams[0][q]), []).append(q)

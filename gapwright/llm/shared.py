@@ -168,6 +168,13 @@ def words_of(buf: np.ndarray, at: np.ndarray, lower: bool = True, apart: np.ndar
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts, ends, np.searchsorted(starts, at)
 
 
+def running(words: np.ndarray):
+    """f(n): Karp-Rabin hashes of all windows of n words, each from the one before (differences of prefix sums, modulo 2**64)."""
+    up, down = _powers(max(SLICE_BYTES * 2, 1 << len(words).bit_length()))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])])
+    return lambda n: (total[n:] - total[:-n]) * down[: max(0, len(words) - n + 1)]
+
+
 def shingles_of(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of n-word windows of one text; of the whole text if it is shorter; none without words."""
     if not len(words):

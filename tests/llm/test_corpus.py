@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapwright.llm import decontaminate, langid, lines, minhash, packing, quality, rules, store, suffixes, tokens, warc
-from gapwright.llm.shared import components, shared_dir, staged
+from gapwright.llm.shared import components, running, shared_dir, staged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -266,6 +266,16 @@ def test_tiles_do_not_overlap():
         assert max(used[0].max(), used[1].max()) <= 1
 
 
+def test_running_hashes_tell_windows_apart():
+    words = np.random.default_rng(6).integers(0, 1 << 63, 5, dtype=np.uint64)[np.random.default_rng(5).integers(0, 5, 400)]
+    for n in (1, 3, 50, 400):
+        h = running(words)(n)
+        names = {}
+        assert all(names.setdefault(int(x), words[k : k + n].tobytes()) == words[k : k + n].tobytes() for k, x in enumerate(h))
+        assert len(h) == 401 - n and len(names) == len({words[k : k + n].tobytes() for k in range(len(h))})
+    assert len(running(words[:3])(5)) == 0
+
+
 def test_suffix_ranks(spark):
     x = [rng.randrange(1, 4) for _ in range(700)]
     x = x + x[100:400] + [1] * 31
