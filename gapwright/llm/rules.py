@@ -62,8 +62,9 @@ def references(docs: DataFrame) -> DataFrame:
     found = staged(known.select(F.col("lang").alias("ref_lang"), "total", "best", F.array(*(F.col(f"c{k}") / own for k in range(n))).alias("char_ref")))
     grand = found.where("ref_lang = ''").first()
     # a language without a word takes the pooled row
-    row = docs.sparkSession.createDataFrame([grand], found.schema).select(F.col("total").alias("t"), F.col("best").alias("b"), F.col("char_ref").alias("r"))
-    found = found.where("total is not null").unionByName(found.where("total is null").select("ref_lang").crossJoin(F.broadcast(row)).select("ref_lang", F.col("t").alias("total"), F.col("b").alias("best"), F.col("r").alias("char_ref")))
+    row = docs.sparkSession.createDataFrame([grand], found.schema).withColumnRenamed("ref_lang", "pooled")
+    bare = found.where("total is null").select("ref_lang", F.lit("").alias("pooled"))
+    found = found.where("total is not null").unionByName(bare.join(F.broadcast(row), "pooled").drop("pooled"))
     best = F.coalesce("best", F.array().cast("array<struct<place:int,word:string,n:bigint>>"))
     shares = F.transform("best", lambda x: x["n"] / F.col("total"))
     found = found.withColumn("best", best)
