@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op9_string_tiling
+from .fim import OP13_SQL, op13_displacement_scatter
 from .langid import op6_language_fusion
 from .lines import OP2_SQL, op2_site_spread
 from .minhash import op10_near_duplicates
@@ -26,7 +27,8 @@ QUERIES = {
         op8_suffix_array,
         op9_string_tiling,
         op10_near_duplicates,
+        op13_displacement_scatter,
     )
 }
 
-ORACLES = {"op2_site_spread": OP2_SQL}
+ORACLES = {"op2_site_spread": OP2_SQL, "op13_displacement_scatter": OP13_SQL}
