@@ -9,10 +9,11 @@ from ..functions import seq as S
 from ..operators import edits as E
 from ..operators import fill as L
 from ..operators import gaps as D
+from ..operators import lift as M
 from ..operators import patch as P
 from ..operators import synteny as Y
 from ..operators import telomere as T
-from ..sources.scratch import kept
+from ..sources.scratch import dropped, kept, only
 
 
 def analyze_genome(seqs: DataFrame, least_gap: int = 1, least_fragment: int | None = None, least_repeats: int = 5, window: int = 2_000, internal_flank: int = 5_000, bins: int = 50) -> dict[str, DataFrame]:
@@ -194,40 +195,90 @@ def chosen_contigs(sources: DataFrame) -> DataFrame:
     return sources.join(first, ["stage", "priority"])
 
 
-def repair_genome(lens: DataFrame, gaps: DataFrame, alignments: DataFrame, ref_lengths: DataFrame, matches: DataFrame, fill_hits: DataFrame, repairs: DataFrame, end_hits: DataFrame, status: DataFrame, stages: tuple = ("patch", "correct", "fill", "telomere")) -> DataFrame:
-    """The four stages one after another, each on what the one before left; a stage that is left out passes its input on.
-
-    A row a stage: edits, sequences changed, bases after it, and gaps left. gaps: gap_key, query_contig, gap_pos, gap_id."""
-    rows, size = None, 100
-    runs = gaps.select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").alias("start"), (F.col("gap_pos") + size).alias("end"), F.lit(size).cast("bigint").alias("length"))
-    for place, stage in enumerate(("patch", "correct", "fill", "telomere")):
-        edits = None
-        at = runs.select(F.xxhash64("seq_id", "start").alias("gap_key"), F.col("seq_id").alias("query_contig"), F.col("start").alias("gap_pos"))
-        if stage in stages and stage == "patch":
-            edits = patch_gaps(alignments, gaps, ref_lengths, matches, lens)["edits"]
-        elif stage in stages and stage == "correct":
-            edits = correct_gaps(alignments, at, lens)["edits"]
-        elif stage in stages and stage == "fill":
-            edits = fill_gaps(lens, runs, fill_hits)["edits"]
-        elif stage in stages:
-            edits = recover_telomeres(repairs, end_hits, status)["edits"]
-        if edits is None:
-            done = lens.agg(F.lit(0).cast("bigint").alias("n_edits"), F.lit(0).cast("bigint").alias("n_changed"))
-        else:
-            done = edits.agg(F.count("*").alias("n_edits"), F.count_distinct("seq_id").alias("n_changed"))
-            # gaps that an edit has replaced are gone, masks are new ones, the rest moves
-            edits = kept(edits)
-            lens = kept(new_lengths(lens, edits))
-            marked = E.lift_by_edits(runs.select(F.xxhash64("seq_id", "start").alias("key"), "seq_id", (F.col("start") + 1).alias("pos")), edits)
-            inside = marked.join(edits.select("seq_id", F.explode(F.expr("sequence(del_start div 1000000, del_end div 1000000)")).alias("bin"), "del_start", "del_end").withColumnRenamed("seq_id", "sid"), (F.col("seq_id") == F.col("sid")) & (F.expr("pos div 1000000") == F.col("bin"))).where("pos > del_start and pos <= del_end").select("key").distinct()
-            rest = runs.withColumn("key", F.xxhash64("seq_id", "start")).join(inside, "key", "left_anti").drop("key")
-            w = Window.partitionBy("seq_id").orderBy("del_start")
-            shift = F.coalesce(F.sum(F.expr("src_end - src_start - (del_end - del_start)")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            masks = edits.withColumn("start", F.col("del_start") + shift).where("src_kind = 'N'").select("seq_id", "start", (F.col("start") + F.col("src_end") - F.col("src_start")).alias("end"), (F.col("src_end") - F.col("src_start")).alias("length"))
-            runs = kept(moved_gaps(rest, edits).unionByName(masks))
-        row = done.crossJoin(lens.agg(F.sum("seq_length").cast("bigint").alias("bases"))).crossJoin(runs.agg(F.count("*").alias("n_gaps"))).select(F.lit(place + 1).alias("place"), F.lit(stage).alias("stage"), F.lit(edits is not None).alias("ran"), "n_edits", "n_changed", "bases", "n_gaps")
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+def fragment_edits(frags: DataFrame, lens: DataFrame, joint: int = 100) -> DataFrame:
+    """Edits that leave of each sequence its kept fragments (frags: with status), `joint` Ns between them; nothing of one without any.
+
+    Sequences that lose no fragment are left as they are."""
+    cut = frags.join(frags.where("status <> 'kept'").select("seq_id").distinct(), "seq_id", "left_semi")
+    w = Window.partitionBy("seq_id").orderBy("start")
+    good = cut.where("status = 'kept'")
+    before = good.select("seq_id", F.coalesce(F.lag("end").over(w), F.lit(0)).cast("bigint").alias("del_start"), F.col("start").alias("del_end"), F.lag("end").over(w).isNotNull().alias("inner"))
+    last = good.groupBy("seq_id").agg(F.max("end").alias("last"))
+    tail = lens.join(cut.select("seq_id").distinct(), "seq_id", "left_semi").join(last, "seq_id", "left")
+    tail = tail.select("seq_id", F.coalesce("last", F.lit(0)).cast("bigint").alias("del_start"), F.col("seq_length").alias("del_end"), F.lit(False).alias("inner"))
+    size = F.when(F.col("inner"), F.lit(joint)).otherwise(F.lit(0)).cast("bigint").alias("src_end")
+    return before.unionByName(tail).where("del_end > del_start").select("seq_id", "del_start", "del_end", F.lit("N").alias("src_kind"), F.lit(None).cast("string").alias("src_id"), F.lit(0).cast("bigint").alias("src_start"), size, F.lit("+").alias("strand"), F.lit(0).alias("priority"))
+
+
+def lifted_status(status: DataFrame, segments: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Telomere status after edits: an end keeps its repeats if it is still the old sequence's end, and counts as without any if not."""
+    s = segments.where("kind = 'seq'").join(before.select("seq_id", F.col("seq_length").alias("was")), "seq_id").join(after.select("seq_id", F.col("seq_length").alias("now")), "seq_id")
+    ends = s.groupBy("seq_id").agg(F.max(F.expr("src_start = 0 and out_start = 0")).alias("head"), F.max(F.expr("src_end = was and out_start + src_end - src_start = now")).alias("tail"))
+    old = status.select("seq_id", "left_repeats", "right_repeats").join(after.select("seq_id", "seq_length"), "seq_id").join(ends, "seq_id", "left")
+    n = lambda c, end: F.when(F.col(end), F.col(c)).otherwise(F.lit(0)).cast("bigint").alias(c)
+    return T.telomere_status(old.select("seq_id", "seq_length", n("left_repeats", "head"), n("right_repeats", "tail")))
+
+
+#: The rounds of edits, with their stages and what later rounds read besides lengths, gaps and status.
+ROUNDS = (("fill", "fill"), ("fill", "filter"), ("fill", "fill again"), ("patch", "patch"), ("correct", "correct"), ("correct", "refill"), ("telomere", "telomere"))
+_READ = {"patch": ("alignments", "matches"), "correct": ("alignments",), "telomere": ("end_hits",)}
+
+
+def repair_genome(lens: DataFrame, gaps: DataFrame, alignments: DataFrame, ref_lengths: DataFrame, matches: DataFrame, fill_hits: DataFrame, repairs: DataFrame, end_hits: DataFrame, status: DataFrame, fill_again: DataFrame | None = None, refill_hits: DataFrame | None = None, stages: tuple = ("fill", "patch", "correct", "telomere"), least_fragment: int = 100_000, size: int = 100, mode: str = "conservative") -> dict[str, DataFrame]:
+    """The four stages one after another, each on the genome that the one before left; a stage that is left out passes its input on.
+
+    fill: gaps from flank hits, then small fragments dropped where gaps are left, then the joints from fill_again; patch; correct: masks, then
+    these from refill_hits; telomere. All inputs have the original coordinates: after each round of edits alignments, flank
+    matches, end hits, gaps and telomere status are cut and moved to the new sequences. Fill hits of each round name the gaps as they are
+    numbered then (contigs aren't edited). gaps: gap_key, query_contig, gap_pos, gap_id, each of `size` Ns; lens: seq_id, seq_ord, seq_length.
+    Returns steps (a row a round: edits, sequences changed, bases and gaps after it), segments (the final genome in terms of the original
+    sequences and the sources), and lens, gaps and status of the final genome. Tables of earlier rounds are deleted."""
+    runs = D.islands(gaps.select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").cast("bigint").alias("start"), (F.col("gap_pos") + size).cast("bigint").alias("end"), F.struct(F.col("gap_pos").alias("p"), "gap_key", "gap_id").alias("who")), ["seq_id"])
+    runs = runs.groupBy("seq_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("who").alias("who")).select("seq_id", "start", "end", (F.col("end") - F.col("start")).alias("length"), "who.gap_key", "who.gap_id")
+    counts = T.telomere_status(status.select("seq_id", "seq_length", "left_repeats", "right_repeats"))
+    state = {"lens": kept(lens), "gaps": kept(runs), "segments": kept(M.whole(lens)), "status": kept(counts), "alignments": alignments, "matches": matches, "end_hits": end_hits}
+    own = {state[t].kept_at for t in ("lens", "gaps", "segments", "status")}  # tables that later rounds may delete
+    none = fill_hits.limit(0)
+
+    def edits_of(name: str) -> DataFrame:
+        lens, gaps = state["lens"], state["gaps"]
+        asked = gaps.select("gap_key", F.col("seq_id").alias("query_contig"), F.col("start").alias("gap_pos"), "gap_id")
+        if name == "filter":
+            left = lens.join(gaps.select("seq_id").distinct(), "seq_id", "left_semi")
+            return fragment_edits(D.fragment_status(D.fragments(gaps, left), least_fragment), left, size)
+        if name == "patch":
+            return patch_gaps(state["alignments"], asked, ref_lengths, state["matches"], lens)["edits"]
+        if name == "correct":
+            return correct_gaps(state["alignments"], asked, lens, mode, size, size)["edits"]
+        if name == "telomere":
+            return recover_telomeres(repairs, state["end_hits"], state["status"])["edits"]
+        hits = {"fill": fill_hits, "fill again": fill_again, "refill": refill_hits}[name]
+        return fill_gaps(lens, gaps.select("seq_id", "start", "end", "length"), none if hits is None else hits)["edits"]
+
+    rows = []
+    for place, (stage, name) in enumerate(ROUNDS):
+        ran = stage in stages
+        later = {t for s, _ in ROUNDS[place + 1 :] if s in stages for t in _READ.get(s, ())}
+        with only() as held:
+            done = lens.limit(0).agg(F.count("*").alias("n_edits"), F.count("*").alias("n_changed"))
+            if ran:
+                edits = kept(edits_of(name))
+                segments = kept(E.apply_edits(edits, state["lens"]))
+                after = kept(new_lengths(state["lens"], edits).where("seq_length > 0"))
+                new = {"lens": after, "gaps": kept(M.lift_gaps(state["gaps"], segments, name)), "segments": kept(M.compose(state["segments"], segments)), "status": kept(lifted_status(state["status"], segments, state["lens"], after))}
+                lifts = {"alignments": lambda t: M.lift_alignments(t, segments), "matches": lambda t: M.lift_hits(t, segments, after), "end_hits": lambda t: M.lift_hits(t, segments, after)}  # noqa: B023
+                new |= {t: kept(lifts[t](state[t])) for t in later}
+                done = edits.agg(F.count("*").alias("n_edits"), F.count_distinct("seq_id").alias("n_changed"))
+                dropped(*(state[t] for t in new if state[t].__dict__.get("kept_at") in own))
+                own |= {df.kept_at for df in new.values()}
+                state |= new
+            row = done.crossJoin(state["lens"].agg(F.coalesce(F.sum("seq_length"), F.lit(0)).cast("bigint").alias("bases"))).crossJoin(state["gaps"].agg(F.count("*").alias("n_gaps")))
+            rows.append(kept(row.select(F.lit(place + 1).alias("place"), F.lit(stage).alias("stage"), F.lit(name).alias("round"), F.lit(ran).alias("ran"), "n_edits", "n_changed", "bases", "n_gaps")))
+            held += [rows[-1], *state.values()]
+    steps = rows[0]
+    for row in rows[1:]:
+        steps = steps.unionByName(row)
+    return {"steps": steps, **{t: state[t] for t in ("segments", "lens", "gaps", "status")}}
 
 
 def batch_counts(rows: DataFrame, samples: DataFrame) -> DataFrame:

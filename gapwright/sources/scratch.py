@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,4 +24,40 @@ def kept(df: DataFrame) -> DataFrame:
     """df written once and read again, so that what several branches use is computed once and outlives lost executors."""
     path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    if _scopes:
+        _scopes[-1][path] = df.sparkSession
+    return out
+
+
+_scopes: list[dict[str, SparkSession]] = []
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete kept tables that nothing reads any more (others are left alone)."""
+    for df in tables:
+        if hasattr(df, "kept_at"):
+            _delete(df.sparkSession, df.kept_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def only():
+    """Within it, kept tables are written; at its end those are deleted that weren't put into the list it gives."""
+    held: list[DataFrame] = []
+    _scopes.append({})
+    try:
+        yield held
+    finally:
+        made = _scopes.pop()
+        stay = {df.kept_at for df in held if hasattr(df, "kept_at")}
+        for path, spark in made.items():
+            if path not in stay:
+                _delete(spark, path)
+            elif _scopes:
+                _scopes[-1][path] = spark

@@ -8,6 +8,7 @@ import pytest
 from gapwright.operators import edits as E
 from gapwright.operators import gaps as D
 from gapwright.operators import kmer as K
+from gapwright.operators import lift as M
 from gapwright.operators import telomere as T
 from gapwright.plans import pipelines as N
 from gapwright.sources import formats, sinks
@@ -147,19 +148,137 @@ def test_filling_twice(spark):
     assert rounds == {1: (2, 1), 2: (1, 0)}
 
 
-def test_recovering_and_repairing_everything(spark):
-    aln, gaps, refs, hits, lens = _patch_inputs(spark)
+def _ends(spark, aln, refs):
     arrays = spark.createDataFrame([("r", "CCCTAAA", 100, 800), ("r", "TTTAGGG", 99_100, 99_900)], "seq_id string, pattern string, start long, end long")
-    repairs = N.extract_repairs(aln, refs.selectExpr("ref_contig AS seq_id", "ref_length AS seq_length"), arrays)
+    return N.extract_repairs(aln, refs.selectExpr("ref_contig AS seq_id", "ref_length AS seq_length"), arrays)
+
+
+def test_recovering_telomeres(spark):
+    aln, _, refs, _, _ = _patch_inputs(spark)
+    repairs = _ends(spark, aln, refs)
     got = {r.repair_end: (r.label, r.start, r.end, r.turned, r.n_arrays) for r in repairs.collect()}
     assert got == {"5prime": ("r_q_1_40000", 1, 40_000, False, 1), "3prime": ("r_q_60000_100000", 60_000, 100_000, False, 1)}
     status = T.telomere_status(spark.createDataFrame([("q", 90_000, 0, 9), ("w", 50, 9, 9)], "seq_id string, seq_length long, left_repeats long, right_repeats long"))
     ends = spark.createDataFrame([(1, "r_q_1_40000", 40_000, 1_000, 39_000, "+", "q", 90_000, 900, 38_900, 37_900, 38_000, 60, "5prime")], PAF + ", repair_end string")
     out = N.recover_telomeres(repairs, ends, status)
     assert [(r.seq_id, r.del_start, r.del_end, r.src_id, r.src_start, r.src_end) for r in out["edits"].collect()] == [("q", 0, 38_900, "r", 0, 39_000)]
-    rows = {r.stage: (r.ran, r.n_edits, r.bases, r.n_gaps) for r in N.repair_genome(lens, gaps, aln, refs, hits, hits.limit(0), repairs, ends, status, ("patch", "fill", "telomere")).collect()}
-    assert rows["patch"] == (True, 1, 105_049, 1) and rows["correct"] == (False, 0, 105_049, 1) and rows["fill"][:2] == (True, 0)
-    assert rows["telomere"] == (True, 1, 105_149, 0)
+
+
+def _random_bases(seed, n):
+    return "".join(random.Random(seed).choices("ACGT", k=n))
+
+
+def test_repairing_a_genome(spark):
+    """All rounds, every input in original coordinates; the bases are those that splicing the original strings gives."""
+    q, u, v, w = _random_bases(1, 90_000), _random_bases(2, 10_400), _random_bases(3, 30_000), _random_bases(4, 50)
+    put = lambda t, *at: t if not at else put(t[: at[0]] + "N" * 100 + t[at[0] + 100 :], *at[1:])
+    genome = {"q": put(q, 5_000, 42_000), "u": put(u, 5_000, 5_300), "v": put(v, 15_000), "w": w}
+    contigs = {"r": _random_bases(5, 100_000), "ctg": _random_bases(6, 90_000)}
+    aln, _, refs, _, _ = _patch_inputs(spark)
+    aln = aln.unionByName(spark.createDataFrame([(3, "r2", "v", 99.0, 1, 6_001, 12_000, 18_000)], ALN))
+    gaps = spark.createDataFrame([(1, "q", 5_000, "q.g1"), (2, "q", 42_000, "q.g2"), (3, "u", 5_000, "u.a"), (4, "u", 5_300, "u.b"), (5, "v", 15_000, "v.a")], "gap_key long, query_contig string, gap_pos long, gap_id string")
+    matches = spark.createDataFrame([(1, "q.g2.L", 10_000, 0, 10_000, "+", "q", 90_000, 30_000, 40_000, 9_900, 10_000, 60), (2, "q.g2.R", 10_000, 0, 10_000, "+", "q", 90_000, 45_000, 55_000, 9_900, 10_000, 60)], PAF)
+    hit = lambda i, g, side, at, strand="+": (i, f"{g}.{side}", 1_500, 0, 1_500, strand, "ctg", 90_000, at, at + 1_500, 1_450, 1_500, 60)
+    fills = spark.createDataFrame([hit(1, "q.1", "L", 1_000), hit(2, "q.1", "R", 3_000)], PAF)
+    again = spark.createDataFrame([hit(3, "u.1", "L", 10_000), hit(4, "u.1", "R", 12_000)], PAF)
+    refill = spark.createDataFrame([hit(5, "v.1", "R", 20_000, "-"), hit(6, "v.1", "L", 22_000, "-")], PAF)
+    lens = spark.createDataFrame([(k, i, len(t)) for i, (k, t) in enumerate(genome.items())], "seq_id string, seq_ord long, seq_length long")
+    status = T.telomere_status(spark.createDataFrame([("q", 90_000, 9, 0), ("u", 10_400, 9, 9), ("v", 30_000, 9, 9), ("w", 50, 9, 9)], "seq_id string, seq_length long, left_repeats long, right_repeats long"))
+    repairs = _ends(spark, aln.where("query_contig = 'q'"), refs)
+    ends = spark.createDataFrame([(1, "r_q_60000_100000", 40_001, 20_000, 39_000, "+", "q", 90_000, 70_000, 89_000, 18_900, 19_000, 60, "3prime")], PAF + ", repair_end string")
+    one = N.recover_telomeres(repairs, ends, status)["edits"].first()
+    run = lambda *stages: N.repair_genome(lens, gaps, aln, refs, matches, fills, repairs, ends, status, again, refill, stages, least_fragment=1_000)
+    out = run("fill", "patch", "correct", "telomere")
+    cut = contigs["r"][one.src_start : one.src_end]
+    assert one.strand == "+" and one.del_start >= 55_000
+    want = {
+        "q": genome["q"][:5_000] + contigs["ctg"][2_500:3_000] + genome["q"][5_100:40_000] + contigs["r"][40_000:59_999] + genome["q"][45_000 : one.del_start] + cut + genome["q"][one.del_end :],
+        "u": genome["u"][:5_000] + contigs["ctg"][11_500:12_000] + genome["u"][5_400:],
+        "v": genome["v"][:11_999] + contigs["ctg"][21_500:22_000].translate(str.maketrans("ACGT", "TGCA"))[::-1] + genome["v"][18_000:],
+        "w": w,
+    }
+    source = [("seq", k, t) for k, t in genome.items()] + [("contig", k, t) for k, t in contigs.items()]
+    chunks = None
+    for kind in ("seq", "contig"):
+        part = D.chunk_sequences(spark.createDataFrame([(k, t) for x, k, t in source if x == kind], "seq_id string, bases string")).selectExpr(f"'{kind}' AS kind", "*")
+        chunks = part if chunks is None else chunks.unionByName(part)
+    got = {}
+    for r in sorted(E.materialize(out["segments"], chunks).collect(), key=lambda r: (r.seq_id, r.chunk_ix)):
+        got[r.seq_id] = got.get(r.seq_id, "") + r.bases
+    assert {k: len(t) for k, t in got.items()} == {k: len(t) for k, t in want.items()}
+    assert got == want
+    assert {r.seq_id: r.seq_length for r in out["lens"].collect()} == {k: len(t) for k, t in want.items()} and out["gaps"].count() == 0
+    rows = {r["round"]: (r.ran, r.n_edits, r.n_changed, r.n_gaps) for r in out["steps"].collect()}
+    assert rows == {"fill": (True, 1, 1, 4), "filter": (True, 1, 1, 3), "fill again": (True, 1, 1, 2), "patch": (True, 1, 1, 1), "correct": (True, 1, 1, 1), "refill": (True, 1, 1, 0), "telomere": (True, 1, 1, 0)}
+    few = run("patch")
+    assert {r["round"]: (r.ran, r.n_gaps) for r in few["steps"].collect()} == {"fill": (False, 5), "filter": (False, 5), "fill again": (False, 5), "patch": (True, 4), "correct": (False, 4), "refill": (False, 4), "telomere": (False, 4)}
+
+
+def test_lifting_by_brute_force(spark):
+    """Positions after random edits, base by base: intervals, gaps, two rounds composed, alignments and hits."""
+    rng = random.Random(12)
+    size, edits, second = {"a": 400, "b": 90}, [], []
+    for name, n in size.items():
+        at = 0
+        while at < n - 20:
+            a = at + rng.randrange(25)
+            b = min(n, a + rng.choice([0, 1, 7, 30]))
+            edits.append((name, a, b, rng.choice(["N", "contig"]), "c", 5, 5 + rng.choice([1, 9, 40]), "+", 0))
+            at = b + 1
+    lens = spark.createDataFrame(list(size.items()), "seq_id string, seq_length long")
+    first = E.apply_edits(spark.createDataFrame(edits, EDIT), lens).cache()
+
+    def spliced(text, rows):
+        """Lists of (kind, id, place) tags, one a base."""
+        for _, a, b, kind, src, s, e, way, _ in sorted(rows, key=lambda r: (r[1], r[2]), reverse=True):
+            new = [(kind, src if kind != "N" else None, k if kind != "N" else None) for k in range(s, e)]
+            text = text[:a] + (new if way == "+" else new[::-1]) + text[b:]
+        return text
+
+    base = {k: [("seq", k, i) for i in range(n)] for k, n in size.items()}
+    after = {k: spliced(base[k], [e for e in edits if e[0] == k]) for k in size}
+    place = {k: {t[2]: i for i, t in enumerate(after[k]) if t[0] == "seq"} for k in size}
+    rows = [(k, s, s + rng.randrange(0, 60), i) for k, n in size.items() for i, s in enumerate(rng.randrange(n) for _ in range(40))]
+    rows = [(k, s, min(e, size[k]), i) for k, s, e, i in rows] + [("a", 0, 400, 99), ("zz", 0, 5, 100)]
+    got = {}
+    for r in M.lift_intervals(spark.createDataFrame(rows, "seq_id string, start long, end long, i int"), first).collect():
+        got.setdefault((r.seq_id, r.i), []).append((r.piece, r.start, r.end))
+    for k, s, e, i in rows:
+        stay = [place[k][p] for p in range(s, e) if p in place.get(k, {})] if k in place else []
+        pieces = sorted(got.get((k, i), []))
+        assert [x for _, a, b in pieces for x in range(a, b)] == stay, (k, s, e)
+        assert [p for p, _, _ in pieces] == list(range(1, len(pieces) + 1))
+    for name, n in {k: len(t) for k, t in after.items()}.items():
+        second += [(name, x, x + 9, "contig", "d", 0, 4, "-", 0) for x in range(3, n - 12, 31)]
+    new_lens = spark.createDataFrame([(k, len(t)) for k, t in after.items()], "seq_id string, seq_length long")
+    both = M.compose(first, E.apply_edits(spark.createDataFrame(second, EDIT), new_lens)).collect()
+    for k in size:
+        want = spliced(after[k], [e for e in second if e[0] == k])
+        made = []
+        for r in sorted((r for r in both if r.seq_id == k), key=lambda r: r.n):
+            assert r.out_start == len(made)
+            part = [(r.kind, r.src_id if r.kind != "N" else None, p if r.kind != "N" else None) for p in range(r.src_start, r.src_end)]
+            made += part if r.strand == "+" else part[::-1]
+        assert made == want
+    runs = [("a", 2, 30, 28, 1, "x"), ("a", 60, 62, 2, 2, "y"), ("b", 0, 90, 90, 3, "z")]
+    marked = {k: [("N",) if t[0] == "N" or t[0] == "seq" and any(s == k and a <= t[2] < b for s, a, b, *_ in runs) else t for t in after[k]] for k in size}
+    found = M.lift_gaps(spark.createDataFrame(runs, "seq_id string, start long, end long, length long, gap_key long, gap_id string"), first, "round").collect()
+    for k in size:
+        assert sorted(x for r in found if r.seq_id == k for x in range(r.start, r.end)) == [i for i, t in enumerate(marked[k]) if t == ("N",)]
+    assert len({r.gap_key for r in found}) == len(found)
+    for way in (1, -1):
+        aln = [(i, "r", k, 99.0, 1_001, 1_000 + 2 * (e - s), s + 1, e) if way > 0 else (i, "r", k, 99.0, 1_001, 1_000 + 2 * (e - s), e, s + 1) for k, s, e, i in rows if e > s and k != "zz"]
+        cut = {}
+        for r in M.lift_alignments(spark.createDataFrame(aln, ALN), first).collect():
+            lo, hi = sorted((r.query_start, r.query_end))
+            assert (r.query_start <= r.query_end) == (way > 0) or lo == hi
+            cut.setdefault((r.query_contig, r.aln_id), []).append((lo - 1, hi, r.ref_start, r.ref_end))
+        for k, s, e, i in rows:
+            want = sorted(place[k][p] for p in range(s, e) if p in place.get(k, {})) if k in place else []
+            assert [x for a, b, _, _ in sorted(cut.get((k, i), [])) for x in range(a, b)] == want
+            for a, b, t0, t1 in cut.get((k, i), []):
+                p = after[k][a][2] if way > 0 else after[k][b - 1][2]
+                assert t1 - t0 + 1 == 2 * (b - a) and t0 == 1_001 + 2 * ((p - s) if way > 0 else (e - 1 - p))
 
 
 def test_names_by_substring(spark):
