@@ -71,31 +71,57 @@ def gap_support(near: DataFrame) -> DataFrame:
     return near.groupBy("gap_key", "gap_pos", "ref_contig").agg(left.alias("left"), right.alias("right"), F.max("crossing").alias("crossing")).where("left is not null and right is not null")
 
 
-def gap_evidence(alignments: DataFrame, gaps: DataFrame, most: int = 500_000, step: int = 100_000) -> dict[str, DataFrame]:
-    """What gap_support(alignments_near_gap(...)) gives, without listing all alignments of the windows: only those that cross a gap, and
-    the nearest on each side of each reference contig, by window functions.
+SIDE = ("aln_id", "r_min", "r_max", "q_min", "q_max", "direction")
+
+
+def extremes(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
+    """gap_key, gap_pos, ref_contig of every gap and each reference contig of its query contig, with four alignments or nulls: the
+    nearest wholly to the left and right, and of those that cross the gap the one that ends last (cross_left) and begins first (cross_right).
 
-    support: as gap_support; crossing: gap_key, q_min, q_max of crossing alignments; seen: gap_key, gap_pos of gaps that a window serves."""
+    Alignments stand on one line by start and by end, with the gaps between. Read forwards, the latest end among alignments that began
+    belongs to one that crosses the gap if it lies at or after it, and the latest end met is the nearest on the left; read
+    backwards likewise. Both are running extremes of one shuffle; gaps and alignments are never paired. Ties go to the lowest aln_id."""
     a = with_bounds(alignments)
-    bins = a.select("*", F.explode(F.expr(f"sequence(q_min div {step}, q_max div {step})")).alias("bin"))
+    pairs = a.select("query_contig", "ref_contig").distinct()
+    row = F.struct(*SIDE)
+    ends = a.select("query_contig", "ref_contig", F.struct("q_max", -F.col("aln_id"), row.alias("row")).alias("last"), F.struct("q_min", "aln_id", row.alias("row")).alias("first"), "q_min", "q_max")
+    none = {c: F.lit(None).cast(ends.schema[c].dataType).alias(c) for c in ("last", "first")}
+    key, pos = F.lit(None).cast("bigint").alias("gap_key"), F.col("gap_pos").cast("bigint")
+    by = ["query_contig", "ref_contig"]
+    # o orders what stands at one place: starts, then gaps, then ends
+    line = ends.select(*by, F.col("q_min").alias("at"), F.lit(0).alias("o"), key, F.col("last").alias("began"), none["last"].alias("ended"), none["first"].alias("ends"), F.col("first").alias("begins"))
+    line = line.unionByName(ends.select(*by, F.col("q_max").alias("at"), F.lit(2).alias("o"), key, none["last"].alias("began"), F.col("last").alias("ended"), F.col("first").alias("ends"), none["first"].alias("begins")))
+    asks = gaps.join(pairs, "query_contig").select(*by, pos.alias("at"), F.lit(1).alias("o"), F.col("gap_key").cast("bigint").alias("gap_key"), none["last"].alias("began"), none["last"].alias("ended"), none["first"].alias("ends"), none["first"].alias("begins"))
+    up = Window.partitionBy(*by).orderBy("at", "o").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*by).orderBy(F.desc("at"), F.desc("o")).rowsBetween(Window.unboundedPreceding, 0)
+    swept = line.unionByName(asks).withColumns({"cl": F.max("began").over(up), "l": F.max("ended").over(up)}).withColumns({"cr": F.min("ends").over(down), "r": F.min("begins").over(down)}).where("o = 1")
+    return swept.select("gap_key", F.col("at").alias("gap_pos"), "ref_contig", F.col("l.row").alias("left"), F.col("r.row").alias("right"), F.when(F.col("cl.q_max") >= F.col("at"), F.col("cl.row")).alias("cross_left"), F.when(F.col("cr.q_min") <= F.col("at"), F.col("cr.row")).alias("cross_right"))
+
+
+def gap_evidence(alignments: DataFrame, gaps: DataFrame, most: int = 500_000, step: int = 100_000) -> dict[str, DataFrame]:
+    """What gap_support(alignments_near_gap(...)) gives, without listing all alignments of the windows: the extremes on each reference contig.
+
+    support: as gap_support; crossing: gap_key, gap_pos and, on each reference contig, least q_min and largest q_max of the alignments that cross
+    it; seen: gap_key, gap_pos of gaps that a window serves. All three read `sides` (gap_key, ref_contig, the extremes and the
+    window), which callers that use several of them should write once."""
+    return evidence_of(extremes(alignments, gaps), most, step)
+
+
+def evidence_of(sides: DataFrame, most: int = 500_000, step: int = 100_000) -> dict[str, DataFrame]:
+    """gap_evidence from extremes."""
     p = F.col("gap_pos")
-    row = F.struct("aln_id", "r_min", "r_max", "q_min", "q_max", "direction")
-    cross = gaps.select("gap_key", "query_contig", "gap_pos", F.expr(f"gap_pos div {step}").alias("bin")).join(bins, ["query_contig", "bin"]).where(p.between(F.col("q_min"), F.col("q_max")))
-    cross = cross.select("gap_key", "gap_pos", "ref_contig", "q_min", "q_max", row.alias("row"))
-    best = cross.groupBy("gap_key", "ref_contig").agg(F.max_by("row", F.struct("row.q_max", -F.col("row.aln_id"))).alias("cl"), F.min_by("row", F.struct("row.q_min", "row.aln_id")).alias("cr"))
-    near = nearest_anchors(alignments, gaps, least=1, strict_left=True).join(gaps.select("gap_key", "gap_pos"), "gap_key")
-    near = near.join(best, ["gap_key", "ref_contig"], "left").withColumn("to_left", p - F.col("left.q_max")).withColumn("to_right", F.col("right.q_min") - p)
+    near = sides.withColumn("to_left", p - F.col("left.q_max")).withColumn("to_right", F.col("right.q_min") - p)
     w = Window.partitionBy("gap_key")
-    crossed = F.max(F.col("cl").isNotNull()).over(w)
+    crossed = F.max(F.col("cross_left").isNotNull()).over(w)
     reach = -(-most // step) * step
     far = F.when(F.min("to_left").over(w).isNotNull() & F.min("to_right").over(w).isNotNull(), F.greatest(F.min("to_left").over(w), F.min("to_right").over(w)))
     near = near.withColumn("window", F.when(crossed, F.lit(step)).when(far <= reach, F.ceil(far / step) * step)).where("window is not null")
-    trim = lambda s: F.when(F.col(s).isNotNull(), F.struct(*(F.col(f"{s}.{c}").alias(c) for c in ("aln_id", "r_min", "r_max", "q_min", "q_max", "direction"))))
-    left = F.coalesce("cl", F.when(F.col("to_left") <= F.col("window"), trim("left")))
-    right = F.coalesce("cr", F.when(F.col("to_right") <= F.col("window"), trim("right")))
     # a crossing alignment ends after the gap and begins before it: on the left it is beyond all others, on the right before them
-    support = near.select("gap_key", "gap_pos", "ref_contig", left.alias("left"), right.alias("right"), F.col("cl").isNotNull().alias("crossing")).where("left is not null and right is not null")
-    return {"support": support, "crossing": cross.select("gap_key", "gap_pos", "q_min", "q_max", F.lit(True).alias("crossing")), "seen": near.select("gap_key", "gap_pos").distinct()}
+    left = F.coalesce("cross_left", F.when(F.col("to_left") <= F.col("window"), F.col("left")))
+    right = F.coalesce("cross_right", F.when(F.col("to_right") <= F.col("window"), F.col("right")))
+    support = near.select("gap_key", "gap_pos", "ref_contig", left.alias("left"), right.alias("right"), F.col("cross_left").isNotNull().alias("crossing")).where("left is not null and right is not null")
+    crossing = near.where("cross_left is not null").select("gap_key", "gap_pos", F.col("cross_right.q_min").alias("q_min"), F.col("cross_left.q_max").alias("q_max"), F.lit(True).alias("crossing"))
+    return {"support": support, "crossing": crossing, "seen": near.select("gap_key", "gap_pos").distinct()}
 
 
 def _overlaps(share: float = 0.1):

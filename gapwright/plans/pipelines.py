@@ -106,7 +106,9 @@ def correct_gaps(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, mode:
     """Every gap with its error type, region and decision; the regions to mask, the masked genome and how far it is better.
 
     Gaps without support near them fall back on synteny. gaps: gap_key, query_contig, gap_pos; lens: seq_id, seq_length."""
-    near = {k: kept(v) for k, v in Y.gap_evidence(alignments, gaps).items()}
+    sides = kept(Y.extremes(alignments, gaps))
+    near = Y.evidence_of(sides)
+    near["support"] = kept(near["support"])
     more = kept(Y.fallback_support(alignments, gaps, near["seen"]))
     typed = kept(Y.with_pair_type(near["support"].unionByName(more)))
     seen = near["seen"].unionByName(more.select("gap_key", "gap_pos")).distinct()

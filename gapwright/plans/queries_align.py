@@ -8,6 +8,7 @@ from ..functions import seq as S
 from ..operators import fill as L
 from ..operators import patch as P
 from ..operators import synteny as Y
+from ..sources.scratch import kept
 from .fixtures import fixture
 from .registry import query
 
@@ -256,7 +257,8 @@ def _near(s, d):
 
 
 def _evidence(s, d):
-    return Y.gap_evidence(_al(s, d), _gp(s, d))
+    """The extremes are written once: support, crossing and seen all read them."""
+    return Y.evidence_of(kept(Y.extremes(_al(s, d), _gp(s, d))))
 
 
 def _types(s, d):
