@@ -6,23 +6,23 @@ holds a chromosome in one row. Positions are 0-based, intervals half-open. Keys:
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = 4_000
-
+from ..functions.packed import arrow_map, runs, texts
 
-def chunk_sequences(seqs: DataFrame, grid: int = GRID) -> DataFrame:
-    """seq_id, chunk_ix, start, bases: pieces of `grid` bases, cut in one pass; none for an empty sequence."""
-    cut = seqs.select("seq_id", F.posexplode(F.regexp_extract_all("bases", F.lit("(?s).{1,%d}" % grid), 0)).alias("chunk_ix", "bases"))
-    return cut.select("seq_id", "chunk_ix", (F.col("chunk_ix").cast("bigint") * grid).alias("start"), "bases")
+GRID = 4_000
+#: Bases of the next chunk that each chunk holds besides its own: enough for words of 32 bases and all telomere units.
+HALO = 31
 
 
-def with_next(chunks: DataFrame, more: int) -> DataFrame:
-    """Adds `own`, the chunk's length, and appends the next chunk's first `more` bases; only those bases are moved."""
-    head = chunks.select("seq_id", (F.col("chunk_ix") - 1).alias("chunk_ix"), F.substring("bases", 1, more).alias("_more"))
-    both = chunks.withColumn("own", F.length("bases")).join(head, ["seq_id", "chunk_ix"], "left")
-    return both.withColumn("bases", F.concat("bases", F.coalesce("_more", F.lit("")))).drop("_more")
+def chunk_sequences(seqs: DataFrame, grid: int = GRID, halo: int = HALO) -> DataFrame:
+    """seq_id, chunk_ix, start, bases, more: pieces of `grid` bases and the `halo` bases that follow each, cut in one pass; none for an
+    empty sequence. What looks over a chunk's end reads `more`, so chunks are never joined with their neighbours."""
+    cut = seqs.select("seq_id", F.posexplode(F.regexp_extract_all("bases", F.lit("(?s)(?=(.{1,%d})).{1,%d}" % (grid + halo, grid)), 1)).alias("chunk_ix", "long"))
+    return cut.select("seq_id", "chunk_ix", (F.col("chunk_ix").cast("bigint") * grid).alias("start"), F.substring("long", 1, grid).alias("bases"), F.substring("long", grid + 1, halo).alias("more"))
 
 
 def partition_by_gap(seqs: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -40,14 +40,30 @@ def islands(df: DataFrame, by: list[str], reach: int = 0) -> DataFrame:
 
 
 def find_gaps(chunks: DataFrame, least: int = 1, letter: str = "N", any_case: bool = False) -> DataFrame:
-    """seq_id, start, end, length of maximal runs of the letter of at least `least`; runs that touch across chunks are one."""
-    bases = F.upper("bases") if any_case else F.col("bases")
-    runs = chunks.where(bases.contains(letter)).select("seq_id", "chunk_ix", F.col("start").alias("at"), F.posexplode(F.regexp_extract_all(bases, F.lit(f"({letter}+|[^{letter}]+)"), 1)).alias("k", "run"))
-    w = Window.partitionBy("seq_id", "chunk_ix").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    placed = runs.withColumn("stop", F.col("at") + F.sum(F.length("run")).over(w)).where(F.col("run").startswith(letter))
-    pieces = placed.select("seq_id", (F.col("stop") - F.length("run")).alias("start"), F.col("stop").alias("end"))
-    whole = islands(pieces, ["seq_id"]).groupBy("seq_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return whole.select("seq_id", "start", "end", (F.col("end") - F.col("start")).alias("length")).where(F.col("length") >= least)
+    """seq_id, start, end, length of maximal runs of the letter of at least `least`; runs that touch across chunks are one.
+
+    Runs are placed where the chunk's bases are; only coordinates of those that touch a chunk's edge are moved, to meet their neighbours."""
+    letters = {ord(letter), ord(letter.lower()), ord(letter.upper())} if any_case else {ord(letter)}
+
+    def scan(batches):
+        for part in batches:
+            buf, at = texts(part.column("bases"))
+            begin, end = runs(np.isin(buf, list(letters)), at)
+            row = np.searchsorted(at, begin, side="right") - 1
+            shift = part.column("start").to_numpy()[row] - at[row]
+            edge = (begin == at[row]) | (end == at[row + 1])
+            keep = edge | (end - begin >= least)
+            begin, end, row, shift, edge = (x[keep] for x in (begin, end, row, shift, edge))
+            yield pa.RecordBatch.from_arrays([part.column("seq_id").take(pa.array(row)), pa.array(begin + shift), pa.array(end + shift), pa.array(edge)], names=["seq_id", "start", "end", "edge"])
+
+    found = arrow_map(chunks.select("seq_id", "start", "bases"), scan, "seq_id string, start bigint, end bigint, edge boolean")
+    return joined_runs(found, ["seq_id"]).select("seq_id", "start", "end", (F.col("end") - F.col("start")).alias("length")).where(F.col("length") >= least)
+
+
+def joined_runs(found: DataFrame, by: list[str]) -> DataFrame:
+    """Runs (by, start, end, edge) of chunks as runs of whole sequences: those at an edge that touch become one, the others stay where they are."""
+    at_edge = islands(found.where("edge"), by).groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return found.where("not edge").select(*by, "start", "end").unionByName(at_edge.select(*by, "start", "end"))
 
 
 def lengths(seqs: DataFrame) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .gaps import islands, with_next
+from ..functions.packed import arrow_map, occurrences, texts
+from .gaps import islands, joined_runs
 
 #: Telomere repeat units (fixed values).
 UNITS = ["TTTAGGG", "CCCTAAA", "TTAGGG", "CCCTAA"]
@@ -30,24 +34,39 @@ def telomere_status(counts: DataFrame, least: int = 5) -> DataFrame:
 def telomere_arrays(chunks: DataFrame, least: int = 20, least_bp: int = 500, units: list[str] | None = None) -> DataFrame:
     """seq_id, pattern, start, end, length, repeats of tandem arrays.
 
-    chunks (seq_id, chunk_ix, start, bases) hold their own bases; the next chunk's first bases are joined on, so a unit over
-    an edge is seen in the chunk where it begins. No unit overlaps itself, so occurrences at steps of the unit's
-    length are what a tandem match finds."""
+    chunks: as chunk_sequences cuts them, with `more`, so that a unit over an edge is seen in the chunk where it begins. No unit overlaps
+    itself, so occurrences at steps of the unit's length are what a tandem match finds. Arrays are put together where the chunk's
+    bases are; only the coordinates of those that may go on in a neighbour are moved."""
     units = units or UNITS
-    more = max(map(len, units)) - 1
-    long = with_next(chunks, more)
-    found = None
-    for u in units:
-        # where units begin: the lengths of what lies between them, added up
-        parts = long.where(F.contains("bases", F.lit(u))).select("seq_id", F.col("start").alias("at"), "own", F.posexplode(F.split("bases", u, -1)).alias("k", "part"), F.size(F.split("bases", u, -1)).alias("n"))
-        sums = Window.partitionBy("seq_id", "at").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-        hit = parts.withColumn("off", F.sum(F.length("part")).over(sums) + F.col("k") * len(u)).where((F.col("k") < F.col("n") - 1) & (F.col("off") < F.col("own")))
-        hit = hit.select("seq_id", F.lit(u).alias("pattern"), (F.col("at") + F.col("off")).alias("pos"), F.lit(len(u)).alias("unit"))
-        found = hit if found is None else found.unionByName(hit)
-    chain = F.col("pos") - F.col("unit") * F.row_number().over(Window.partitionBy("seq_id", "pattern").orderBy("pos"))
-    runs = found.distinct().withColumn("chain", chain).groupBy("seq_id", "pattern", "unit", "chain").agg(F.min("pos").alias("start"), F.count("*").alias("repeats"))
-    size = F.col("unit") * F.col("repeats")
-    return runs.where((F.col("repeats") >= least) & (size >= least_bp)).select("seq_id", "pattern", "start", (F.col("start") + size).alias("end"), size.alias("length"), "repeats")
+
+    def scan(batches):
+        for part in batches:
+            buf, at = texts(pc.binary_join_element_wise(part.column("bases"), pc.fill_null(part.column("more"), ""), ""))
+            own = pc.binary_length(part.column("bases")).to_numpy()
+            start = part.column("start").to_numpy()
+            for u in units:
+                n = len(u)
+                pos = occurrences(buf, u.encode())
+                row = np.searchsorted(at, pos, side="right") - 1
+                off = pos - at[row]
+                keep = (off < own[row]) & (pos + n <= at[row + 1])
+                row, off = row[keep], off[keep]
+                goes_on = np.zeros(len(off), bool)
+                goes_on[1:] = (row[1:] == row[:-1]) & (off[1:] - off[:-1] == n)
+                first = np.flatnonzero(~goes_on)
+                repeats = np.diff(np.append(first, len(off)))
+                row, off = row[first], off[first]
+                last = off + (repeats - 1) * n
+                edge = (off < n) | (last + n >= own[row])
+                keep = edge | (repeats >= least) & (repeats * n >= least_bp)
+                row, off, repeats, edge = (x[keep] for x in (row, off, repeats, edge))
+                begin = start[row] + off
+                yield pa.RecordBatch.from_arrays([part.column("seq_id").take(pa.array(row)), pa.array([u] * len(row), pa.string()), pa.array(begin), pa.array(begin + repeats * n), pa.array(edge)], names=["seq_id", "pattern", "start", "end", "edge"])
+
+    found = arrow_map(chunks.select("seq_id", "start", "bases", "more"), scan, "seq_id string, pattern string, start bigint, end bigint, edge boolean")
+    size = F.col("end") - F.col("start")
+    every = joined_runs(found, ["seq_id", "pattern"]).withColumn("repeats", F.expr("(end - start) div length(pattern)"))
+    return every.where((F.col("repeats") >= least) & (size >= least_bp)).select("seq_id", "pattern", "start", "end", size.alias("length"), "repeats")
 
 
 def internal_telomeres(arrays: DataFrame, lengths: DataFrame, flank: int = 5_000, reach: int = 1_000) -> DataFrame:

@@ -47,7 +47,7 @@ def _lens(s, d):
 
 @query("A2_chunk_sequences", "SELECT seq_id, cast(i AS int) AS chunk_ix, i * 4000 AS start, substr(bases, i * 4000 + 1, 4000) AS bases FROM (SELECT seq_id, bases, unnest(range(0, (length(bases) + 3999) // 4000)) AS i FROM seqs) t", "seqs")
 def a2(s, d):
-    return D.chunk_sequences(_seqs(s, d))
+    return D.chunk_sequences(_seqs(s, d)).drop("more")
 
 
 def _coords_lines(s, d, bar=" | "):
@@ -413,9 +413,9 @@ h AS (SELECT times, count(*) AS n_kmers FROM (SELECT kmer, count(*) AS times FRO
 
 @query("H1_kmer_histogram", KM + "SELECT * FROM h", "seqs")
 def h1(s, d):
-    return K.kmer_histogram(K.kmers(_seqs(s, d), 11))
+    return K.kmer_histogram(K.kmer_counts(K.super_kmers(_seqs(s, d), 11), 11))
 
 
 @query("H2_genome_size_kmer", KM + "SELECT n, depth, cast(floor(n / depth + 10) AS bigint) AS genome_size FROM (SELECT cast(sum(times * n_kmers) AS bigint) AS n, (SELECT times FROM h ORDER BY n_kmers DESC, times LIMIT 1) AS depth FROM h) t", "seqs")
 def h2(s, d):
-    return K.genome_size_kmer(K.kmer_histogram(K.kmers(_seqs(s, d), 11)), 11)
+    return K.genome_size_kmer(K.kmer_histogram(K.kmer_counts(K.super_kmers(_seqs(s, d), 11), 11)), 11)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.gaps import GRID, HALO
+
 
 def read_fasta(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
     """sample (file name), seq_ord, seq_id, description, bases (upper case) of FASTA files.
@@ -20,8 +22,9 @@ def read_fasta(spark: SparkSession, path: str, glob: str | None = None, recursiv
     return rows.where("trim(value) <> ''").select("sample", F.col("at").alias("seq_ord"), F.split_part(head, F.lit(" "), F.lit(1)).alias("seq_id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), bases.alias("bases"))
 
 
-def read_fasta_chunks(spark: SparkSession, path: str, grid: int = 4_000, glob: str | None = None) -> DataFrame:
-    """sample, record, seq_id, description, chunk_ix, start, bases of FASTA files, cut on a grid by lines: no record is ever in one row.
+def read_fasta_chunks(spark: SparkSession, path: str, grid: int = GRID, glob: str | None = None, halo: int = HALO) -> DataFrame:
+    """sample, record, seq_id, description, chunk_ix, start, bases, more of FASTA files, cut on a grid by lines: no record is ever in one
+    row. A line's bases go to their chunk, and those of a chunk's first `halo` also to the one before (as its `more`).
 
     A file's blocks are read apart; what a line belongs to follows from the headers and bases counted in the blocks before it."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
@@ -43,12 +46,12 @@ def read_fasta_chunks(spark: SparkSession, path: str, grid: int = 4_000, glob: s
     title = F.trim(F.substring("line", 2, 1 << 20))
     names = j.where(head).select("file", "sample", "record", F.split_part(title, F.lit(" "), F.lit(1)).alias("seq_id"), F.trim(F.regexp_replace(title, r"^\S+", "")).alias("description"))
     pieces = j.where(~head).select("file", "record", begin.alias("begin"), F.upper(F.regexp_replace("line", r"\s", "")).alias("piece"))
-    cut = pieces.select("*", F.explode(F.expr(f"sequence(begin div {grid}, (begin + length(piece) - 1) div {grid})")).alias("chunk_ix"))
-    lo, hi = F.greatest("begin", F.col("chunk_ix") * grid), F.least(F.col("begin") + F.length("piece"), (F.col("chunk_ix") + 1) * grid)
+    cut = pieces.select("*", F.explode(F.expr(f"sequence(greatest(0, begin - {halo}) div {grid}, (begin + length(piece) - 1) div {grid})")).alias("chunk_ix"))
+    lo, hi = F.greatest("begin", F.col("chunk_ix") * grid), F.least(F.col("begin") + F.length("piece"), (F.col("chunk_ix") + 1) * grid + halo)
     cut = cut.withColumn("lo", lo).withColumn("hi", hi).select("file", "record", "chunk_ix", "lo", F.expr("substring(piece, cast(lo - begin + 1 as int), cast(hi - lo as int))").alias("part"))
     whole = cut.groupBy("file", "record", "chunk_ix").agg(F.sort_array(F.collect_list(F.struct("lo", "part"))).alias("p"))
-    bases = F.array_join(F.transform("p", lambda x: x["part"]), "")
-    return whole.join(names, ["file", "record"]).select("sample", "record", "seq_id", "description", F.col("chunk_ix").cast("int").alias("chunk_ix"), (F.col("chunk_ix") * grid).alias("start"), bases.alias("bases"))
+    whole = whole.withColumn("long", F.array_join(F.transform("p", lambda x: x["part"]), ""))
+    return whole.join(names, ["file", "record"]).select("sample", "record", "seq_id", "description", F.col("chunk_ix").cast("int").alias("chunk_ix"), (F.col("chunk_ix") * grid).alias("start"), F.substring("long", 1, grid).alias("bases"), F.substring("long", grid + 1, halo).alias("more"))
 
 
 def fasta_dir_summary(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:

@@ -1,9 +1,11 @@
 """The composed repairs and the file readers on small inputs, against plain Python."""
 
 import random
+import re
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from gapwright.operators import edits as E
 from gapwright.operators import gaps as D
@@ -49,12 +51,62 @@ def test_cutting_takes_time_in_proportion(spark):
 
 
 def test_kmers_over_chunk_edges(spark):
-    bases = "".join(random.Random(1).choice("ACGT") for _ in range(9_000))
+    rng = random.Random(1)
+    bases = "".join(rng.choice("ACGT") for _ in range(9_000))
     bases = bases[:5000] + "N" + bases[5000:]
-    got = {r.pos: r.kmer for r in K.kmers(spark.createDataFrame([("a", bases)], "seq_id string, bases string"), 21, both=False).collect()}
+    got = {r.pos: r.w for r in K.kmers(spark.createDataFrame([("a", bases)], "seq_id string, bases string"), 21, both=False).select("pos", K.spelt(F.col("kmer"), 21).alias("w")).collect()}
     assert got == {i: bases[i : i + 21] for i in range(len(bases) - 20) if "N" not in bases[i : i + 21]}
 
 
+@pytest.mark.parametrize(("k", "m", "both"), [(21, None, True), (11, None, True), (5, 2, False), (31, 9, True), (4, 4, True)])
+def test_counts_by_minimizer(spark, k, m, both):
+    """Repeats, copies on both strands, other letters, sequences shorter than a word, and words over chunk edges."""
+    rng = random.Random(k)
+    turn = lambda t: t.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    one = "".join(rng.choice("ACGT") for _ in range(5_000))
+    rows = [("a", one), ("b", turn(one)), ("c", "A" * 4_100 + "N" + "TTAGGG" * 200), ("d", one[:17] + "NNxN" + one[30:8_000]), ("e", "ACG"), ("f", ""), ("g", one), ("h", "N" * 50)]
+    want = {}
+    for _, t in rows:
+        for i in range(len(t) - k + 1):
+            w = t[i : i + k]
+            if set(w) <= set("ACGT"):
+                w = min(w, turn(w)) if both else w
+                want[w] = want.get(w, 0) + 1
+    counts = K.kmer_counts(K.super_kmers(spark.createDataFrame(rows, "seq_id string, bases string").repartition(3), k, m, both), k, both)
+    got = counts.select(K.spelt(F.col("kmer"), k).alias("w"), "times").collect()
+    assert {r.w: r.times for r in got} == want and len(got) == len(want)
+
+
+def shuffled(df):
+    """The columns that each exchange of a plan carries."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+    todo = [plan.executedPlan() if plan.nodeName().startswith("AdaptiveSparkPlan") else plan]
+    while todo:
+        node = todo.pop()
+        if "Exchange" in node.nodeName():
+            found.append([node.output().apply(i).name() for i in range(node.output().size())])
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_no_bases_are_shuffled(spark):
+    """Gaps, telomere arrays and words are found where the chunks are; only coordinates and packed stretches meet."""
+    q = spark.createDataFrame([("a", "ACGTN" * 3_000)], "seq_id string, bases string")
+    chunks = D.chunk_sequences(q)
+    plain = {"seq_id", "start", "end", "edge", "island", "pattern", "part", "stretch", "n", "times"}
+    for df, least in ((D.find_gaps(chunks), 1), (T.telomere_arrays(chunks), 1), (K.kmer_histogram(K.kmer_counts(K.super_kmers(q))), 2), (K.kmers(q), 0)):
+        moved = shuffled(df)
+        assert len(moved) >= least and all({c.split("#")[0] for c in x} <= plain | {"min", "max", "count", "sum"} for x in moved), moved
+    assert not shuffled(K.kmers(q))
+
+
+def test_stretches_are_less_than_half_of_the_words(spark):
+    rng = random.Random(3)
+    q = spark.createDataFrame([(f"s{k}", "".join(rng.choice("ACGT") for _ in range(20_000))) for k in range(5)], "seq_id string, bases string")
+    size = K.super_kmers(q).selectExpr("sum(length(stretch) + 16) AS n").first().n
+    assert size < 8 * K.kmers(q).count() / 1.5 and size < 21 * K.kmers(q).count() / 4
+
+
 @pytest.mark.parametrize("block", ["64m", "40"])
 def test_fasta_by_lines(spark, tmp_path, block):
     """Records over block edges, several files, and lines of odd widths give the same chunks as whole records."""
@@ -68,14 +120,16 @@ def test_fasta_by_lines(spark, tmp_path, block):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     try:
-        got = {}
+        got, more = {}, {}
         for r in sorted(formats.read_fasta_chunks(spark, str(tmp_path), 10).collect(), key=lambda r: (r.seq_id, r.chunk_ix)):
             assert r.start == 10 * r.chunk_ix == len(got.get(r.seq_id, ("", ""))[1])
             got[r.seq_id] = (r.description, got.get(r.seq_id, ("", ""))[1] + r.bases)
+            more[r.seq_id, r.start + len(r.bases)] = r.more
         want = {r.seq_id: (r.description, r.bases) for r in formats.read_fasta(spark, str(tmp_path), "*.fa").collect() if r.bases}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == want and len(want) >= 6
+    assert all(t == want[name][1][at : at + D.HALO] for (name, at), t in more.items())
 
 
 def test_folders_of_files(spark, tmp_path):
