@@ -67,8 +67,10 @@ AL = """WITH al AS (SELECT *, least(ref_start, ref_end) AS r_min, greatest(ref_s
 NEAR = AL + """,
 two AS (SELECT query_contig, ref_contig FROM al GROUP BY ALL HAVING count(*) >= 2),
 asks AS (SELECT g.gap_key, g.gap_pos, g.query_contig, t.ref_contig FROM gap_positions g JOIN two t USING (query_contig)),
-lft AS (SELECT * FROM (SELECT k.gap_key, k.ref_contig, a.*  EXCLUDE (ref_contig, query_contig), row_number() OVER (PARTITION BY k.gap_key, k.ref_contig ORDER BY a.q_max DESC, a.aln_id) AS rn FROM asks k JOIN al a ON a.query_contig = k.query_contig AND a.ref_contig = k.ref_contig AND a.q_max <= k.gap_pos) t WHERE rn = 1),
-rgt AS (SELECT * FROM (SELECT k.gap_key, k.ref_contig, a.*  EXCLUDE (ref_contig, query_contig), row_number() OVER (PARTITION BY k.gap_key, k.ref_contig ORDER BY a.q_min, a.aln_id) AS rn FROM asks k JOIN al a ON a.query_contig = k.query_contig AND a.ref_contig = k.ref_contig AND a.q_min > k.gap_pos) t WHERE rn = 1),
+ends AS (SELECT query_contig, ref_contig, q_max AS at, arg_min(al, aln_id) AS l FROM al GROUP BY ALL),
+begins AS (SELECT query_contig, ref_contig, q_min AS at, arg_min(al, aln_id) AS r FROM al GROUP BY ALL),
+lft AS (SELECT k.gap_key, k.ref_contig, l['aln_id'] AS aln_id, l['r_min'] AS r_min, l['r_max'] AS r_max, l['q_min'] AS q_min, l['q_max'] AS q_max, l['direction'] AS direction FROM asks k ASOF JOIN ends e ON e.query_contig = k.query_contig AND e.ref_contig = k.ref_contig AND k.gap_pos >= e.at),
+rgt AS (SELECT k.gap_key, k.ref_contig, r['aln_id'] AS aln_id, r['r_min'] AS r_min, r['r_max'] AS r_max, r['q_min'] AS q_min, r['q_max'] AS q_max, r['direction'] AS direction FROM asks k ASOF JOIN begins e ON e.query_contig = k.query_contig AND e.ref_contig = k.ref_contig AND k.gap_pos < e.at),
 anch AS (SELECT k.gap_key, k.ref_contig, l.aln_id AS l_id, r.aln_id AS r_id, l.q_max AS lq, r.q_min AS rq, l.r_min AS l0, l.r_max AS l1, r.r_min AS r0, r.r_max AS r1 FROM asks k LEFT JOIN lft l USING (gap_key, ref_contig) LEFT JOIN rgt r USING (gap_key, ref_contig)),
 valid AS (SELECT * FROM anch WHERE rq - lq BETWEEN 1000 AND 1000000),
 reg AS (SELECT gap_key, ref_contig, dir AS direction, dist AS distance, greatest(1, lo - 9999) AS patch_start, least(hi + 9999, 300000) AS patch_end FROM (SELECT *, rq - lq AS dist, CASE WHEN l1 < r0 THEN 1 WHEN r1 < l0 THEN -1 END AS dir, CASE WHEN l1 < r0 THEN l1 ELSE r1 END AS lo, CASE WHEN l1 < r0 THEN r0 ELSE l0 END AS hi FROM valid) t WHERE dir IS NOT NULL)
@@ -293,9 +295,11 @@ def f5(s, d):
 
 ASSESS = BLOCKS + PROJ.replace(AL, "", 1).lstrip(", ").join([", ", ""]) + """,
 ask1 AS (SELECT g.gap_key, g.gap_pos, g.query_contig, t.ref_contig FROM gap_positions g JOIN (SELECT DISTINCT query_contig, ref_contig FROM al) t USING (query_contig)),
-lf1 AS (SELECT k.gap_key, k.ref_contig, arg_max(a.aln_id, (a.q_max, -a.aln_id)) AS id FROM ask1 k JOIN al a ON a.query_contig = k.query_contig AND a.ref_contig = k.ref_contig AND a.q_max < k.gap_pos GROUP BY ALL),
-rg1 AS (SELECT k.gap_key, k.ref_contig, arg_min(a.aln_id, (a.q_min, a.aln_id)) AS id FROM ask1 k JOIN al a ON a.query_contig = k.query_contig AND a.ref_contig = k.ref_contig AND a.q_min > k.gap_pos GROUP BY ALL),
-sd AS (SELECT k.*, l.aln_id AS lid, r.aln_id AS rid, l.r_min AS l0, r.r_min AS r0, l.direction AS ld, r.direction AS rd, least(k.gap_pos - l.q_max, r.q_min - k.gap_pos) AS gap FROM ask1 k LEFT JOIN lf1 USING (gap_key, ref_contig) LEFT JOIN rg1 USING (gap_key, ref_contig) LEFT JOIN al l ON l.aln_id = lf1.id LEFT JOIN al r ON r.aln_id = rg1.id),
+ends AS (SELECT query_contig, ref_contig, q_max AS at, arg_min(al, aln_id) AS l FROM al GROUP BY ALL),
+begins AS (SELECT query_contig, ref_contig, q_min AS at, arg_min(al, aln_id) AS r FROM al GROUP BY ALL),
+lf1 AS (SELECT k.gap_key, k.ref_contig, l['aln_id'] AS aln_id, l['r_min'] AS r_min, l['r_max'] AS r_max, l['q_min'] AS q_min, l['q_max'] AS q_max, l['direction'] AS direction FROM ask1 k ASOF JOIN ends e ON e.query_contig = k.query_contig AND e.ref_contig = k.ref_contig AND k.gap_pos > e.at),
+rg1 AS (SELECT k.gap_key, k.ref_contig, r['aln_id'] AS aln_id, r['r_min'] AS r_min, r['r_max'] AS r_max, r['q_min'] AS q_min, r['q_max'] AS q_max, r['direction'] AS direction FROM ask1 k ASOF JOIN begins e ON e.query_contig = k.query_contig AND e.ref_contig = k.ref_contig AND k.gap_pos < e.at),
+sd AS (SELECT k.*, l.aln_id AS lid, r.aln_id AS rid, l.r_min AS l0, r.r_min AS r0, l.direction AS ld, r.direction AS rd, least(k.gap_pos - l.q_max, r.q_min - k.gap_pos) AS gap FROM ask1 k LEFT JOIN lf1 l USING (gap_key, ref_contig) LEFT JOIN rg1 r USING (gap_key, ref_contig)),
 cov AS (SELECT DISTINCT p.gap_key, p.ref_contig, true AS covered FROM proj p JOIN blocks b ON b.ref_contig = p.ref_contig AND p.ref_pos BETWEEN b.start AND b."end"),
 sam AS (SELECT DISTINCT gap_key, s.ref_contig, true AS same FROM sd s JOIN blocks b ON b.ref_contig = s.ref_contig AND l0 BETWEEN b.start AND b."end" AND r0 BETWEEN b.start AND b."end" AND ld = b.direction AND rd = b.direction),
 assess AS (SELECT gap_key, ref_contig, CASE WHEN covered THEN 'gap_in_synteny_block' WHEN p.ref_pos IS NOT NULL THEN 'gap_outside_synteny_blocks' WHEN lid IS NULL OR rid IS NULL THEN 'insufficient_anchors' WHEN same AND gap > 500000 THEN 'large_distance_with_synteny' WHEN same THEN 'synteny_present' ELSE 'no_synteny_between_anchors' END AS assessment, CASE WHEN lid IS NOT NULL AND rid IS NOT NULL THEN gap END AS anchor_distance
