@@ -226,10 +226,20 @@ def project_gap(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
     return hit.groupBy("gap_key", "ref_contig").agg(F.avg(pos).alias("ref_pos"), F.count("*").alias("n"))
 
 
-def synteny_assessment(alignments: DataFrame, gaps: DataFrame) -> DataFrame:
+def synteny_assessment(alignments: DataFrame, gaps: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """gap_key, ref_contig, assessment, anchor_distance for every gap and each reference contig that its query contig is aligned with.
 
-    Pairs without a row are no_alignment_for_query. Positions meet blocks in bins, and an anchor pair the one block of each anchor's start."""
+    With pairs (query_contig, ref_contig), for these: a contig without blocks is no_synteny_blocks, one that the query isn't aligned
+    with no_alignment_for_query. Positions meet blocks in bins, and an anchor pair the one block of each anchor's start."""
+    if pairs is not None:
+        seen = alignments.select("query_contig", "ref_contig").distinct()
+        known = seen.select("ref_contig").distinct().withColumn("_known", F.lit(True))
+        rest = pairs.distinct().join(seen, ["query_contig", "ref_contig"], "left_anti").join(known, "ref_contig", "left")
+        said = F.when(F.col("_known"), "no_alignment_for_query").otherwise("no_synteny_blocks")
+        none = gaps.join(rest, "query_contig").select("gap_key", "ref_contig", said.alias("assessment"), F.lit(None).cast("bigint").alias("anchor_distance"))
+        asked = alignments.join(pairs.select("query_contig", "ref_contig").distinct(), ["query_contig", "ref_contig"], "left_semi").select("query_contig", "ref_contig").distinct()
+        aligned = synteny_assessment(alignments, gaps).join(gaps.select("gap_key", "query_contig"), "gap_key").join(asked, ["query_contig", "ref_contig"], "left_semi")
+        return aligned.select(none.columns).unionByName(none)
     blocks = synteny_blocks(alignments).withColumn("bin", F.explode(F.expr(f"sequence(start div {BIN}, end div {BIN})")))
     seen = alignments.select("query_contig", "ref_contig").distinct()
     base = gaps.join(seen, "query_contig").join(project_gap(alignments, gaps), ["gap_key", "ref_contig"], "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 SQL = {
@@ -45,8 +47,27 @@ FROM orders""",
        800 + cast(floor(l_quantity) AS bigint) * 80 AS alnlen,
        l_suppkey * 7 % 61 AS mapq
 FROM lineitem""",
+    "far_alignments": """SELECT aln_id, ref_contig, query_contig, identity, ref_start, ref_end,
+       query_start + CASE WHEN least(query_start, query_end) > 2500000 THEN 3000000 ELSE 0 END AS query_start,
+       query_end + CASE WHEN least(query_start, query_end) > 2500000 THEN 3000000 ELSE 0 END AS query_end
+FROM alignments""",
+    "far_gaps": """SELECT gap_key, query_contig, gap_pos + CASE WHEN gap_pos > 2500000 THEN 1500000 ELSE 0 END AS gap_pos
+FROM gap_positions""",
+    "patch_paf": """SELECT hit_id, 'chr' || cast(gap_key % 20 AS string) || '.' || cast(floor(gap_key / 20) AS bigint) || '.' || side AS qryid,
+       cast(10000 AS bigint) AS qrylen, cast(0 AS bigint) AS qrystart, size AS qryend, '+' AS strand, query_contig AS refid, cast(6000000 AS bigint) AS reflen,
+       CASE WHEN side = 'L' THEN greatest(0, gap_pos - size - away) ELSE gap_pos + 100 + away END AS refstart,
+       CASE WHEN side = 'L' THEN greatest(0, gap_pos - size - away) + size ELSE gap_pos + 100 + away + size END AS refend,
+       cast(floor(size * (100 - round(l_discount * 400)) / 100) AS bigint) AS matches, size AS alnlen, l_suppkey * 7 % 61 AS mapq
+FROM (SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100
+               + cast(floor(l_quantity) AS bigint) AS hit_id, l_orderkey, l_suppkey, l_discount,
+             CASE WHEN l_linenumber % 2 = 1 THEN 'L' ELSE 'R' END AS side,
+             800 + cast(floor(l_quantity) AS bigint) * 80 AS size, l_partkey * 7919 % 260000 AS away
+      FROM lineitem) h JOIN gap_positions g ON h.l_orderkey = g.gap_key""",
+    "dense_seqs": """SELECT 'chr' || cast(doc_id AS string) AS seq_id, doc_id AS seq_ord,
+       translate(regexp_replace(text, '[^a-zA-Z]', ''{G}), 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGT') AS bases
+FROM documents""",
 }
-_FROM = {"seqs": ("documents",), "telo_seqs": ("seqs",), "alignments": ("lineitem",), "gap_positions": ("orders",), "flank_paf": ("lineitem",)}
+_FROM = {"far_alignments": ("alignments",), "far_gaps": ("gap_positions",), "patch_paf": ("lineitem", "gap_positions"), "dense_seqs": ("documents",), "seqs": ("documents",), "telo_seqs": ("seqs",), "alignments": ("lineitem",), "gap_positions": ("orders",), "flank_paf": ("lineitem",)}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,13 +75,16 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sources = {t: fixture(spark, sf_dir, t) if t in SQL else spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _FROM[name]}
     text = SQL[name].replace("{G}", "")
     for t in sources:
-        text = text.replace(f"FROM {t}", f"FROM {{{t}}}")
+        text = re.sub(rf"(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
     return spark.sql(text, **sources)
 
 
 def oracle(body: str, *names: str) -> str:
     """DuckDB text: the derived tables as common table expressions before body (which may begin with its own)."""
-    need = [n for n in SQL if n in names or (n == "seqs" and "telo_seqs" in names)]
+    wanted = set(names)
+    for n in reversed(SQL):  # a table stands after those it reads
+        wanted |= {t for t in _FROM[n] if t in SQL} if n in wanted else set()
+    need = [n for n in SQL if n in wanted]
     parts = [f"{n} AS ({SQL[n].replace('{G}', ", 'g'")})" for n in need]
     body = body.strip()
     if body.upper().startswith("WITH RECURSIVE "):

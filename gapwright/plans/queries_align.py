@@ -317,11 +317,29 @@ def f6(s, d):
     return Y.synteny_assessment(_al(s, d), _gp(s, d))
 
 
-@query("F7_synteny_fallback_support", NEAR + "SELECT gap_key, ref_contig, l_id, r_id FROM anch WHERE l_id IS NOT NULL AND r_id IS NOT NULL", "alignments", "gap_positions")
+ALL_PAIRS = ASSESS + """, every AS (SELECT * FROM (SELECT DISTINCT query_contig FROM gap_positions) q, (SELECT 'ctg' || i AS ref_contig FROM range(10) t(i)) r)
+"""
+
+
+@query("F6b_assessment_of_pairs", ALL_PAIRS.replace("gap_positions", "(SELECT o_orderkey AS gap_key, 'chr' || (o_orderkey % 25) AS query_contig, (o_orderkey * 15485863) % 5000000 AS gap_pos FROM orders)") + """SELECT g.gap_key, e.ref_contig, coalesce(a.assessment, CASE WHEN e.ref_contig IN (SELECT ref_contig FROM blocks) THEN 'no_alignment_for_query' ELSE 'no_synteny_blocks' END) AS assessment
+ FROM (SELECT o_orderkey AS gap_key, 'chr' || (o_orderkey % 25) AS query_contig FROM orders) g JOIN every e USING (query_contig) LEFT JOIN assess a ON a.gap_key = g.gap_key AND a.ref_contig = e.ref_contig""", "alignments")
+def f6b(s, d):
+    """Every gap against ten reference contigs, of which two have no alignment; a fifth of the gaps' contigs has none either."""
+    gaps = s.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("gap_key"), F.concat(F.lit("chr"), (F.col("o_orderkey") % 25).cast("string")).alias("query_contig"), ((F.col("o_orderkey") * 15485863) % 5000000).alias("gap_pos"))
+    pairs = gaps.select("query_contig").distinct().withColumn("ref_contig", F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit("ctg"), i.cast("string")))))
+    return Y.synteny_assessment(_al(s, d), gaps, pairs).select("gap_key", "ref_contig", "assessment")
+
+
+FAR = lambda text: text.replace("FROM alignments", "FROM far_alignments").replace("gap_positions", "far_gaps")
+
+
+@query("F7_synteny_fallback_support", FAR(ASSESS + WIN.replace(AL, "", 1)) + """SELECT gap_key, ref_contig, lid AS l_id, rid AS r_id FROM sd JOIN assess USING (gap_key, ref_contig) WHERE lid IS NOT NULL AND rid IS NOT NULL
+ AND assessment IN ('synteny_present', 'gap_in_synteny_block', 'large_distance_with_synteny') AND gap_key NOT IN (SELECT gap_key FROM near)""", "far_alignments", "far_gaps")
 def f7(s, d):
-    """Unlimited nearest anchors on each side: what serves gaps that the window search leaves without support."""
-    a = P.nearest_anchors(_al(s, d), _gp(s, d)).where("left is not null and right is not null")
-    return a.select("gap_key", "ref_contig", F.col("left.aln_id").alias("l_id"), F.col("right.aln_id").alias("r_id"))
+    """Support of gaps that no window serves: contigs have a hole of 3 Mb there, and gaps lie in it."""
+    al, gaps = fixture(s, d, "far_alignments"), fixture(s, d, "far_gaps")
+    seen = Y.evidence_of(kept(Y.extremes(al, gaps)))["seen"]
+    return Y.fallback_support(al, gaps, kept(seen)).select("gap_key", "ref_contig", F.col("left.aln_id").alias("l_id"), F.col("right.aln_id").alias("r_id"))
 
 
 @query("F8_error_type", WIN + "SELECT gap_key, error_type, confidence, n_refs, crossing FROM etype", "alignments", "gap_positions")
