@@ -2,44 +2,77 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import reverse_complement
+from ..sources.scratch import dropped, kept
 from .gaps import GRID
 
 EDIT = ["seq_id", "del_start", "del_end", "src_kind", "src_id", "src_start", "src_end", "strand", "priority"]
 
 
+ORDER = ("del_start", "del_end", "_late")
+
+
+def _first_places(edits: DataFrame) -> DataFrame:
+    """Edits of one priority (with chain, id and _late), greedily from the right, without walking a chain: each edit's next is the first in order
+    that ends at or before its start (a running maximum), and those on the path from a chain's first are found by
+    doubling the step, so a chain of n edits takes about log2(n) rounds of joins by id."""
+    who = F.struct(*ORDER, "id")
+    empty = F.col("del_start") == F.col("del_end")
+    # at one place: edits that end there, then empty ones in reverse order (each sees those after it), then edits that begin there
+    ends = edits.select("seq_id", "chain", F.col("del_end").alias("at"), F.when(empty, 1).otherwise(0).alias("o"), "_late", F.when(empty, F.col("id")).alias("id"), who.alias("who"))
+    asks = edits.where(~empty).select("seq_id", "chain", F.col("del_start").alias("at"), F.lit(2).alias("o"), "_late", "id", F.lit(None).cast(ends.schema["who"].dataType).alias("who"))
+    line = Window.partitionBy("seq_id", "chain").orderBy("at", "o", "_late").rowsBetween(Window.unboundedPreceding, -1)
+    jump = kept(ends.unionByName(asks).withColumn("next", F.max("who").over(line)["id"]).where("id is not null").select("id", "next"))
+    reached = kept(edits.groupBy("seq_id", "chain").agg(F.max(who)["id"].alias("id")).select("id"))
+    while True:
+        more = jump.join(reached, "id").where("next is not null").select(F.col("next").alias("id"))
+        after = kept(reached.unionByName(more).distinct())
+        if after.count() == reached.count():
+            break
+        far = jump.select(F.col("id").alias("next"), F.col("next").alias("_far"))
+        step = kept(jump.join(far, "next").select("id", F.col("_far").alias("next")))
+        dropped(jump, reached)
+        jump, reached = step, after
+    return edits.join(reached, "id", "left_semi")
+
+
+def _clear_of(edits: DataFrame, taken: DataFrame) -> DataFrame:
+    """Edits that overlap none of those taken: none that begins before them ends behind their start, none after begins before their end."""
+    none = {c: F.lit(None).cast(edits.schema[c].dataType).alias(c) for c in edits.columns if c not in ("seq_id", "chain")}
+    asks = edits.select("*", F.col("del_start").alias("_at"), F.lit(0).alias("_o"), F.lit(None).cast("bigint").alias("_s"), F.lit(None).cast("bigint").alias("_e"))
+    have = taken.select("seq_id", "chain", *(none[c] for c in edits.columns if c in none), F.col("del_start").alias("_at"), F.lit(1).alias("_o"), F.col("del_start").alias("_s"), F.col("del_end").alias("_e"))
+    up = Window.partitionBy("seq_id", "chain").orderBy("_at", "_o").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("seq_id", "chain").orderBy(F.desc("_at"), F.desc("_o")).rowsBetween(Window.unboundedPreceding, -1)
+    both = asks.unionByName(have).withColumn("_before", F.max("_e").over(up)).withColumn("_after", F.min("_s").over(down)).where("_o = 0")
+    free = (F.col("_before").isNull() | (F.col("_before") <= F.col("del_start"))) & (F.col("_after").isNull() | (F.col("del_end") <= F.col("_after")))
+    return both.where(free).select(edits.columns)
+
+
 def resolve(edits: DataFrame) -> DataFrame:
     """Edits of a sequence that don't overlap, taken greedily: the lowest priority value first, then the rightmost, each
     unless one taken before overlaps it. (Edits that only touch don't overlap.)
 
-    An edit that overlaps no other stays at once; only chains of three or more need the greedy walk, a chain's coordinates in one task."""
+    Of edits that overlap none or one other the better stays at once. Longer chains are taken priority by priority (there are as many
+    rounds as priorities in use), each without those that earlier ones overlap; no chain is one group or one task's walk."""
     e = edits.where("del_end >= del_start").withColumn("id", F.xxhash64(*EDIT)).dropDuplicates(EDIT)
+    # of edits of one place the smallest id goes first
+    e = e.withColumn("_late", -F.col("id"))
     w = Window.partitionBy("seq_id").orderBy("del_start", "del_end", "id")
     before = F.max("del_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     e = e.withColumn("_o", F.when(before.isNull() | (F.col("del_start") >= before), 1).otherwise(0)).withColumn("chain", F.sum("_o").over(w))
     better = Window.partitionBy("seq_id", "chain").orderBy("priority", F.desc("del_start"), F.desc("del_end"), "id")
-    e = e.withColumn("_r", F.row_number().over(better)).withColumn("_n", F.count("*").over(Window.partitionBy("seq_id", "chain")))
-    kept = edits.select(*EDIT).schema
-
-    def greedy(part: pd.DataFrame) -> pd.DataFrame:
-        starts, ends, taken = [], [], []
-        for at, (a, b) in enumerate(zip(part["del_start"], part["del_end"], strict=True)):
-            k = bisect_left(starts, a)
-            clear = (k == len(starts) or b <= starts[k]) and (k == 0 or ends[k - 1] <= a)
-            if clear:
-                starts.insert(k, a)
-                ends.insert(k, b)
-                taken.append(at)
-        return part.iloc[taken][EDIT]
-
-    long = e.where("_n > 2").groupBy("seq_id", "chain").applyInPandas(lambda p: greedy(p.sort_values("_r")), kept)
-    return e.where("_n <= 2 and _r = 1").select(*EDIT).unionByName(long)
+    e = kept(e.withColumn("_r", F.row_number().over(better)).withColumn("_n", F.count("*").over(Window.partitionBy("seq_id", "chain"))))
+    out = e.where("_n <= 2 and _r = 1").select(*EDIT)
+    long, taken = e.where("_n > 2").select(*EDIT, "id", "chain", "_late"), None
+    for level in long.select("priority").distinct().orderBy("priority").collect():
+        own = long.where(F.col("priority").eqNullSafe(F.lit(level.priority)))
+        own = kept(own if taken is None else _clear_of(own, taken))
+        picked = _first_places(own)
+        taken = kept(picked if taken is None else picked.unionByName(taken))
+    return out if taken is None else out.unionByName(taken.select(*EDIT))
 
 
 def apply_edits(edits: DataFrame, seqs: DataFrame) -> DataFrame:

@@ -39,6 +39,28 @@ def test_chains_of_overlaps_keep_what_fits(spark):
     assert len(got["s0"]) == 2
 
 
+def test_a_long_chain_takes_few_rounds(spark):
+    """Each edit overlaps the next: every second one stays, from the right; ids of one place, empty edits and several priorities beside."""
+    stairs = [("a", 5 * k, 5 * k + 7, "N", "", 0, 1, "+", 1) for k in range(3_000)]
+    rng = random.Random(4)
+    rows = [("b", a, a + rng.choice([0, 0, 3, 9]), "N", str(rng.randrange(3)), 0, 1, "+", p) for a, p in ((rng.randrange(80), rng.randrange(3)) for _ in range(160))]
+    got = {}
+    for r in E.resolve(spark.createDataFrame(stairs + rows, EDIT)).collect():
+        got.setdefault(r.seq_id, []).append((r.del_start, r.del_end, r.priority, r.src_id))
+    assert sorted(x[0] for x in got["a"]) == [5 * k for k in range(1, 3_000, 2)]
+    kept = []
+    for r in sorted({x[:3] for x in got["b"]}):
+        assert all(r[1] <= k[0] or k[1] <= r[0] or r == k for k in kept), (r, kept)
+        kept.append(r)
+    walked = []
+    for r in sorted(set(rows), key=lambda r: (r[8], -r[1], -r[2])):
+        starts = sorted(walked)
+        after, prior = [x for x in starts if x[0] >= r[1]], [x for x in starts if x[0] < r[1]]
+        if (not after or r[2] <= after[0][0]) and (not prior or max(x[1] for x in prior) <= r[1]):
+            walked.append((r[1], r[2], r[8], r[4]))
+    assert sorted({x[:3] for x in walked}) == sorted({x[:3] for x in got["b"]}) and len(walked) == len(got["b"])
+
+
 def test_cutting_takes_time_in_proportion(spark):
     took = []
     for size in (1 << 21, 1 << 23):
