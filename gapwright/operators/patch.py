@@ -112,9 +112,21 @@ def match_gate(best: DataFrame, threshold: float = 0.7, relaxed: bool = False) -
     return side("L").join(side("R"), "gap_id")
 
 
-def in_window(position, expected, reach: int = 500_000):
-    """Whether a hit lies in the search window round an expected position."""
-    return F.abs(position - expected) <= reach
+def search_window(gap_pos, seq_length, wide: int = 500_000, near: int = 200_000):
+    """lo, hi: where a patch's flanks are looked for. First `wide` on both sides of the gap, clipped to the sequence; within that, `near` (at
+    most half of it) round the place where the gap is expected, unless no more than 1,000 bases would be left."""
+    lo, hi = F.greatest(F.lit(0), gap_pos - wide).cast("bigint"), F.least(seq_length, gap_pos + wide).cast("bigint")
+    radius = F.least(F.lit(near), F.floor((hi - lo) / 2))
+    closer_lo, closer_hi = F.greatest(lo, gap_pos - radius), F.least(hi, gap_pos + radius)
+    narrow = (gap_pos >= lo) & (gap_pos < hi) & (closer_hi - closer_lo > 1_000)
+    return F.struct(F.when(narrow, closer_lo).otherwise(lo).cast("bigint").alias("lo"), F.when(narrow, closer_hi).otherwise(hi).cast("bigint").alias("hi"))
+
+
+def matches_in_window(hits: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Hits of patch flanks (named gap_id.L or .R) that lie wholly in their gap's search window. gaps: gap_id, query_contig, gap_pos, seq_length."""
+    at = gaps.select(F.col("gap_id").alias("_gap"), F.col("query_contig").alias("_seq"), search_window(F.col("gap_pos"), F.col("seq_length")).alias("_w"))
+    named = hits.withColumn("_gap", F.regexp_extract("qryid", r"^(.*)\.[LR]$", 1))
+    return named.join(at, "_gap").where((F.col("refid") == F.col("_seq")) & (F.col("refstart") >= F.col("_w.lo")) & (F.col("refend") <= F.col("_w.hi"))).select(hits.columns)
 
 
 def cut_points(m: DataFrame, search: int = 500_000) -> DataFrame:

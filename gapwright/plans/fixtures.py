@@ -63,11 +63,22 @@ FROM (SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 +
              CASE WHEN l_linenumber % 2 = 1 THEN 'L' ELSE 'R' END AS side,
              800 + cast(floor(l_quantity) AS bigint) * 80 AS size, l_partkey * 7919 % 260000 AS away
       FROM lineitem) h JOIN gap_positions g ON h.l_orderkey = g.gap_key""",
+    "wide_alignments": """SELECT aln_id, ref_contig, query_contig, identity, ref_start, ref_end,
+       query_start + 19 * least(query_start, query_end) AS query_start, query_end + 19 * least(query_start, query_end) AS query_end
+FROM alignments""",
+    "wide_gaps": """SELECT gap_key, query_contig, 20 * gap_pos AS gap_pos
+FROM gap_positions""",
+    "wide_paf": """SELECT hit_id, qryid, qrylen, qrystart, qryend, strand, refid, cast(120000000 AS bigint) AS reflen,
+       refstart + 19 * g.gap_pos AS refstart, refend + 19 * g.gap_pos AS refend, matches, alnlen, mapq
+FROM patch_paf h JOIN gap_positions g ON g.gap_key = cast(floor(h.hit_id / 1000000000000) AS bigint)""",
+    "fill_paf": """SELECT hit_id, 'chr' || cast(ord % 1000 AS string) || '.' || cast(1 + floor(ord / 1000) % 2 AS bigint) || '.' || right(qryid, 1) AS qryid,
+       qrylen, qrystart, qryend, strand, refid, reflen, refstart, refend, matches, alnlen, mapq
+FROM (SELECT *, cast(floor(hit_id / 1000000000000) AS bigint) AS ord FROM flank_paf) t""",
     "dense_seqs": """SELECT 'chr' || cast(doc_id AS string) AS seq_id, doc_id AS seq_ord,
        translate(regexp_replace(text, '[^a-zA-Z]', ''{G}), 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGT') AS bases
 FROM documents""",
 }
-_FROM = {"far_alignments": ("alignments",), "far_gaps": ("gap_positions",), "patch_paf": ("lineitem", "gap_positions"), "dense_seqs": ("documents",), "seqs": ("documents",), "telo_seqs": ("seqs",), "alignments": ("lineitem",), "gap_positions": ("orders",), "flank_paf": ("lineitem",)}
+_FROM = {"far_alignments": ("alignments",), "far_gaps": ("gap_positions",), "patch_paf": ("lineitem", "gap_positions"), "dense_seqs": ("documents",), "fill_paf": ("flank_paf",), "wide_alignments": ("alignments",), "wide_gaps": ("gap_positions",), "wide_paf": ("patch_paf", "gap_positions"), "seqs": ("documents",), "telo_seqs": ("seqs",), "alignments": ("lineitem",), "gap_positions": ("orders",), "flank_paf": ("lineitem",)}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

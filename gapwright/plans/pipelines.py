@@ -90,7 +90,7 @@ def patch_gaps(alignments: DataFrame, gaps: DataFrame, ref_lengths: DataFrame, m
     first = numbered.where("patch_no = 1").withColumn("patch_length", F.col("patch_end") - F.col("patch_start") + 1)
     first = first.withColumn("left_flank", P.patch_flanks(F.col("patch_length"), flank)).where("left_flank is not null").withColumn("right_flank", F.col("left_flank"))
     first = first.join(gaps.select("gap_key", "query_contig", "gap_pos", "gap_id"), "gap_key").join(lens.select(F.col("seq_id").alias("query_contig"), "seq_length"), "query_contig")
-    found = P.match_gate(P.best_matches(matches)).join(first.withColumn("gap_start", F.col("gap_pos")), "gap_id").withColumn("has_cigar", F.lit(False))
+    found = P.match_gate(P.best_matches(P.matches_in_window(matches, first))).join(first.withColumn("gap_start", F.col("gap_pos")), "gap_id").withColumn("has_cigar", F.lit(False))
     cuts = kept(P.accepted(P.cut_points(found), least_net))
     # the patch lies in patch_start..patch_end of its contig, read backwards where its direction, or both flanks' strand, says so
     turned = (F.col("direction") < 0) != ((F.col("l_strand") == "-") & (F.col("r_strand") == "-"))
@@ -123,22 +123,42 @@ def correct_gaps(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, mode:
     return {"decided": decided, "merged": merged, "edits": edits, "segments": E.apply_edits(edits, lens), "improvement": D.fix_improvement(runs, after, lens, new_lengths(lens, edits)), "stats": Y.repair_stats(decided)}
 
 
-def patch_then_correct(alignments: DataFrame, gaps: DataFrame, ref_lengths: DataFrame, matches: DataFrame, lens: DataFrame) -> dict[str, DataFrame]:
-    """Patches first; sequences whose strategy asks for it are corrected, and their patches offered again at the moved places.
+def patch_then_correct(alignments: DataFrame, gaps: DataFrame, ref_lengths: DataFrame, matches: DataFrame, lens: DataFrame, second: DataFrame | None = None, size: int = 100) -> dict[str, DataFrame]:
+    """Patches first; sequences whose strategy asks for it are corrected, and their patches tried again on what the correction left.
 
-    Applied patches are the accepted edits of patch_gaps."""
+    second: flank matches for the second try, in original coordinates (matches if None). They and the gaps are lifted through the
+    masks; gaps that a mask has taken have no patch any more, and a patch that would cut into a mask is dropped. What is left is resolved and applied, and the
+    final genome is that of the corrected sequences with it, and of the patched ones. Gaps are `size` long."""
     p = patch_gaps(alignments, gaps, ref_lengths, matches, lens)
     counts = p["patches"].groupBy(F.col("query_contig").alias("seq_id")).agg(F.count_distinct("gap_key").alias("n_gaps"), F.count_distinct(F.when(F.col("patch_no").isNotNull(), F.col("gap_key"))).alias("n_extracted"))
     applied = p["edits"].groupBy("seq_id").agg(F.count("*").alias("n_applied"))
-    strategy = Y.chrom_strategy(counts.join(applied, "seq_id", "left").fillna(0, ["n_applied"]))
+    strategy = kept(Y.chrom_strategy(counts.join(applied, "seq_id", "left").fillna(0, ["n_applied"])))
     chosen = strategy.where(F.col("strategy").isin("no_patch_fixer", "full_fixer_reuse_patches")).select("seq_id")
-    c = correct_gaps(alignments, gaps.join(chosen, gaps["query_contig"] == chosen["seq_id"], "left_semi"), lens)
-    # patches of the corrected sequences, lifted over the masks; those that a mask has cut into are gone
-    again = p["offered"].join(chosen, "seq_id", "left_semi")
-    lift = lambda x: E.lift_by_edits(again.select(F.col("gap_key").alias("key"), "seq_id", F.col(x).alias("pos")), c["edits"]).select(F.col("key").alias("gap_key"), F.col("lifted").alias(x))
-    moved = again.drop("del_start", "del_end").join(lift("del_start"), "gap_key").join(lift("del_end"), "gap_key")
+    own = gaps.join(chosen, gaps["query_contig"] == chosen["seq_id"], "left_semi")
+    c = correct_gaps(alignments, own, lens, mask=size, gap_size=size)
+    few = lens.join(chosen, "seq_id", "left_semi")
+    masks, after = kept(E.apply_edits(c["edits"], few)), kept(new_lengths(few, c["edits"]))
+    runs = own.select(F.col("query_contig").alias("seq_id"), F.col("gap_pos").cast("bigint").alias("start"), (F.col("gap_pos") + size).cast("bigint").alias("end"), F.lit(size).cast("bigint").alias("length"), "gap_key", "gap_id")
+    left = kept(M.lift_gaps(runs, masks, "correct").where("gap_id is not null"))
+    hits = M.lift_hits((matches if second is None else second).join(chosen.withColumnRenamed("seq_id", "refid"), "refid", "left_semi").select(matches.columns), masks, after)
+    asked = left.select("gap_key", F.col("seq_id").alias("query_contig"), F.col("start").alias("gap_pos"), "gap_id")
+    tried = patch_gaps(M.lift_alignments(alignments.join(chosen.withColumnRenamed("seq_id", "query_contig"), "query_contig", "left_semi").select(alignments.columns), masks), asked, ref_lengths, hits, after)["offered"]
+    again = kept(E.resolve(clear_of_masks(tried, masks).drop("gap_key")))
     fixed = c["decided"].groupBy("seq_id").agg(F.count(F.when(F.col("conservative"), 1)).alias("n_corrected"))
-    return {"strategy": strategy.join(fixed, "seq_id", "left").fillna(0, ["n_corrected"]), "patch": p, "correct": c, "again": moved.withColumn("header", P.reheader(F.concat(F.lit("gap0_patch1_contig"), "src_id"), F.col("del_start")))}
+    repaired = M.compose(masks, E.apply_edits(again, after))
+    segments = p["segments"].join(chosen, "seq_id", "left_anti").unionByName(repaired)
+    genome = p["genome"].join(chosen, "seq_id", "left_anti").unionByName(new_lengths(after, again).withColumn("origin", F.lit("repaired")))
+    return {"strategy": strategy.join(fixed, "seq_id", "left").fillna(0, ["n_corrected"]), "patch": p, "correct": c, "again": again, "segments": segments, "genome": genome}
+
+
+def clear_of_masks(offered: DataFrame, masked: DataFrame) -> DataFrame:
+    """Edits that cut into no run of Ns that a segment table has put in (its coordinates are the edits'). Both meet by place, never in pairs."""
+    size = F.col("src_end") - F.col("src_start")
+    parts = masked.where("kind = 'N'").select("seq_id", F.col("out_start").alias("lo"), (F.col("out_start") + size).alias("hi"), F.lit(True).alias("mask"))
+    # an insertion stands between two bases: it is in a run that holds both
+    rows = offered.select("seq_id", F.col("del_start").alias("start"), F.greatest("del_end", F.col("del_start") + 1).alias("end"), (F.col("del_end") == F.col("del_start")).alias("point")).distinct()
+    hit = M.meet(rows, parts).where("not point or p_lo < start").select("seq_id", F.col("start").alias("del_start"), F.when(F.col("point"), F.col("start")).otherwise(F.col("end")).alias("del_end")).distinct()
+    return offered.join(hit, ["seq_id", "del_start", "del_end"], "left_anti").select(offered.columns)
 
 
 def correct_then_refill(alignments: DataFrame, gaps: DataFrame, lens: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
@@ -200,11 +220,12 @@ def chosen_contigs(sources: DataFrame) -> DataFrame:
 def fragment_edits(frags: DataFrame, lens: DataFrame, joint: int = 100) -> DataFrame:
     """Edits that leave of each sequence its kept fragments (frags: with status), `joint` Ns between them; nothing of one without any.
 
-    Sequences that lose no fragment are left as they are."""
+    Sequences that lose no fragment are left as they are, and so are gaps of `joint` between two fragments that stay."""
     cut = frags.join(frags.where("status <> 'kept'").select("seq_id").distinct(), "seq_id", "left_semi")
     w = Window.partitionBy("seq_id").orderBy("start")
     good = cut.where("status = 'kept'")
-    before = good.select("seq_id", F.coalesce(F.lag("end").over(w), F.lit(0)).cast("bigint").alias("del_start"), F.col("start").alias("del_end"), F.lag("end").over(w).isNotNull().alias("inner"))
+    before = good.select("seq_id", F.coalesce(F.lag("end").over(w), F.lit(0)).cast("bigint").alias("del_start"), F.col("start").alias("del_end"), F.lag("end").over(w).isNotNull().alias("inner"), (F.col("piece") - F.lag("piece").over(w) == 1).alias("next"))
+    before = before.where(~(F.col("inner") & F.col("next") & (F.col("del_end") - F.col("del_start") == joint))).drop("next")
     last = good.groupBy("seq_id").agg(F.max("end").alias("last"))
     tail = lens.join(cut.select("seq_id").distinct(), "seq_id", "left_semi").join(last, "seq_id", "left")
     tail = tail.select("seq_id", F.coalesce("last", F.lit(0)).cast("bigint").alias("del_start"), F.col("seq_length").alias("del_end"), F.lit(False).alias("inner"))

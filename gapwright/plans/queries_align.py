@@ -145,9 +145,17 @@ def e9e(s, d):
     return P.match_gate(P.best_matches(_paf(s, d))).select("gap_id", "l_hit_id", "r_hit_id")
 
 
-@query("E9f_search_window", "SELECT hit_id, abs(refstart - 450000) <= 200000 AS inside FROM flank_paf", "flank_paf")
+INSIDE = """, inside AS (SELECT h.* FROM patch_paf h JOIN (SELECT *, 'chr' || (gap_key % 20) || '.' || (gap_key // 20) AS gap_id, greatest(0, gap_pos - 500000) AS w0, least(6000000, gap_pos + 500000) AS w1 FROM gap_positions) g
+ ON regexp_extract(h.qryid, '^(.*)\\.[LR]$', 1) = g.gap_id AND h.refid = g.query_contig, LATERAL (SELECT least(200000, (w1 - w0) // 2) AS rad) r WHERE refstart >= greatest(w0, gap_pos - rad) AND refend <= least(w1, gap_pos + rad))
+"""
+
+
+@query("E9f_search_window", INSIDE.replace(", inside", "WITH inside", 1) + "SELECT hit_id, hit_id IN (SELECT hit_id FROM inside) AS inside FROM patch_paf", "patch_paf", "gap_positions")
 def e9f(s, d):
-    return _paf(s, d).select("hit_id", P.in_window(F.col("refstart"), F.lit(450_000), 200_000).alias("inside"))
+    hits = fixture(s, d, "patch_paf")
+    gaps = _gp(s, d).select(F.concat(F.lit("chr"), (F.col("gap_key") % 20).cast("string"), F.lit("."), F.expr("gap_key div 20").cast("string")).alias("gap_id"), "query_contig", "gap_pos", F.lit(6_000_000).cast("bigint").alias("seq_length"))
+    found = P.matches_in_window(hits, gaps).select("hit_id", F.lit(True).alias("_in"))
+    return hits.select("hit_id").join(found, "hit_id", "left").select("hit_id", F.coalesce("_in", F.lit(False)).alias("inside"))
 
 
 def cuts_sql(source: str) -> str:

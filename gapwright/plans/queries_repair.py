@@ -13,7 +13,7 @@ from ..operators import telomere as T
 from ..sources.scratch import kept
 from . import pipelines as N
 from .fixtures import fixture
-from .queries_align import HITS, NEAR, WIN, cuts_sql
+from .queries_align import AL, HITS, INSIDE, MERGED, NEAR, WIN, cuts_sql
 from .queries_gaps import gaps_sql
 from .queries_telomere import STATUS
 from .registry import query
@@ -42,8 +42,13 @@ def _paf(s, d):
     return fixture(s, d, "flank_paf")
 
 
+def _matches(s, d):
+    """Flanks of patches, matched near their gaps."""
+    return fixture(s, d, "patch_paf")
+
+
 def _patched(s, d):
-    return N.patch_gaps(_al(s, d), _gaps(s, d), _refs(s, d), _paf(s, d), _lens(s, d))
+    return N.patch_gaps(_al(s, d), _gaps(s, d), _refs(s, d), _matches(s, d), _lens(s, d))
 
 
 def _status(s, d):
@@ -62,18 +67,18 @@ def n1b(s, d):
     return N.analyze_genome(fixture(s, d, "telo_seqs"), least_gap=10, internal_flank=2_000)["sequences"].select("seq_id", "n_fragments", "track")
 
 
-FILL = gaps_sql("", 10) + HITS.replace("WITH hits", ", hits", 1) + """,
+FILL = gaps_sql("", 10) + HITS.replace("WITH hits", ", hits", 1).replace("FROM flank_paf", "FROM fill_paf") + """,
 ng AS (SELECT *, seq_id || '.' || row_number() OVER (PARTITION BY seq_id ORDER BY start) AS gap_id FROM gaps),
 done AS (SELECT n.*, b.refid, b.strand, b.fill_start, b.fill_end FROM ng n JOIN best b USING (gap_id)) """
 
 
 def _filled(s, d):
     q = fixture(s, d, "seqs")
-    return N.fill_gaps(D.lengths(q), D.find_gaps(D.chunk_sequences(q), 10), _paf(s, d))
+    return N.fill_gaps(D.lengths(q), D.find_gaps(D.chunk_sequences(q), 10), fixture(s, d, "fill_paf"))
 
 
 @query("N2_fill_gaps", FILL + """SELECT l.seq_id, cast(count(n.gap_id) AS bigint) AS n_gaps, cast(count(f.gap_id) AS bigint) AS n_filled, cast(any_value(seq_length) + coalesce(sum(f.fill_end - f.fill_start - f.length), 0) AS bigint) AS new_length
- FROM lens l LEFT JOIN ng n USING (seq_id) LEFT JOIN done f USING (gap_id) GROUP BY l.seq_id""", "seqs", "flank_paf")
+ FROM lens l LEFT JOIN ng n USING (seq_id) LEFT JOIN done f USING (gap_id) GROUP BY l.seq_id""", "seqs", "fill_paf")
 def n2(s, d):
     f = _filled(s, d)
     new = f["segments"].groupBy("seq_id").agg(F.max(F.expr("out_start + src_end - src_start")).alias("new_length"))
@@ -81,28 +86,43 @@ def n2(s, d):
     return D.lengths(fixture(s, d, "seqs")).select("seq_id").join(n, "seq_id", "left").join(new, "seq_id", "left").fillna(0)
 
 
-@query("N2b_fill_edits", FILL + """SELECT seq_id, start AS del_start, "end" AS del_end, refid AS src_id, fill_start AS src_start, fill_end AS src_end, strand FROM done""", "seqs", "flank_paf")
+@query("N2b_fill_edits", FILL + """SELECT seq_id, start AS del_start, "end" AS del_end, refid AS src_id, fill_start AS src_start, fill_end AS src_end, strand FROM done""", "seqs", "fill_paf")
 def n2b(s, d):
     return _filled(s, d)["edits"].select("seq_id", "del_start", "del_end", "src_id", "src_start", "src_end", "strand")
 
 
-@query("N2c_fill_closure", FILL + """SELECT (SELECT count(*) FROM ng) AS before, (SELECT count(*) FROM ng) - (SELECT count(*) FROM done) AS after, (SELECT count(*) FROM done) AS closed, round(100 * (SELECT count(*) FROM done) / (SELECT count(*) FROM ng), 6) AS rate""", "seqs", "flank_paf")
+@query("N2c_fill_closure", FILL + """SELECT (SELECT count(*) FROM ng) AS before, (SELECT count(*) FROM ng) - (SELECT count(*) FROM done) AS after, (SELECT count(*) FROM done) AS closed, round(100 * (SELECT count(*) FROM done) / (SELECT count(*) FROM ng), 6) AS rate""", "seqs", "fill_paf")
 def n2c(s, d):
     return _filled(s, d)["closure"].withColumn("rate", F.round("rate", 6))
 
 
-@query("E20_two_round_fill")
+def _again(sql: str) -> str:
+    """The best fills of a second table of hits, beside the first's."""
+    return sql.replace("hits", "hits2").replace("pairs", "pairs2").replace("best", "best2")
+
+
+TWICE = gaps_sql("", 10) + HITS.replace("WITH hits", ", hits", 1).replace("FROM flank_paf", "FROM (SELECT * FROM fill_paf WHERE mapq >= 30) f") + _again(HITS.replace("WITH hits", ", hits", 1)).replace("FROM flank_paf", "FROM (SELECT * FROM fill_paf WHERE mapq < 30) f") + """,
+ng AS (SELECT *, seq_id || '.' || row_number() OVER (PARTITION BY seq_id ORDER BY start) AS gap_id FROM gaps),
+done AS (SELECT n.*, b.fill_end - b.fill_start - n.length AS d FROM ng n JOIN best b USING (gap_id)),
+shifted AS (SELECT n.seq_id, n.length, n.start + coalesce((SELECT sum(d) FROM done x WHERE x.seq_id = n.seq_id AND x.start < n.start), 0) AS s FROM ng n WHERE n.gap_id NOT IN (SELECT gap_id FROM done)),
+len1 AS (SELECT l.seq_id, l.seq_length + coalesce(sum(d), 0) AS n FROM lens l LEFT JOIN done USING (seq_id) GROUP BY l.seq_id, l.seq_length),
+fr AS (SELECT seq_id, s - coalesce(lag(s + length) OVER (PARTITION BY seq_id ORDER BY s), 0) AS size FROM shifted UNION ALL SELECT seq_id, n - coalesce((SELECT max(s + length) FROM shifted x WHERE x.seq_id = len1.seq_id), 0) FROM len1),
+jt AS (SELECT seq_id, seq_id || '.' || unnest(range(1, k)) AS gap_id FROM (SELECT seq_id, count(*) AS k FROM fr WHERE size >= 500 GROUP BY seq_id) t) """
+
+
+@query("E20_two_round_fill", TWICE + """SELECT 1 AS round, (SELECT count(*) FROM ng) AS gaps_before, (SELECT count(*) FROM shifted) AS gaps_after UNION ALL SELECT 2, (SELECT count(*) FROM jt), (SELECT count(*) FROM jt WHERE gap_id NOT IN (SELECT gap_id FROM best2))""", "seqs", "fill_paf")
 def e20(s, d):
-    q = fixture(s, d, "seqs")
-    return N.two_round_fill(D.lengths(q), D.find_gaps(D.chunk_sequences(q), 10), _paf(s, d), _paf(s, d), 500, 100)
+    """The hits of high mapq serve the first round, the others the second."""
+    q, hits = fixture(s, d, "seqs"), fixture(s, d, "fill_paf")
+    return N.two_round_fill(D.lengths(q), D.find_gaps(D.chunk_sequences(q), 10), hits.where("mapq >= 30"), hits.where("mapq < 30"), 500, 100)
 
 
-PATCH = NEAR + cuts_sql("""SELECT g.*, p.*, CASE WHEN 20000 <= pl THEN 10000 WHEN pl // 4 >= 20 THEN pl // 4 ELSE least(100, pl // 2) END AS lf, CASE WHEN 20000 <= pl THEN 10000 WHEN pl // 4 >= 20 THEN pl // 4 ELSE least(100, pl // 2) END AS rf, 6000000 AS sl
- FROM gate g JOIN (SELECT 'chr' || (gap_key % 20) || '.' || (gap_key // 20) AS gid, q.gap_pos AS gs, q.query_contig, r.*, patch_end - patch_start + 1 AS pl, row_number() OVER (PARTITION BY gap_key ORDER BY r.ref_contig) AS no FROM reg r JOIN gap_positions q USING (gap_key)) p ON p.gid = g.gap_id AND p.no = 1""").replace("WITH sc", ", sc", 1) + """,
+PATCH = NEAR + INSIDE + cuts_sql("""SELECT g.*, p.*, CASE WHEN 20000 <= pl THEN 10000 WHEN pl // 4 >= 20 THEN pl // 4 ELSE least(100, pl // 2) END AS lf, CASE WHEN 20000 <= pl THEN 10000 WHEN pl // 4 >= 20 THEN pl // 4 ELSE least(100, pl // 2) END AS rf, 6000000 AS sl
+ FROM gate g JOIN (SELECT 'chr' || (gap_key % 20) || '.' || (gap_key // 20) AS gid, q.gap_pos AS gs, q.query_contig, r.*, patch_end - patch_start + 1 AS pl, row_number() OVER (PARTITION BY gap_key ORDER BY r.ref_contig) AS no FROM reg r JOIN gap_positions q USING (gap_key)) p ON p.gid = g.gap_id AND p.no = 1""").replace("WITH sc", ", sc", 1).replace("FROM flank_paf", "FROM inside") + """,
 offered AS (SELECT gap_key, query_contig AS seq_id, left_cut AS del_start, greatest(left_cut, right_cut) AS del_end, ref_contig AS src_id, (direction < 0) <> (ls = '-' AND rs = '-') AS turned, patch_start, patch_end, ins_start, ins_end FROM cuts WHERE abs(ins_end - ins_start - removed) > 100) """
 
 
-@query("N3_patch_gaps", PATCH + """SELECT gap_key, seq_id, cast(del_start AS bigint) AS del_start, cast(del_end AS bigint) AS del_end, src_id, cast(CASE WHEN turned THEN patch_end - ins_end ELSE patch_start - 1 + ins_start END AS bigint) AS src_start, cast(CASE WHEN turned THEN patch_end - ins_start ELSE patch_start - 1 + ins_end END AS bigint) AS src_end, CASE WHEN turned THEN '-' ELSE '+' END AS strand FROM offered""", "alignments", "gap_positions", "flank_paf")
+@query("N3_patch_gaps", PATCH + """SELECT gap_key, seq_id, cast(del_start AS bigint) AS del_start, cast(del_end AS bigint) AS del_end, src_id, cast(CASE WHEN turned THEN patch_end - ins_end ELSE patch_start - 1 + ins_start END AS bigint) AS src_start, cast(CASE WHEN turned THEN patch_end - ins_start ELSE patch_start - 1 + ins_end END AS bigint) AS src_end, CASE WHEN turned THEN '-' ELSE '+' END AS strand FROM offered""", "alignments", "gap_positions", "patch_paf")
 def n3(s, d):
     return _patched(s, d)["offered"].select("gap_key", "seq_id", "del_start", "del_end", "src_id", "src_start", "src_end", "strand")
 
@@ -124,14 +144,48 @@ def n4b(s, d):
     return N.correct_gaps(_al(s, d), _gaps(s, d), _lens(s, d))["improvement"]
 
 
-@query("N5_patch_then_correct")
+FIVE = PATCH + WIN.replace(AL, "", 1) + """,
+cnt AS (SELECT g.query_contig AS seq_id, count(DISTINCT g.gap_key) AS n_gaps, count(DISTINCT r.gap_key) AS n_extracted FROM gap_positions g LEFT JOIN reg r USING (gap_key) GROUP BY 1),
+st AS (SELECT *, CASE WHEN n_gaps = 0 THEN 'no_gaps' WHEN n_extracted = 0 THEN 'no_patch_fixer' WHEN seq_id NOT IN (SELECT seq_id FROM offered WHERE cast(seq_id[4:] AS int) % 3 <> 0) THEN 'full_fixer_reuse_patches' ELSE 'partial_success_no_fixer' END AS strategy FROM cnt) """
+
+
+#: Derived tables on chromosomes of twenty times the length, where alignments lie apart and few gaps are crossed.
+WIDE = lambda text: text.replace("FROM alignments", "FROM wide_alignments").replace("gap_positions", "wide_gaps").replace("patch_paf", "wide_paf").replace("6000000", "120000000")
+
+
+def _wide(s, d):
+    """Alignments, gaps, patch matches and lengths there."""
+    gaps = _gaps(s, d).withColumn("gap_pos", 20 * F.col("gap_pos"))
+    return fixture(s, d, "wide_alignments"), gaps, fixture(s, d, "wide_paf"), _lens(s, d).withColumn("seq_length", F.lit(20 * BASES).cast("bigint"))
+
+
+def _five(s, d):
+    """Flanks of every third chromosome's patches match only in the second try."""
+    al, gaps, hits, lens = _wide(s, d)
+    first = hits.where(F.substring("refid", 4, 9).cast("int") % 3 != 0)
+    return N.patch_then_correct(al, gaps, _refs(s, d), first, lens, second=hits)
+
+
+@query("N5_patch_then_correct", WIDE(FIVE) + WIDE("""SELECT seq_id, n_gaps, n_extracted, strategy, CASE WHEN strategy IN ('no_patch_fixer', 'full_fixer_reuse_patches') THEN (SELECT count(*) FROM dec JOIN gap_positions g USING (gap_key) WHERE g.query_contig = st.seq_id AND conservative) ELSE 0 END AS n_corrected FROM st"""), "wide_alignments", "wide_gaps", "wide_paf")
 def n5(s, d):
-    return N.patch_then_correct(_al(s, d), _gaps(s, d), _refs(s, d), _paf(s, d), _lens(s, d))["strategy"]
+    return _five(s, d)["strategy"].select("seq_id", "n_gaps", "n_extracted", "strategy", "n_corrected")
+
+
+@query("N5d_patches_after_correction")
+def n5d(s, d):
+    """The patches that the second try places between the masks."""
+    return _five(s, d)["again"]
 
 
-@query("N5c_correct_then_refill")
+@query("N5e_final_genome")
+def n5e(s, d):
+    return _five(s, d)["genome"].select("seq_id", "seq_length", "origin")
+
+
+@query("N5c_correct_then_refill", MERGED + HITS.replace("WITH hits", ", hits", 1) + """SELECT k.gap_id, CASE WHEN b.refid IS NULL THEN 'Not_closed' ELSE 'Closed' END AS status, b.refid AS source, b.fill_start, b.fill_end, b.fill_end - b.fill_start AS fill_length, b.strand, round(b.score, 6) AS identity
+ FROM (SELECT seq_id || '.' || row_number() OVER (PARTITION BY seq_id ORDER BY start) AS gap_id FROM mg) k LEFT JOIN best b USING (gap_id)""", "alignments", "gap_positions", "flank_paf")
 def n5c(s, d):
-    return N.correct_then_refill(_al(s, d), _gaps(s, d), _lens(s, d), _paf(s, d))["fill"]["detail"]
+    return N.correct_then_refill(_al(s, d), _gaps(s, d), _lens(s, d), _paf(s, d))["fill"]["detail"].withColumn("identity", F.round("identity", 6))
 
 
 def _repairs(s, d):
@@ -166,10 +220,48 @@ def n6(s, d):
     return N.recover_telomeres(r, _end_hits(s, d, r), _status(s, d))["edits"]
 
 
+def _genome(s, d, stages=("fill", "patch", "correct", "telomere")):
+    """Each round has hits of its own: flank hits dealt by mapq, patch matches near their gaps, end hits of the repair sequences."""
+    (al, gaps, matches, lens), hits = _wide(s, d), _paf(s, d)
+    r, status = _repairs(s, d), _status(s, d).withColumn("seq_length", F.lit(20 * BASES).cast("bigint"))
+    ends = _end_hits(s, d, r).withColumn("reflen", F.lit(20 * BASES).cast("bigint"))
+    return N.repair_genome(lens, gaps, al, _refs(s, d), matches, hits.where("mapq >= 40"), r, ends, status, hits.where("mapq >= 20 and mapq < 40"), hits.where("mapq < 20"), stages, least_fragment=60_000)
+
+
 @query("N7_repair_genome")
 def n7(s, d):
-    r = _repairs(s, d)
-    return N.repair_genome(_lens(s, d), _gaps(s, d), _al(s, d), _refs(s, d), _paf(s, d), _paf(s, d), r, _end_hits(s, d, r), _status(s, d))
+    """A row a round, as the genome goes through all four stages."""
+    return _genome(s, d)["steps"]
+
+
+def _best_of(where: str, n: str) -> str:
+    text = HITS.replace("WITH hits", ", hits", 1).replace("FROM flank_paf", f"FROM (SELECT * FROM flank_paf WHERE {where}) f")
+    return text.replace("hits", "hits" + n).replace("pairs", "pairs" + n).replace("best", "best" + n)
+
+
+STAGE1 = """WITH raw AS (SELECT query_contig AS seq_id, gap_pos AS s, gap_pos + 100 AS e FROM gap_positions),
+isle AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe THEN 1 ELSE 0 END) OVER (PARTITION BY seq_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, max(e) OVER (PARTITION BY seq_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM raw) t),
+run AS (SELECT *, seq_id || '.' || row_number() OVER (PARTITION BY seq_id ORDER BY s) AS gap_id FROM (SELECT seq_id, min(s) AS s, max(e) AS e FROM isle GROUP BY seq_id, k) t)""" + _best_of("mapq >= 40", "1") + _best_of("mapq >= 20 AND mapq < 40", "2") + """,
+f1 AS (SELECT r.*, b.fill_end - b.fill_start - (r.e - r.s) AS d FROM run r JOIN best1 b USING (gap_id)),
+len1 AS (SELECT q.seq_id, 6000000 + coalesce((SELECT sum(d) FROM f1 WHERE f1.seq_id = q.seq_id), 0) AS n FROM (SELECT DISTINCT seq_id FROM raw) q),
+open1 AS (SELECT seq_id, s + coalesce(before, 0) AS s, e + coalesce(before, 0) AS e FROM (SELECT r.*, f1.gap_id AS done, sum(f1.d) OVER (PARTITION BY r.seq_id ORDER BY r.s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM run r LEFT JOIN f1 USING (gap_id)) t WHERE done IS NULL),
+fr AS (SELECT * FROM (SELECT seq_id, coalesce(lag(e) OVER (PARTITION BY seq_id ORDER BY s), 0) AS a, s AS b FROM open1 UNION ALL SELECT seq_id, max(e), any_value(n) FROM open1 JOIN len1 USING (seq_id) GROUP BY seq_id) t WHERE b > a),
+lossy AS (SELECT DISTINCT seq_id FROM fr WHERE b - a < 60000),
+good AS (SELECT *, lag(b) OVER (PARTITION BY seq_id ORDER BY a) AS pb FROM fr WHERE b - a >= 60000 AND seq_id IN (SELECT seq_id FROM lossy)),
+cut AS (SELECT seq_id, coalesce(pb, 0) AS c0, a AS c1, pb IS NOT NULL AS inner_ FROM good WHERE a > coalesce(pb, 0) AND NOT (pb IS NOT NULL AND a - pb = 100) UNION ALL SELECT l.seq_id, coalesce(m.last, 0), n, false FROM lossy l JOIN len1 USING (seq_id) LEFT JOIN (SELECT seq_id, max(b) AS last FROM good GROUP BY 1) m USING (seq_id) WHERE n > coalesce(m.last, 0)),
+len2 AS (SELECT seq_id, n - coalesce((SELECT sum(c1 - c0 - CASE WHEN inner_ THEN 100 ELSE 0 END) FROM cut WHERE cut.seq_id = len1.seq_id), 0) AS n FROM len1),
+left2 AS (SELECT seq_id, c0 AS s FROM cut WHERE inner_ UNION ALL SELECT seq_id, s FROM open1 o WHERE seq_id NOT IN (SELECT seq_id FROM lossy) OR EXISTS (SELECT 1 FROM good g WHERE g.seq_id = o.seq_id AND g.pb = o.s AND g.a = o.e AND g.a - g.pb = 100)),
+run2 AS (SELECT seq_id, seq_id || '.' || row_number() OVER (PARTITION BY seq_id ORDER BY s) AS gap_id FROM left2),
+f2 AS (SELECT r.seq_id, b.fill_end - b.fill_start - 100 AS d FROM run2 r JOIN best2 b USING (gap_id))
+SELECT 1 AS place, 'fill' AS round, (SELECT count(*) FROM f1) AS n_edits, (SELECT count(DISTINCT seq_id) FROM f1) AS n_changed, (SELECT cast(sum(n) AS bigint) FROM len1) AS bases, (SELECT count(*) FROM open1) AS n_gaps
+UNION ALL SELECT 2, 'filter', (SELECT count(*) FROM cut), (SELECT count(DISTINCT seq_id) FROM cut), (SELECT cast(sum(n) AS bigint) FROM len2), (SELECT count(*) FROM left2)
+UNION ALL SELECT 3, 'fill again', (SELECT count(*) FROM f2), (SELECT count(DISTINCT seq_id) FROM f2), (SELECT cast(sum(n) AS bigint) FROM len2) + (SELECT cast(coalesce(sum(d), 0) AS bigint) FROM f2), (SELECT count(*) FROM run2) - (SELECT count(*) FROM f2)"""
+
+
+@query("N7c_fill_stage", WIDE(STAGE1), "wide_gaps", "flank_paf")
+def n7c(s, d):
+    """The three rounds of the first stage."""
+    return _genome(s, d, ("fill",))["steps"].where("ran").select("place", "round", "n_edits", "n_changed", "bases", "n_gaps")
 
 
 @query("N8_choose_contigs", "WITH src AS (SELECT seq_ord % 3 AS stage, CASE WHEN seq_ord % 3 = 0 THEN seq_ord % 2 ELSE 1 + seq_ord % 2 END AS priority, seq_id FROM seqs) SELECT stage, priority, seq_id FROM src WHERE priority = (SELECT min(priority) FROM src m WHERE m.stage = src.stage)", "seqs")
