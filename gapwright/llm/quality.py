@@ -2,7 +2,7 @@
 
 A document's evidence is the log-likelihood ratio of a logistic regression over its distinct words and a few
 binned style measures. Features are chosen by grouped counts over labelled rows (at most about `MOST_LABELS`,
-taken by hash of the id): style bins, and words whose shares of good and of other rows differ by `Z` standard errors, in
+drawn by row): style bins, and words whose shares of good and of other rows differ by `Z` standard errors, in
 `LEAST_ROWS` rows or more, at most `MOST_FEATURES` of the most telling. The weights are fitted on about `FIT_ROWS` of these rows. Each
 document's probability then enters the sums of its path and its host over the whole table; a path's rate is shrunk toward
 its host's, a host's toward the global rate, each by a strength estimated from the spread of the groups (method of
@@ -92,7 +92,8 @@ def _regression(labelled: DataFrame, keys: np.ndarray, rows: int, steps: int = 2
     if not len(keys):
         return np.zeros(0)
     part = min(1.0, FIT_ROWS / max(1, rows))
-    some = labelled.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1_000_000)) < int(1_000_000 * part))
+    # by row (of a staged table), so rows of one text are drawn each for itself
+    some = labelled.where(F.rand(7) < part)
     data = arrow_map(some, run, "good boolean, at array<int>").toPandas()
     if not len(data):
         return np.zeros(len(keys))
@@ -145,9 +146,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         bare = F.regexp_replace(F.col(url_col).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?", "")
         host, path = F.lower(F.regexp_extract(bare, r"^([^/?#:]*)", 1)), F.regexp_extract(bare, r"^[^/?#]*/([^/?#]*)", 1)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), host.alias("host"), path.alias("path"))
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.expr(good).alias("good")).where("doc_id is not null and good is not null")
+    known = staged(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.expr(good).alias("good")).where("doc_id is not null and good is not null"))
     some = min(1.0, MOST_LABELS / max(1, known.count()))
-    chosen = staged(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * some)))
+    chosen = staged(known.where(F.rand(5) < some))
     weights = fit(staged(source.join(F.broadcast(chosen), "doc_id").select("text", "good")))
     prior = chosen.agg(F.avg(F.col("good").cast("double"))).first()[0]
     prior = float(np.clip(0.5 if prior is None else prior, 1e-3, 1 - 1e-3))

@@ -12,7 +12,8 @@ metadata record describes, and the conversion record converts, the body after it
 
 Nulls: a null id, URL or block counts as empty text; a block without an HTTP head is all payload; a page
 without text gives a conversion record of an empty block. Repeated rows give repeated records. Records of other types
-pass by. An empty table gives no rows. A very long page is a row of its own slice. Other columns of the pages are
+pass by. An empty table gives no rows. A very long page is a row of its own slice; line breaks in a URL become
+blanks, as they would end its header. There are no ties. Other columns of the pages are
 not read, so their names cannot clash; `carried` ones must not bear a record column's name."""
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ _BREAK = re.compile(r"</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|he
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 _SPACE = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
+_LINE_ENDS = re.compile(r"[\r\n]+")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _META = re.compile(r"<meta\b([^>]*)>", re.I)
 _LINK = re.compile(r"<(a|area|link|img|iframe|script)\b[^>]*?\s(?:href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -116,13 +118,28 @@ def _body(headers: list[tuple[str, str]], payload: bytes) -> bytes:
     for kind in reversed((_value(headers, "content-encoding") or "").lower().replace(" ", "").split(",")):
         for bits in {"gzip": (47,), "x-gzip": (47,), "deflate": (15, -15)}.get(kind, ()):
             try:
-                payload = zlib.decompressobj(bits).decompress(payload)
+                payload = _inflated(payload, bits)
                 break
             except zlib.error:
                 continue
     return payload
 
 
+def _inflated(payload: bytes, bits: int) -> bytes:
+    """All members of a compressed payload; what follows the last is left out."""
+    out, rest = [], payload
+    while rest:
+        d = zlib.decompressobj(bits)
+        try:
+            out.append(d.decompress(rest))
+        except zlib.error:
+            if not out:
+                raise
+            break
+        rest = d.unused_data
+    return b"".join(out)
+
+
 def _charset(headers: list[tuple[str, str]]) -> str:
     found = re.search(r"charset=[\"']?([\w-]+)", _value(headers, "content-type") or "", re.I)
     try:
@@ -136,7 +153,7 @@ def _urn(*names: str) -> str:
 
 
 def _record(rid: str, kind: str, refers: str | None, uri: str, date: str, ctype: str, block: bytes, payload: str) -> tuple:
-    own = digest(block)
+    own, uri = digest(block), _LINE_ENDS.sub(" ", uri)
     named = [("WARC-Type", kind), ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Record-ID", rid), ("WARC-Refers-To", refers), ("Content-Type", ctype), ("WARC-Block-Digest", own), ("WARC-Payload-Digest", payload), ("Content-Length", str(len(block)))]
     return rid, kind, refers, uri, date, ctype, "WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in named if v), block, own, payload, len(block)
 
@@ -196,31 +213,71 @@ def write_warc(records: DataFrame, path: str) -> None:
     made.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
-def _parsed(data: bytes) -> tuple:
-    """A record's row from its bytes after the version line."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    pairs = _pairs(head.decode("utf-8", "replace"))
+#: What stands between two records, and may stand in a block too.
+_BETWEEN = b"\r\n\r\nWARC/1.0\r\n"
+
+
+def _parsed(head: bytes, block: bytes, pairs: list[tuple[str, str]]) -> tuple:
     get = lambda k: _value(pairs, k)
-    n = int(get("content-length") or 0)
-    if len(rest) < n or rest[n:].strip(b"\r\n"):
-        raise ValueError(f"record {get('warc-record-id')}: its length isn't that of its header")
-    block = rest[:n]
-    return get("warc-record-id") or "", get("warc-type") or "", get("warc-refers-to"), get("warc-target-uri") or "", get("warc-date") or "", get("content-type") or "", f"WARC/1.0\r\n{head.decode('utf-8', 'replace')}\r\n", block, get("warc-block-digest") or digest(block), get("warc-payload-digest"), n
+    text = head.decode("utf-8", "replace")
+    return get("warc-record-id") or "", get("warc-type") or "", get("warc-refers-to"), get("warc-target-uri") or "", get("warc-date") or "", get("content-type") or "", f"WARC/1.0\r\n{text}\r\n", block, get("warc-block-digest") or digest(block), get("warc-payload-digest"), len(block)
+
+
+def _records(pieces):
+    """Rows of records from (file, piece) in file order. Pieces are joined until the Content-Length that a record's head names is met, so a
+    block may hold whole records; only the open record is held."""
+    held, size, file = [], 0, None
+    for name, piece in pieces:
+        if held and name != file:
+            raise ValueError(f"{file} ends within a record")
+        file = name
+        if not held:
+            piece = piece.removeprefix(b"WARC/1.0\r\n")
+            if not piece.strip():
+                continue
+            held, size = [piece], len(piece)
+        else:
+            held += [_BETWEEN, piece]
+            size += len(_BETWEEN) + len(piece)
+        if len(held) <= 3:  # the head ends in the first piece, or with it
+            first = b"".join(held)
+            head, blank, rest = first.partition(b"\r\n\r\n")
+            pairs = _pairs(head.decode("utf-8", "replace"))
+            n, before = int(_value(pairs, "content-length") or 0), len(head) + 4
+        if size < before + n and not (n == 0 and not blank):
+            continue
+        data = b"".join(held)
+        block, rest = data[before : before + n], data[before + n :]
+        if rest.strip(b"\r\n"):
+            raise ValueError(f"record {_value(pairs, 'warc-record-id')} of {file}: its length isn't that of its header")
+        held = []
+        yield _parsed(head, block, pairs)
+    if held:
+        raise ValueError(f"{file} ends within a record")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC/1.0 files, plain or gzipped, streamed record by record by Spark's reader, which also splits plain files.
+    """Records of WARC/1.0 files, plain or gzipped, streamed record by record by Spark's reader.
 
-    Records are what "WARC/1.0" begins on a line after a blank one; where a block itself has that, its length doesn't fit and an error is raised."""
+    What "WARC/1.0" begins on a line after a blank one is a piece; a record takes as many pieces as its Content-Length asks for. A gzipped
+    file is one task's stream; the pieces of a plain file, read in splits, are sorted by place into one stream a file."""
 
     def run(batches):
-        for part in slices(batches, "value", 4 << 20):
-            rows = [_parsed(x.removeprefix(b"WARC/1.0\r\n")) for x in part.column("value").to_pylist() if x.strip()]
-            if rows:
+        rows, size = [], 0
+        pieces = (x for part in slices(batches, "value", 4 << 20) for x in zip(part.column("file").to_pylist(), part.column("value").to_pylist(), strict=True))
+        for row in _records(pieces):
+            rows.append(row)
+            size += len(row[7])
+            if size > 4 << 20:
                 yield _batch(rows)
-
-    lines = spark.read.option("lineSep", "\r\n\r\nWARC/1.0\r\n").text(path)
-    return arrow_map(lines.select(F.col("value").cast("binary").alias("value")), run, RECORD)
+                rows, size = [], 0
+        if rows:
+            yield _batch(rows)
+
+    lines = spark.read.option("lineSep", _BETWEEN.decode()).text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    packed = F.col("file").endswith(".gz")
+    plain = lines.where(~packed).repartition("file").sortWithinPartitions("file", "block", "at")
+    return arrow_map(lines.where(packed).select("file", "value"), run, RECORD).unionByName(arrow_map(plain.select("file", "value"), run, RECORD))
 
 
 def op5_warc_derivatives(spark, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Clashing names, ties, very long texts and brute force for the operators that other tests don't cover there."""
 
+import gzip
 import random
 
 import numpy as np
@@ -140,3 +141,50 @@ def test_sites_speak_without_the_document_itself(spark, url):
     got = {r.doc_id: r for r in quality.classify(df, spark.createDataFrame([], "doc_id long, quality int, toxic int"), url_col=url).collect()}
     assert got[100].evidence == 0 and got[100].host_rate == pytest.approx(got[100].path_rate) == pytest.approx(0.5)
     assert got[100].score == pytest.approx(0.5)
+
+
+def test_warc_within_warc(spark, tmp_path):
+    """Pages that quote WARC files, a record that is one, a URL with line breaks, and many small splits of a plain file."""
+    inner = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:%d>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    quoted = "".join((inner % k).decode() for k in range(40))
+    rows = [(1, "http://h/1", f"<p>before</p>\r\n\r\n{quoted}after"), (2, "http://h/2\r\nX-Bad: 1", "plain"), (3, "http://h/3", "\r\n\r\nWARC/1.0\r\n" * 3), (4, "http://h/4", "x" * 5_000)]
+    made = warc.responses(spark.createDataFrame(rows, PAGE)).cache()
+    want = sorted((r.record_id, bytes(r.block)) for r in made.collect())
+    assert all("\n" not in r.target_uri for r in made.collect())
+    whole = b"".join(bytes(r.warc) for r in warc.serialised(made).collect())
+    resource = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:all>\r\nContent-Length: %d\r\n\r\n" % len(whole) + whole + b"\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(whole + resource + whole)
+    (tmp_path / "b.warc").write_bytes(whole)
+    warc.write_warc(made.coalesce(1), str(tmp_path / "packed"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("64m", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = sorted((r.record_id, bytes(r.block)) for r in warc.read_warc(spark, str(tmp_path / "*.warc")).collect())
+            assert got == sorted([*want * 3, ("<urn:all>", whole)])
+            assert sorted((r.record_id, bytes(r.block)) for r in warc.read_warc(spark, str(tmp_path / "packed")).collect()) == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    (tmp_path / "cut.warc").write_bytes(whole[:-200])
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.read_warc(spark, str(tmp_path / "cut.warc")).collect()
+
+
+def test_bodies_of_several_members():
+    packed = gzip.compress(b"one ") + gzip.compress(b"two")
+    assert warc._body([("Content-Encoding", "gzip")], packed) == b"one two"
+    assert warc._body([("Content-Encoding", "gzip")], packed + b"trailing") == b"one two"
+    assert warc._body([("Content-Encoding", "gzip")], b"not packed") == b"not packed"
+
+
+def test_labelled_rows_of_one_text(spark, monkeypatch):
+    """Equal and null texts are drawn row by row, so the sample keeps its size."""
+    monkeypatch.setattr(quality, "FIT_ROWS", 200)
+    monkeypatch.setattr(quality, "MOST_LABELS", 1_000)
+    n = 4_000
+    df = spark.range(n).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'one text of all' END AS text", "'en' AS lang", "'a' AS source")
+    seen = []
+    fitted = quality._regression
+    monkeypatch.setattr(quality, "_regression", lambda labelled, *a: seen.append(labelled.count()) or fitted(labelled, *a))
+    got = quality.classify(df, spark.range(n).selectExpr("id AS doc_id", "int(id % 2) AS quality", "0 AS toxic"))
+    assert got.count() == n and (not seen or 700 < seen[0] < 1_300)
