@@ -2,48 +2,85 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..sources.scratch import kept
 from .gaps import islands
 from .patch import nearest_anchors, with_bounds
 
-BLOCK = ["ref_contig", "block", "start", "end", "direction", "n"]
 #: Bases of a bin in which positions and blocks meet.
 BIN = 1_000_000
 
 
-def synteny_blocks(alignments: DataFrame, back: int = 10_000, ahead: int = 100_000) -> DataFrame:
-    """ref_contig, block, start, end, direction, n: by r_min, a block goes on while the direction stays and the next begins
-    more than -back and less than ahead past the block's end so far. The end resets with each block, so a contig's sorted
-    alignments stream through a task that holds only the open block."""
-    rows = with_bounds(alignments).select("ref_contig", "r_min", "aln_id", "r_max", "direction")
-    dealt = rows.repartition("ref_contig").sortWithinPartitions("ref_contig", "r_min", "aln_id")
+def _segments(alignments: DataFrame, ahead: int) -> DataFrame:
+    """Alignments in segments (pid, seg) that no block goes beyond: cut where the contig or direction changes, and where one begins
+    at least `ahead` past all before it in the segment. Alignments are dealt by ranges of place, so a contig of all rows is many
+    tasks' work; what stands at the head of a range belongs to the last segment before it."""
+    rows = with_bounds(alignments).select("ref_contig", "r_min", "aln_id", "r_max", "direction", "query_contig", "identity")
+    dealt = rows.repartitionByRange("ref_contig", "r_min", "aln_id").sortWithinPartitions("ref_contig", "r_min", "aln_id")
 
-    def walk(batches):
-        contig, number, block = None, 0, None
+    def cut(batches):
+        pid, seg, last, top = TaskContext.get().partitionId(), 0, None, None
         for part in batches:
-            done = []
+            numbers = []
             for name, lo, hi, way in zip(part["ref_contig"], part["r_min"], part["r_max"], part["direction"], strict=True):
-                if name == contig and way == block[2] and -back < lo - block[1] < ahead:
-                    block[1], block[3] = max(block[1], hi), block[3] + 1
-                    continue
-                if block:
-                    done.append((contig, number, *block))
-                number = number + 1 if name == contig else 0
-                contig, block = name, [lo, hi, way, 1]
-            yield pd.DataFrame(done, columns=BLOCK)
-        if block:
-            yield pd.DataFrame([(contig, number, *block)], columns=BLOCK)
+                if last is not None and last != (name, way) or top is not None and lo - top >= ahead:
+                    seg, top = seg + 1, hi
+                elif top is not None:
+                    top = max(top, hi)  # at the head of a range it isn't known how far those before reach
+                last = (name, way)
+                numbers.append(seg)
+            yield part.assign(pid=pid, seg=numbers)
+
+    placed = kept(dealt.mapInPandas(cut, "ref_contig string, r_min bigint, aln_id bigint, r_max bigint, direction int, query_contig string, identity double, pid int, seg int"))
+    # a row a range: its first and last alignment tell whether its head goes on what is before
+    ends = placed.groupBy("pid").agg(F.min(F.struct("ref_contig", "r_min", "aln_id", "direction")).alias("a"), F.max(F.struct("ref_contig", "r_min", "aln_id", "direction")).alias("z"), F.max("seg").alias("segs"))
+    w = Window.orderBy("pid")
+    fresh = F.lag("z").over(w).isNull() | (F.lag("z.ref_contig").over(w) != F.col("a.ref_contig")) | (F.lag("z.direction").over(w) != F.col("a.direction"))
+    ends = ends.withColumn("fresh", fresh)
+    tail = F.when(F.col("segs") > 0, F.struct("pid", F.col("segs").alias("seg"))).when(F.col("fresh"), F.struct("pid", F.lit(0).alias("seg")))
+    ends = ends.withColumn("tail", tail).withColumn("head", F.when(F.col("fresh"), F.struct("pid", F.lit(0).alias("seg"))).otherwise(F.last("tail", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))))
+    return placed.join(F.broadcast(ends.select("pid", "head")), "pid").withColumn("key", F.when(F.col("seg") == 0, F.col("head")).otherwise(F.struct("pid", "seg"))).withColumns({"pid": F.col("key.pid"), "seg": F.col("key.seg")}).drop("key", "head")
 
-    return dealt.mapInPandas(walk, "ref_contig string, block int, start bigint, end bigint, direction int, n int")
+
+def synteny_blocks(alignments: DataFrame, back: int = 10_000, ahead: int = 100_000) -> DataFrame:
+    """ref_contig, block, start, end, direction, n, query_contigs (sorted), identity (mean): by r_min, a block goes on while the direction
+    stays and the next begins more than -back and less than ahead past the block's end so far. The end resets with each block, so
+    a segment's sorted alignments stream through a task that holds only the open block's end; blocks are numbered by counts."""
+    dealt = _segments(alignments, ahead).repartition("pid", "seg").sortWithinPartitions("pid", "seg", "r_min", "aln_id")
+
+    def walk(batches):
+        key, number, end = None, 0, 0
+        for part in batches:
+            numbers = []
+            for own, lo, hi in zip(zip(part["pid"], part["seg"], strict=True), part["r_min"], part["r_max"], strict=True):
+                if own != key:
+                    key, number, end = own, 0, hi
+                elif -back < lo - end < ahead:
+                    end = max(end, hi)
+                else:
+                    number, end = number + 1, hi
+                numbers.append(number)
+            yield part.assign(local=numbers)
+
+    schema = T.StructType([*dealt.schema.fields, T.StructField("local", T.IntegerType())])
+    found = dealt.mapInPandas(walk, schema).groupBy("ref_contig", "pid", "seg", "local").agg(F.min(F.struct("r_min", "aln_id")).alias("first"), F.max("r_max").alias("end"), F.first("direction").alias("direction"), F.count("*").alias("n"), F.sort_array(F.collect_set("query_contig")).alias("query_contigs"), F.avg("identity").alias("identity"))
+    number = (F.row_number().over(Window.partitionBy("ref_contig").orderBy("first")) - 1).alias("block")
+    return found.select("ref_contig", number, F.col("first.r_min").alias("start"), "end", "direction", "n", "query_contigs", "identity")
 
 
 def block_summary(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("ref_contig", "direction").agg(F.count("*").alias("n_blocks"), F.sum(F.col("end") - F.col("start") + 1).alias("total"), F.max(F.col("end") - F.col("start") + 1).alias("longest"), F.sum("n").alias("n_alignments"))
 
 
+def block_properties(blocks: DataFrame) -> DataFrame:
+    """Length, number of query contigs and their names, and mean identity of each block."""
+    return blocks.select("ref_contig", "block", (F.col("end") - F.col("start") + 1).alias("length"), F.size("query_contigs").alias("n_query"), F.array_join("query_contigs", ",").alias("query_contigs"), "identity")
+
+
 def alignments_near_gap(alignments: DataFrame, gaps: DataFrame, most: int = 500_000, step: int = 100_000) -> DataFrame:
     """gap_key, aln_id, window, crossing: the alignments within the smallest window (in steps) in which something crosses the gap
     or both sides have one. Both sides meet in bins of `step` bases, so there is no range-only join."""

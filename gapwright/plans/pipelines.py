@@ -45,7 +45,7 @@ def fill_gaps(lens: DataFrame, gaps: DataFrame, hits: DataFrame) -> dict[str, Da
 
     lens: seq_id, seq_ord, seq_length; gaps: seq_id, start, end, length. edits and segments are coordinates (edits.materialize makes bases)."""
     named = kept(numbered_gaps(gaps))
-    best = kept(L.best_fill(L.anchor_pairs(L.flank_hits(hits))))
+    best = kept(L.best_fill(L.flank_hits(hits)))
     made = kept(E.resolve(L.fill_edits(best, named)))
     segments = E.apply_edits(made, lens)
     left = named.join(best.select("gap_id"), "gap_id", "left_anti").select("seq_id", "start", "end", "length")

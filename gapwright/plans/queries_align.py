@@ -45,12 +45,12 @@ def e3(s, d):
 
 @query("E4_best_fill", HITS + "SELECT gap_id, refid, strand, l_id, r_id, fill_start, fill_end, round(score, 6) AS score FROM best", "flank_paf")
 def e4(s, d):
-    return L.best_fill(L.anchor_pairs(L.flank_hits(_paf(s, d)))).withColumn("score", F.round("score", 6))
+    return L.best_fill(L.flank_hits(_paf(s, d))).withColumn("score", F.round("score", 6))
 
 
 @query("E5_fill_edits", HITS + "SELECT split_part(gap_id, '.', 1) AS seq_id, cast(split_part(gap_id, '.', 2) AS bigint) * 1000 AS del_start, cast(split_part(gap_id, '.', 2) AS bigint) * 1000 + 100 AS del_end, refid AS src_id, fill_start AS src_start, fill_end AS src_end, strand FROM best", "flank_paf")
 def e5(s, d):
-    fills = L.best_fill(L.anchor_pairs(L.flank_hits(_paf(s, d))))
+    fills = L.best_fill(L.flank_hits(_paf(s, d)))
     at = F.split_part("gap_id", F.lit("."), F.lit(2)).cast("bigint") * 1000
     gaps = fills.select("gap_id", F.split_part("gap_id", F.lit("."), F.lit(1)).alias("seq_id"), at.alias("start"), (at + 100).alias("end"))
     return L.fill_edits(fills, gaps).select("seq_id", "del_start", "del_end", "src_id", "src_start", "src_end", "strand")
@@ -59,7 +59,7 @@ def e5(s, d):
 @query("B5_write_fill_detail", HITS + "SELECT g.gap_id, CASE WHEN b.refid IS NULL THEN 'Not_closed' ELSE 'Closed' END AS status, b.refid AS source, b.fill_start, b.fill_end, b.fill_end - b.fill_start AS fill_length, b.strand, round(b.score, 6) AS identity FROM (SELECT DISTINCT gap_id FROM hits) g LEFT JOIN best b USING (gap_id)", "flank_paf")
 def b5(s, d):
     hits = L.flank_hits(_paf(s, d))
-    return L.fill_detail(hits.select("gap_id").distinct(), L.best_fill(L.anchor_pairs(hits))).withColumn("identity", F.round("identity", 6))
+    return L.fill_detail(hits.select("gap_id").distinct(), L.best_fill(hits)).withColumn("identity", F.round("identity", 6))
 
 
 AL = """WITH al AS (SELECT *, least(ref_start, ref_end) AS r_min, greatest(ref_start, ref_end) AS r_max, least(query_start, query_end) AS q_min, greatest(query_start, query_end) AS q_max,
@@ -228,7 +228,13 @@ blocks AS (SELECT ref_contig, block, min(bs) AS start, max(be) AS "end", any_val
 
 @query("F1_synteny_blocks", BLOCKS + 'SELECT ref_contig, block, start, "end", direction, n FROM blocks', "alignments")
 def f1(s, d):
-    return Y.synteny_blocks(_al(s, d))
+    return Y.synteny_blocks(_al(s, d)).select("ref_contig", "block", "start", "end", "direction", "n")
+
+
+@query("F2b_block_properties", BLOCKS + """, parts AS (SELECT m.*, w.block FROM num m JOIN walk w ON m.ref_contig = w.ref_contig AND m.k = w.k)
+SELECT p.ref_contig, p.block, any_value(b."end" - b.start + 1) AS length, cast(count(DISTINCT query_contig) AS int) AS n_query, string_agg(DISTINCT query_contig, ',' ORDER BY query_contig) AS query_contigs, round(avg(identity), 6) AS identity FROM parts p JOIN blocks b USING (ref_contig, block) GROUP BY p.ref_contig, p.block""", "alignments")
+def f2b(s, d):
+    return Y.block_properties(Y.synteny_blocks(_al(s, d))).withColumn("identity", F.round("identity", 6))
 
 
 @query("F2_block_summary", BLOCKS + 'SELECT ref_contig, direction, count(*) AS n_blocks, cast(sum("end" - start + 1) AS bigint) AS total, max("end" - start + 1) AS longest, cast(sum(n) AS bigint) AS n_alignments FROM blocks GROUP BY ref_contig, direction', "alignments")

@@ -102,3 +102,54 @@ def test_fastq_and_gfa(spark, tmp_path):
     assert sorted(r.read_length for r in formats.fastq_lengths(spark, str(tmp_path / "r.fq")).collect()) == [2, 4]
     (tmp_path / "g.gfa").write_text("H\tx\nS\tu1\tacgt\nL\tu1\t+\n")
     assert [tuple(r) for r in formats.read_gfa_segments(spark, str(tmp_path / "g.gfa")).collect()] == [("u1", "ACGT")]
+
+
+def test_best_fill_lists_no_pairs(spark):
+    """As the best of all pairs: both strands, ties, hits at the edges of the window."""
+    from pyspark.sql import functions as F
+
+    from gapwright.operators import fill as L
+
+    rng = random.Random(6)
+    rows = [(i, f"q.{rng.randrange(6)}.{rng.choice('LR')}", 1_500, 0, 1_500, rng.choice("+-"), f"c{rng.randrange(2)}", 900, at, at + rng.choice([1, 5, 9]), m, 1_500, 60) for i in range(400) for at in [rng.randrange(300)] for m in [rng.choice([900, 1_200, 1_500])]]
+    hits = L.flank_hits(spark.createDataFrame(rows, "hit_id long, qryid string, qrylen long, qrystart long, qryend long, strand string, refid string, reflen long, refstart long, refend long, matches long, alnlen long, mapq int"))
+    for most in (1, 7, 40, 1_000):
+        want = {}
+        for r in L.anchor_pairs(hits, most).collect():
+            want[r.gap_id] = max(want.get(r.gap_id, (-1,)), (r.score, -r.l_id, -r.r_id, r.refid, r.strand, r.fill_start, r.fill_end))
+        got = {r.gap_id: (r.score, -r.l_id, -r.r_id, r.refid, r.strand, r.fill_start, r.fill_end) for r in L.best_fill(hits, most).collect()}
+        assert got == want
+    assert L.best_fill(hits.where(F.col("side") == "L")).count() == 0
+
+
+def test_blocks_of_one_contig_in_many_tasks(spark):
+    """A contig of all rows, dealt over ranges: blocks as one walk over the sorted alignments makes them."""
+    rng = random.Random(9)
+    for turns, step in ((0.5, 3_000), (0.02, 30_000), (0.0, 400)):
+        rows, at, way = [], 1, 1
+        for i in range(1_500):
+            at += rng.randrange(step)
+            way = -way if rng.random() < turns else way
+            size = rng.choice([500, 20_000, 90_000]) if rng.random() < 0.3 else 300
+            at += 150_000 if rng.random() < 0.004 else 0
+            rows.append((i, "r" if i < 1_400 else "s", f"q{rng.randrange(3)}", float(rng.randrange(90, 100)), at, at + size, *((5, 5 + size) if way > 0 else (5 + size, 5))))
+        want, last = [], None
+        for r in sorted(rows, key=lambda r: (r[1], r[4], r[0])):
+            d = 1 if r[7] >= r[6] else -1
+            if last and last[0] == r[1] and last[3] == d and -10_000 < r[4] - last[2] < 100_000:
+                last[2], last[4] = max(last[2], r[5]), [*last[4], r]
+            else:
+                last = [r[1], r[4], r[5], d, [r]]
+                want.append(last)
+        number, named = {}, []
+        for name, a, z, d, own in want:
+            number[name] = number.get(name, -1) + 1
+            named.append((name, number[name], a, z, d, len(own), sorted({r[2] for r in own}), round(sum(r[3] for r in own) / len(own), 6)))
+        df = spark.createDataFrame(rows, "aln_id long, ref_contig string, query_contig string, identity double, ref_start long, ref_end long, query_start long, query_end long").repartition(5)
+        old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = Y.synteny_blocks(df).collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        assert sorted((r.ref_contig, r.block, r.start, r.end, r.direction, r.n, r.query_contigs, round(r.identity, 6)) for r in got) == sorted(named)
