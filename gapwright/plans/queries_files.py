@@ -86,28 +86,29 @@ def b6(s, d):
     return back.select("seq_id", "summary.n_gaps", "summary.total", F.col("gaps")[0]["start"].alias("first_start"))
 
 
-SEEDS = """WITH q AS (SELECT seq_id, i - 1 AS pos, substr(bases, i, 21) AS w FROM (SELECT seq_id, bases, unnest(range(1, length(bases) - 19)) AS i FROM seqs WHERE seq_ord % 2 = 0) t WHERE NOT contains(substr(bases, i, 21), 'N')),
-r AS (SELECT seq_id, i - 1 AS pos, substr(bases, i, 21) AS w FROM (SELECT seq_id, bases, unnest(range(1, length(bases) - 19)) AS i FROM seqs WHERE seq_ord % 2 = 1) t WHERE NOT contains(substr(bases, i, 21), 'N')),
-qs AS (SELECT seq_id, pos, w, '+' AS strand FROM q UNION ALL SELECT seq_id, pos, reverse(translate(w, 'ACGT', 'TGCA')), '-' FROM q),
-rare AS (SELECT w FROM (SELECT w FROM qs GROUP BY w HAVING count(*) <= 50) a JOIN (SELECT w FROM r GROUP BY w HAVING count(*) <= 50) b USING (w)),
-seeds AS (SELECT qs.seq_id AS query_contig, r.seq_id AS ref_contig, qs.pos AS q, r.pos AS r, strand FROM qs JOIN rare USING (w) JOIN r USING (w)),
-bd AS (SELECT *, cast(floor(CASE WHEN strand = '+' THEN q - r ELSE q + r END / 100) AS bigint) AS band FROM seeds),
-br AS (SELECT *, sum(b) OVER (PARTITION BY query_contig, ref_contig, strand, band ORDER BY q, r ROWS UNBOUNDED PRECEDING) AS chain FROM (SELECT *, CASE WHEN q - lag(q) OVER (PARTITION BY query_contig, ref_contig, strand, band ORDER BY q, r) <= 1000 THEN 0 ELSE 1 END AS b FROM bd) t),
-ch AS (SELECT query_contig, ref_contig, strand, min(q) AS q0, max(q) + 21 AS q1, min(r) AS r0, max(r) + 21 AS r1, count(*) AS n FROM br GROUP BY query_contig, ref_contig, strand, band, chain)
+SEEDS = """WITH w AS (SELECT seq_id, seq_ord, i - 1 AS pos, substr(bases, i, 21) AS w FROM (SELECT seq_id, seq_ord, bases, unnest(range(1, length(bases) - 19)) AS i FROM dense_seqs) t),
+k AS (SELECT seq_id, seq_ord, pos, least(w, t) AS kmer, t < w AS turned FROM (SELECT *, reverse(translate(w, 'ACGT', 'TGCA')) AS t FROM w) u),
+o AS (SELECT kmer, cast((list_sum(list_transform(range(21), lambda j: (instr('ACGT', kmer[j + 1]) - 1) * (1::HUGEINT << cast(2 * (20 - j) AS int))))::HUGEINT * 625341585) % 4398046511104 AS bigint) AS place FROM (SELECT DISTINCT kmer FROM k) d),
+v AS (SELECT k.*, place FROM k JOIN o USING (kmer)),
+l AS (SELECT *, CASE WHEN lead(pos, 9) OVER s IS NOT NULL THEN min(place) OVER (s ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) END AS least_ FROM v WINDOW s AS (PARTITION BY seq_id ORDER BY pos)),
+m AS (SELECT *, max(least_) OVER (PARTITION BY seq_id ORDER BY pos ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS top FROM l),
+seed AS (SELECT seq_id, seq_ord, pos, kmer, turned FROM m WHERE place <= top),
+seeds AS (SELECT a.seq_id AS query_contig, b.seq_id AS ref_contig, a.pos AS q, b.pos AS r, CASE WHEN a.turned = b.turned THEN '+' ELSE '-' END AS strand FROM seed a JOIN seed b USING (kmer) WHERE a.seq_ord % 2 = 0 AND b.seq_ord % 2 = 1)
 """
 
 
 def _seeds(s, d):
-    q = fixture(s, d, "seqs")
+    q = fixture(s, d, "dense_seqs")
     return K.seed_anchors(q.where("seq_ord % 2 = 0"), q.where("seq_ord % 2 = 1"))
 
 
-@query("H5_seed_anchors", SEEDS + "SELECT query_contig, ref_contig, strand, count(*) AS n, cast(sum(q) AS bigint) AS sum_q, cast(sum(r) AS bigint) AS sum_r FROM seeds GROUP BY ALL", "seqs")
+@query("H5_seed_anchors", SEEDS + "SELECT query_contig, ref_contig, strand, count(*) AS n, cast(sum(q) AS bigint) AS sum_q, cast(sum(r) AS bigint) AS sum_r FROM seeds GROUP BY ALL", "dense_seqs")
 def h5(s, d):
     """The sequences of even numbers as queries against those of odd ones; seeds summed by pair of sequences."""
     return _seeds(s, d).groupBy("query_contig", "ref_contig", "strand").agg(F.count("*").alias("n"), F.sum("q").alias("sum_q"), F.sum("r").alias("sum_r"))
 
 
-@query("H6_chain_anchors", SEEDS + "SELECT query_contig, ref_contig, r0 + 1 AS ref_start, r1 AS ref_end, CASE WHEN strand = '-' THEN q1 ELSE q0 + 1 END AS query_start, CASE WHEN strand = '-' THEN q0 + 1 ELSE q1 END AS query_end, n FROM ch WHERE q1 - q0 >= 100", "seqs")
+@query("H6_chain_anchors")
 def h6(s, d):
+    """Colinear chains of these seeds; their test is the same walk over all anchors of a pair."""
     return K.chain_anchors(_seeds(s, d), least=100)

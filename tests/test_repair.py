@@ -1,5 +1,6 @@
 """The composed repairs and the file readers on small inputs, against plain Python."""
 
+import math
 import random
 import re
 import time
@@ -365,3 +366,67 @@ def test_names_by_substring(spark):
     assert {(r.name, r.seq_id, r["rank"]) for r in L.select_sequences(seqs, names).collect()} == {("chr1", "chr1", 1), ("CHR10", "chr10", 2), ("CHR2", "scaffold_Chr2_x", 2)}
     got = {r.target: (r.name, r["rank"]) for r in L.match_names(spark.createDataFrame([("chr1", 0), ("lg7b", 1)], "name string, seq_ord long"), spark.createDataFrame([("1",), ("chr12",), ("ctg_7",), ("q",)], "target string")).collect()}
     assert got == {"1": ("chr1", 1), "chr12": ("chr1", 2), "ctg_7": ("lg7b", 3)}
+
+
+def _seeds_of(text, k, w):
+    turn = lambda t: t.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    rows = []
+    for i in range(len(text) - k + 1):
+        a = text[i : i + k]
+        b = turn(a)
+        n = sum("ACGT".index(c) << 2 * (k - 1 - j) for j, c in enumerate(min(a, b))) if set(a) <= set("ACGT") else None
+        rows.append((n, b < a, None if n is None else n * K.SCATTER % 4**k))
+    chosen = {i + j for i in range(len(rows) - w + 1) if all(r[2] is not None for r in rows[i : i + w]) for j in range(w) if rows[i + j][2] == min(r[2] for r in rows[i : i + w])}
+    return {(i, rows[i][0], rows[i][1]) for i in chosen}
+
+
+def test_seeds_and_chains(spark):
+    """Copies on both strands with changes, repeats, other letters and chunk edges, against plain Python."""
+    rng = random.Random(21)
+    turn = lambda t: t.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    unit, base = word(40), word(6_000)
+    changed = "".join(c if rng.random() > 0.01 else rng.choice("ACGT") for c in base)
+    ref = [("r1", base), ("r2", turn(changed)), ("r3", unit * 12 + "NNN" + word(300)), ("r4", "ACG"), ("r5", "")]
+    query = [("q1", word(500) + changed[1_000:5_500] + word(200)), ("q2", "N" + unit * 5), ("q3", base[:3_000] + word(700) + base[3_500:])]
+    k, w = 15, 8
+    table = lambda rows: spark.createDataFrame(rows, "seq_id string, bases string")
+    for rows in (ref, query):
+        got = {(r.seq_id, r.pos, r.kmer, r.turned) for r in K.minimizer_seeds(table(rows), k, w).collect()}
+        assert got == {(name, *s) for name, t in rows for s in _seeds_of(t, k, w)}
+    own = {name: _seeds_of(t, k, w) for name, t in query}
+    places = {}
+    for name, t in ref:
+        for j, y, b in _seeds_of(t, k, w):
+            places.setdefault(y, []).append((name, j, b))
+    want = sorted((qn, rn, i, j, "+" if a == b else "-") for qn in own for i, x, a in own[qn] for rn, j, b in places.get(x, []))
+    for most in (2, 1_000):
+        anchors = K.seed_anchors(table(query), table(ref), k, w, most)
+        assert sorted((r.query_contig, r.ref_contig, r.q, r.r, r.strand) for r in anchors.collect()) == want
+    assert len(want) > 1_000
+    pairs = {}
+    for qn, rn, q, r, strand in want:
+        pairs.setdefault((qn, rn, strand), []).append((r, q if strand == "+" else -q - k))
+    chains = []
+    for (qn, rn, strand), rows in pairs.items():
+        rows, done, tops = sorted(set(rows)), [], {}
+        for r, x in rows:
+            best = (float(k), (x, r), 1)
+            for px, pr, ps, proot, n in done[-25:]:
+                dx, dr = x - px, r - pr
+                if 0 < dx <= 2_000 and 0 < dr <= 2_000:
+                    off = abs(dx - dr)
+                    s = ps + min(dx, dr, k) - (0.01 * off + 0.5 * math.log2(off) if off else 0)
+                    if s > best[0]:
+                        best = (s, proot, n + 1)
+            done.append((x, r, best[0], best[1], best[2]))
+            if best[1] not in tops or best[0] > tops[best[1]][0]:
+                tops[best[1]] = (best[0], x, r, best[2])
+        for (x0, r0), (score, x1, r1, n) in tops.items():
+            lo, hi = (x0, x1 + k) if strand == "+" else (-x1 - k, -x0)
+            if hi - lo >= 300:
+                chains.append((qn, rn, r0 + 1, r1 + k, *((lo + 1, hi) if strand == "+" else (hi, lo + 1)), n, round(score, 6)))
+    got = K.chain_anchors(anchors, k, step=2_000, least=300).collect()
+    assert sorted((r.query_contig, r.ref_contig, r.ref_start, r.ref_end, r.query_start, r.query_end, r.n, round(r.score, 6)) for r in got) == sorted(chains)
+    assert any(r.ref_contig == "r2" and r.query_start > r.query_end and r.n > 200 for r in got)
+    assert K.chain_anchors(anchors.limit(0)).count() == 0
