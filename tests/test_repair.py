@@ -42,13 +42,13 @@ def test_chains_of_overlaps_keep_what_fits(spark):
 
 def test_a_long_chain_takes_few_rounds(spark):
     """Each edit overlaps the next: every second one stays, from the right; ids of one place, empty edits and several priorities beside."""
-    stairs = [("a", 5 * k, 5 * k + 7, "N", "", 0, 1, "+", 1) for k in range(3_000)]
+    stairs = [("a", 5 * k, 5 * k + 7, "N", "", 0, 1, "+", 1) for k in range(400)]
     rng = random.Random(4)
     rows = [("b", a, a + rng.choice([0, 0, 3, 9]), "N", str(rng.randrange(3)), 0, 1, "+", p) for a, p in ((rng.randrange(80), rng.randrange(3)) for _ in range(160))]
     got = {}
     for r in E.resolve(spark.createDataFrame(stairs + rows, EDIT)).collect():
         got.setdefault(r.seq_id, []).append((r.del_start, r.del_end, r.priority, r.src_id))
-    assert sorted(x[0] for x in got["a"]) == [5 * k for k in range(1, 3_000, 2)]
+    assert sorted(x[0] for x in got["a"]) == [5 * k for k in range(1, 400, 2)]
     kept = []
     for r in sorted({x[:3] for x in got["b"]}):
         assert all(r[1] <= k[0] or k[1] <= r[0] or r == k for k in kept), (r, kept)
@@ -287,8 +287,8 @@ def test_repairing_a_genome(spark):
     assert {r.seq_id: r.seq_length for r in out["lens"].collect()} == {k: len(t) for k, t in want.items()} and out["gaps"].count() == 0
     rows = {r["round"]: (r.ran, r.n_edits, r.n_changed, r.n_gaps) for r in out["steps"].collect()}
     assert rows == {"fill": (True, 1, 1, 4), "filter": (True, 1, 1, 3), "fill again": (True, 1, 1, 2), "patch": (True, 1, 1, 1), "correct": (True, 1, 1, 1), "refill": (True, 1, 1, 0), "telomere": (True, 1, 1, 0)}
-    few = run("patch")
-    assert {r["round"]: (r.ran, r.n_gaps) for r in few["steps"].collect()} == {"fill": (False, 5), "filter": (False, 5), "fill again": (False, 5), "patch": (True, 4), "correct": (False, 4), "refill": (False, 4), "telomere": (False, 4)}
+    none = run()
+    assert {r["round"]: (r.ran, r.n_gaps) for r in none["steps"].collect()} == {name: (False, 5) for _, name in N.ROUNDS} and none["segments"].count() == 4
 
 
 def test_lifting_by_brute_force(spark):
