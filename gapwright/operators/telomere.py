@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.packed import arrow_map, occurrences, texts
+from .fill import match_names
 from .gaps import islands, joined_runs
 
 #: Telomere repeat units (fixed values).
@@ -175,25 +176,65 @@ def merge_plan(matches: DataFrame) -> DataFrame:
     return m.withColumn("extension", F.col("src_end") - F.col("src_start") - (F.col("del_end") - F.col("del_start")))
 
 
-def select_repair(plans: DataFrame, strategy: str = "minimal_extension") -> DataFrame:
-    """Best repair of each target, and the alternatives in order."""
+STRATEGIES = ("first_success", "minimal_extension", "balanced")
+
+
+def selection_score(strategy: str):
+    """The score of a merge plan under a strategy: how little it changes the length, its quality, identity and (balanced) mapq."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}")
     norm = F.greatest(F.lit(0.0), 1.0 - F.least(F.lit(1.0), F.abs("extension") / 100000.0))
-    scores = {"first_success": F.lit(1.0), "minimal_extension": 0.6 * norm + 0.3 * F.col("quality") + 0.1 * F.col("identity"), "balanced": 0.4 * norm + 0.3 * F.col("quality") + 0.2 * F.col("identity") + 0.1 * F.least(F.lit(1.0), F.col("mapq") / 60.0)}
-    p = plans.withColumn("selection", F.round(scores[strategy], 9))  # ties go by hit_id, not by the last bit
-    w = Window.partitionBy("target").orderBy(F.desc("selection"), "hit_id")
-    p = p.withColumn("place", F.row_number().over(w))
-    rest = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("place") > 1, F.struct("place", "qryid")))), lambda x: x["qryid"]), ",")
-    others = p.groupBy("target").agg(rest.alias("alternatives"))
-    return p.where("place = 1").join(others, "target").drop("place")
-
-
-def outcomes(plans: DataFrame, chosen: DataFrame, targets: DataFrame) -> DataFrame:
-    """Every repair sequence with success, failed or skipped, and why."""
-    known = targets.select(F.col("seq_id").alias("target")).distinct().withColumn("known", F.lit(True))
-    won = chosen.select("target", F.col("qryid").alias("won"))
-    j = plans.join(known, "target", "left").join(won, "target", "left")
-    out = F.when(F.col("known").isNull(), F.struct(F.lit("skipped").alias("outcome"), F.lit("chromosome_not_found").alias("why"))).when(F.col("reason").isNotNull(), F.struct(F.lit("failed").alias("outcome"), F.col("reason").alias("why"))).when(F.col("qryid") == F.col("won"), F.struct(F.lit("success").alias("outcome"), F.lit("").alias("why"))).otherwise(F.struct(F.lit("skipped").alias("outcome"), F.lit("not_used_alternative").alias("why")))
-    return j.withColumn("o", out).select("qryid", "target", "o.outcome", "o.why")
+    minimal = 0.6 * norm + 0.3 * F.col("quality") + 0.1 * F.col("identity")
+    balanced = 0.4 * norm + 0.3 * F.col("quality") + 0.2 * F.col("identity") + 0.1 * F.least(F.lit(1.0), F.col("mapq") / 60.0)
+    # ties go by the order of attempts, not by the last bit
+    return F.round({"first_success": F.lit(1.0), "minimal_extension": minimal, "balanced": balanced}[strategy], 9)
+
+
+def ranked_repairs(plans: DataFrame, strategy: str = "minimal_extension", order: tuple = ("hit_id",)) -> DataFrame:
+    """Valid plans of each target with selection and place, best first. Ties go by `order`, the order in which repairs are tried.
+
+    first_success stops at the first in that order: no other plan is listed."""
+    p = plans.withColumn("selection", selection_score(strategy))
+    p = p.withColumn("place", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("selection"), *order)))
+    return p.where("place = 1") if strategy == "first_success" else p
+
+
+def select_repair(plans: DataFrame, strategy: str = "minimal_extension", order: tuple = ("hit_id",), close: float = 0.1) -> DataFrame:
+    """Best repair of each target with n_successful (plans that were compared), is_close (the second scores within `close`, so
+    the choice asks for a look) and the alternatives in order."""
+    p = ranked_repairs(plans, strategy, order)
+    best = p.groupBy("target").agg(F.count("*").alias("n_successful"), F.max(F.when(F.col("place") == 1, F.col("selection"))).alias("_first"), F.max(F.when(F.col("place") == 2, F.col("selection"))).alias("_second"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("place") > 1, F.struct("place", "qryid")))), lambda x: x["qryid"]), ",").alias("alternatives"))
+    best = best.select("target", "n_successful", F.coalesce(F.round(F.col("_first") - F.col("_second"), 9) < close, F.lit(False)).alias("is_close"), "alternatives")
+    return p.where("place = 1").join(best, "target").drop("place")
+
+
+def repair_targets(repairs: DataFrame, chromosomes: DataFrame) -> DataFrame:
+    """target, group_ord, chromosome of repairs (target, ord): the groups in the order in which their first repair stands, each with
+    the chromosome (name, seq_ord) that its name means, null if none."""
+    groups = repairs.groupBy("target").agg(F.min("ord").alias("group_ord"))
+    return groups.join(match_names(chromosomes, groups.select("target")).select("target", F.col("name").alias("chromosome")), "target", "left")
+
+
+def first_repairs(chosen: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of the chosen repairs (target) those that are made: the first group of each chromosome that has one; a chromosome is repaired once."""
+    j = chosen.join(groups.where("chromosome is not null"), "target")
+    first = j.groupBy("chromosome").agg(F.min(F.struct("group_ord", "target"))["target"].alias("target"))
+    return j.join(first, ["chromosome", "target"], "left_semi")
+
+
+def outcomes(plans: DataFrame, made: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every repair sequence with success, failed or skipped, why, and what its own match lacked (detail).
+
+    plans: qryid, target, reason; made: first_repairs; groups: repair_targets. A group that comes after the one which repaired its
+    chromosome is skipped; of a group that has a success all others are skipped, of one that has none all have failed."""
+    won = made.select("target", F.col("qryid").alias("won"))
+    until = made.select("chromosome", F.col("group_ord").alias("until"), F.col("target").alias("by"))
+    j = plans.join(groups, "target", "left").join(won, "target", "left").join(until, "chromosome", "left")
+    o = lambda a, b: F.struct(F.lit(a).alias("outcome"), F.lit(b).alias("why"))
+    out = F.when(F.col("chromosome").isNull(), o("skipped", "chromosome_not_found"))
+    out = out.when(F.col("won").isNull() & F.col("until").isNotNull() & (F.struct("group_ord", "target") > F.struct("until", "by")), o("skipped", "chromosome_already_repaired"))
+    out = out.when(F.col("won").isNull(), o("failed", "repair_attempt_failed")).when(F.col("qryid") == F.col("won"), o("success", "")).otherwise(o("skipped", "not_used_alternative"))
+    return j.withColumn("o", out).select("qryid", "target", "o.outcome", "o.why", F.col("reason").alias("detail"))
 
 
 def run_stats(chosen: DataFrame, tried: DataFrame) -> DataFrame:

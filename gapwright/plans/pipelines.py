@@ -192,14 +192,17 @@ def recover_telomeres(repairs: DataFrame, hits: DataFrame, status: DataFrame, st
     """The chosen repair of each chromosome that lacks telomere repeats (of each end with both_ends), as edits, with the rebuilt segments.
 
     repairs: as extract_repairs gives them; hits: PAF rows of the repairs on the chromosomes, named by label and repair_end (column
-    repair_end); status: telomere_status of all chromosomes."""
+    repair_end); status: telomere_status of all chromosomes. Repairs are tried from the longest on; strategy is one of T.STRATEGIES."""
     ranked = T.repair_groups(repairs.select(F.concat_ws("|", "label", "repair_end").alias("repair_id"), "target", (F.col("end") - F.col("start") + 1).alias("length")))
-    own = repairs.withColumn("repair_id", F.concat_ws("|", "label", "repair_end")).join(ranked.select("repair_id", "place"), "repair_id")
-    named = hits.withColumn("qryid", F.concat_ws("|", "qryid", "repair_end")).join(own.select(F.col("repair_id").alias("qryid"), "target"), "qryid", "left_semi")
+    own = repairs.withColumn("repair_id", F.concat_ws("|", "label", "repair_end")).join(ranked.select("repair_id", F.col("place").alias("attempt")), "repair_id")
+    named = hits.withColumn("qryid", F.concat_ws("|", "qryid", "repair_end")).join(own.select(F.col("repair_id").alias("qryid"), "attempt"), "qryid")
     lacking = status.where("needs_repair").select(F.col("seq_id").alias("refid"), "has_5prime", "has_3prime")
     named = named.join(lacking, "refid").where("(repair_end = '5prime' and not has_5prime) or (repair_end = '3prime' and not has_3prime)")
-    tried = kept(T.merge_plan(T.validated(T.best_telomere_match(named)).withColumn("target", F.concat_ws("|", "refid", "repair_end") if both_ends else F.col("refid"))))
-    chosen = kept(T.select_repair(tried.where("reason is null"), strategy))
+    group = F.concat_ws("|", "refid", "repair_end") if both_ends else F.col("refid")
+    tried = kept(T.merge_plan(T.validated(T.best_telomere_match(named)).withColumn("target", group)))
+    chosen = kept(T.select_repair(tried.where("reason is null"), strategy, ("attempt", "hit_id")))
+    # hits name their chromosomes, so each group has one of its own
+    groups = tried.groupBy("target").agg(F.min("attempt").alias("group_ord"), F.first("target").alias("chromosome"))
     src = own.select(F.col("repair_id").alias("qryid"), "contig", "start", F.col("end").alias("stop"), "turned")
     # offsets within the repair sequence, turned back into the contig's
     minus = (F.col("strand") == "-") != F.col("turned")
@@ -208,7 +211,7 @@ def recover_telomeres(repairs: DataFrame, hits: DataFrame, status: DataFrame, st
     hi = F.when(minus, F.col("stop") - F.col("src_start")).otherwise(F.col("start") - 1 + F.col("src_end"))
     edits = kept(c.select(F.col("refid").alias("seq_id"), "del_start", "del_end", F.lit("contig").alias("src_kind"), F.col("contig").alias("src_id"), lo.alias("src_start"), hi.alias("src_end"), F.when(minus, "-").otherwise("+").alias("strand"), F.lit(0).alias("priority")))
     lens = status.select("seq_id", "seq_length")
-    return {"tried": tried, "chosen": chosen, "edits": E.resolve(edits), "segments": E.apply_edits(E.resolve(edits), lens), "outcomes": T.outcomes(tried, chosen, status.select(F.concat_ws("|", "seq_id", F.explode(F.array(F.lit("5prime"), F.lit("3prime")))).alias("seq_id")) if both_ends else status), "stats": T.run_stats(chosen, tried)}
+    return {"tried": tried, "chosen": chosen, "edits": E.resolve(edits), "segments": E.apply_edits(E.resolve(edits), lens), "outcomes": T.outcomes(tried, T.first_repairs(chosen, groups), groups), "stats": T.run_stats(chosen, tried)}
 
 
 def chosen_contigs(sources: DataFrame) -> DataFrame:

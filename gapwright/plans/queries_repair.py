@@ -15,7 +15,7 @@ from . import pipelines as N
 from .fixtures import fixture
 from .queries_align import AL, HITS, INSIDE, MERGED, NEAR, WIN, cuts_sql
 from .queries_gaps import gaps_sql
-from .queries_telomere import STATUS
+from .queries_telomere import ARRAYS, DIR, STATUS
 from .registry import query
 
 CHROMOSOMES, BASES, CONTIG = 20, 6_000_000, 300_000
@@ -208,16 +208,55 @@ def _end_hits(s, d, repairs):
     return p.join(repairs.select(F.col("contig").alias("refid0"), "target", "repair_end", "label", (F.col("end") - F.col("start") + 1).alias("size")), ["refid0", "target", "repair_end"]).select(F.col("label").alias("qryid"), "repair_end", F.greatest("size", "qryend").alias("qrylen"), "qrystart", "qryend", "strand", F.col("target").alias("refid"), F.lit(BASES).cast("bigint").alias("reflen"), "refstart", "refend", "matches", "alnlen", "mapq", "hit_id")
 
 
-@query("G13b_repair_sequences")
+REPAIRS = DIR.rstrip() + ", " + ARRAYS.replace("{r}", "5").replace("{b}", "30").rstrip() + """,
+carried AS (SELECT 'ctg' || (seq_ord % 8) AS contig, start AS a0, "end" AS a1 FROM arrays JOIN telo_seqs USING (seq_id)),
+side AS (""" + " UNION ALL ".join(f"""SELECT g.ref_contig, g.query_contig, '{k}prime' AS repair_end, fr >= 0.5 AS ahead, CASE WHEN fr >= 0.5 AND g.is_reverse THEN f.s1 ELSE g.s1 END AS s1, CASE WHEN fr >= 0.5 AND g.is_reverse THEN f.e1 ELSE g.e1 END AS e1, g.is_reverse AND fr < 0.5 AS turned
+ FROM good g JOIN ratio USING (ref_contig, query_contig) LEFT JOIN (SELECT * FROM good WHERE NOT is_reverse AND d{k} = 1) f USING (ref_contig, query_contig) WHERE g.r{k} = 1 AND NOT (fr >= 0.5 AND g.is_reverse AND f.aln_id IS NULL)""" for k in (5, 3)) + """),
+span AS (SELECT *, CASE WHEN repair_end = '5prime' THEN 1 ELSE s1 END AS a, CASE WHEN repair_end = '5prime' THEN least(e1, 300000) ELSE 300000 END AS b FROM side),
+rep AS (SELECT ref_contig || '_' || split_part(query_contig, '_', 1) || '_' || a || '_' || b AS label, ref_contig AS contig, query_contig AS target, repair_end, cast(a AS bigint) AS start, cast(b AS bigint) AS "end", turned, n_arrays
+ FROM (SELECT s.*, (SELECT count(*) FROM carried c WHERE c.contig = s.ref_contig AND a0 >= a - 1 AND a1 <= b) AS n_arrays FROM span s WHERE b >= a) t WHERE n_arrays >= 1)
+"""
+
+
+@query("G13b_repair_sequences", REPAIRS + """SELECT label, 'length:' || ("end" - start + 1) || ' region_type:' || CASE WHEN repair_end = '5prime' THEN 'first_alignment_with_preceding' ELSE 'last_alignment_with_subsequent' END || ' aligned_to:' || target || '_' || repair_end AS description, contig, target, repair_end, start, "end", turned, n_arrays FROM rep""", "alignments", "telo_seqs")
 def g13b(s, d):
-    """Labels, fields, slices and turns of all repair sequences, both ends."""
+    """Labels, fields, slices and turns of all repair sequences, both ends. (No region is long enough to be cut; G11 has such.)"""
     return _repairs(s, d)
 
 
-@query("N6_recover_telomeres")
+def _recover_sql(group: str, score: str, body: str) -> str:
+    """Recovery with one repair for each value of group."""
+    return REPAIRS.rstrip() + ", " + STATUS.replace("WITH cnt", "cnt", 1).rstrip() + f""",
+lack AS (SELECT st.seq_id, has_5prime, has_3prime FROM st WHERE NOT (has_5prime AND has_3prime) AND seq_id IN (SELECT query_contig FROM gap_positions)),
+tri AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY "end" - start DESC, label || '|' || repair_end) AS attempt FROM rep),
+hit AS (SELECT r.*, h.qrystart, h.qryend, h.strand, h.refend, h.mapq, h.alnlen, h.hit_id, greatest(r."end" - r.start + 1, h.qryend) AS qlen, h.matches / h.alnlen AS idn
+ FROM flank_paf h JOIN tri r ON r.contig = h.refid AND r.target = split_part(h.qryid, '.', 1) AND r.repair_end = CASE WHEN right(h.qryid, 1) = 'L' THEN '5prime' ELSE '3prime' END
+ JOIN lack l ON l.seq_id = r.target WHERE r.repair_end = '5prime' AND NOT has_5prime OR r.repair_end = '3prime' AND NOT has_3prime),
+scored AS (SELECT *, idn * (0.5e0 + 0.5e0 * least(1e0, alnlen / 5000e0)) * (0.7e0 + 0.3e0 * least(1e0, mapq / 60e0)) AS score, 0.4e0 * idn + 0.3e0 * least(1e0, alnlen / 10000e0) + 0.2e0 * least(1e0, mapq / 60e0) + 0.1e0 * ((qryend - qrystart) / qlen) AS quality FROM hit),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, repair_end ORDER BY score DESC, hit_id) AS rn FROM scored) t WHERE rn = 1),
+cut AS (SELECT *, CASE WHEN repair_end = '5prime' THEN 0 ELSE refend END AS del_start, CASE WHEN repair_end = '5prime' THEN refend ELSE 6000000 END AS del_end, CASE WHEN repair_end = '5prime' THEN 0 ELSE q END AS q0, CASE WHEN repair_end = '5prime' THEN q ELSE qlen END AS q1
+ FROM (SELECT *, CASE WHEN strand = '-' THEN qlen - qrystart ELSE qryend END AS q FROM top WHERE idn >= 0.7e0 AND alnlen >= 100 AND mapq >= 20 AND quality >= 0.5e0) t),
+won AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY selection DESC, attempt, hit_id) AS place FROM (SELECT *, round({score}, 9) AS selection FROM (SELECT *, greatest(0e0, 1e0 - least(1e0, abs(q1 - q0 - (del_end - del_start)) / 100000e0)) AS norm FROM cut) v) u) t WHERE place = 1),
+edit AS (SELECT target AS seq_id, cast(del_start AS bigint) AS del_start, cast(del_end AS bigint) AS del_end, contig AS src_id, cast(CASE WHEN (strand = '-') <> turned THEN "end" - q1 ELSE start - 1 + q0 END AS bigint) AS src_start, cast(CASE WHEN (strand = '-') <> turned THEN "end" - q0 ELSE start - 1 + q1 END AS bigint) AS src_end, CASE WHEN (strand = '-') <> turned THEN '-' ELSE '+' END AS strand FROM won)
+""" + body
+
+
+LEAST_CHANGE = "0.6e0 * norm + 0.3e0 * quality + 0.1e0 * idn"
+OWN_EDITS = ["seq_id", "del_start", "del_end", "src_id", "src_start", "src_end", "strand"]
+
+
+@query("N6_recover_telomeres", _recover_sql("target", LEAST_CHANGE, "SELECT * FROM edit"), "alignments", "gap_positions", "flank_paf", "telo_seqs")
 def n6(s, d):
+    """One repair for each chromosome."""
+    r = _repairs(s, d)
+    return N.recover_telomeres(r, _end_hits(s, d, r), _status(s, d))["edits"].select(OWN_EDITS)
+
+
+@query("N6b_recover_both_ends", _recover_sql("target, repair_end", "0.4e0 * norm + 0.3e0 * quality + 0.2e0 * idn + 0.1e0 * least(1e0, mapq / 60e0)", "SELECT * FROM edit e WHERE NOT EXISTS (SELECT 1 FROM edit o WHERE o.seq_id = e.seq_id AND o.del_start > e.del_start AND o.del_start < e.del_end)"), "alignments", "gap_positions", "flank_paf", "telo_seqs")
+def n6b(s, d):
+    """One for each end, by the balanced score; of two that overlap the 3' one stays."""
     r = _repairs(s, d)
-    return N.recover_telomeres(r, _end_hits(s, d, r), _status(s, d))["edits"]
+    return N.recover_telomeres(r, _end_hits(s, d, r), _status(s, d), "balanced", both_ends=True)["edits"].select(OWN_EDITS)
 
 
 def _genome(s, d, stages=("fill", "patch", "correct", "telomere")):

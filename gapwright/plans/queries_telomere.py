@@ -10,6 +10,7 @@ from ..operators import fill as L
 from ..operators import gaps as D
 from ..operators import synteny as Y
 from ..operators import telomere as T
+from ..sources.scratch import kept
 from . import pipelines as N
 from .fixtures import fixture
 from .queries_gaps import gaps_sql
@@ -203,10 +204,57 @@ def g19(s, d):
     return _chosen(s, d)[1].select("target", "qryid", "alternatives")
 
 
-@query("G20_telomere_outcomes", MATCH + "SELECT e.qryid, e.target, CASE WHEN e.reason IS NOT NULL THEN 'failed' WHEN e.qryid = s.qryid THEN 'success' ELSE 'skipped' END AS outcome, CASE WHEN e.reason IS NOT NULL THEN e.reason WHEN e.qryid = s.qryid THEN '' ELSE 'not_used_alternative' END AS why FROM ext e LEFT JOIN sel s ON s.target = e.target AND s.place = 1", "flank_paf")
+#: The other strategies: repairs are tried from the longest match on; the first that works, or a balanced score.
+TRIED = MATCH + """, att AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY alnlen DESC, hit_id) AS attempt FROM ext),
+bal AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY selection DESC, attempt) AS place FROM (SELECT * , round(0.4e0 * greatest(0e0, 1e0 - least(1e0, abs(extension) / 100000e0)) + 0.3e0 * quality + 0.2e0 * idn + 0.1e0 * least(1e0, mapq / 60e0), 9) AS selection FROM att WHERE reason IS NULL) t)
+"""
+
+
+def _tried(s, d):
+    from pyspark.sql import Window
+
+    plans = T.merge_plan(_matches(s, d))
+    return plans.withColumn("attempt", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("alnlen"), "hit_id")))
+
+
+@query("G19b_first_success", TRIED + "SELECT target, qryid, attempt, 1 AS n_successful, '' AS alternatives FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY attempt) AS nth FROM att WHERE reason IS NULL) t WHERE nth = 1", "flank_paf")
+def g19b(s, d):
+    return T.select_repair(_tried(s, d).where("reason is null"), "first_success", ("attempt",)).select("target", "qryid", "attempt", "n_successful", "alternatives")
+
+
+@query("G19c_balanced", TRIED + "SELECT target, max(CASE WHEN place = 1 THEN qryid END) AS qryid, count(*) AS n_successful, coalesce(round(max(CASE WHEN place = 1 THEN selection END) - max(CASE WHEN place = 2 THEN selection END), 9) < 0.1e0, false) AS is_close FROM bal GROUP BY target", "flank_paf")
+def g19c(s, d):
+    return T.select_repair(_tried(s, d).where("reason is null"), "balanced", ("attempt",)).select("target", "qryid", "n_successful", "is_close")
+
+
+@query("G19d_alternatives", TRIED + "SELECT target, place, qryid, selection, extension, round(idn, 9) AS identity, round(quality, 9) AS quality FROM bal", "flank_paf")
+def g19d(s, d):
+    """All plans that a choice was made from, with their scores, as rows."""
+    ranked = T.ranked_repairs(_tried(s, d).where("reason is null"), "balanced", ("attempt",))
+    return ranked.select("target", "place", "qryid", "selection", "extension", F.round("identity", 9).alias("identity"), F.round("quality", 9).alias("quality"))
+
+
+#: Groups named in two ways, so that two of them may mean one chromosome; the genome lacks every fifth. (Numbers
+#: of three digits, as a name within another would do for a match.)
+GROUPED = MATCH + """, own AS (SELECT *, CASE WHEN cast(split_part(qryid, '.', 2) AS bigint) % 3 = 0 THEN 'CHR' ELSE 'chr' END || (100 + n) AS g, 'chr' || (100 + n) AS chrom FROM (SELECT *, cast(target[4:] AS int) AS n FROM ext) t),
+tri AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY selection DESC, hit_id) AS place FROM (SELECT *, round(0.6e0 * greatest(0e0, 1e0 - least(1e0, abs(extension) / 100000e0)) + 0.3e0 * quality + 0.1e0 * idn, 9) AS selection FROM own WHERE reason IS NULL) t),
+grp AS (SELECT g, CASE WHEN n % 5 <> 0 THEN chrom END AS chrom, min(hit_id) AS since FROM own GROUP BY ALL),
+made AS (SELECT g.chrom, arg_min(t.g, (since, t.g)) AS g, arg_min(t.qryid, (since, t.g)) AS qryid, min(since) AS since FROM tri t JOIN grp g USING (g) WHERE place = 1 AND g.chrom IS NOT NULL GROUP BY 1)
+"""
+
+
+@query("G20_telomere_outcomes", GROUPED + """SELECT o.qryid, o.g AS target, o.reason AS detail,
+ CASE WHEN r.chrom IS NULL THEN 'skipped' WHEN m.g = o.g AND m.qryid = o.qryid THEN 'success' WHEN m.g = o.g OR m.since < r.since THEN 'skipped' ELSE 'failed' END AS outcome,
+ CASE WHEN r.chrom IS NULL THEN 'chromosome_not_found' WHEN m.g = o.g AND m.qryid = o.qryid THEN '' WHEN m.g = o.g THEN 'not_used_alternative' WHEN m.since < r.since THEN 'chromosome_already_repaired' ELSE 'repair_attempt_failed' END AS why
+FROM own o JOIN grp r USING (g) LEFT JOIN made m ON m.chrom = r.chrom""", "flank_paf")
 def g20(s, d):
-    plans, chosen = _chosen(s, d)
-    return T.outcomes(plans, chosen, plans.select(F.col("target").alias("seq_id")))
+    n = (100 + F.substring("target", 4, 9).cast("int")).cast("string")
+    head = F.when(F.split_part("qryid", F.lit("."), F.lit(2)).cast("bigint") % 3 == 0, "CHR").otherwise("chr")
+    plans = T.merge_plan(_matches(s, d)).withColumns({"n": n, "target": F.concat(head, n)})
+    genome = plans.where("n % 5 <> 0").select(F.concat(F.lit("chr"), "n").alias("name"), F.col("n").cast("int").alias("seq_ord")).distinct()
+    groups = kept(T.repair_targets(plans.select("target", F.col("hit_id").alias("ord")), genome))
+    made = T.first_repairs(T.select_repair(plans.where("reason is null")), groups)
+    return T.outcomes(plans, made, groups)
 
 
 @query("G21_telomere_run_stats", MATCH + "SELECT count(*) AS repaired, cast(sum(extension) AS bigint) AS extension, round(avg(extension), 6) AS mean_extension, (SELECT count(*) FROM ext) AS tried, round(count(*) / (SELECT count(*) FROM ext), 6) AS efficiency FROM sel WHERE place = 1", "flank_paf")

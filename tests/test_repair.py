@@ -241,6 +241,55 @@ def test_recovering_telomeres(spark):
     assert [(r.seq_id, r.del_start, r.del_end, r.src_id, r.src_start, r.src_end) for r in out["edits"].collect()] == [("q", 0, 38_900, "r", 0, 39_000)]
 
 
+@pytest.mark.parametrize("strategy", T.STRATEGIES)
+def test_choosing_repairs_against_the_loop(spark, strategy):
+    """Groups in the order of their first repair, repairs from the longest on; ties, unknown chromosomes, groups without a success."""
+    rng = random.Random(5)
+    genome = ["chr101", "chr102", "chr103", "chr104"]
+    rows = []
+    for i in range(60):
+        target = rng.choice(["chr101", "CHR101", "chr102", "CHR102", "chr103", "Chr104", "chr999"])
+        bad = target == "chr103" or target == "chr102" or rng.random() < 0.4
+        rows.append((f"r{i}", target, i, rng.choice([100, 200, 300]), rng.choice([-500, 0, 500, 90_000]), rng.choice([0.5, 0.9]), rng.choice([0.7, 1.0]), rng.choice([20, 60]), "low_mapq" if bad else None))
+
+    groups, done, want, picks = {}, set(), {}, {}
+    for r in rows:
+        groups.setdefault(r[1], []).append(r)
+    for target, own in groups.items():
+        own.sort(key=lambda r: (-r[3], r[2]))
+        name = next((g for g in genome if g == target.lower()), None)
+        good = [r for r in own if r[8] is None]
+        norm = lambda r: max(0, 1 - min(1, abs(r[4]) / 100_000))
+        score = {"first_success": lambda r: 1.0, "minimal_extension": lambda r: round(0.6 * norm(r) + 0.3 * r[5] + 0.1 * r[6], 9), "balanced": lambda r: round(0.4 * norm(r) + 0.3 * r[5] + 0.2 * r[6] + 0.1 * min(1, r[7] / 60), 9)}[strategy]
+        order = sorted(good, key=lambda r: -score(r))
+        if order:
+            first = strategy == "first_success"
+            picks[target] = (order[0][0], 1 if first else len(order), not first and len(order) > 1 and round(score(order[0]) - score(order[1]), 9) < 0.1, "" if first else ",".join(r[0] for r in order[1:]))
+        for r in own:
+            if name is None:
+                want[r[0]] = ("skipped", "chromosome_not_found")
+            elif name in done:
+                want[r[0]] = ("skipped", "chromosome_already_repaired")
+            elif not good:
+                want[r[0]] = ("failed", "repair_attempt_failed")
+            else:
+                want[r[0]] = ("success", "") if r is order[0] else ("skipped", "not_used_alternative")
+        if name and good:
+            done.add(name)
+
+    plans = spark.createDataFrame(rows, "qryid string, target string, ord long, length long, extension long, quality double, identity double, mapq int, reason string")
+    chosen = T.select_repair(plans.where("reason is null").withColumn("shorter", -F.col("length")), strategy, ("shorter", "ord"))
+    assert {r.target: (r.qryid, r.n_successful, r.is_close, r.alternatives) for r in chosen.collect()} == picks
+    found = T.repair_targets(plans, spark.createDataFrame([(g, k) for k, g in enumerate(genome)], "name string, seq_ord int"))
+    made = T.first_repairs(chosen, found)
+    got = T.outcomes(plans, made, found).collect()
+    assert {r.qryid: (r.outcome, r.why) for r in got} == want and len(got) == len(rows)
+    assert {r.qryid: r.detail for r in got} == {r[0]: r[8] for r in rows}
+    assert {w for _, w in want.values()} == {"", "chromosome_not_found", "chromosome_already_repaired", "repair_attempt_failed", "not_used_alternative"}
+    with pytest.raises(ValueError):
+        T.select_repair(plans, "best")
+
+
 def _random_bases(seed, n):
     return "".join(random.Random(seed).choices("ACGT", k=n))
 
