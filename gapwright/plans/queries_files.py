@@ -10,7 +10,7 @@ from ..operators import kmer as K
 from ..sources import formats, sinks
 from ..sources.scratch import scratch
 from .fixtures import fixture
-from .queries_gaps import SEGS, _gaps, _lens, _toy_edits, gaps_sql
+from .queries_gaps import FRAGS, SEGS, _gaps, _lens, _toy_edits, gaps_sql
 from .registry import query
 
 
@@ -45,6 +45,44 @@ def a9(s, d):
     return formats.read_gfa_segments(s, path).select("seq_id", F.md5("bases").alias("digest"))
 
 
+def _assemblies(s, d) -> str:
+    """97 folders, each with a file of contigs and one of reads; those of small numbers are small."""
+    q, path = fixture(s, d, "seqs"), scratch(s)
+    part = q.select("seq_id", "seq_ord", (F.col("seq_ord") % 97).alias("folder"), F.substring("bases", F.lit(1), (F.col("seq_ord") % 97 * 3 + 1).cast("int")).alias("bases")).where("length(bases) > 0")
+    chunks = D.chunk_sequences(part.select("seq_id", "seq_ord", "bases")).join(part.select("seq_id", "seq_ord", "folder"), "seq_id")
+    for name in ("scaffold.fa", "reads.fa"):
+        sinks.write_fasta_files(chunks, f"{path}/{name[:-3]}", "folder", name)
+    return path
+
+
+ASSEMBLIES = """WITH part AS (SELECT seq_id, seq_ord % 97 AS folder, substr(bases, 1, cast(seq_ord % 97 * 3 + 1 AS int)) AS b FROM seqs WHERE length(bases) > 0),
+files AS (SELECT cast(folder AS int) AS folder, cast(sum(2 + length(seq_id) + length(b) + (length(b) + 79) // 80) AS bigint) AS length FROM part GROUP BY 1)
+"""
+
+
+@query("A12_discover_contig_files", ASSEMBLIES + "SELECT folder, length FROM files WHERE length > 1000", "seqs")
+def a12(s, d):
+    """Contig files among reads, found by name and size."""
+    return formats.discover_contigs(s, _assemblies(s, d)).select(F.regexp_extract("path", "folder=([0-9]+)/", 1).cast("int").alias("folder"), "length")
+
+
+@query("A12b_read_discovered", ASSEMBLIES + "SELECT seq_id, md5(b) AS digest FROM part WHERE folder IN (SELECT folder FROM files WHERE length > 1000)", "seqs")
+def a12b(s, d):
+    """The sequences of the files that were found."""
+    path = _assemblies(s, d)
+    found = formats.discover_contigs(s, path).select(F.regexp_extract("path", "folder=([0-9]+)/", 1).alias("folder"), F.regexp_extract("path", "[^/]*$", 0).alias("sample"))
+    rows = formats.read_fasta(s, path, "scaffold*.fa", recursive=True).withColumn("folder", (F.regexp_extract("seq_id", "([0-9]+)", 1).cast("bigint") % 97).cast("string"))
+    return rows.join(found, ["folder", "sample"], "left_semi").select("seq_id", F.md5("bases").alias("digest"))
+
+
+@query("B8b_fragment_file", gaps_sql(FRAGS + """SELECT seq_id, cast(start AS bigint) AS start, "end", CASE WHEN length >= 200 THEN 'kept' ELSE 'discarded' END AS status, cast(length AS bigint) AS length FROM frags"""), "seqs")
+def b8b(s, d):
+    """Fragments with their status, written as a file and read again."""
+    path = scratch(s)
+    sinks.write_tsv(sinks.fragment_rows(D.fragment_status(D.fragments(_gaps(s, d), _lens(s, d)), 200)), path)
+    return s.read.schema("seq_id string, start long, end long, status string, length long").option("sep", "\t").csv(path)
+
+
 def _fastq(s, d) -> str:
     path = scratch(s)
     q = fixture(s, d, "seqs")

@@ -10,6 +10,7 @@ from ..operators import fill as L
 from ..operators import gaps as D
 from ..operators import synteny as Y
 from ..operators import telomere as T
+from ..sources import sinks
 from ..sources.scratch import kept
 from . import pipelines as N
 from .fixtures import fixture
@@ -60,9 +61,8 @@ def b7(s, d):
 
 @query("B8_fragment_rows", gaps_sql("""SELECT seq_id, 'gap_' || row_number() OVER (PARTITION BY seq_id ORDER BY start) AS name, start, "end", cast(length AS bigint) AS length FROM gaps""", 10), "seqs")
 def b8(s, d):
-    from pyspark.sql import Window
-    g = D.find_gaps(D.chunk_sequences(fixture(s, d, "seqs")), 10)
-    return g.select("seq_id", F.concat(F.lit("gap_"), F.row_number().over(Window.partitionBy("seq_id").orderBy("start")).cast("string")).alias("name"), "start", "end", "length")
+    """The file of numbered gaps; B8b is that of the fragments."""
+    return sinks.gap_rows(D.find_gaps(D.chunk_sequences(fixture(s, d, "seqs")), 10)).select("seq_id", "name", "start", "end", (F.col("end") - F.col("start")).alias("length"))
 
 
 @query("G3_telomere_arrays", arrays_sql('SELECT seq_id, pattern, start, "end", length, repeats FROM arrays', 10, 70), "telo_seqs")

@@ -116,10 +116,19 @@ def repair_header(description, seq_id):
     return F.struct(end.alias("repair_end"), F.coalesce(F.regexp_replace(to, "_[53]prime$", ""), F.split_part(seq_id, F.lit("_"), F.lit(2))).alias("target"))
 
 
+#: Words in the names of contig files, and names of files that assemblers leave (fixed values).
+CONTIG_WORDS = ["contig", "scaffold", "assembly"]
+CONTIG_FILES = ["assemblies.fasta", "shasta.fa", "flye.fa", "nextdenovo.fa", "verkko.fa"]
+
+
 def discover_contigs(spark: SparkSession, path: str, least: int = 1_000) -> DataFrame:
-    """path, length of contig-like files above a size; contents aren't read."""
+    """path, length of the contig files of more than `least` bytes below a folder, at any depth; contents aren't read.
+
+    A contig file ends in .fasta or .fa and has one of CONTIG_WORDS in its name, or is one of CONTIG_FILES, all in the case written here."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    return files.where((F.col("length") > least) & F.lower("path").rlike(r"(contig|scaffold|assembly)[^/]*\.(fa|fasta|fna)(\.gz)?$")).distinct()
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    named = name.rlike(f"({'|'.join(CONTIG_WORDS)}).*\\.(fasta|fa)$") | name.isin(CONTIG_FILES)
+    return files.where((F.col("length") > least) & named).distinct()
 
 
 def fastq_lengths(spark: SparkSession, path: str) -> DataFrame:

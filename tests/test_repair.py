@@ -161,6 +161,12 @@ def test_folders_of_files(spark, tmp_path):
     (tmp_path / "assembly.fasta").write_text(">b\nAC")
     (tmp_path / "other.fa").write_text(">c\n" + "ACGT" * 400)
     assert [r.path.rsplit("/", 1)[1] for r in formats.discover_contigs(spark, str(tmp_path)).collect()] == ["my_contigs.fa"]
+    for name, size in (("assemblies.fasta", 400), ("flye.fa", 400), ("my_flye.fa", 400), ("Contigs.fa", 400), ("contig.fa.gz", 400), ("verkko.fa", 10)):
+        (tmp_path / "sub" / name).write_text(">a\n" + "ACGT" * size)
+    assert {r.path.rsplit("/", 1)[1] for r in formats.discover_contigs(spark, str(tmp_path)).collect()} == {"my_contigs.fa", "assemblies.fasta", "flye.fa"}
+    for path in (tmp_path / "sub").glob("*"):
+        if path.name != "my_contigs.fa":
+            path.unlink()
     (tmp_path / "bad.fa").write_text(">empty\n>x\nAC\n")
     got = {r["sample"]: (r.n_sequences, r.n_bases, r.ok) for r in formats.fasta_dir_summary(spark, str(tmp_path), "*.fa", recursive=True).collect()}
     assert got == {"my_contigs.fa": (1, 1600, True), "other.fa": (1, 1600, True), "bad.fa": (2, 2, False)}
@@ -170,6 +176,16 @@ def test_folders_of_files(spark, tmp_path):
     assert back.summary.total == 3 and [g.start for g in back.gaps] == [1, 5]
 
 
+def test_a_file_for_each_group(spark, tmp_path):
+    """Records in order, whole and in one file a group; names with a comma or quote, an empty record, chunks of one record."""
+    seqs = spark.createDataFrame([("b,1", 1, "x", "ACGT" * 2_500), ('a"2', 0, "x", "A" * 160), ("c", 2, "y", "AC"), ("d", 3, "y", "")], "seq_id string, seq_ord long, lab string, bases string")
+    chunks = D.chunk_sequences(seqs.select("seq_id", "bases")).join(seqs.select("seq_id", "seq_ord", "lab"), "seq_id")
+    sinks.write_fasta_files(chunks, str(tmp_path / "out"), "lab", "contig.fasta")
+    files = {p.parent.name: p.read_text() for p in (tmp_path / "out").glob("*/contig-*.fasta")}
+    bases = ("ACGT" * 20 + "\n") * 125
+    assert files == {"lab=x": '>a"2\n' + ("A" * 80 + "\n") * 2 + ">b,1\n" + bases, "lab=y": ">c\nAC\n"}
+
+
 def test_gaps_far_from_alignments_fall_back_on_synteny(spark):
     rows = [(1, "r", "q", 99.0, 1, 10_000, 1, 10_000), (2, "r", "q", 99.0, 20_000, 30_000, 1_500_000, 1_510_000), (3, "other", "q", 99.0, 1, 9_000, 5, 9_005)]
     gaps = spark.createDataFrame([(7, "q", 750_000), (8, "none", 5)], "gap_key long, query_contig string, gap_pos long")
