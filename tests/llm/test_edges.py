@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gapwright.llm import decontaminate, langid, minhash, quality, rules, store, warc
 from gapwright.llm.shared import shared_dir
@@ -108,12 +109,41 @@ def test_overlaps_by_brute_force(spark):
         want.append((k, n))
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(99, " ".join(items[3]))], "item_id long, text string")
     found = decontaminate.overlaps(spark.createDataFrame(texts, "doc_id long, text string"), bench).select("row.doc_id", "row.text", "n_items", "item_id").collect()
+    apart = decontaminate.overlaps(spark.createDataFrame(texts, "doc_id long, text string"), bench, most_bytes=0).select("row.doc_id", "row.text", "n_items", "item_id").collect()
+    same(apart, found)
     twice = {r.doc_id: r.n_items for r in decontaminate.overlaps(spark.createDataFrame(texts, "doc_id long, text string"), bench.where("item_id = 99")).select("row.doc_id", "n_items").collect()}
     same([(r.doc_id, r.n_items - twice[r.doc_id]) for r in found], want)
     assert all(r.item_id != 99 for r in found), "of equally covered items the smallest id is named"
     assert sum(n for _, n in want) > 5
 
 
+def test_benchmarks_that_are_not_broadcast(spark):
+    """The shuffled join of seeds gives what the broadcast one gives: nulls, empty texts, repeated rows and items, short items,
+    a text and an item of more than a slice, a phrase that every item and document has, clashing column names, empty tables."""
+    words = [f"w{k}" for k in range(40)]
+    hot = "one of the most important things in this book".split()
+    items = [(k, " ".join(hot + rng.choices(words, k=rng.randrange(1, 40)))) for k in range(30)]
+    items += [(None, items[3][1]), (3, items[4][1]), (40, items[5][1]), (41, None), (42, ""), (43, "w1 w2 w3"), (44, "w1 w2"), (45, "aa bb cc dd")]
+    long = " ".join(f"long{k}" for k in range(120_000))
+    items.append((46, long))
+    docs = []
+    for k in range(120):
+        own = items[rng.randrange(30)][1].split()
+        a = rng.randrange(len(own))
+        docs.append((k, " ".join(hot + rng.choices(words, k=rng.randrange(30)) + own[a:] + rng.choices(words, k=3) + own[:a]), k % 3))
+    docs += [docs[0], docs[1], (None, docs[2][1], 1), (200, None, 1), (201, "", 1), (202, "aa bb cc dd", 1), (203, f"x {long} w1 w2 w3", 1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, item_id long").withColumn("at", F.lit(1)).withColumn("size", F.lit(2)).withColumn("seed", F.lit(3))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for least, percent in ((5, 50), (5, 80), (3, 30)):
+        both = [sorted((str(r) for r in decontaminate.overlaps(df, bench, least, percent, most_bytes=most).selectExpr("row.*", "n_items AS n", "item_id AS worst", "round(coverage, 9) AS share").collect())) for most in (1 << 24, 0)]
+        assert both[0] == both[1] and len(both[0]) == len(docs)
+        assert sum("n=0" not in r for r in both[0]) > 10
+    assert decontaminate.overlaps(df.limit(0), bench, most_bytes=0).count() == 0
+    few = spark.createDataFrame([(1, "a b"), (2, "")], "item_id long, text string")
+    assert decontaminate.overlaps(df, few, most_bytes=0).where("n_items = 0").count() == len(docs)
+    assert decontaminate.decontaminated(df, bench, most_bytes=0).columns == df.columns
+
+
 def test_very_long_texts(spark):
     """A text of more than a slice, beside short ones."""
     item = " ".join(f"unique{k}" for k in range(20))
