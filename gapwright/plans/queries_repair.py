@@ -139,9 +139,11 @@ def n4(s, d):
     return N.correct_gaps(_al(s, d), _gaps(s, d), _lens(s, d))["decided"].select("gap_key", "error_type", "confidence", "replace_start", "replace_end", "in_error_region", "large_distance", "conservative", "aggressive")
 
 
-@query("N4b_improvement")
+@query("N4b_improvement", MERGED + """SELECT n AS gaps_before, m AS gaps_after, round(100 * (n - m) / greatest(n, 1), 6) AS gaps_percent, 100 * n AS length_before, 100 * m AS length_after, round(100 * (100 * n - 100 * m) / greatest(100 * n, 1), 6) AS length_percent, round(100 * 100 * n / b, 6) AS coverage_before, round(100 * 100 * m / (b + d), 6) AS coverage_after
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE (query_contig, gap_pos) NOT IN (SELECT (p.query_contig, p.gap_pos) FROM dec JOIN gap_positions p USING (gap_key) WHERE conservative)) + (SELECT count(*) FROM mg) AS m, 6000000 * count(DISTINCT query_contig) AS b FROM gap_positions) g, (SELECT cast(sum(100 - ("end" - start + 1)) AS bigint) AS d FROM mg) k""", "alignments", "gap_positions")
 def n4b(s, d):
-    return N.correct_gaps(_al(s, d), _gaps(s, d), _lens(s, d))["improvement"]
+    out = N.correct_gaps(_al(s, d), _gaps(s, d), _lens(s, d))["improvement"]
+    return out.withColumns({c: F.round(c, 6) for c in ("gaps_percent", "length_percent", "coverage_before", "coverage_after")})
 
 
 FIVE = PATCH + WIN.replace(AL, "", 1) + """,
