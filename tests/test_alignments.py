@@ -153,3 +153,61 @@ def test_blocks_of_one_contig_in_many_tasks(spark):
         finally:
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
         assert sorted((r.ref_contig, r.block, r.start, r.end, r.direction, r.n, r.query_contigs, round(r.identity, 6)) for r in got) == sorted(named)
+
+
+def _dense(spark, straight):
+    """Alignments and gaps over many cells, with ties, gaps at their ends and at cell edges; a third of the alignments has indels unless straight."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        q, r, n = rng.randrange(0, 60) * 5_000, rng.randrange(1, 250_000), rng.choice([4_999, 12_000, 70_000])
+        m = n if straight or i % 3 else n + rng.randrange(-900, 900)
+        a, b = (q, q + n) if rng.random() < 0.6 else (q + n, q)
+        rows.append((i, f"r{rng.randrange(3)}", f"q{rng.randrange(2)}", 97.0, r, r + m, a, b))
+    rows += [(900, "r0", "far", 97.0, 1, 5_000, 1, 5_000), (901, "r0", "far", 97.0, 9_000, 14_000, 900_000, 905_000)]
+    places = [0, 49_999, 50_000, 50_001, 100_000, 250_000, 400_000, *(max(r[6:]) for r in rows[:20]), *(min(r[6:]) for r in rows[:20]), *(rng.randrange(0, 380_000) for _ in range(60))]
+    gaps = [(k, f"q{k % 2}", p) for k, p in enumerate(places)] + [(500, "far", 450_000), (501, "none", 5)]
+    return rows, gaps, spark.createDataFrame(rows, COLS), spark.createDataFrame(gaps, "gap_key long, query_contig string, gap_pos long")
+
+
+def test_evidence_is_that_of_all_alignments_of_the_window(spark):
+    _, _, a, g = _dense(spark, True)
+    near = Y.alignments_near_gap(a, g)
+    want = {(r.gap_key, r.ref_contig): (r.left.aln_id, r.right.aln_id, r.crossing) for r in Y.gap_support(near).collect()}
+    rows = Y.gap_evidence(a, g)
+    got = {(r.gap_key, r.ref_contig): (r.left.aln_id, r.right.aln_id, r.crossing) for r in Y.support_rows(rows).collect()}
+    assert got == want and {r.gap_key for r in rows.collect()} == {r.gap_key for r in near.collect()}
+    # a gap's whole evidence is one row, so that what is concluded from it moves nothing
+    plan = Y.repair_decision(Y.analyses(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(gap_key" not in plan
+
+
+@pytest.mark.parametrize("straight", [True, False])
+def test_assessment_against_the_loop(spark, straight):
+    rows, gaps, a, g = _dense(spark, straight)
+    blocks = [(b.ref_contig, b.start, b.end, b.direction) for b in Y.synteny_blocks(a).collect()]
+    got = {(r.gap_key, r.ref_contig): (r.assessment, r.anchor_distance) for r in Y.synteny_assessment(a, g).collect()}
+    seen = {(r.gap_key, r.ref_contig): (r.ref_pos, r.n) for r in Y.project_gap(a, g).collect()}
+    want, spots = {}, {}
+    for key, q, p in gaps:
+        for ref in {r[1] for r in rows if r[2] == q}:
+            mine = [(i, r0, r1, min(x, y), max(x, y), 1 if y >= x else -1) for i, c, d, _, r0, r1, x, y in rows if c == ref and d == q]
+            over = [r0 + (p - lo) * (r1 - r0) / (hi - lo) if d == 1 else r1 - (p - lo) * (r1 - r0) / (hi - lo) for _, r0, r1, lo, hi, d in mine if lo <= p <= hi]
+            left, right = [m for m in mine if m[4] < p], [m for m in mine if m[3] > p]
+            x, y = max(left, key=lambda m: (m[4], -m[0]), default=None), min(right, key=lambda m: (m[3], m[0]), default=None)
+            far = min(p - x[4], y[3] - p) if x and y else None
+            if over:
+                spot = sum(v // 1 for v in over) / len(over)
+                spots[key, ref] = (spot, len(over))
+                said = "gap_in_synteny_block" if any(c == ref and s <= spot <= e for c, s, e, _ in blocks) else "gap_outside_synteny_blocks"
+            elif not x or not y:
+                said = "insufficient_anchors"
+            elif any(c == ref and s <= x[1] <= e and s <= y[1] <= e and x[5] == y[5] == d for c, s, e, d in blocks):
+                said = "large_distance_with_synteny" if far > 500_000 else "synteny_present"
+            else:
+                said = "no_synteny_between_anchors"
+            want[key, ref] = (said, far)
+    assert got == want and seen == spots
+    assert len({v[0] for v in got.values()}) >= 4
+    plan = Y.synteny_assessment(a, g)._jdf.queryExecution().executedPlan().toString()
+    assert "ref_pos" not in "".join(line for line in plan.splitlines() if "Join" in line)  # places and blocks aren't paired
