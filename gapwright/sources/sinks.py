@@ -26,10 +26,12 @@ def fragment_rows(frags: DataFrame) -> DataFrame:
 
 
 def fasta_lines(chunks: DataFrame, width: int = 80) -> DataFrame:
-    """chunks (seq_ord, seq_id, chunk_ix, bases) on a grid that `width` divides -> one text row a chunk, in order."""
+    """chunks (seq_ord, seq_id, chunk_ix, bases) on a grid that `width` divides -> one text row a chunk, in order.
+
+    Each range has whole sequences, so that no file begins within a record; a task streams their chunks."""
     head = F.when(F.col("chunk_ix") == 0, F.concat(F.lit(">"), "seq_id", F.lit("\n"))).otherwise("")
     lines = F.regexp_replace(F.regexp_replace("bases", "(.{%d})" % width, "$1\n"), "\n$", "")
-    return chunks.repartitionByRange("seq_ord", "chunk_ix").sortWithinPartitions("seq_ord", "chunk_ix").select(F.concat(head, lines).alias("value"))
+    return chunks.repartitionByRange("seq_ord", "seq_id").sortWithinPartitions("seq_ord", "seq_id", "chunk_ix").select(F.concat(head, lines).alias("value"))
 
 
 def write_fasta(chunks: DataFrame, path: str, width: int = 80) -> None:

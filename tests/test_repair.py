@@ -155,6 +155,21 @@ def test_fasta_by_lines(spark, tmp_path, block):
     assert all(t == want[name][1][at : at + D.HALO] for (name, at), t in more.items())
 
 
+def test_no_file_begins_within_a_record(spark, tmp_path):
+    """Sequences of many chunks and of one seq_ord, written by several tasks: each file holds whole records."""
+    seqs = spark.createDataFrame([(n, i // 2, ("ACGT"[i] * 79 + "T") * 300) for i, n in enumerate("abcd")], "seq_id string, seq_ord long, bases string")
+    chunks = D.chunk_sequences(seqs.select("seq_id", "bases")).join(seqs.select("seq_id", "seq_ord"), "seq_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_fasta(chunks, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [p.read_text() for p in (tmp_path / "out").glob("part-*") if p.stat().st_size]
+    assert len(files) > 1 and all(f.startswith(">") for f in files)
+    got = {r.seq_id: r.bases for r in formats.read_fasta(spark, str(tmp_path / "out")).collect()}
+    assert got == {r.seq_id: r.bases for r in seqs.collect()}
+
+
 def test_folders_of_files(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "my_contigs.fa").write_text(">a\n" + "ACGT" * 400)
