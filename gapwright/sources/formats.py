@@ -70,7 +70,9 @@ def parse_coords(lines: DataFrame) -> DataFrame:
 
     The separators '|' vanish; the fields stand at fixed places: S1 E1 S2 E2 LEN1 LEN2 IDY [LENR LENQ] REF QRY."""
     skip = F.col("t").rlike(r"^(/|NUCMER|\[|=)") | (F.col("t") == "")
-    x = lines.withColumn("t", F.trim("value")).where(~skip).withColumn("f", F.split(F.trim(F.translate("t", "|", " ")), r"\s+")).where(F.size("f") >= 9)
+    # exploding the one value has it computed once: a filter on a mere column would be pushed below and compute it anew for each use
+    once = lambda c, a: F.explode(F.array(c)).alias(a)
+    x = lines.select(once(F.trim("value"), "t")).where(~skip).select(once(F.split(F.trim(F.translate("t", "|", " ")), r"\s+"), "f")).where(F.size("f") >= 9)
     f = lambda i, t: F.expr(f"try_cast(try_element_at(f, {i}) as {t})")
     out = x.select(f(1, "bigint").alias("ref_start"), f(2, "bigint").alias("ref_end"), f(3, "bigint").alias("query_start"), f(4, "bigint").alias("query_end"), f(5, "bigint").alias("len1"), f(6, "bigint").alias("len2"), f(7, "double").alias("identity"), F.when(F.size("f") >= 11, f(8, "bigint")).alias("ref_len"), F.when(F.size("f") >= 11, f(9, "bigint")).alias("query_len"), F.expr("try_element_at(f, -2)").alias("ref_contig"), F.expr("try_element_at(f, -1)").alias("query_contig"))
     return out.dropna(subset=["ref_start", "ref_end", "query_start", "query_end", "identity"])

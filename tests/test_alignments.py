@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gapwright.operators import patch as P
 from gapwright.operators import synteny as Y
@@ -211,3 +212,10 @@ def test_assessment_against_the_loop(spark, straight):
     assert len({v[0] for v in got.values()}) >= 4
     plan = Y.synteny_assessment(a, g)._jdf.queryExecution().executedPlan().toString()
     assert "ref_pos" not in "".join(line for line in plan.splitlines() if "Join" in line)  # places and blocks aren't paired
+
+
+def test_a_coords_line_is_parsed_once(spark):
+    lines = spark.range(20).select(F.concat_ws(" ", (F.col("id") + 1).cast("string"), (F.col("id") + 9).cast("string"), F.lit("|"), F.lit("5 13 | 9 9 | 99.50 |"), F.substring(F.md5(F.col("id").cast("string")), 1, 8), F.lit("chr1")).alias("value"))
+    rows = formats.parse_coords(lines).where("ref_contig > '1' and ref_start > 2")
+    assert rows.count() == len([r for r in formats.parse_coords(lines).collect() if r.ref_contig > "1" and r.ref_start > 2])
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
