@@ -3,8 +3,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from gapwright.functions.packed import sliced
 from gapwright.operators import edits as E
 from gapwright.operators import gaps as D
 from gapwright.operators import telomere as T
@@ -97,3 +100,18 @@ def test_slice_is_clipped(spark):
     q = frame(spark)
     r = spark.createDataFrame([("k", "c", -5, 2), ("m", "a", 3, 99)], "key string, seq_id string, start long, end long")
     assert dict(map(tuple, E.slice_bases(r, D.chunk_sequences(q, 3), 3).collect())) == {"k": "AC", "m": "ACGTNNNAC"}
+
+
+def test_ends_are_counted_once(spark):
+    """Filters on the counts don't make the sequences anew for each unit and use."""
+    seqs = spark.range(40).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("seq_id"), F.concat(F.expr("repeat('TTTAGGG', cast(id % 9 as int))"), F.upper(F.md5(F.col("id").cast("string")))).alias("bases"))
+    ends = T.chromosome_ends(T.telomere_status(T.end_repeat_counts(seqs)), 30)
+    # one for each of the two branches and fields that reads the sequence
+    assert ends._jdf.queryExecution().optimizedPlan().toString().count("repeat(") <= 6
+    assert sum(r.end_id.endswith("5prime") for r in ends.collect()) == sum(i % 9 < 5 for i in range(40))
+
+
+def test_batches_are_cut_by_bytes():
+    batch = pa.RecordBatch.from_pydict({"bases": ["A" * 1_000] * 50, "n": list(range(50))})
+    parts = list(sliced([batch, batch.slice(0, 0)], 10_000))
+    assert max(p.nbytes for p in parts) <= 12_000 and sum((p.column("n").to_pylist() for p in parts), []) == list(range(50))
