@@ -219,3 +219,10 @@ def test_a_coords_line_is_parsed_once(spark):
     rows = formats.parse_coords(lines).where("ref_contig > '1' and ref_start > 2")
     assert rows.count() == len([r for r in formats.parse_coords(lines).collect() if r.ref_contig > "1" and r.ref_start > 2])
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+def test_a_decision_does_not_repeat_its_evidence(spark):
+    """A filter on a decision isn't pushed below what it was concluded from."""
+    _, _, a, g = _dense(spark, True)
+    kept = Y.repair_decision(Y.analyses(Y.gap_evidence(a, g))).where("conservative")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("transform(") <= 8
