@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.packed import arrow_map, occurrences, texts
+from ..sources.scratch import kept
 from .fill import match_names
 from .gaps import islands, joined_runs
 
@@ -213,7 +214,7 @@ def select_repair(plans: DataFrame, strategy: str = "minimal_extension", order:
 def repair_targets(repairs: DataFrame, chromosomes: DataFrame) -> DataFrame:
     """target, group_ord, chromosome of repairs (target, ord): the groups in the order in which their first repair stands, each with
     the chromosome (name, seq_ord) that its name means, null if none."""
-    groups = repairs.groupBy("target").agg(F.min("ord").alias("group_ord"))
+    groups = kept(repairs.groupBy("target").agg(F.min("ord").alias("group_ord")))
     return groups.join(match_names(chromosomes, groups.select("target")).select("target", F.col("name").alias("chromosome")), "target", "left")
 
 

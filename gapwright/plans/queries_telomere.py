@@ -251,9 +251,11 @@ def g20(s, d):
     n = (100 + F.substring("target", 4, 9).cast("int")).cast("string")
     head = F.when(F.split_part("qryid", F.lit("."), F.lit(2)).cast("bigint") % 3 == 0, "CHR").otherwise("chr")
     plans = T.merge_plan(_matches(s, d)).withColumns({"n": n, "target": F.concat(head, n)})
-    genome = plans.where("n % 5 <> 0").select(F.concat(F.lit("chr"), "n").alias("name"), F.col("n").cast("int").alias("seq_ord")).distinct()
+    # matched once; groups and chosen repairs are few, so they are written before they meet all plans
+    plans = kept(plans.select("qryid", "target", "n", "hit_id", "extension", "quality", "identity", "reason"))
+    genome = kept(plans.where("n % 5 <> 0").select(F.concat(F.lit("chr"), "n").alias("name"), F.col("n").cast("int").alias("seq_ord")).distinct())
     groups = kept(T.repair_targets(plans.select("target", F.col("hit_id").alias("ord")), genome))
-    made = T.first_repairs(T.select_repair(plans.where("reason is null")), groups)
+    made = kept(T.first_repairs(T.ranked_repairs(plans.where("reason is null")).where("place = 1"), groups))
     return T.outcomes(plans, made, groups)
 
 
