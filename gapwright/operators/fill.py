@@ -40,25 +40,24 @@ def best_fill(hits: DataFrame, most: int = 1_000_000) -> DataFrame:
     """Of each gap the pair of anchor_pairs with the highest mean identity (ties: the lowest hit ids), without listing the pairs.
 
     For each left hit the best right hit lies in the next `most` bases. On a line cut into blocks of that length, such a stretch is the end of one
-    block and the beginning of the next: two running maxima give it, so a repeat on which many hits lie costs one pass."""
+    block and the beginning of the next: running maxima from either end of a block give it, so a repeat on which many hits lie costs one pass.
+    The hits are read once, each put on both lines, which one sort orders."""
     keep = ["gap_id", "refid", "strand"]
     back = F.col("strand") == "-"
-    left, right = hits.where("side = 'L'"), hits.where("side = 'R'")
     # on the reverse strand all is mirrored: the fill runs from the right hit's end to the left one's start
     l_at, r_at = F.when(back, -F.col("refstart")).otherwise(F.col("refend")).cast("bigint"), F.when(back, -F.col("refend")).otherwise(F.col("refstart")).cast("bigint")
-    block = lambda x: F.floor(x / most)
-    found = right.select(*keep, block(r_at).alias("block"), r_at.alias("x"), F.lit(0).alias("o"), F.struct("identity", -F.col("hit_id"), r_at.alias("at")).alias("right"), F.lit(None).cast("struct<at:bigint,identity:double,id:bigint>").alias("left"))
-    none, who = F.lit(None).cast(found.schema["right"].dataType).alias("right"), F.struct(l_at.alias("at"), "identity", F.col("hit_id").cast("bigint").alias("id")).alias("left")
-    ask = lambda o, x: left.select(*keep, block(x).alias("block"), x.alias("x"), F.lit(o).alias("o"), none, who)
-    line = found.unionByName(ask(1, l_at + 1)).unionByName(ask(2, l_at + most))
-    w = Window.partitionBy(*keep, "block")
-    rest = F.max("right").over(w.orderBy(F.desc("x"), "o").rowsBetween(Window.unboundedPreceding, 0))
-    upto = F.max("right").over(w.orderBy("x", "o").rowsBetween(Window.unboundedPreceding, 0))
-    best = line.withColumn("_rest", rest).withColumn("_upto", upto).where("o > 0").withColumn("right", F.when(F.col("o") == 1, F.col("_rest")).otherwise(F.col("_upto"))).where("right is not null")
-    id_ = F.col("right")[best.schema["right"].dataType.names[1]]
+    id_ = F.col("hit_id").cast("bigint")
+    left, right = F.struct(l_at.alias("at"), "identity", id_.alias("id")), F.struct("identity", (-id_).alias("id"), r_at.alias("at"))
+    no_left, no_right = (F.lit(None).cast(f"struct<{x}>") for x in ("at:bigint,identity:double,id:bigint", "identity:double,id:bigint,at:bigint"))
+    # the line of odd cells is read forwards, that of even ones backwards
+    place = lambda x, o, ahead, l, r: F.struct((F.floor(x / most) * 2 + ahead).alias("cell"), (x if ahead else -x).alias("x"), F.lit(o).alias("o"), l.alias("left"), r.alias("right"))  # noqa: E731,E741
+    both = F.when(F.col("side") == "L", F.array(place(l_at + 1, 1, 0, left, no_right), place(l_at + most, 1, 1, left, no_right))).when(F.col("side") == "R", F.array(*(place(r_at, 0, k, no_left, right) for k in (0, 1))))
+    line = hits.select(*keep, F.explode(both).alias("p")).select(*keep, "p.*")
+    w = Window.partitionBy(*keep, "cell").orderBy("x", "o").rowsBetween(Window.unboundedPreceding, 0)
+    best = line.withColumn("right", F.max("right").over(w)).where("o = 1 and right is not null")
     size = F.col("right.at") - F.col("left.at")
     start = F.when(back, -F.col("right.at")).otherwise(F.col("left.at"))
-    row = F.struct(((F.col("left.identity") + F.col("right.identity")) / 2).alias("score"), (-F.col("left.id")).alias("l"), id_.alias("r"), "refid", "strand", start.alias("fill_start"), (start + size).alias("fill_end"))
+    row = F.struct(((F.col("left.identity") + F.col("right.identity")) / 2).alias("score"), (-F.col("left.id")).alias("l"), F.col("right.id").alias("r"), "refid", "strand", start.alias("fill_start"), (start + size).alias("fill_end"))
     top = best.where(size.between(1, most)).groupBy("gap_id").agg(F.max(row).alias("t"))
     return top.select("gap_id", "t.refid", "t.strand", (-F.col("t.l")).alias("l_id"), (-F.col("t.r")).alias("r_id"), "t.fill_start", "t.fill_end", "t.score")
 

@@ -69,6 +69,7 @@ def two_round_fill(lens: DataFrame, gaps: DataFrame, hits: DataFrame, hits2: Dat
     """Fill, drop fragments below `least` (what is kept is joined by `joint` Ns), fill again: a row a round with its gap counts.
 
     hits2 name the gaps of the second round, the joints, by their number in each sequence."""
+    lens, gaps = kept(lens), kept(gaps)
     one = fill_gaps(lens, gaps, hits)
     lens1 = kept(new_lengths(lens, one["edits"]))
     frags = D.fragment_status(D.fragments(moved_gaps(one["open"], one["edits"]), lens1), least)
