@@ -15,6 +15,9 @@ from ..operators import synteny as Y
 from ..operators import telomere as T
 from ..sources.scratch import dropped, kept, only
 
+#: So many gap names may be broadcast.
+FEW = 100_000
+
 
 def analyze_genome(seqs: DataFrame, least_gap: int = 1, least_fragment: int | None = None, least_repeats: int = 5, window: int = 2_000, internal_flank: int = 5_000, bins: int = 50) -> dict[str, DataFrame]:
     """Gaps, fragments, telomere status, internal telomeres, tracks, and one row a sequence."""
@@ -45,7 +48,10 @@ def fill_gaps(lens: DataFrame, gaps: DataFrame, hits: DataFrame) -> dict[str, Da
 
     lens: seq_id, seq_ord, seq_length; gaps: seq_id, start, end, length. edits and segments are coordinates (edits.materialize makes bases)."""
     named = kept(numbered_gaps(gaps))
-    best = kept(L.best_fill(L.flank_hits(hits)))
+    found = L.flank_hits(hits)
+    if named.count() <= FEW:  # hits of other gaps aren't sorted
+        found = found.join(F.broadcast(named.select("gap_id")), "gap_id", "left_semi")
+    best = kept(L.best_fill(found))
     made = kept(E.resolve(L.fill_edits(best, named)))
     segments = E.apply_edits(made, lens)
     left = named.join(best.select("gap_id"), "gap_id", "left_anti").select("seq_id", "start", "end", "length")
