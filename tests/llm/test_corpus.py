@@ -325,6 +325,32 @@ def test_suffix_order_decides(spark):
     assert sum(n for _, _, n, _ in _suffix_rows(df, ranked=by_place)) < sum(n for _, _, n, _ in want)
 
 
+def test_suffix_pieces(spark, monkeypatch):
+    """By pieces: strings of frequent names one by one, long runs, bytes of zero, and a phrase in every text; far fewer rows are written than bytes repeat."""
+    phrase, long = "this very phrase is in every one of them ", text(900)
+    rows = [(k // 2, f"{text(6)} {phrase}{long[40 * k : 40 * k + 90]} {text(2)} {long[30 * k : 30 * k + 200]}") for k in range(40)]
+    rows += [(20 + k, "a" * (40 + 10 * k) + text(3) + "b\0" * k) for k in range(12)] + [(90, long), (91, "é" * 90 + long[500:7000]), (None, long[:80])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = _removed(rows)
+    lines = []
+    monkeypatch.setattr(suffixes, "staged", lambda df, **o: lines.append((out := staged(df, **o)).count()) or out)
+    same(_suffix_rows(df), want)
+    assert sum(lines) < sum(n for _, _, n, _ in want) / 2
+    for large in (100, 2000):
+        same(_suffix_rows(df, large=large), want)
+
+
+def test_window_ranks():
+    for n in (0, 1, 7, 60, 300):
+        b = bytes(rng.randrange(2) for _ in range(n))
+        for length in (5, 8, 9, 50):
+            at = np.arange(max(0, n - length + 1))
+            rank = suffixes.window_ranks(np.frombuffer(b, np.uint8), length, at).tolist()
+            cut = [b[i : i + length] for i in at.tolist()]
+            order = sorted(set(cut))
+            assert rank == [order.index(x) for x in cut]
+
+
 def test_warc(spark, tmp_path):
     page = '<!DOCTYPE html><html><head><title>A &amp; B</title><style>p{}</style><script>var t="</p>";</script></head><body><!-- no --><p>One<br>two &lt;b&gt; <a href="/x?a=1&amp;b=2">link</a></p></body></html>'
     pages = spark.createDataFrame([(1, "http://h/x", page), (2, None, None), (None, "u", "plain")], "page_id long, url string, html string")
