@@ -182,6 +182,58 @@ def normalize_edits(gaps: DataFrame, size: int = 100) -> DataFrame:
     return gaps.select("seq_id", F.col("start").alias("del_start"), F.col("end").alias("del_end"), F.lit("N").alias("src_kind"), F.lit(None).cast("string").alias("src_id"), F.lit(0).cast("bigint").alias("src_start"), F.lit(size).cast("bigint").alias("src_end"), F.lit("+").alias("strand"), F.lit(0).alias("priority"))
 
 
+def normalize_chunks(chunks: DataFrame, size: int = 100, grid: int = GRID) -> DataFrame:
+    """seq_id, chunk_ix, bases on the grid: the sequences with every run of Ns made `size` long (as normalize_edits, applied).
+
+    Where a chunk's bases come to follows from running sums over a row a chunk, and each chunk is respelled where it is: no run is a
+    row. Grid cells that lie in one chunk are done there; of those at its edges the parts are moved."""
+    chunks = chunks.select("seq_id", "chunk_ix", "bases")
+
+    def scan(batches):
+        for part in batches:
+            buf, at = texts(part.column("bases"))
+            gap = np.concatenate([buf == ord("N"), [False]])
+            begin, _ = runs(gap[:-1], at)
+            begun = np.bincount(np.searchsorted(at, begin, side="right") - 1, minlength=part.num_rows)
+            plain = np.diff(np.concatenate([[0], np.cumsum(~gap[:-1])])[at])
+            head, tail = (gap[i] & (np.diff(at) > 0) for i in (at[:-1], at[1:] - 1))
+            yield pa.RecordBatch.from_arrays([part.column("seq_id"), part.column("chunk_ix"), *(pa.array(x) for x in (plain, begun, head, tail))], names=["seq_id", "chunk_ix", "plain", "begun", "head", "tail"])
+
+    seen = arrow_map(chunks, scan, "seq_id string, chunk_ix int, plain bigint, begun bigint, head boolean, tail boolean")
+    w = Window.partitionBy("seq_id").orderBy("chunk_ix")
+    seen = seen.withColumn("inside", F.col("head") & F.coalesce(F.lag("tail").over(w), F.lit(False)))
+    long = F.col("plain") + size * (F.col("begun") - F.col("inside").cast("bigint"))
+    places = seen.withColumn("long", long).select("seq_id", "chunk_ix", "inside", (F.sum("long").over(w) - F.col("long")).alias("out_start"))
+
+    def spell(batches):
+        for part in batches:
+            buf, at = texts(part.column("bases"))
+            gap = buf == ord("N")
+            begin, _ = runs(gap, at)
+            times = (~gap).astype(np.int64)
+            times[begin] = size
+            row = np.searchsorted(at, begin, side="right") - 1
+            times[begin[part.column("inside").to_numpy(zero_copy_only=False)[row] & (begin == at[row])]] = 0
+            line, ends = np.repeat(buf, times), np.concatenate([[0], np.cumsum(times)])[at]
+            first = part.column("out_start").to_numpy()
+            # parts begin where a chunk's bases or a cell of the grid do
+            many = np.where(np.diff(ends) > 0, (first + np.diff(ends) - 1) // grid - first // grid + 1, 0)
+            row = np.repeat(np.arange(part.num_rows), many)
+            cell = first[row] // grid + np.arange(len(row)) - (np.cumsum(many) - many)[row]
+            place = np.maximum(cell * grid, first[row])
+            cut = np.append(ends[:-1][row] + place - first[row], len(line))
+            bases = pa.LargeStringArray.from_buffers(len(row), pa.py_buffer(cut), pa.py_buffer(line)).cast(pa.string())
+            out = pa.RecordBatch.from_arrays([part.column("seq_id").take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(place), bases], names=["seq_id", "chunk_ix", "at", "bases"])
+            for k in range(0, len(row), 1_000):
+                yield out.slice(k, 1_000)
+
+    parts = arrow_map(chunks.join(places, ["seq_id", "chunk_ix"]), spell, "seq_id string, chunk_ix int, at bigint, bases string")
+    whole = F.length("bases") == grid
+    edges = parts.where(~whole).groupBy("seq_id", "chunk_ix").agg(F.sort_array(F.collect_list(F.struct("at", "bases"))).alias("p"))
+    edges = edges.select("seq_id", "chunk_ix", F.array_join(F.transform("p", lambda x: x["bases"]), "").alias("bases"))
+    return parts.where(whole).select("seq_id", "chunk_ix", "bases").unionByName(edges)
+
+
 def structure_track(seqs: DataFrame, features: DataFrame, bins: int = 50) -> DataFrame:
     """A letter for each of `bins` equal parts: '-' sequence, 'N' gap, 'i' internal telomere (by its midpoint), 't' end telomere.
     features: seq_id, kind, start, end. The strongest kind in a bin stands."""

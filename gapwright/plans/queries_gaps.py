@@ -295,11 +295,7 @@ def d18(s, d):
 
 @query("D19_normalize_gaps", chunked("regexp_replace(bases, 'N+', repeat('N', 100), 'g')"), "seqs")
 def d19(s, d):
-    q = _seqs(s, d)
-    chunks = D.chunk_sequences(q)
-    segs = E.apply_edits(D.normalize_edits(D.find_gaps(chunks, 1)), D.lengths(q))
-    out = E.materialize(segs, chunks.withColumn("kind", F.lit("seq")))
-    return out.select("seq_id", "chunk_ix", "bases")
+    return D.normalize_chunks(D.chunk_sequences(_seqs(s, d)))
 
 
 @query("D20_total_length", "SELECT count(*) AS n, cast(sum(length(bases)) AS bigint) AS total FROM seqs", "seqs")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tempfile
 
 import pyarrow as pa
 import pytest
@@ -11,6 +12,7 @@ from gapwright.functions.packed import sliced
 from gapwright.operators import edits as E
 from gapwright.operators import gaps as D
 from gapwright.operators import telomere as T
+from gapwright.plans.registry import QUERIES
 
 SEQS = [("a", 0, "NNACGTNNNAC"), ("b", 1, "NNNN"), ("c", 2, "ACGT"), ("d", 3, ""), ("e", 4, "A" * 79 + "N" * 10 + "C" * 30 + "N"), ("f", 5, "acnnNg")]
 
@@ -115,3 +117,26 @@ def test_batches_are_cut_by_bytes():
     batch = pa.RecordBatch.from_pydict({"bases": ["A" * 1_000] * 50, "n": list(range(50))})
     parts = list(sliced([batch, batch.slice(0, 0)], 10_000))
     assert max(p.nbytes for p in parts) <= 12_000 and sum((p.column("n").to_pylist() for p in parts), []) == list(range(50))
+
+
+@pytest.mark.parametrize("grid", [7, 16, 4_000])
+def test_normal_gaps_against_the_regex(spark, grid):
+    """Runs that go over several chunks, shrink to less than a cell or grow over many; and no shuffle of a row a run."""
+    rng = random.Random(4)
+    rows = [(f"s{k}", k, x) for k, x in enumerate(("", "N", "N" * 90, "ACG", "ANA" * 30, "N" * 33 + "ACGT" * 9 + "N" * 5, "".join(rng.choice("ACGTNNNN" if i // 40 % 2 else "ACGT") for i in range(900))))]
+    chunks = D.chunk_sequences(frame(spark, rows), grid)
+    for size in (1, 3, 50):
+        got = {}
+        for r in sorted(D.normalize_chunks(chunks, size, grid).collect(), key=lambda r: (r.seq_id, r.chunk_ix)):
+            assert r.chunk_ix * grid == len(got.get(r.seq_id, "")) and 0 < len(r.bases) <= grid
+            got[r.seq_id] = got.get(r.seq_id, "") + r.bases
+        assert got == {i: t for i, _, x in rows if (t := re.sub("N+", "N" * size, x))}
+
+
+def test_normal_gaps_move_chunks_not_runs(spark):
+    """D19 moves a row a chunk at most twice, however many runs of Ns there are."""
+    spark.sql("SELECT 0L AS doc_id, repeat('ab ', 100000) AS text").write.mode("overwrite").parquet(path := f"{tempfile.mkdtemp()}/documents.parquet")
+    df = QUERIES["D19_normalize_gaps"](spark, path.removesuffix("/documents.parquet"))
+    assert df.selectExpr("sum(length(bases))").first()[0] == 100_000 * 102
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "explode(sequence(" not in plan and "posexplode(" in plan
