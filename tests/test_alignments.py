@@ -64,6 +64,17 @@ def test_window_against_the_loop(data):
         assert got.get(key, set()) == want
 
 
+def test_pairs_of_windows_are_not_moved(spark):
+    """Gaps before the sequence's start too; the join's rows are given out as they are."""
+    a = spark.createDataFrame([(k, "r0", "q0", 97.0, 1, 9_000, 1 + 70_000 * k, 9_000 + 70_000 * k) for k in range(12)], COLS)
+    g = spark.createDataFrame([(0, "q0", -400), (1, "q0", 0), (2, "q0", 8_000), (3, "q0", 100_000), (4, "q0", 779_500)], "gap_key long, query_contig string, gap_pos long")
+    near = Y.alignments_near_gap(a, g)
+    got = {(r.gap_key, r.aln_id) for r in near.collect()}
+    assert got == {(2, 0), (2, 1)} | {(3, k) for k in (0, 1, 2)} and near.count() == len(got)
+    above = near._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Window" not in above and "Aggregate" not in above
+
+
 def test_blocks_against_the_fold(data):
     rows, _, a, _ = data
     got = sorted((r.ref_contig, r.start, r.end, r.direction, r.n) for r in Y.synteny_blocks(a).collect())
